@@ -243,3 +243,75 @@ def part_regex_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"rule_type": "regex", "column": "p_name", "pattern": "^[a-z]+ [a-z]+$"},
     ]
     return explode_errors(validate(read_table(spark, sf_dir, "part"), rules), ["p_partkey"])
+
+
+# --- J1: lookup right join, V12: dataset rule -----------------------------------
+
+from vetline.operators.enrich import lookup_right_join  # noqa: E402
+from vetline.operators.quality import column_count_check  # noqa: E402
+
+_DOC_JOIN_SQL = """
+SELECT l.doc_id AS lookup_doc_id, l.quality, l.toxic, d.doc_id, d.text, d.lang, d.source, d.n_chars
+FROM labels l RIGHT JOIN documents d ON l.doc_id = d.doc_id
+"""
+
+
+def _doc_join(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    return lookup_right_join(read_table(spark, sf_dir, "labels"), read_table(spark, sf_dir, "documents"),
+                             "doc_id", **kw)
+
+
+@register("lookup_right_join", _DOC_JOIN_SQL)
+def lookup_right_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _doc_join(spark, sf_dir)
+
+
+@register("lookup_right_join_filtered", """
+SELECT n.n_nationkey, n.n_name, n.n_regionkey, c.*
+FROM (SELECT * FROM nation WHERE n_regionkey = 0) n RIGHT JOIN customer c ON n.n_nationkey = c.c_nationkey
+""")
+def lookup_right_join_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nations = read_table(spark, sf_dir, "nation").filter(F.col("n_regionkey") == 0)
+    return lookup_right_join(nations, read_table(spark, sf_dir, "customer"), "n_nationkey",
+                             records_key="c_nationkey")
+
+
+_FANOUT_SQL = """
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, c.c_custkey, c.c_name, c.c_mktsegment
+FROM orders o RIGHT JOIN customer c ON o.o_custkey = c.c_custkey
+"""
+
+
+def _fanout(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return lookup_right_join(orders, customers, "o_custkey", records_key="c_custkey", **kw)
+
+
+@register("lookup_right_join_fanout", _FANOUT_SQL)
+def lookup_right_join_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fanout(spark, sf_dir)
+
+
+@register("lookup_right_join_salted", _FANOUT_SQL)
+def lookup_right_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fanout(spark, sf_dir, salt_buckets=8)
+
+
+@register("lookup_right_join_broadcast", """
+SELECT n.n_nationkey, n.n_name, n.n_regionkey, c.c_custkey, c.c_nationkey, c.c_mktsegment
+FROM nation n RIGHT JOIN customer c ON n.n_nationkey = c.c_nationkey
+""")
+def lookup_right_join_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    return lookup_right_join(read_table(spark, sf_dir, "nation"), customers, "n_nationkey",
+                             records_key="c_nationkey", broadcast=True, max_broadcast_rows=10_000)
+
+
+@register("dq_column_count", f"""
+SELECT 'ColumnCount > 0' AS rule, 'Passed' AS outcome, 'ColumnCount' AS metric_name,
+       8.0 AS metric_value, count(*) AS row_count
+FROM ({_DOC_JOIN_SQL})
+""")
+def dq_column_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return column_count_check(_doc_join(spark, sf_dir))

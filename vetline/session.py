@@ -36,6 +36,7 @@ def build_session(master: str = "local[*]", app_name: str = "vetline",
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.bindAddress", "127.0.0.1")
+        .config("spark.driver.host", "127.0.0.1")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
