@@ -47,7 +47,7 @@ _NN_VENDOR = "(vendor_id IS NULL OR trim(vendor_id) = '')"
 _NN_PICKUP = "(pickup_datetime IS NULL OR trim(CAST(pickup_datetime AS VARCHAR)) = '')"
 _RX_VENDOR = "(vendor_id IS NULL OR NOT regexp_matches(vendor_id, '^\\d+$'))"
 _ANY_FAIL = f"({_NN_VENDOR} OR {_NN_PICKUP} OR {_RX_VENDOR})"
-_ERRORS_EXPLODED_SQL = _with_dirty(f"""
+_ERRORS_BODY = f"""
 SELECT o_orderkey, 'not_null_vendor_id' AS rule_name, 'vendor_id' AS "column", vendor_id AS value
 FROM dirty_orders WHERE {_NN_VENDOR}
 UNION ALL
@@ -56,7 +56,8 @@ FROM dirty_orders WHERE {_NN_PICKUP}
 UNION ALL
 SELECT o_orderkey, 'regex_vendor_id', 'vendor_id', vendor_id
 FROM dirty_orders WHERE {_RX_VENDOR}
-""")
+"""
+_ERRORS_EXPLODED_SQL = _with_dirty(_ERRORS_BODY)
 _SPLIT_VALID_SQL = _with_dirty(
     f"SELECT o_orderkey, vendor_id, pickup_datetime FROM dirty_orders WHERE NOT {_ANY_FAIL}"
 )
@@ -315,3 +316,167 @@ FROM ({_DOC_JOIN_SQL})
 """)
 def dq_column_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return column_count_check(_doc_join(spark, sf_dir))
+
+
+# --- sources and sinks: write, then read back what was written ---------------------
+
+import datetime as _dt  # noqa: E402
+
+from vetline.plans.enrich_job import enrich  # noqa: E402
+from vetline.plans.ingest import ingest  # noqa: E402
+from vetline.plans.load import load  # noqa: E402
+from vetline.session import scratch_path, unique_name  # noqa: E402
+from vetline.sinks.catalog import write_table  # noqa: E402
+from vetline.sinks.dlq import append_dlq_table, read_dlq, write_dlq  # noqa: E402
+from vetline.sinks.files import write_hourly  # noqa: E402
+from vetline.sinks.tables import replace_target, stage, truncate_table  # noqa: E402
+from vetline.sources.files import read_auto, read_csv, read_partitioned  # noqa: E402
+
+QDB = "vetline_q"
+RUN_DATE = _dt.date(2024, 1, 15)
+
+
+def _orders_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", "o_custkey", "o_orderstatus",
+                    F.col("o_totalprice").cast("decimal(15,2)").alias("o_totalprice"),
+                    F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderpriority")
+
+
+@register("csv_roundtrip", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS o_totalprice,
+       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority
+FROM orders
+""")
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "csv_roundtrip") + "/orders.csv"
+    _orders_text(spark, sf_dir).write.option("header", True).csv(path)
+    return read_csv(spark, path)  # no schema: every column comes back as text
+
+
+@register("json_roundtrip", "SELECT * FROM documents")
+def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "json_roundtrip") + "/documents.JSON"
+    docs.write.json(path)
+    return read_auto(spark, path, schema=docs.schema)
+
+
+_HOURLY_SQL = """
+SELECT event_id, ts, user_id, event_type, props,
+       strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
+       strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour
+FROM events WHERE strftime(ts, '%d') = '05' AND strftime(ts, '%H') < '12'
+"""
+_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+@register("hour_partition_pruned", _HOURLY_SQL)
+def hour_partition_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    root = scratch_path(spark, "hourly")
+    write_hourly(ev, "ts", root, timestampNTZFormat=_MICROS)
+    back = read_partitioned(spark, root, "csv", schema=ev.schema,
+                            partition_columns=["year", "month", "day", "hour"], timestampNTZFormat=_MICROS)
+    return back.filter((F.col("day") == "05") & (F.col("hour") < "12"))
+
+
+_CUSTOMER_JSON_SQL = """
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer
+"""
+
+
+def _customer_source(spark: SparkSession, sf_dir: str, fmt: str) -> str:
+    path = scratch_path(spark, "ingest_src") + f"/customer.{fmt}"
+    writer = read_table(spark, sf_dir, "customer").write
+    (writer.option("header", True).csv(path) if fmt == "csv" else writer.json(path))
+    return path
+
+
+@register("catalog_ingest", _CUSTOMER_JSON_SQL)
+def catalog_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _customer_source(spark, sf_dir, "json")
+    return ingest(spark, src, scratch_path(spark, "ingest_out"), QDB, unique_name("customer"))
+
+
+@register("catalog_ingest_partitioned", _CUSTOMER_JSON_SQL)
+def catalog_ingest_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _customer_source(spark, sf_dir, "json")
+    return ingest(spark, src, scratch_path(spark, "ingest_out"), QDB, unique_name("customer_p"),
+                  partition_key="c_mktsegment")
+
+
+@register("catalog_ingest_csv", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer
+""")
+def catalog_ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _customer_source(spark, sf_dir, "csv")
+    return ingest(spark, src, scratch_path(spark, "ingest_out"), QDB, unique_name("customer_csv"))
+
+
+@register("catalog_schema_evolution", """
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS o_orderpriority
+FROM orders
+""")
+def catalog_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders")
+    t = unique_name("orders_evo")
+    first = o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_orderstatus")
+    rest = o.filter(F.col("o_orderstatus") != "F").select(
+        "o_orderpriority", "o_orderstatus", "o_custkey", "o_orderkey")  # other order, new column
+    write_table(first, QDB, t, path=scratch_path(spark, "evo"))
+    name = write_table(rest, QDB, t)
+    return spark.table(name)
+
+
+@register("enrich_to_catalog", _DOC_JOIN_SQL)
+def enrich_to_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = unique_name("doc_join")
+    enrich(spark, read_table(spark, sf_dir, "labels"), read_table(spark, sf_dir, "documents"), "doc_id",
+           QDB, t, path=scratch_path(spark, "enrich"), dq_results_table=f"{QDB}.{unique_name('dq')}")
+    return spark.table(f"{QDB}.{t}")
+
+
+# --- dead-letter queue (K10-K12) --------------------------------------------------------
+
+@register("dlq_readback", _with_dirty(f"""
+SELECT o_orderkey, rule_name, "column", value, 2024 AS year, 1 AS month, 15 AS day FROM ({_ERRORS_BODY}) e
+"""))
+def dlq_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "dlq")
+    _, invalid = validate_split(dirty_orders(spark, sf_dir), list(DEFAULT_RULES))
+    write_dlq(invalid, base, RUN_DATE)
+    back = read_dlq(spark, base)
+    return back.select("o_orderkey", "year", "month", "day", F.inline(ERRORS_COL)).select(
+        "o_orderkey", "rule_name", "column", "value", "year", "month", "day")
+
+
+@register("dlq_same_day_rerun", _with_dirty("""
+SELECT o_orderkey, 'not_null_pickup_datetime' AS rule_name FROM dirty_orders WHERE pickup_datetime IS NULL
+"""))
+def dlq_same_day_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "dlq")
+    src = dirty_orders(spark, sf_dir)
+    _, first = validate_split(src, list(DEFAULT_RULES))
+    write_dlq(first, base, RUN_DATE)
+    _, second = validate_split(src, [{"rule_type": "not_null", "column": "pickup_datetime"}])
+    write_dlq(second, base, RUN_DATE)  # same day: replaces the first run's rejects
+    back = read_dlq(spark, base)
+    return back.select("o_orderkey", F.inline(ERRORS_COL)).select("o_orderkey", "rule_name")
+
+
+@register("dlq_table_append", _with_dirty(f"""
+SELECT 'r1' AS run_id, o_orderkey, rule_name FROM ({_ERRORS_BODY}) a
+UNION ALL
+SELECT 'r2', o_orderkey, rule_name FROM ({_ERRORS_BODY}) b
+"""))
+def dlq_table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = unique_name("dlq")
+    _, invalid = validate_split(dirty_orders(spark, sf_dir), list(DEFAULT_RULES))
+    append_dlq_table(invalid, QDB, t, RUN_DATE, "r1")
+    append_dlq_table(invalid, QDB, t, RUN_DATE, "r2")
+    back = spark.table(f"{QDB}.{t}")
+    return back.select("run_id", "o_orderkey", F.inline(ERRORS_COL)).select("run_id", "o_orderkey", "rule_name")
