@@ -480,3 +480,141 @@ def dlq_table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     append_dlq_table(invalid, QDB, t, RUN_DATE, "r2")
     back = spark.table(f"{QDB}.{t}")
     return back.select("run_id", "o_orderkey", F.inline(ERRORS_COL)).select("run_id", "o_orderkey", "rule_name")
+
+
+# --- staged load, replace, upsert (K4-K9, K13-K15, C1-C5) ------------------------------
+
+from vetline.sinks.tables import recreate_like  # noqa: E402
+
+_LOAD_COLS = "o_orderkey, vendor_id, pickup_datetime"
+
+
+def _target(spark: SparkSession, prefix: str) -> str:
+    return f"{QDB}.{unique_name(prefix)}"
+
+
+def _seed_target(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
+    """First version of a target: the orders still open, with their vendor."""
+    seed = dirty_orders(spark, sf_dir).join(
+        read_table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "O").select("o_orderkey"),
+        "o_orderkey")
+    replace_target(seed, target)
+    return seed
+
+
+@register("replace_target", _SPLIT_VALID_SQL)
+def replace_target_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _target(spark, "orders_clean")
+    _seed_target(spark, sf_dir, target)
+    load(spark, dirty_orders(spark, sf_dir), target, list(DEFAULT_RULES),
+         dlq_path=scratch_path(spark, "load_dlq"), run_date=RUN_DATE)
+    return spark.table(target)
+
+
+@register("load_dlq", _with_dirty(f"""
+SELECT o_orderkey, rule_name, "column", value FROM ({_ERRORS_BODY}) e
+"""))
+def load_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, dlq = _target(spark, "orders_clean"), scratch_path(spark, "load_dlq")
+    load(spark, dirty_orders(spark, sf_dir), target, list(DEFAULT_RULES), dlq_path=dlq, run_date=RUN_DATE)
+    return read_dlq(spark, dlq).select("o_orderkey", F.inline(ERRORS_COL)).select(
+        "o_orderkey", "rule_name", "column", "value")
+
+
+_SEED_SQL = _with_dirty(f"""
+SELECT d.o_orderkey, d.vendor_id, d.pickup_datetime FROM dirty_orders d
+JOIN orders o ON d.o_orderkey = o.o_orderkey WHERE o.o_orderstatus = 'O'
+""")
+
+
+@register("replace_skipped_when_no_valid", _SEED_SQL)
+def replace_skipped_when_no_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _target(spark, "orders_keep")
+    _seed_target(spark, sf_dir, target)
+    never = [{"rule_type": "regex", "column": "vendor_id", "pattern": "^never$"}]
+    load(spark, dirty_orders(spark, sf_dir), target, never, dlq_path=scratch_path(spark, "load_dlq"),
+         run_date=RUN_DATE)
+    return spark.table(target)
+
+
+@register("empty_source_noop", _SEED_SQL)
+def empty_source_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _target(spark, "orders_keep")
+    _seed_target(spark, sf_dir, target)
+    empty = dirty_orders(spark, sf_dir).filter(F.col("o_orderkey") < 0)
+    load(spark, empty, target, list(DEFAULT_RULES), dlq_path=scratch_path(spark, "load_dlq"),
+         run_date=RUN_DATE)
+    return spark.table(target)
+
+
+@register("replace_partitioned", _with_dirty(f"""
+SELECT o_orderkey, vendor_id, pickup_datetime, strftime(pickup_datetime, '%Y') AS pickup_year
+FROM dirty_orders WHERE NOT {_ANY_FAIL}
+"""))
+def replace_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _target(spark, "orders_by_year")
+    src = dirty_orders(spark, sf_dir).withColumn("pickup_year", F.date_format("pickup_datetime", "yyyy"))
+    for _ in range(2):  # the second run replaces the first version through the view
+        load(spark, src, target, list(DEFAULT_RULES), partition_by="pickup_year",
+             dlq_path=scratch_path(spark, "load_dlq"), run_date=RUN_DATE)
+    return spark.table(target)
+
+
+_UPSERT_SQL = """
+SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT o_orderkey, o_orderstatus, round(o_totalprice * 2, 2) FROM orders WHERE o_orderstatus IN ('O', 'P')
+"""
+
+
+@register("upsert_target", _UPSERT_SQL)
+def upsert_target_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    target = _target(spark, "orders_upsert")
+    replace_target(o.filter(F.col("o_orderstatus").isin("F", "O")), target)
+    updates = o.filter(F.col("o_orderstatus").isin("O", "P")).withColumn(
+        "o_totalprice", F.round(F.col("o_totalprice") * 2, 2))
+    rules = [{"rule_type": "regex", "column": "o_orderstatus", "pattern": "^[FOP]$"}]
+    load(spark, updates, target, rules, mode="upsert", keys=["o_orderkey"])
+    return spark.table(target)
+
+
+_COUNTS_SQL = f"""
+count(*) AS total_count,
+count(*) FILTER (WHERE NOT {_ANY_FAIL}) AS valid_count,
+count(*) FILTER (WHERE {_ANY_FAIL}) AS invalid_count
+"""
+
+
+@register("run_metadata", _with_dirty(f"""
+SELECT 'succeeded' AS status, {_COUNTS_SQL},
+       count(*) FILTER (WHERE {_ANY_FAIL}) AS dlq_count, 'written' AS dlq_status, 0 AS rules_skipped
+FROM dirty_orders
+"""))
+def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = _target(spark, "job_runs")
+    load(spark, dirty_orders(spark, sf_dir), _target(spark, "orders_clean"), list(DEFAULT_RULES),
+         dlq_path=scratch_path(spark, "load_dlq"), run_date=RUN_DATE, runs_table=runs)
+    return spark.table(runs).select("status", "total_count", "valid_count", "invalid_count",
+                                    "dlq_count", "dlq_status", "rules_skipped")
+
+
+@register("truncate_staging", """
+SELECT count(*) AS staged_rows, 0 AS rows_after_truncate, 0 AS rows_after_recreate FROM orders
+""")
+def truncate_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders")
+    staging, target = _target(spark, "stg"), _target(spark, "orders_t")
+    replace_target(o, target)
+    stage(o, staging)
+    staged = spark.table(staging).count()
+    truncate_table(spark, staging)
+    after_truncate = spark.table(staging).count()
+    stage(o, staging)
+    recreate_like(spark, staging, target)
+    after_recreate = spark.table(staging).count()
+    return o.agg(F.count(F.lit(1)).alias("staged_rows")).select(
+        "staged_rows",
+        F.lit(after_truncate).cast("long").alias("rows_after_truncate"),
+        F.lit(after_recreate).cast("long").alias("rows_after_recreate"),
+    ).filter(F.col("staged_rows") == F.lit(staged))

@@ -57,7 +57,7 @@ def align_to_table(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
 def write_table(df: DataFrame, database: str, table: str, path: str | None = None,
                 partition_by: Sequence[str] | str | None = None, mode: str = "append",
                 compression: str = "snappy", evolve_schema: bool = True,
-                max_records_per_file: int | None = None) -> str:
+                max_records_per_file: int | None = None, rebalance: bool = True) -> str:
     """Write ``df`` as Parquet and register it as ``database.table``.
 
     * new table: created (external when ``path`` is given), partitioned by
@@ -65,6 +65,8 @@ def write_table(df: DataFrame, database: str, table: str, path: str | None = Non
       default partition);
     * existing table, ``append``: columns the table lacks are added first,
       then rows are inserted by name, so schema drift does not shift values.
+    Partitioned writes are rebalanced on the keys (one shuffle; AQE splits hot
+    keys and merges small ones) so each partition folder gets few files.
     Returns the qualified table name.
     """
     spark = df.sparkSession
@@ -74,6 +76,8 @@ def write_table(df: DataFrame, database: str, table: str, path: str | None = Non
         raise ValueError(f"Partition column(s) {missing} not in the frame's columns {df.columns}")
     ensure_database(spark, database)
     name = table_name(database, table)
+    if keys and rebalance:
+        df = df.hint("rebalance", *keys)
 
     if table_exists(spark, database, table) and mode == "append":
         if evolve_schema:

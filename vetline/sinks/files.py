@@ -24,14 +24,21 @@ def with_hour_partitions(df: DataFrame, ts_col: str) -> DataFrame:
 
 
 def write_hourly(df: DataFrame, ts_col: str, root: str, fmt: str = "csv", header: bool = True,
-                 mode: str = "append", max_records_per_file: int | None = None, **options) -> None:
+                 mode: str = "append", max_records_per_file: int | None = None,
+                 rebalance: bool = True, **options) -> None:
     """Write rows under ``root/year=/month=/day=/hour=/``.
 
-    No shuffle: each task writes its rows to the hours it holds (Spark sorts
-    within the task by partition values, so one file is open at a time).
+    ``rebalance`` (default) shuffles rows by hour with a REBALANCE hint, so
+    each hour is written by few tasks instead of every task writing a small
+    file into every hour (tasks x hours files). AQE splits a hot hour over
+    several tasks and merges quiet ones, so skew does not serialize the
+    write. Without it there is no shuffle, at the cost of many small files.
     ``max_records_per_file`` bounds file size for a hot hour.
     """
-    writer = with_hour_partitions(df, ts_col).write.format(fmt).mode(mode)
+    rows = with_hour_partitions(df, ts_col)
+    if rebalance:
+        rows = rows.hint("rebalance", *HOUR_PARTITIONS)
+    writer = rows.write.format(fmt).mode(mode)
     if fmt == "csv":
         writer = writer.option("header", header)
     if max_records_per_file:

@@ -53,10 +53,16 @@ def default_root(spark: SparkSession, name: str) -> str:
 
 # --- staging (K4, K5, K9, K14) ----------------------------------------------------
 
-def stage(df: DataFrame, name: str, partition_by: Sequence[str] | str | None = None) -> str:
-    """Load all of ``df`` into a managed staging table, replacing it."""
+def stage(df: DataFrame, name: str, partition_by: Sequence[str] | str | None = None,
+          rebalance: bool = False) -> str:
+    """Load all of ``df`` into a managed staging table, replacing it.
+
+    No rebalance by default: staging keys are low-cardinality flags, so each
+    task writes at most a few files and a shuffle would buy nothing.
+    """
     db, t = _split(name)
-    return write_table(df, db, t, partition_by=partition_by, mode="overwrite", evolve_schema=False)
+    return write_table(df, db, t, partition_by=partition_by, mode="overwrite", evolve_schema=False,
+                       rebalance=rebalance)
 
 
 def recreate_like(spark: SparkSession, staging: str, target: str) -> None:
@@ -108,9 +114,12 @@ def current_version(spark: SparkSession, name: str) -> str | None:
     return props.get(_VERSION_PROP)
 
 
-def _write_version(df: DataFrame, path: str, partition_by: list[str]) -> int:
-    obs = Observation("vetline_version")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
+def _write_version(df: DataFrame, path: str, partition_by: list[str], rebalance: bool) -> int:
+    obs = Observation(f"vetline_version_{uuid.uuid4().hex[:8]}")
+    rows = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if partition_by and rebalance:
+        rows = rows.hint("rebalance", *partition_by)
+    writer = rows.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -125,13 +134,14 @@ def _ddl_columns(schema, partition_by: list[str]) -> str:
 
 def replace_target(df: DataFrame, target: str, partition_by: Sequence[str] | str | None = None,
                    root: str | None = None, expected_count: int | None = None,
-                   keep_versions: int = 2) -> dict:
+                   keep_versions: int = 2, rebalance: bool = True) -> dict:
     """Replace ``target``'s contents with ``df``, all or nothing.
 
     Columns are matched by name. ``expected_count`` (e.g. the number of valid
     rows counted earlier) is checked against the rows actually written before
     the switch; on a mismatch or any failure the target is left untouched.
-    Returns ``{"version": path, "rows": n}``.
+    A partitioned version is rebalanced on its keys (few files per folder;
+    AQE splits hot keys). Returns ``{"version": path, "rows": n}``.
     """
     spark = df.sparkSession
     db, t = _split(target)
@@ -139,7 +149,7 @@ def replace_target(df: DataFrame, target: str, partition_by: Sequence[str] | str
     root = root or default_root(spark, target)
     version = _new_version_dir(root)
     try:
-        rows = _write_version(df, version, keys)
+        rows = _write_version(df, version, keys, rebalance)
         if expected_count is not None and rows != expected_count:
             raise RuntimeError(f"Wrote {rows} rows to {version}, expected {expected_count}")
     except Exception:
