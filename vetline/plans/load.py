@@ -24,7 +24,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import uuid
-from typing import Mapping, Sequence
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -71,9 +71,20 @@ def load(
     dlq_table: str | None = None,
     runs_table: str | None = None,
     keep_versions: int = 2,
+    dlq_per_run: bool = False,
+    publish: Callable[[DataFrame, int], str | None] | None = None,
 ) -> DataFrame:
     """Run one validated load of ``source`` into ``target``; return a one-row
-    metrics DataFrame (also appended to ``runs_table`` when given)."""
+    metrics DataFrame (also appended to ``runs_table`` when given).
+
+    ``dlq_per_run`` writes rejects under ``.../day=DD/run_id=<run_id>/`` so
+    runs on the same day do not overwrite each other, and rerunning one run
+    replaces only its own rejects.
+
+    ``publish(accepted, valid_count)`` replaces the default target switch
+    (catalog table replace or upsert), e.g. ``jdbc_publisher(...)`` for a
+    database table; it returns a version label or None.
+    """
     if mode not in ("replace", "upsert"):
         raise ValueError("mode must be 'replace' or 'upsert'")
     if mode == "upsert" and not keys:
@@ -113,7 +124,8 @@ def load(
             rejects = staged.filter(~F.col(VALID_FLAG)).drop(VALID_FLAG)
             try:
                 if dlq_path:
-                    metrics["dlq_count"] = write_dlq(rejects, dlq_path, run_date, count=total - valid)
+                    metrics["dlq_count"] = write_dlq(rejects, dlq_path, run_date, count=total - valid,
+                                                     run_id=run_id if dlq_per_run else None)
                 if dlq_table:
                     db, _, t = dlq_table.rpartition(".")
                     append_dlq_table(rejects, db, t, run_date, run_id)
@@ -129,6 +141,10 @@ def load(
             return _finish(spark, metrics, runs_table)
 
         accepted = staged.filter(F.col(VALID_FLAG)).drop(VALID_FLAG, ERRORS_COL)
+        if publish is not None:
+            metrics["target_version"] = publish(accepted, valid)
+            metrics["status"] = "succeeded"
+            return _finish(spark, metrics, runs_table)
         if mode == "replace":
             out = replace_target(accepted, target, partition_by=partition_by, root=target_root,
                                  expected_count=valid, keep_versions=keep_versions)
@@ -153,6 +169,18 @@ def load(
             log.exception("Failed to drop staging table %s", staging)
 
 
+def jdbc_publisher(url: str, table: str, properties: dict | None = None,
+                   **options) -> Callable[[DataFrame, int], str | None]:
+    """``publish`` step that replaces a database table over JDBC."""
+    from vetline.sinks.jdbc import replace_target_jdbc
+
+    def publish(accepted: DataFrame, valid_count: int) -> str | None:
+        replace_target_jdbc(accepted, url, table, properties, expected_count=valid_count, **options)
+        return None
+
+    return publish
+
+
 def _finish(spark: SparkSession, metrics: dict, runs_table: str | None) -> DataFrame:
     row = spark.createDataFrame([tuple(metrics[f.name] for f in METRICS_SCHEMA.fields)], METRICS_SCHEMA)
     if runs_table:

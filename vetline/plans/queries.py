@@ -618,3 +618,88 @@ def truncate_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(after_truncate).cast("long").alias("rows_after_truncate"),
         F.lit(after_recreate).cast("long").alias("rows_after_recreate"),
     ).filter(F.col("staged_rows") == F.lit(staged))
+
+
+# --- incremental load (S6): a file stream run twice, once per drop ----------------------
+
+from vetline.streaming.incremental import file_stream, load_incremental  # noqa: E402
+
+_EVENT_RULES = (
+    {"rule_type": "not_null", "column": "event_type"},
+    {"rule_type": "regex", "column": "event_type", "pattern": "^[a-z]+$"},
+)
+_DROP_SPLIT = "2024-01-15 00:00:00"
+
+
+def _incremental(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    src, target = scratch_path(spark, "incoming"), _target(spark, "events_inc")
+    ckpt, dlq = scratch_path(spark, "inc_ckpt"), scratch_path(spark, "inc_dlq")
+    schema = ev.schema
+    for part in ["year", "month", "day", "hour"]:
+        schema = schema.add(part, "string")
+    runs = []
+    for drop in (ev.filter(F.col("ts") < F.lit(_DROP_SPLIT).cast(ev.schema["ts"].dataType)),
+                 ev.filter(F.col("ts") >= F.lit(_DROP_SPLIT).cast(ev.schema["ts"].dataType))):
+        write_hourly(drop, "ts", src, timestampNTZFormat=_MICROS)  # new files arrive
+        stream = file_stream(spark, src, schema, "csv", timestampNTZFormat=_MICROS)
+        runs.append(load_incremental(spark, stream, target, list(_EVENT_RULES), keys=["event_id"],
+                                     checkpoint=ckpt, dlq_path=dlq, run_date=RUN_DATE))
+    return target, runs[0].unionByName(runs[1])
+
+
+@register("incremental_load", """
+SELECT event_id, ts, user_id, event_type, value,
+       strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
+       strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour
+FROM events
+""")
+def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, _ = _incremental(spark, sf_dir)
+    return spark.table(target)
+
+
+@register("incremental_runs", f"""
+SELECT 'batch0' AS run_id, count(*) FILTER (WHERE ts < TIMESTAMP '{_DROP_SPLIT}') AS total_count
+FROM events
+UNION ALL
+SELECT 'batch1', count(*) FILTER (WHERE ts >= TIMESTAMP '{_DROP_SPLIT}') FROM events
+""")
+def incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, runs = _incremental(spark, sf_dir)
+    return runs.select("run_id", "total_count")
+
+
+# --- JDBC (S8, K4-K9 over a database; in-process Derby, no port) -------------------------
+
+from vetline.plans.load import jdbc_publisher  # noqa: E402
+from vetline.sources.jdbc import read_jdbc, write_jdbc  # noqa: E402
+
+DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+def _derby_url() -> str:
+    # An in-memory database private to this JVM: a test stand-in for the
+    # warehouse (executors on other machines could not reach it).
+    return f"jdbc:derby:memory:{unique_name('vetline')};create=true"
+
+
+@register("jdbc_roundtrip", "SELECT * FROM customer")
+def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer")
+    url = _derby_url()
+    write_jdbc(c, url, "CUSTOMER", DERBY, mode="overwrite")
+    bounds = c.agg(F.min("c_custkey"), F.max("c_custkey")).first()
+    return read_jdbc(spark, url, "CUSTOMER", DERBY, partition_column="c_custkey",
+                     lower_bound=bounds[0], upper_bound=bounds[1], num_partitions=4)
+
+
+@register("jdbc_replace", _SPLIT_VALID_SQL)
+def jdbc_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = dirty_orders(spark, sf_dir)
+    url = _derby_url()
+    write_jdbc(src, url, "ORDERS_CLEAN", DERBY, mode="overwrite")  # old rows, valid or not
+    load(spark, src, "vetline_q.orders_clean_jdbc", list(DEFAULT_RULES),
+         dlq_path=scratch_path(spark, "load_dlq"), run_date=RUN_DATE,
+         staging=f"{QDB}.{unique_name('stg')}", publish=jdbc_publisher(url, "ORDERS_CLEAN", DERBY))
+    return read_jdbc(spark, url, "ORDERS_CLEAN", DERBY)
