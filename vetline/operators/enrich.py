@@ -71,8 +71,9 @@ def lookup_right_join(
 
     if salt_buckets and salt_buckets > 1 and broadcast is not True:
         n = int(salt_buckets)
-        # rand(seed) is reproducible per partition for a fixed input order,
-        # so a retried task assigns the same salts.
+        # Every salt value sees the whole (replicated) lookup, so the result
+        # does not depend on which salt a record draws: a retried task that
+        # draws different salts still produces the same rows.
         salted = records.withColumn(_SALT, (F.rand(17) * n).cast("int"))
         lk_rep = lk.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
         cond = (lk_rep[lkey] == salted[rkey]) & (lk_rep[_SALT] == salted[_SALT])
