@@ -18,6 +18,7 @@ from vetline.operators.validate import (
     errors_by_rule,
     explode_errors,
     load_counts,
+    rule_counts,
     split_valid_invalid,
     validate,
     validate_split,
@@ -206,7 +207,7 @@ SELECT rule_name, "column", count(*) AS n_errors FROM (
 """)
 def lineitem_errors_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     # l_comment does not exist: that rule is skipped (V8).
-    return errors_by_rule(validate(read_table(spark, sf_dir, "lineitem"), list(LINEITEM_RULES)))
+    return rule_counts(read_table(spark, sf_dir, "lineitem"), list(LINEITEM_RULES))[1]
 
 
 @register("lineitem_load_metrics", """
@@ -222,7 +223,12 @@ SELECT count(*) AS total_count,
 FROM lineitem
 """)
 def lineitem_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_counts(validate(read_table(spark, sf_dir, "lineitem"), list(LINEITEM_RULES)))
+    return rule_counts(read_table(spark, sf_dir, "lineitem"), list(LINEITEM_RULES))[0]
+
+
+@register("lineitem_errors_by_rule_exploded", ORACLE_SQL["lineitem_errors_by_rule"])
+def lineitem_errors_by_rule_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return errors_by_rule(validate(read_table(spark, sf_dir, "lineitem"), list(LINEITEM_RULES)))
 
 
 @register("part_regex_errors", """
@@ -327,7 +333,7 @@ from vetline.plans.ingest import ingest  # noqa: E402
 from vetline.plans.load import load  # noqa: E402
 from vetline.session import scratch_path, unique_name  # noqa: E402
 from vetline.sinks.catalog import write_table  # noqa: E402
-from vetline.sinks.dlq import append_dlq_table, read_dlq, write_dlq  # noqa: E402
+from vetline.sinks.dlq import append_dlq_table, dlq_schema, read_dlq, write_dlq  # noqa: E402
 from vetline.sinks.files import write_hourly  # noqa: E402
 from vetline.sinks.tables import replace_target, stage, truncate_table  # noqa: E402
 from vetline.sources.files import read_auto, read_csv, read_partitioned  # noqa: E402
@@ -449,7 +455,7 @@ def dlq_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "dlq")
     _, invalid = validate_split(dirty_orders(spark, sf_dir), list(DEFAULT_RULES))
     write_dlq(invalid, base, RUN_DATE)
-    back = read_dlq(spark, base)
+    back = read_dlq(spark, base, schema=dlq_schema(invalid))
     return back.select("o_orderkey", "year", "month", "day", F.inline(ERRORS_COL)).select(
         "o_orderkey", "rule_name", "column", "value", "year", "month", "day")
 

@@ -12,6 +12,7 @@ import logging
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from vetline.sinks.catalog import write_table
 
@@ -63,6 +64,18 @@ def write_dlq(invalid: DataFrame, base: str, run_date: dt.date | None = None,
     return n
 
 
+def dlq_schema(invalid: DataFrame, run_id: bool = False) -> StructType:
+    """Schema of the DLQ records written for ``invalid`` (after the renames of
+    ``write_dlq``), with the partition columns as integers. Reading with it
+    skips JSON inference, which would otherwise scan the whole queue."""
+    extra = ("run_id",) if run_id else ()
+    fields = [f for f in _rename_path_columns(invalid, extra).schema.fields]
+    parts = [StructField(c, IntegerType(), True) for c in DLQ_PARTITIONS]
+    if run_id:
+        parts.append(StructField("run_id", StringType(), True))
+    return StructType(fields + parts)
+
+
 def read_dlq(spark, base: str, schema=None) -> DataFrame:
     """Read the whole DLQ back; ``year/month/day`` come from the folders.
 
