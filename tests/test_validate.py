@@ -189,3 +189,14 @@ def test_absent_columns_skipped(spark, rows, missing):
     out = validate(df, [{"rule_type": "not_null", "column": c} for c in missing])
     assert out.count() == len(rows)
     assert all(e == [] for e in errs(out))
+
+
+def test_errors_long_equals_exploded_array(spark):
+    from vetline.operators.validate import errors_long
+    df = spark.createDataFrame([(1, None), (2, "ab"), (3, "12"), (4, " ")], "k int, col_a string")
+    rules = NN + [{"rule_type": "regex", "column": "col_a", "pattern": r"^\d+$"},
+                  {"rule_type": "regex", "column": "gone", "pattern": "x"}]
+    a = sorted(map(tuple, explode_errors(validate(df, rules), ["k"]).collect()), key=str)
+    b = sorted(map(tuple, errors_long(df, rules, ["k"]).collect()), key=str)
+    assert a == b and len(a) == 5
+    assert errors_long(df, [], ["k"]).count() == 0

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from vetline.functions.checks import ERRORS_COL
 from vetline.operators.validate import (
     errors_by_rule,
+    errors_long,
     explode_errors,
     load_counts,
     rule_counts,
@@ -88,6 +89,11 @@ def validate_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("errors_exploded", _ERRORS_EXPLODED_SQL)
 def errors_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return errors_long(dirty_orders(spark, sf_dir), list(DEFAULT_RULES), ["o_orderkey"])
+
+
+@register("errors_exploded_from_array", _ERRORS_EXPLODED_SQL)
+def errors_exploded_from_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = validate(dirty_orders(spark, sf_dir), list(DEFAULT_RULES))
     return explode_errors(v, ["o_orderkey"])
 

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -47,19 +48,26 @@ def write_dlq(invalid: DataFrame, base: str, run_date: dt.date | None = None,
     """Write rejected rows for one day; return how many were written.
 
     With no rows nothing is written (an earlier run's rejects stay). Pass
-    ``count`` when it is already known (e.g. from the load's counters) to
-    avoid a counting pass. ``mode='overwrite'`` replaces the day's (or, with
-    ``run_id``, the run's) folder, so rerunning a run is idempotent.
+    ``count`` when it is already known (e.g. from the load's counters).
+    Otherwise emptiness is probed with a ``limit(1)`` (which stops at the
+    first reject) and the count is observed during the write itself, so the
+    rejects are computed once, not counted and then recomputed.
+    ``mode='overwrite'`` replaces the day's (or, with ``run_id``, the run's)
+    folder, so rerunning a run is idempotent.
     """
     run_date = run_date or dt.date.today()
-    n = invalid.count() if count is None else int(count)
-    if n == 0:
+    if count is not None and int(count) == 0 or count is None and invalid.limit(1).count() == 0:
         log.info("No invalid records to write to DLQ.")
         return 0
     path = dlq_path(base, run_date, run_id)
     extra = ("run_id",) if run_id is not None else ()
-    (_rename_path_columns(invalid, extra).write.mode(mode)
-     .option("ignoreNullFields", "false").json(path))
+    rows = _rename_path_columns(invalid, extra)
+    obs = None
+    if count is None:
+        obs = Observation(f"dlq_{uuid.uuid4().hex[:8]}")
+        rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
+    rows.write.mode(mode).option("ignoreNullFields", "false").json(path)
+    n = int(count) if obs is None else int(obs.get["n"])
     log.info("Wrote %d records to DLQ path %s", n, path)
     return n
 
