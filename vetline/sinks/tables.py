@@ -21,13 +21,14 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import uuid
+from urllib.parse import unquote
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vetline.functions.checks import col_ref
-from vetline.session import delete_path
+from vetline.session import delete_path, path_exists
 from vetline.sinks.catalog import ensure_database, table_exists, table_name, write_table
 
 log = logging.getLogger(__name__)
@@ -35,6 +36,9 @@ log = logging.getLogger(__name__)
 _VERSION_PREFIX = "_v"
 _PHYS_SUFFIX = "__v"
 _VERSION_PROP = "vetline.version_path"
+_MANIFESTS = "_manifests"
+_ADD_BATCH = 500
+_DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _split(name: str) -> tuple[str, str]:
@@ -176,33 +180,137 @@ def replace_target(df: DataFrame, target: str, partition_by: Sequence[str] | str
             spark.sql(f"CREATE TABLE {name} ({_ddl_columns(df.schema, [])}) USING parquet "
                       f"LOCATION '{version}' TBLPROPERTIES ('{_VERSION_PROP}' = '{version}')")
     else:
-        phys_name = f"{t}{_PHYS_SUFFIX}{version.rsplit('/', 1)[1][len(_VERSION_PREFIX):]}"
-        phys = table_name(db, phys_name)
-        spark.sql(f"CREATE TABLE {phys} ({_ddl_columns(df.schema, keys)}) USING parquet "
-                  f"PARTITIONED BY ({', '.join(f'`{k}`' for k in keys)}) LOCATION '{version}'")
-        spark.sql(f"ALTER TABLE {phys} RECOVER PARTITIONS")
         if exists and spark.catalog.getTable(f"{db}.{t}").tableType != "VIEW":
             raise ValueError(f"{target} exists as a table; a partitioned target must be a view")
-        spark.sql(f"CREATE OR REPLACE VIEW {name} "
-                  f"TBLPROPERTIES ('{_VERSION_PROP}' = '{version}') AS SELECT * FROM {phys}")
+        _publish_partitioned(spark, db, t, root, version, df.schema, keys, inherited={})
     _prune_versions(spark, db, t, root, keep_versions)
     return {"version": version, "rows": rows}
 
 
+def _phys_name(t: str, version: str) -> str:
+    return f"{t}{_PHYS_SUFFIX}{version.rsplit('/', 1)[1][len(_VERSION_PREFIX):]}"
+
+
 def _prune_versions(spark: SparkSession, db: str, t: str, root: str, keep: int) -> None:
+    """Drop all but the newest ``keep`` versions, except folders that a kept
+    version still reads (partitions inherited by a partition-scoped upsert)."""
     versions = _list_versions(spark, root)
+    kept = versions[-max(1, keep):]
+    referenced = set(kept)
+    for v in kept:
+        referenced.update(_read_manifest(spark, root, v).values())
     for old in versions[: max(0, len(versions) - max(1, keep))]:
-        phys = f"{t}{_PHYS_SUFFIX}{old.rsplit('/', 1)[1][len(_VERSION_PREFIX):]}"
+        phys = _phys_name(t, old)
         if table_exists(spark, db, phys):
             spark.sql(f"DROP TABLE IF EXISTS {table_name(db, phys)}")
-        delete_path(spark, old)
+        delete_path(spark, _manifest_path(root, old))
+        if old not in referenced:
+            delete_path(spark, old)
+
+
+# --- partitioned versions -------------------------------------------------------------
+#
+# A partitioned target is a view over one physical table per version. Every
+# version records in a small manifest which folder holds each of its
+# partitions: a full replace holds all of them itself; a partition-scoped
+# upsert rewrites only the partitions it touches and registers the others at
+# their existing locations, so its cost follows the batch, not the table.
+
+def _manifest_path(root: str, version: str) -> str:
+    return f"{root.rstrip('/')}/{_MANIFESTS}/{version.rsplit('/', 1)[1]}"
+
+
+def _read_manifest(spark: SparkSession, root: str, version: str) -> dict[str, str]:
+    """``{partition path: folder}`` of a version (empty when unpartitioned or
+    when every partition lives in the version's own folder)."""
+    path = _manifest_path(root, version)
+    if not path_exists(spark, path):
+        return {}
+    # One row per partition: catalog-sized metadata, needed on the driver for DDL.
+    return {r["part"]: r["dir"] for r in spark.read.schema("part string, dir string").json(path).collect()}
+
+
+def _write_manifest(spark: SparkSession, root: str, version: str, entries: dict[str, str]) -> None:
+    if not entries:
+        return
+    rows = spark.createDataFrame(sorted(entries.items()), "part string, dir string")
+    rows.coalesce(1).write.mode("overwrite").json(_manifest_path(root, version))
+
+
+def _partition_spec(part_path: str) -> str:
+    """``a=1/b=x%2Fy`` (as Spark names folders) to ``PARTITION (`a` = '1', ...)``."""
+    out = []
+    for seg in part_path.split("/"):
+        name, _, raw = seg.partition("=")
+        value = unquote(raw)
+        lit = "NULL" if value == _DEFAULT_PARTITION else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        out.append(f"`{unquote(name)}` = {lit}")
+    return "PARTITION (" + ", ".join(out) + ")"
+
+
+def _show_partitions(spark: SparkSession, name: str) -> list[str]:
+    return [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+
+
+def _publish_partitioned(spark: SparkSession, db: str, t: str, root: str, version: str, schema,
+                         keys: list[str], inherited: dict[str, str]) -> None:
+    """Register ``version`` (plus ``inherited`` partitions kept where they
+    are) as a physical table, then move the view to it in one catalog call."""
+    phys = table_name(db, _phys_name(t, version))
+    spark.sql(f"CREATE TABLE {phys} ({_ddl_columns(schema, keys)}) USING parquet "
+              f"PARTITIONED BY ({', '.join(f'`{k}`' for k in keys)}) LOCATION '{version}'")
+    spark.sql(f"ALTER TABLE {phys} RECOVER PARTITIONS")
+    own = set(_show_partitions(spark, phys))
+    extra = {p: d for p, d in inherited.items() if p not in own}
+    items = sorted(extra.items())
+    for i in range(0, len(items), _ADD_BATCH):
+        clauses = " ".join(f"{_partition_spec(p)} LOCATION '{d}/{p}'" for p, d in items[i:i + _ADD_BATCH])
+        spark.sql(f"ALTER TABLE {phys} ADD IF NOT EXISTS {clauses}")
+    if extra:
+        _write_manifest(spark, root, version, {**extra, **{p: version for p in own}})
+    spark.sql(f"CREATE OR REPLACE VIEW {table_name(db, t)} "
+              f"TBLPROPERTIES ('{_VERSION_PROP}' = '{version}') AS SELECT * FROM {phys}")
+
+
+def _upsert_partitions(updates: DataFrame, target: str, keys: list[str], parts: list[str],
+                       root: str | None, keep_versions: int, rebalance: bool) -> dict:
+    """Upsert that rewrites only the partitions ``updates`` touches.
+
+    Valid when every partition column is part of the key: a key's rows can
+    then only live in partitions the updates name. Old rows of those
+    partitions are found with a null-safe semi join on the partition columns
+    (a partition filter on the scan when few partitions are touched), the
+    anti join on the keys drops replaced rows, and the result is written as
+    a new version holding just those partitions.
+    """
+    spark = updates.sparkSession
+    db, t = _split(target)
+    root = root or default_root(spark, target)
+    old_version = current_version(spark, target)
+    old_phys = table_name(db, _phys_name(t, old_version))
+    current = spark.table(old_phys)
+    touched = updates.select(*[col_ref(c) for c in parts]).distinct()
+    in_touched = current.join(touched, [current[c].eqNullSafe(touched[c]) for c in parts], "left_semi")
+    kept = in_touched.join(updates.select(*[col_ref(k) for k in keys]), keys, "left_anti")
+    merged = kept.unionByName(updates, allowMissingColumns=True)
+    version = _new_version_dir(root)
+    try:
+        rows = _write_version(merged, version, parts, rebalance)
+    except Exception:
+        delete_path(spark, version)
+        raise
+    old_map = {p: old_version for p in _show_partitions(spark, old_phys)}
+    old_map.update(_read_manifest(spark, root, old_version))
+    _publish_partitioned(spark, db, t, root, version, merged.schema, parts, inherited=old_map)
+    _prune_versions(spark, db, t, root, keep_versions)
+    return {"version": version, "rows": rows}
 
 
 # --- keyed upsert (K13) ------------------------------------------------------------
 
 def upsert_target(updates: DataFrame, target: str, keys: Sequence[str],
                   partition_by: Sequence[str] | str | None = None, root: str | None = None,
-                  keep_versions: int = 2) -> dict:
+                  keep_versions: int = 2, partition_scoped: bool = True, rebalance: bool = True) -> dict:
     """Insert-or-replace rows of ``target`` by ``keys``, then switch versions.
 
     New version = target rows whose key is not in ``updates`` (left anti join)
@@ -210,20 +318,29 @@ def upsert_target(updates: DataFrame, target: str, keys: Sequence[str],
     unless the update keys are small enough to broadcast (planner/AQE
     decide); AQE splits skewed key partitions. Rows with a NULL key never
     match, as in SQL MERGE.
+
+    For a partitioned target whose partition columns are all among ``keys``,
+    only the partitions the updates touch are read and rewritten
+    (``partition_scoped``); otherwise the whole target is rewritten.
     """
     spark = updates.sparkSession
     db, t = _split(target)
     keys = list(keys)
     if not keys:
         raise ValueError("upsert_target needs at least one key column")
+    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     if not table_exists(spark, db, t):
         return replace_target(updates, target, partition_by=partition_by, root=root,
-                              keep_versions=keep_versions)
+                              keep_versions=keep_versions, rebalance=rebalance)
+    if (parts and set(parts) <= set(keys) and partition_scoped
+            and spark.catalog.getTable(f"{db}.{t}").tableType == "VIEW"
+            and current_version(spark, target)):
+        return _upsert_partitions(updates, target, keys, parts, root, keep_versions, rebalance)
     current = spark.table(table_name(db, t))
     kept = current.join(updates.select(*[col_ref(k) for k in keys]), keys, "left_anti")
     merged = kept.unionByName(updates, allowMissingColumns=True)
     return replace_target(merged, target, partition_by=partition_by, root=root,
-                          keep_versions=keep_versions)
+                          keep_versions=keep_versions, rebalance=rebalance)
 
 
 # --- run metadata (K15, K17) ---------------------------------------------------------
