@@ -212,3 +212,17 @@ def test_upsert_with_key_outside_partitions_rewrites_all(spark):
     replace_target(base, tgt, partition_by="p")
     upsert_target(spark.createDataFrame([(1, "b")], "k int, p string"), tgt, keys=["k"], partition_by="p")
     assert sorted(map(tuple, spark.table(tgt).select("k", "p").collect())) == [(1, "b"), (2, "b")]
+
+
+def test_partition_scoped_upsert_prunes_the_scan(spark):
+    from vetline.sinks.tables import _prune_to
+    tgt = f"{DB}.{unique_name('prn')}"
+    base = spark.range(200).select(F.col("id").alias("k"), (F.col("id") % 20).cast("string").alias("p"))
+    replace_target(base, tgt, partition_by="p")
+    touched = spark.createDataFrame([("3",), (None,)], "p string")
+    pruned = _prune_to(spark.table(tgt), touched, ["p"])
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    import re
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan).group(1)
+    assert "= 3" in filters and "isnull" in filters
+    assert pruned.count() == 10

@@ -38,6 +38,7 @@ _PHYS_SUFFIX = "__v"
 _VERSION_PROP = "vetline.version_path"
 _MANIFESTS = "_manifests"
 _ADD_BATCH = 500
+_MAX_PRUNE_VALUES = 10_000
 _DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -272,6 +273,31 @@ def _publish_partitioned(spark: SparkSession, db: str, t: str, root: str, versio
               f"TBLPROPERTIES ('{_VERSION_PROP}' = '{version}') AS SELECT * FROM {phys}")
 
 
+def _prune_to(current: DataFrame, touched: DataFrame, parts: list[str],
+              max_values: int = _MAX_PRUNE_VALUES) -> DataFrame:
+    """Static partition filter on ``current`` from the values ``touched`` holds.
+
+    A join alone does not prune here (dynamic pruning needs a selective
+    filter on the other side), so the scan would read every partition. Per
+    column, ``IN (values)`` (plus ``IS NULL``) selects a superset of the
+    touched partitions that the file index prunes while planning; the semi
+    join then keeps exactly the touched ones. The values are partition
+    names, at most the catalog's partition count; beyond ``max_values`` per
+    column no filter is added and the result is still exact.
+    """
+    cond = None
+    for c in parts:
+        vals = [r[0] for r in touched.select(c).distinct().limit(max_values + 1).collect()]
+        if len(vals) > max_values:
+            return current
+        present = [v for v in vals if v is not None]
+        term = current[c].isin(present) if present else F.lit(False)
+        if len(present) != len(vals):
+            term = term | current[c].isNull()
+        cond = term if cond is None else cond & term
+    return current.filter(cond)
+
+
 def _upsert_partitions(updates: DataFrame, target: str, keys: list[str], parts: list[str],
                        root: str | None, keep_versions: int, rebalance: bool) -> dict:
     """Upsert that rewrites only the partitions ``updates`` touches.
@@ -290,7 +316,8 @@ def _upsert_partitions(updates: DataFrame, target: str, keys: list[str], parts:
     old_phys = table_name(db, _phys_name(t, old_version))
     current = spark.table(old_phys)
     touched = updates.select(*[col_ref(c) for c in parts]).distinct()
-    in_touched = current.join(touched, [current[c].eqNullSafe(touched[c]) for c in parts], "left_semi")
+    pruned = _prune_to(current, touched, parts)
+    in_touched = pruned.join(touched, [pruned[c].eqNullSafe(touched[c]) for c in parts], "left_semi")
     kept = in_touched.join(updates.select(*[col_ref(k) for k in keys]), keys, "left_anti")
     merged = kept.unionByName(updates, allowMissingColumns=True)
     version = _new_version_dir(root)
