@@ -723,3 +723,50 @@ def jdbc_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
          dlq_path=scratch_path(spark, "load_dlq"), run_date=RUN_DATE,
          staging=f"{QDB}.{unique_name('stg')}", publish=jdbc_publisher(url, "ORDERS_CLEAN", DERBY))
     return read_jdbc(spark, url, "ORDERS_CLEAN", DERBY)
+
+
+# --- remaining sources and sinks ---------------------------------------------------------
+
+@register("dq_results_published", f"""
+SELECT 'ColumnCount > 0' AS rule, 'Passed' AS outcome, 'ColumnCount' AS metric_name,
+       8.0 AS metric_value, count(*) AS row_count
+FROM ({_DOC_JOIN_SQL}) j
+UNION ALL
+SELECT 'RowCount > 0', CASE WHEN count(*) > 0 THEN 'Passed' ELSE 'Failed' END, 'RowCount',
+       CAST(count(*) AS DOUBLE), count(*)
+FROM ({_DOC_JOIN_SQL}) k
+""")
+def dq_results_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = f"{QDB}.{unique_name('dq_results')}"
+    enrich(spark, read_table(spark, sf_dir, "labels"), read_table(spark, sf_dir, "documents"), "doc_id",
+           QDB, unique_name("doc_join"), path=scratch_path(spark, "enrich"),
+           dq_rules=("ColumnCount > 0", "RowCount > 0"), dq_results_table=results)
+    return spark.table(results).select("rule", "outcome", "metric_name", "metric_value", "row_count")
+
+
+@register("csv_recursive_scan", """
+SELECT event_id, ts, user_id, event_type, props FROM events
+""")
+def csv_recursive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A recursive walk reads every file below the root; the partition folders
+    # are then plain directories and give no columns.
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    root = scratch_path(spark, "hourly_rec")
+    write_hourly(ev, "ts", root, timestampNTZFormat=_MICROS)
+    return read_csv(spark, root, schema=ev.schema, recursive=True, timestampNTZFormat=_MICROS)
+
+
+@register("positional_insert", """
+SELECT c_custkey AS a, c_name AS b, c_mktsegment AS c FROM customer
+UNION ALL
+SELECT c_custkey, c_mktsegment, c_name FROM customer
+""")
+def positional_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer")
+    t = unique_name("positional")
+    write_table(c.select(c.c_custkey.alias("a"), c.c_name.alias("b"), c.c_mktsegment.alias("c")), QDB, t,
+                path=scratch_path(spark, "positional"))
+    # Same column names in another order: by position, as INSERT INTO t SELECT *.
+    write_table(c.select(c.c_custkey.alias("a"), c.c_mktsegment.alias("c"), c.c_name.alias("b")), QDB, t,
+                by_name=False)
+    return spark.table(f"{QDB}.{t}")

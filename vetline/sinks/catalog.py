@@ -57,14 +57,17 @@ def align_to_table(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
 def write_table(df: DataFrame, database: str, table: str, path: str | None = None,
                 partition_by: Sequence[str] | str | None = None, mode: str = "append",
                 compression: str = "snappy", evolve_schema: bool = True,
-                max_records_per_file: int | None = None, rebalance: bool = True) -> str:
+                max_records_per_file: int | None = None, rebalance: bool = True,
+                by_name: bool = True) -> str:
     """Write ``df`` as Parquet and register it as ``database.table``.
 
     * new table: created (external when ``path`` is given), partitioned by
       ``partition_by`` (the key columns move last; NULL keys land in the
       default partition);
     * existing table, ``append``: columns the table lacks are added first,
-      then rows are inserted by name, so schema drift does not shift values.
+      then rows are inserted by name, so schema drift does not shift values;
+      ``by_name=False`` inserts positionally (``INSERT INTO t SELECT *``),
+      without schema evolution.
     Partitioned writes are rebalanced on the keys (one shuffle; AQE splits hot
     keys and merges small ones) so each partition folder gets few files.
     Returns the qualified table name.
@@ -80,6 +83,12 @@ def write_table(df: DataFrame, database: str, table: str, path: str | None = Non
         df = df.hint("rebalance", *keys)
 
     if table_exists(spark, database, table) and mode == "append":
+        if not by_name:
+            if len(df.columns) != len(spark.table(name).columns):
+                raise ValueError(f"Positional insert needs {len(spark.table(name).columns)} columns, "
+                                 f"got {len(df.columns)}")
+            df.write.insertInto(name)
+            return name
         if evolve_schema:
             add_missing_columns(spark, name, df)
         writer = align_to_table(spark, name, df).write
