@@ -67,3 +67,21 @@ def test_dataset_rules_many(spark):
     assert out == {"ColumnCount > 5": "Failed", "RowCount >= 4": "Passed", "RowCount < 1": "Failed"}
     empty = zones.filter(F.lit(False))
     assert column_count_check(empty).first()["outcome"] == "Passed"
+
+
+def test_enrich_publishes_and_gates(spark):
+    import pytest
+    from vetline.plans.enrich_job import enrich
+    from vetline.session import unique_name
+    zones, trips = _frames(spark)
+    db, t, res = "vetline_e", unique_name("j"), f"vetline_e.{unique_name('dq')}"
+    out = enrich(spark, zones, trips, "pulocationid", db, t, dq_results_table=res)
+    assert spark.table(f"{db}.{t}").count() == 5
+    assert [tuple(r) for r in out.select("outcome", "row_count").collect()] == [("Passed", 5)]
+    for rules in (("ColumnCount > 100",), ("RowCount > 100",)):
+        t2 = unique_name("gated")
+        with pytest.raises(RuntimeError, match="quality"):
+            enrich(spark, zones, trips, "pulocationid", db, t2, dq_rules=rules, dq_results_table=res,
+                   gate_on_quality=True)
+        assert not spark.catalog.tableExists(f"{db}.{t2}")
+    assert spark.table(res).filter("outcome = 'Failed'").count() == 2

@@ -63,6 +63,25 @@ def evaluate_dataset_rules(df: DataFrame, rules=DEFAULT_RULESET) -> DataFrame:
     return counted.select(F.inline(F.array(*rows)))
 
 
+def needs_rows(rules=DEFAULT_RULESET) -> bool:
+    """Whether any rule needs the data (not just the schema)."""
+    return any(_parse(r)[0] != "ColumnCount" for r in rules)
+
+
+def results_from_metrics(spark, rules, n_cols: int, row_count: int | None) -> DataFrame:
+    """The same result rows as ``evaluate_dataset_rules`` from metrics already
+    known (column count from the schema, row count observed during a write),
+    without another pass over the data."""
+    out = []
+    for text in rules:
+        metric, op, thr = _parse(text)
+        value = float(n_cols) if metric == "ColumnCount" else (None if row_count is None else float(row_count))
+        ok = value is not None and _OPS[op](value, thr)
+        out.append((text, PASSED if ok else FAILED, metric, value, row_count))
+    return spark.createDataFrame(
+        out, "rule string, outcome string, metric_name string, metric_value double, row_count long")
+
+
 def column_count_check(df: DataFrame) -> DataFrame:
     """The job's default ruleset (``ColumnCount > 0``)."""
     return evaluate_dataset_rules(df, DEFAULT_RULESET)
