@@ -52,8 +52,7 @@ def _split(name: str) -> tuple[str, str]:
 def default_root(spark: SparkSession, name: str) -> str:
     db, t = _split(name)
     ensure_database(spark, db)
-    loc = spark.sql(f"DESCRIBE DATABASE `{db}`").filter("info_name = 'Location'").first()
-    return f"{loc['info_value'].rstrip('/')}/{t}"
+    return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{t}"
 
 
 # --- staging (K4, K5, K9, K14) ----------------------------------------------------
