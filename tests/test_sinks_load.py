@@ -198,8 +198,14 @@ def test_partition_scoped_upsert(spark):
     got = sorted(map(tuple, spark.table(tgt).select("k", "p", "v").collect()), key=str)
     assert got == sorted([(1, "a", "newer"), (6, "a", "newer"), (2, "b", "new"), (3, "c", "x"),
                           (4, None, "x"), (4, None, "new"), (5, "d/e", "new")], key=str)
-    # pruning kept the older folders that the current version still reads
+    # pruning kept the older folders that the current version still reads,
+    # and only the partitions it reads
     assert spark.table(tgt).filter("p = 'c'").count() == 1
+    first = _local(out1["version"]).rsplit("/", 1)[0]
+    leftovers = {v: sorted(d for d in os.listdir(f"{first}/{v}") if d.startswith("p="))
+                 for v in os.listdir(first) if v.startswith("_v")}
+    assert sorted(sum(leftovers.values(), [])) == ["p=__HIVE_DEFAULT_PARTITION__", "p=a", "p=b", "p=c",
+                                                   "p=d%2Fe"]
     # a key move across partitions is a different key when p is part of it
     up3 = spark.createDataFrame([(3, "a", "moved")], "k int, p string, v string")
     upsert_target(up3, tgt, keys=["k", "p"], partition_by="p")

@@ -192,20 +192,32 @@ def _phys_name(t: str, version: str) -> str:
 
 
 def _prune_versions(spark: SparkSession, db: str, t: str, root: str, keep: int) -> None:
-    """Drop all but the newest ``keep`` versions, except folders that a kept
-    version still reads (partitions inherited by a partition-scoped upsert)."""
+    """Drop all but the newest ``keep`` versions. A dropped version's folder
+    stays only as far as a kept version still reads partitions from it
+    (inherited by a partition-scoped upsert); its other partitions go."""
     versions = _list_versions(spark, root)
     kept = versions[-max(1, keep):]
-    referenced = set(kept)
+    still_read: dict[str, set[str]] = {}
     for v in kept:
-        referenced.update(_read_manifest(spark, root, v).values())
+        for part, folder in _read_manifest(spark, root, v).items():
+            still_read.setdefault(folder, set()).add(part)
     for old in versions[: max(0, len(versions) - max(1, keep))]:
-        phys = _phys_name(t, old)
-        if table_exists(spark, db, phys):
-            spark.sql(f"DROP TABLE IF EXISTS {table_name(db, phys)}")
+        phys = table_name(db, _phys_name(t, old))
+        own: set[str] | None = None
+        if old in still_read:
+            manifest = _read_manifest(spark, root, old)
+            if table_exists(spark, db, _phys_name(t, old)):
+                own = {p for p in _show_partitions(spark, phys) if manifest.get(p, old) == old}
+            else:
+                own = {p for p, folder in manifest.items() if folder == old}
+        if table_exists(spark, db, _phys_name(t, old)):
+            spark.sql(f"DROP TABLE IF EXISTS {phys}")
         delete_path(spark, _manifest_path(root, old))
-        if old not in referenced:
+        if old not in still_read:
             delete_path(spark, old)
+        else:
+            for part in (own or set()) - still_read[old]:
+                delete_path(spark, f"{old}/{part}")
 
 
 # --- partitioned versions -------------------------------------------------------------
