@@ -46,13 +46,15 @@ class IngestParams:
 
 def ingest(spark: SparkSession, source_path: str, target_path: str, catalog_database: str,
            catalog_table_name: str, partition_key: str | None = None, schema=None,
-           mode: str = "append") -> DataFrame:
+           mode: str = "append", **read_options) -> DataFrame:
     """Read ``source_path`` (format from its extension), write snappy Parquet
     at ``target_path`` and register ``catalog_database.catalog_table_name``.
 
-    Returns the catalog table as a DataFrame.
+    Give ``schema`` for large JSON input (otherwise the reader samples it to
+    infer types; ``samplingRatio`` bounds that). Returns the catalog table as
+    a DataFrame.
     """
-    df = read_auto(spark, source_path, schema=schema)
+    df = read_auto(spark, source_path, schema=schema, **read_options)
     name = write_table(df, catalog_database, catalog_table_name, path=target_path,
                        partition_by=partition_key, mode=mode)
     return spark.table(name)

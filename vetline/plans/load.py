@@ -91,7 +91,8 @@ def load(
         raise ValueError("mode='upsert' needs keys")
     run_date = run_date or dt.date.today()
     run_id = run_id or uuid.uuid4().hex[:12]
-    staging = staging or f"{target}__staging"
+    # One staging table per run, so concurrent loads of a target never share it.
+    staging = staging or f"{target}__staging_{run_id}"
     active, skipped = plan_rules(source.columns, rules, on_missing)
     check_patterns(spark, active)
 
