@@ -102,3 +102,11 @@ class TestIngestParams:
     def test_empty(self):
         with pytest.raises(ValueError):
             IngestParams.from_args([])
+
+
+def test_scale_settings():
+    from vetline.session import scale_settings
+    big = scale_settings(100 * 2**40)
+    assert big["spark.sql.shuffle.partitions"] == "200000"  # capped
+    assert scale_settings(10 * 2**40)["spark.sql.shuffle.partitions"] == str(10 * 2**40 // (256 << 20))
+    assert scale_settings(1)["spark.sql.shuffle.partitions"] == "200"

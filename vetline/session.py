@@ -47,6 +47,27 @@ def build_session(master: str = "local[*]", app_name: str = "vetline",
     return builder.getOrCreate()
 
 
+def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                   max_partitions: int = 200_000) -> dict[str, str]:
+    """Session settings sized for an input of ``input_bytes``.
+
+    The initial shuffle partition count gives ~``target_partition_bytes`` per
+    task (so shuffle blocks fit in executor memory without spilling), AQE
+    coalesces small ones and splits skewed ones at run time with the same
+    advisory size, and scans read splits of that size. Pass the result as
+    ``build_session(extra=...)`` or set it on an existing session.
+    """
+    parts = max(200, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for intermediate output.
 
