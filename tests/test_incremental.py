@@ -50,3 +50,29 @@ def test_full_replace_is_refused(spark):
         load_incremental(spark, stream, "vetline_i.x", RULES, keys=["k"], mode="replace")
     with pytest.raises(ValueError):
         load_incremental(spark, spark.range(1), "vetline_i.x", RULES, keys=["k"])
+
+
+def test_archive_moves_processed_files(spark):
+    import os
+    import time
+    src, ckpt, arch = scratch_path(spark, "in"), scratch_path(spark, "ck"), scratch_path(spark, "arch")
+    tgt = f"vetline_i.{unique_name('arc')}"
+    local = lambda p: p[len("file:"):] if p.startswith("file:") else p
+
+    def run():
+        stream = file_stream(spark, src, SCHEMA, archive_dir=arch)
+        return load_incremental(spark, stream, tgt, RULES, keys=["k"], checkpoint=ckpt)
+
+    _drop(spark, src, [(1, "10")])
+    run()
+    _drop(spark, src, [(2, "20")])
+    run()  # archiving of a batch's files happens once a later batch starts
+    _drop(spark, src, [(3, "30")])
+    run()
+    for _ in range(20):
+        if any(f.endswith(".csv") for _, _, fs in os.walk(local(arch)) for f in fs):
+            break
+        time.sleep(0.5)
+    archived = [f for _, _, fs in os.walk(local(arch)) for f in fs if f.endswith(".csv")]
+    assert archived, "processed files were not archived"
+    assert sorted(r["k"] for r in spark.table(tgt).collect()) == [1, 2, 3]

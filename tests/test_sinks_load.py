@@ -237,3 +237,12 @@ def test_partition_scoped_upsert_prunes_the_scan(spark):
     filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan).group(1)
     assert "= 3" in filters and "isnull" in filters
     assert pruned.count() == 10
+
+
+def test_partitioned_csv_header_mismatch_fails(spark, tmp_root):
+    good = spark.createDataFrame([(1, "a")], "id int, name string")
+    good.write.option("header", True).csv(tmp_root + "/hour=01")
+    good.select("name", "id").write.option("header", True).csv(tmp_root + "/hour=02")  # swapped header
+    back = read_partitioned(spark, tmp_root, "csv", schema=good.schema, partition_columns=["hour"])
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        back.collect()

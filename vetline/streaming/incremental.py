@@ -31,12 +31,21 @@ log = logging.getLogger(__name__)
 
 
 def file_stream(spark: SparkSession, source_dir: str, schema: StructType, fmt: str = "csv",
-                max_files_per_trigger: int | None = None, **options) -> DataFrame:
+                max_files_per_trigger: int | None = None, archive_dir: str | None = None,
+                **options) -> DataFrame:
     """Streaming file source. A schema is required (no inference on streams);
     ``key=value`` sub-folders are discovered and filled in when the schema
     names them. ``max_files_per_trigger`` splits a large backlog into several
-    bounded batches."""
+    bounded batches.
+
+    Every trigger lists the whole source tree, so with a growing history of
+    hourly folders the listing grows too. ``archive_dir`` moves each file
+    out of the source after its batch commits (``cleanSource=archive``),
+    keeping the listing to the files not yet processed.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if fmt == "csv":
         reader = reader.option("header", options.pop("header", True))
     if max_files_per_trigger:
