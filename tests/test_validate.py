@@ -200,3 +200,17 @@ def test_errors_long_equals_exploded_array(spark):
     b = sorted(map(tuple, errors_long(df, rules, ["k"]).collect()), key=str)
     assert a == b and len(a) == 5
     assert errors_long(df, [], ["k"]).count() == 0
+
+
+def test_unsupported_type_built_directly_is_skipped(spark):
+    from vetline.functions.rules import Rule
+    df = spark.createDataFrame([(None,)], ONE)
+    assert errs(validate(df, [Rule("range", "col_a")])) == [[]]
+
+
+def test_error_column_type(spark):
+    out = validate(spark.createDataFrame([("x",)], ONE), NN)
+    field = out.schema[ERRORS_COL]
+    assert field.dataType.simpleString() == "array<struct<rule_name:string,column:string,value:string>>"
+    entry = field.dataType.elementType
+    assert [f.nullable for f in entry.fields] == [False, False, True]
