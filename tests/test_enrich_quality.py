@@ -36,6 +36,7 @@ def test_salted_and_broadcast_give_same_rows(spark):
 def test_broadcast_refused_beyond_bound(spark):
     zones, trips = _frames(spark)
     assert lookup_fits(zones, 4) and not lookup_fits(zones, 3)
+    assert not lookup_fits(zones, 4, max_bytes=20)  # rows fit, bytes do not
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         out = lookup_right_join(zones, trips, "pulocationid", broadcast=True, max_broadcast_rows=2)

@@ -12,7 +12,8 @@ Physical strategy, decided by size:
   re-checks with real shuffle sizes and otherwise keeps a sort-merge join
   whose skewed partitions on the preserved (records) side it splits.
 * ``broadcast=True``: broadcast only after proving the lookup has at most
-  ``max_broadcast_rows`` rows (a bounded ``limit(n+1).count()``); beyond that
+  ``max_broadcast_rows`` rows and about ``max_broadcast_bytes`` of data, in
+  one pass over at most ``max_broadcast_rows + 1`` rows; beyond either bound
   the join falls back to the shuffle join.
 * ``salt_buckets=N``: explicit skew handling for a hot key on the records
   side: each record gets a salt in ``[0, N)`` and the lookup is replicated N
@@ -31,16 +32,26 @@ from vetline.functions.checks import col_ref
 log = logging.getLogger(__name__)
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 128 << 20
 _SALT = "_vetline_salt"
 
 
-def lookup_fits(lookup: DataFrame, max_rows: int) -> bool:
-    """True when ``lookup`` has at most ``max_rows`` rows.
+def lookup_size(lookup: DataFrame, max_rows: int) -> tuple[int, int]:
+    """(rows, approximate bytes) of ``lookup``, reading at most ``max_rows + 1``
+    rows, so the check stays bounded even when the lookup is large. Bytes are
+    the length of each row as JSON text, a fair stand-in for its in-memory
+    size."""
+    row = lookup.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.octet_length(F.to_json(F.struct(*[col_ref(c) for c in lookup.columns])))).alias("b"),
+    ).first()
+    return int(row["n"]), int(row["b"] or 0)
 
-    Reads at most ``max_rows + 1`` rows, so the check itself stays bounded
-    even when the lookup turns out to be large.
-    """
-    return lookup.limit(max_rows + 1).count() <= max_rows
+
+def lookup_fits(lookup: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """True when ``lookup`` has at most ``max_rows`` rows and ``max_bytes``."""
+    rows, size = lookup_size(lookup, max_rows)
+    return rows <= max_rows and size <= max_bytes
 
 
 def _renamed_lookup(lookup: DataFrame, records: DataFrame, key: str, prefix: str) -> tuple[DataFrame, str]:
@@ -58,16 +69,18 @@ def lookup_right_join(
     broadcast: bool | str = "auto",
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     salt_buckets: int = 0,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """``lookup RIGHT JOIN records ON lookup.key = records.records_key``."""
     rkey = records_key or key
     lk, lkey = _renamed_lookup(lookup, records, key, prefix)
 
     if broadcast is True:
-        if lookup_fits(lookup, max_broadcast_rows):
+        if lookup_fits(lookup, max_broadcast_rows, max_broadcast_bytes):
             lk = F.broadcast(lk)
         else:
-            log.warning("Lookup has more than %d rows; using a shuffle join.", max_broadcast_rows)
+            log.warning("Lookup exceeds %d rows or %d bytes; using a shuffle join.",
+                        max_broadcast_rows, max_broadcast_bytes)
 
     if salt_buckets and salt_buckets > 1 and broadcast is not True:
         n = int(salt_buckets)
