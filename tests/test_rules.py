@@ -110,3 +110,11 @@ def test_scale_settings():
     assert big["spark.sql.shuffle.partitions"] == "200000"  # capped
     assert scale_settings(10 * 2**40)["spark.sql.shuffle.partitions"] == str(10 * 2**40 // (256 << 20))
     assert scale_settings(1)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_local_cores():
+    import os
+
+    from vetline.session import _local_cores
+    assert [_local_cores(m) for m in ["local[3]", "local[4, 2]", "local", "yarn"]] == [3, 4, 1, None]
+    assert _local_cores("local[*]") == (os.cpu_count() or 1)

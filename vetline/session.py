@@ -10,6 +10,7 @@ setting is absent (tests, laptops).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -42,19 +43,36 @@ def build_session(master: str = "local[*]", app_name: str = "vetline",
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
     )
+    cores = _local_cores(master)
+    if cores:
+        # One listing task per folder (Spark's default, up to 10,000) costs more
+        # than it saves on a local disk; a few per core list hundreds of
+        # partition folders in one short wave.
+        builder = builder.config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(8 * cores))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def _local_cores(master: str) -> int | None:
+    m = re.match(r"local\[(\*|\d+)", master.replace(" ", ""))
+    if not m:
+        return 1 if master == "local" else None
+    if m.group(1) == "*":
+        return os.cpu_count() or 1
+    return int(m.group(1))
+
+
 def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20,
-                   max_partitions: int = 200_000) -> dict[str, str]:
+                   max_partitions: int = 200_000, listing_parallelism: int = 2_000) -> dict[str, str]:
     """Session settings sized for an input of ``input_bytes``.
 
     The initial shuffle partition count gives ~``target_partition_bytes`` per
     task (so shuffle blocks fit in executor memory without spilling), AQE
     coalesces small ones and splits skewed ones at run time with the same
-    advisory size, and scans read splits of that size. Pass the result as
+    advisory size, and scans read splits of that size. Folder listing (partition
+    discovery, file streams) runs ``listing_parallelism`` tasks: object-store
+    listing is latency-bound, so a cluster wants many. Pass the result as
     ``build_session(extra=...)`` or set it on an existing session.
     """
     parts = max(200, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
@@ -65,6 +83,7 @@ def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
         "spark.sql.files.maxPartitionBytes": size,
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(listing_parallelism),
     }
 
 
