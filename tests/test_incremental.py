@@ -50,6 +50,9 @@ def test_full_replace_is_refused(spark):
         load_incremental(spark, stream, "vetline_i.x", RULES, keys=["k"], mode="replace")
     with pytest.raises(ValueError):
         load_incremental(spark, spark.range(1), "vetline_i.x", RULES, keys=["k"])
+    from vetline.plans.load import load
+    with pytest.raises(ValueError, match="load_incremental"):
+        load(spark, stream, "vetline_i.x", RULES)
 
 
 def test_archive_moves_processed_files(spark):

@@ -85,6 +85,8 @@ def load(
     (catalog table replace or upsert), e.g. ``jdbc_publisher(...)`` for a
     database table; it returns a version label or None.
     """
+    if source.isStreaming:
+        raise ValueError("load() takes a batch DataFrame; use load_incremental for a stream")
     if mode not in ("replace", "upsert"):
         raise ValueError("mode must be 'replace' or 'upsert'")
     if mode == "upsert" and not keys:
