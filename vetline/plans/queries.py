@@ -770,3 +770,36 @@ def positional_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_table(c.select(c.c_custkey.alias("a"), c.c_mktsegment.alias("c"), c.c_name.alias("b")), QDB, t,
                 by_name=False)
     return spark.table(f"{QDB}.{t}")
+
+
+# --- rules over whole long texts -------------------------------------------------------
+
+DOC_RULES = (
+    {"rule_type": "not_null", "column": "text"},
+    {"rule_type": "regex", "column": "lang", "pattern": "^[a-z]{2}$"},
+    {"rule_type": "regex", "column": "text", "pattern": "^[^@]*$", "rule_name": "text_without_at_sign"},
+    {"rule_type": "regex", "column": "text", "pattern": "[0-9]", "rule_name": "text_has_digit"},
+)
+_DOC_FAILS = {
+    "not_null_text": "(text IS NULL OR trim(text) = '')",
+    "regex_lang": "(lang IS NULL OR NOT regexp_matches(lang, '^[a-z]{2}$'))",
+    "text_without_at_sign": "(text IS NULL OR NOT regexp_matches(text, '^[^@]*$'))",
+    "text_has_digit": "(text IS NULL OR NOT regexp_matches(text, '[0-9]'))",
+}
+_DOC_COLUMN = {"not_null_text": "text", "regex_lang": "lang", "text_without_at_sign": "text",
+               "text_has_digit": "text"}
+
+
+@register("documents_errors_by_rule", "SELECT rule_name, \"column\", n_errors FROM (\n" + "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS rule_name, '{_DOC_COLUMN[n]}' AS \"column\", count(*) AS n_errors FROM documents WHERE {c}"
+    for n, c in _DOC_FAILS.items()) + "\n) WHERE n_errors > 0")
+def documents_errors_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_counts(read_table(spark, sf_dir, "documents"), list(DOC_RULES))[1]
+
+
+@register("documents_valid", f"""
+SELECT doc_id, lang, source, n_chars FROM documents WHERE NOT ({" OR ".join(_DOC_FAILS.values())})
+""")
+def documents_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valid, _ = validate_split(read_table(spark, sf_dir, "documents"), list(DOC_RULES))
+    return valid.select("doc_id", "lang", "source", "n_chars")
