@@ -91,13 +91,18 @@ def shared_root(spark: SparkSession) -> str:
     """Shared folder for intermediate output.
 
     Uses ``spark.checkpoint.dir`` (conf or SparkContext) when the cluster names
-    one; otherwise creates a local folder and registers it, as in tests.
+    one. Only a local-mode session (tests, laptops) may fall back to a local
+    folder; on a cluster a machine-local folder would scatter intermediate
+    files over the executors' disks, so a missing setting is an error there.
     """
     root = spark.conf.get(_CHECKPOINT_KEY, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach "
+                           "(e.g. on the cluster's distributed file system)")
     root = tempfile.mkdtemp(prefix="vetline-")
     spark.sparkContext.setCheckpointDir(root)
     spark.conf.set(_CHECKPOINT_KEY, root)
