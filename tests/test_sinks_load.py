@@ -32,6 +32,8 @@ def _local(path):
 
 def _staging_left(spark, target):
     prefix = target.split(".")[1] + "__staging"
+    if not spark.catalog.databaseExists(DB):
+        return []
     return [t.name for t in spark.catalog.listTables(DB) if t.name.startswith(prefix)]
 
 
@@ -246,3 +248,16 @@ def test_partitioned_csv_header_mismatch_fails(spark, tmp_root):
     back = read_partitioned(spark, tmp_root, "csv", schema=good.schema, partition_columns=["hour"])
     with pytest.raises(Exception, match="(?i)header|schema"):
         back.collect()
+
+
+def test_schema_check_before_staging(spark):
+    from vetline.operators.validate import schema_problems
+    src = _src(spark)
+    assert schema_problems(src, "k int, vendor_id string") == []
+    assert schema_problems(src, {"k": "bigint", "zone": "string"}) == [
+        "column 'k' is int, expected bigint", "missing column 'zone' (string)"]
+    tgt = f"{DB}.{unique_name('sch')}"
+    with pytest.raises(ValueError, match="zone"):
+        load(spark, src, tgt, RULES, expected_schema="k int, zone string")
+    assert not table_exists(spark, DB, tgt.split(".")[1]) and not _staging_left(spark, tgt)
+    assert load(spark, src, tgt, RULES, expected_schema="k int").first()["status"] == "succeeded"

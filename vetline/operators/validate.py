@@ -78,6 +78,28 @@ def plan_rules(
     return active, skipped
 
 
+def schema_problems(df: DataFrame, expected) -> list[str]:
+    """Differences between ``df``'s schema and ``expected`` (a StructType, a
+    DDL string or ``{name: type}``): missing columns and type mismatches.
+    Extra columns are allowed. Exact, case-sensitive names."""
+    from pyspark.sql.types import StructType
+
+    if isinstance(expected, str):
+        expected = StructType.fromDDL(expected)
+    if isinstance(expected, StructType):
+        wanted = {f.name: f.dataType.simpleString() for f in expected.fields}
+    else:
+        wanted = {k: (v if isinstance(v, str) else v.simpleString()) for k, v in dict(expected).items()}
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    problems = []
+    for name, typ in wanted.items():
+        if name not in have:
+            problems.append(f"missing column '{name}' ({typ})")
+        elif have[name] != typ:
+            problems.append(f"column '{name}' is {have[name]}, expected {typ}")
+    return problems
+
+
 def validate(
     df: DataFrame,
     rules: Sequence[Rule | Mapping],

@@ -32,7 +32,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from vetline.functions.checks import ERRORS_COL, errors_array, is_valid
 from vetline.functions.rules import Rule
-from vetline.operators.validate import check_patterns, plan_rules
+from vetline.operators.validate import check_patterns, plan_rules, schema_problems
 from vetline.sinks.dlq import append_dlq_table, write_dlq
 from vetline.sinks.tables import append_rows, drop_table, replace_target, stage, upsert_target
 
@@ -73,6 +73,7 @@ def load(
     keep_versions: int = 2,
     dlq_per_run: bool = False,
     publish: Callable[[DataFrame, int], str | None] | None = None,
+    expected_schema=None,
 ) -> DataFrame:
     """Run one validated load of ``source`` into ``target``; return a one-row
     metrics DataFrame (also appended to ``runs_table`` when given).
@@ -81,6 +82,11 @@ def load(
     runs on the same day do not overwrite each other, and rerunning one run
     replaces only its own rejects.
 
+    ``expected_schema`` (StructType, DDL string or ``{name: type}``) is checked
+    before anything is staged; a missing column or another type fails the
+    load and leaves the target untouched (together with ``on_missing='fail'``
+    this is the pre-merge schema check).
+
     ``publish(accepted, valid_count)`` replaces the default target switch
     (catalog table replace or upsert), e.g. ``jdbc_publisher(...)`` for a
     database table; it returns a version label or None.
@@ -91,6 +97,10 @@ def load(
         raise ValueError("mode must be 'replace' or 'upsert'")
     if mode == "upsert" and not keys:
         raise ValueError("mode='upsert' needs keys")
+    if expected_schema is not None:
+        problems = schema_problems(source, expected_schema)
+        if problems:
+            raise ValueError("Source schema check failed: " + "; ".join(problems))
     run_date = run_date or dt.date.today()
     run_id = run_id or uuid.uuid4().hex[:12]
     # One staging table per run, so concurrent loads of a target never share it.
