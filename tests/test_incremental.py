@@ -79,3 +79,21 @@ def test_archive_moves_processed_files(spark):
     archived = [f for _, _, fs in os.walk(local(arch)) for f in fs if f.endswith(".csv")]
     assert archived, "processed files were not archived"
     assert sorted(r["k"] for r in spark.table(tgt).collect()) == [1, 2, 3]
+
+
+def test_long_running_stream(spark):
+    from vetline.streaming.incremental import start_incremental
+    src, ckpt = scratch_path(spark, "in"), scratch_path(spark, "ck")
+    tgt, runs = f"vetline_i.{unique_name('svc')}", f"vetline_i.{unique_name('runs')}"
+    _drop(spark, src, [(1, "10"), (2, "x")])
+    query = start_incremental(spark, file_stream(spark, src, SCHEMA), tgt, RULES, keys=["k"],
+                              checkpoint=ckpt, interval="1 second", runs_table=runs)
+    try:
+        query.processAllAvailable()
+        _drop(spark, src, [(3, "30")])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted(r["k"] for r in spark.table(tgt).collect()) == [1, 3]
+    got = sorted((r["run_id"], r["valid_count"]) for r in spark.table(runs).collect())
+    assert got[0] == ("batch0", 1) and got[-1][1] == 1 and sum(v for _, v in got) == 2

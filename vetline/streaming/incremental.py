@@ -21,6 +21,7 @@ import logging
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from vetline.functions.rules import Rule
@@ -55,6 +56,26 @@ def file_stream(spark: SparkSession, source_dir: str, schema: StructType, fmt: s
     return reader.load(source_dir)
 
 
+def _batch_loader(target, rules, keys, dlq_path, run_date, partition_by, runs_table, sink: list | None):
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        metrics = load(batch.sparkSession, batch, target, rules, dlq_path=dlq_path, run_date=run_date,
+                       run_id=f"batch{batch_id}", mode="upsert", keys=list(keys),
+                       partition_by=partition_by, runs_table=runs_table, dlq_per_run=True)
+        if sink is not None:
+            sink.extend(tuple(r) for r in metrics.collect())  # one row per batch
+    return run_batch
+
+
+def _check(source: DataFrame, keys, mode: str) -> None:
+    if mode != "upsert":
+        raise ValueError("Incremental loads only upsert by keys: a full replace per batch "
+                         "would drop every earlier batch's rows.")
+    if not keys:
+        raise ValueError("load_incremental needs key columns")
+    if not source.isStreaming:
+        raise ValueError("source must be a streaming DataFrame (see file_stream)")
+
+
 def load_incremental(
     spark: SparkSession,
     source: DataFrame,
@@ -73,23 +94,12 @@ def load_incremental(
     Returns the metrics of the batches run now, one row each (bounded by the
     number of batches, not the data).
     """
-    if mode != "upsert":
-        raise ValueError("Incremental loads only upsert by keys: a full replace per batch "
-                         "would drop every earlier batch's rows.")
-    if not keys:
-        raise ValueError("load_incremental needs key columns")
-    if not source.isStreaming:
-        raise ValueError("source must be a streaming DataFrame (see file_stream)")
+    _check(source, keys, mode)
     checkpoint = checkpoint or scratch_path(spark, "stream_checkpoint")
     collected: list[tuple] = []
-
-    def run_batch(batch: DataFrame, batch_id: int) -> None:
-        metrics = load(batch.sparkSession, batch, target, rules, dlq_path=dlq_path, run_date=run_date,
-                       run_id=f"batch{batch_id}", mode="upsert", keys=list(keys),
-                       partition_by=partition_by, runs_table=runs_table, dlq_per_run=True)
-        collected.extend(tuple(r) for r in metrics.collect())  # one row
-
-    query = (source.writeStream.foreachBatch(run_batch)
+    query = (source.writeStream
+             .foreachBatch(_batch_loader(target, rules, keys, dlq_path, run_date, partition_by,
+                                         runs_table, collected))
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
@@ -97,3 +107,28 @@ def load_incremental(
     if query.exception() is not None:
         raise RuntimeError(f"Incremental load failed: {query.exception()}")
     return spark.createDataFrame(collected, METRICS_SCHEMA)
+
+
+def start_incremental(
+    spark: SparkSession,
+    source: DataFrame,
+    target: str,
+    rules: Sequence[Rule | Mapping],
+    keys: Sequence[str],
+    checkpoint: str,
+    interval: str = "1 hour",
+    dlq_path: str | None = None,
+    partition_by: Sequence[str] | str | None = None,
+    runs_table: str | None = None,
+) -> StreamingQuery:
+    """Long-running form: the same validated load every ``interval`` for the
+    files that arrived since the last batch. Returns the running query; each
+    batch's metrics go to ``runs_table``. The DLQ date is each batch's own
+    run date. A restarted query resumes from ``checkpoint``.
+    """
+    _check(source, keys, "upsert")
+    return (source.writeStream
+            .foreachBatch(_batch_loader(target, rules, keys, dlq_path, None, partition_by, runs_table, None))
+            .option("checkpointLocation", checkpoint)
+            .trigger(processingTime=interval)
+            .start())
