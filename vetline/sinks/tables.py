@@ -39,6 +39,8 @@ _VERSION_PROP = "vetline.version_path"
 _MANIFESTS = "_manifests"
 _ADD_BATCH = 500
 _MAX_PRUNE_VALUES = 10_000
+_MAX_BROADCAST_KEYS = 10_000_000
+_MAX_BROADCAST_KEY_BYTES = 256 << 20
 _DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -309,6 +311,18 @@ def _prune_to(current: DataFrame, touched: DataFrame, parts: list[str],
     return current.filter(cond)
 
 
+def _update_keys(updates: DataFrame, keys: list[str]) -> DataFrame:
+    """The update keys for the anti join, broadcast when a bounded check
+    proves them small: then the (large) target is streamed through a hash
+    join and never shuffled. Otherwise both sides shuffle on the keys."""
+    from vetline.operators.enrich import lookup_fits
+
+    key_df = updates.select(*[col_ref(k) for k in keys])
+    if lookup_fits(key_df, _MAX_BROADCAST_KEYS, _MAX_BROADCAST_KEY_BYTES):
+        return F.broadcast(key_df)
+    return key_df
+
+
 def _upsert_partitions(updates: DataFrame, target: str, keys: list[str], parts: list[str],
                        root: str | None, keep_versions: int, rebalance: bool) -> dict:
     """Upsert that rewrites only the partitions ``updates`` touches.
@@ -329,7 +343,7 @@ def _upsert_partitions(updates: DataFrame, target: str, keys: list[str], parts:
     touched = updates.select(*[col_ref(c) for c in parts]).distinct()
     pruned = _prune_to(current, touched, parts)
     in_touched = pruned.join(touched, [pruned[c].eqNullSafe(touched[c]) for c in parts], "left_semi")
-    kept = in_touched.join(updates.select(*[col_ref(k) for k in keys]), keys, "left_anti")
+    kept = in_touched.join(_update_keys(updates, keys), keys, "left_anti")
     merged = kept.unionByName(updates, allowMissingColumns=True)
     version = _new_version_dir(root)
     try:
@@ -352,9 +366,9 @@ def upsert_target(updates: DataFrame, target: str, keys: Sequence[str],
     """Insert-or-replace rows of ``target`` by ``keys``, then switch versions.
 
     New version = target rows whose key is not in ``updates`` (left anti join)
-    plus all of ``updates``. The anti join shuffles both sides on the keys
-    unless the update keys are small enough to broadcast (planner/AQE
-    decide); AQE splits skewed key partitions. Rows with a NULL key never
+    plus all of ``updates``. When a bounded check proves the update keys
+    small they are broadcast and the target is not shuffled; otherwise both
+    sides shuffle on the keys and AQE splits skewed key partitions. Rows with a NULL key never
     match, as in SQL MERGE.
 
     For a partitioned target whose partition columns are all among ``keys``,
@@ -375,7 +389,7 @@ def upsert_target(updates: DataFrame, target: str, keys: Sequence[str],
             and current_version(spark, target)):
         return _upsert_partitions(updates, target, keys, parts, root, keep_versions, rebalance)
     current = spark.table(table_name(db, t))
-    kept = current.join(updates.select(*[col_ref(k) for k in keys]), keys, "left_anti")
+    kept = current.join(_update_keys(updates, keys), keys, "left_anti")
     merged = kept.unionByName(updates, allowMissingColumns=True)
     return replace_target(merged, target, partition_by=partition_by, root=root,
                           keep_versions=keep_versions, rebalance=rebalance)
