@@ -5,19 +5,19 @@ duplicate lookup keys fan out. Every lookup column whose name the records
 already use (the shared key, typically) is renamed ``lookup_<name>`` so the
 output can be written as a table.
 
-Physical strategy, decided by size:
-
-* ``broadcast="auto"`` (default): no hint. Catalyst broadcasts the lookup when
-  its estimated size is under ``spark.sql.autoBroadcastJoinThreshold``; AQE
-  re-checks with real shuffle sizes and otherwise keeps a sort-merge join
-  whose skewed partitions on the preserved (records) side it splits.
-* ``broadcast=True``: broadcast only after proving the lookup has at most
-  ``max_broadcast_rows`` rows and about ``max_broadcast_bytes`` of data, in
-  one pass over at most ``max_broadcast_rows + 1`` rows; beyond either bound
-  the join falls back to the shuffle join.
+Physical strategy, decided by measured size, never by estimates:
+
+* ``broadcast="auto"`` (default) or ``True``: the lookup is broadcast only
+  after one bounded pass (at most ``max_broadcast_rows + 1`` rows) proves it
+  has at most ``max_broadcast_rows`` rows and about ``max_broadcast_bytes``
+  of data. Beyond either bound the join is pinned to a sort-merge join (a
+  file-size estimate cannot override the measurement); AQE splits skewed
+  partitions of the preserved (records) side.
+* ``broadcast=False``: always the sort-merge join.
 * ``salt_buckets=N``: explicit skew handling for a hot key on the records
-  side: each record gets a salt in ``[0, N)`` and the lookup is replicated N
-  times, so one hot key is spread over N tasks. Results are identical.
+  side of the sort-merge join: each record gets a salt in ``[0, N)`` and the
+  lookup is replicated N times, so one hot key is spread over N tasks.
+  Results are identical. A broadcast join needs no salting.
 """
 
 from __future__ import annotations
@@ -75,14 +75,16 @@ def lookup_right_join(
     rkey = records_key or key
     lk, lkey = _renamed_lookup(lookup, records, key, prefix)
 
+    if broadcast not in ("auto", True, False):
+        raise ValueError("broadcast must be 'auto', True or False")
+    if broadcast is not False and lookup_fits(lookup, max_broadcast_rows, max_broadcast_bytes):
+        return F.broadcast(lk).join(records, lk[lkey] == records[rkey], "right")
     if broadcast is True:
-        if lookup_fits(lookup, max_broadcast_rows, max_broadcast_bytes):
-            lk = F.broadcast(lk)
-        else:
-            log.warning("Lookup exceeds %d rows or %d bytes; using a shuffle join.",
-                        max_broadcast_rows, max_broadcast_bytes)
+        log.warning("Lookup exceeds %d rows or %d bytes; using a shuffle join.",
+                    max_broadcast_rows, max_broadcast_bytes)
+    lk = lk.hint("merge")
 
-    if salt_buckets and salt_buckets > 1 and broadcast is not True:
+    if salt_buckets and salt_buckets > 1:
         n = int(salt_buckets)
         # Every salt value sees the whole (replicated) lookup, so the result
         # does not depend on which salt a record draws: a retried task that

@@ -308,7 +308,13 @@ def lookup_right_join_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("lookup_right_join_salted", _FANOUT_SQL)
 def lookup_right_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fanout(spark, sf_dir, salt_buckets=8)
+    # Salting applies to the shuffle join; a broadcast lookup needs none.
+    return _fanout(spark, sf_dir, salt_buckets=8, broadcast=False)
+
+
+@register("lookup_right_join_merge", _FANOUT_SQL)
+def lookup_right_join_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fanout(spark, sf_dir, broadcast=False)
 
 
 @register("lookup_right_join_broadcast", """
