@@ -261,3 +261,19 @@ def test_schema_check_before_staging(spark):
         load(spark, src, tgt, RULES, expected_schema="k int, zone string")
     assert not table_exists(spark, DB, tgt.split(".")[1]) and not _staging_left(spark, tgt)
     assert load(spark, src, tgt, RULES, expected_schema="k int").first()["status"] == "succeeded"
+
+
+def test_partition_scoped_upsert_two_columns(spark):
+    tgt = f"{DB}.{unique_name('p2')}"
+    base = spark.createDataFrame([(1, "a", 1, "x"), (2, "a", 2, "x"), (3, "b", 1, "x"), (4, None, 1, "x")],
+                                 "k int, p string, q int, v string")
+    replace_target(base, tgt, partition_by=["p", "q"])
+    up = spark.createDataFrame([(1, "a", 1, "new"), (3, "a", 2, "new"), (4, None, 1, "new")],
+                               "k int, p string, q int, v string")
+    out = upsert_target(up, tgt, keys=["k", "p", "q"], partition_by=["p", "q"])
+    rewritten = sorted(os.path.relpath(r, _local(out["version"])) for r, ds, fs in os.walk(_local(out["version"]))
+                       if any(f.endswith(".parquet") for f in fs))
+    assert rewritten == ["p=__HIVE_DEFAULT_PARTITION__/q=1", "p=a/q=1", "p=a/q=2"]
+    got = sorted(map(tuple, spark.table(tgt).select("k", "p", "q", "v").collect()), key=str)
+    assert got == sorted([(1, "a", 1, "new"), (2, "a", 2, "x"), (3, "a", 2, "new"), (3, "b", 1, "x"),
+                          (4, None, 1, "x"), (4, None, 1, "new")], key=str)

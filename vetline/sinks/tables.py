@@ -342,7 +342,11 @@ def _upsert_partitions(updates: DataFrame, target: str, keys: list[str], parts:
     current = spark.table(old_phys)
     touched = updates.select(*[col_ref(c) for c in parts]).distinct()
     pruned = _prune_to(current, touched, parts)
-    in_touched = pruned.join(touched, [pruned[c].eqNullSafe(touched[c]) for c in parts], "left_semi")
+    if len(parts) == 1 and pruned is not current:
+        in_touched = pruned  # one column: IN (...) OR IS NULL is already exact
+    else:
+        small = _update_keys(touched, parts)
+        in_touched = pruned.join(small, [pruned[c].eqNullSafe(small[c]) for c in parts], "left_semi")
     kept = in_touched.join(_update_keys(updates, keys), keys, "left_anti")
     merged = kept.unionByName(updates, allowMissingColumns=True)
     version = _new_version_dir(root)
