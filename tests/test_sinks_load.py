@@ -277,3 +277,12 @@ def test_partition_scoped_upsert_two_columns(spark):
     got = sorted(map(tuple, spark.table(tgt).select("k", "p", "q", "v").collect()), key=str)
     assert got == sorted([(1, "a", 1, "new"), (2, "a", 2, "x"), (3, "a", 2, "new"), (3, "b", 1, "x"),
                           (4, None, 1, "x"), (4, None, 1, "new")], key=str)
+
+
+def test_reader_planned_before_switch_keeps_old_rows(spark):
+    tgt = f"{DB}.{unique_name('rd')}"
+    replace_target(_src(spark), tgt)
+    before = spark.table(tgt).select("k")  # resolved now, read later
+    replace_target(_src(spark).filter("k > 2"), tgt, keep_versions=2)
+    assert sorted(r["k"] for r in before.collect()) == [1, 2, 3, 4]  # old version still there
+    assert sorted(r["k"] for r in spark.table(tgt).collect()) == [3, 4]
