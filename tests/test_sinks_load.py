@@ -12,7 +12,14 @@ from vetline.session import path_exists, unique_name
 from vetline.sinks.catalog import write_table
 from vetline.sinks.dlq import dlq_path, read_dlq, write_dlq
 from vetline.sinks.files import write_hourly
-from vetline.sinks.tables import current_version, replace_target, table_exists, upsert_target
+from vetline.sinks.tables import (
+    current_data_path,
+    current_version,
+    default_root,
+    replace_target,
+    table_exists,
+    upsert_target,
+)
 from vetline.sources.files import read_partitioned
 from vetline.sources.jdbc import jdbc_table_exists, read_jdbc, write_jdbc
 
@@ -114,6 +121,10 @@ class TestLoad:
             "succeeded", 4, 2, 2, 2)
         assert sorted(r["k"] for r in spark.table(tgt).collect()) == [1, 4]
         assert not _staging_left(spark, tgt)
+        # valid rows were staged once, straight into the new version
+        data = current_data_path(spark, tgt)
+        assert data == m["target_version"] + "/_is_valid=true"
+        assert not path_exists(spark, m["target_version"] + "/_is_valid=false")  # now in the DLQ
 
     def test_zero_valid_keeps_old_rows(self, spark, tmp_root):
         tgt = self._target()
@@ -143,6 +154,8 @@ class TestLoad:
             load(spark, bad, tgt, RULES)
         assert not _staging_left(spark, tgt)
         assert not table_exists(spark, DB, tgt.split(".")[1])
+        root = _local(default_root(spark, tgt))
+        assert not os.path.exists(root) or not [d for d in os.listdir(root) if d.startswith("_v")]
 
     def test_dlq_failure_is_recorded_and_load_goes_on(self, spark, tmp_root):
         blocker = _local(tmp_root) + "_file"
@@ -286,3 +299,17 @@ def test_reader_planned_before_switch_keeps_old_rows(spark):
     replace_target(_src(spark).filter("k > 2"), tgt, keep_versions=2)
     assert sorted(r["k"] for r in before.collect()) == [1, 2, 3, 4]  # old version still there
     assert sorted(r["k"] for r in spark.table(tgt).collect()) == [3, 4]
+
+
+def test_upsert_inherits_from_a_loaded_version(spark, tmp_root):
+    tgt = f"{DB}.{unique_name('mix')}"
+    src = spark.createDataFrame([(1, "a", "7"), (2, "b", "8"), (3, "c", "x")], "k int, p string, vendor_id string")
+    first = load(spark, src, tgt, RULES, partition_by="p", dlq_path=tmp_root).first()["target_version"]
+    upd = spark.createDataFrame([(1, "a", "70"), (4, "d", "9")], "k int, p string, vendor_id string")
+    m = load(spark, upd, tgt, RULES, mode="upsert", keys=["k", "p"], partition_by="p", keep_versions=1).first()
+    assert m["status"] == "succeeded"
+    got = sorted(map(tuple, spark.table(tgt).select("k", "p", "vendor_id").collect()))
+    assert got == [(1, "a", "70"), (2, "b", "8"), (4, "d", "9")]
+    # the first version keeps only what the current one still reads: p=b
+    left = sorted(r for r, ds, fs in os.walk(_local(first)) if any(f.endswith(".parquet") for f in fs))
+    assert [os.path.relpath(r, _local(first)) for r in left] == ["_is_valid=true/p=b"]

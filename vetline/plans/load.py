@@ -2,18 +2,21 @@
 
 Plan (the source is scanned once):
 
-1. Validate the source and write it, with the error array and an
-   ``_is_valid`` flag, into a staging table partitioned by ``_is_valid``.
-   The total/valid/invalid counters are observed during that same write.
+1. Validate the source while writing it, with the error array, partitioned
+   by an ``_is_valid`` flag. The total/valid/invalid counters are observed
+   during that same write. In replace mode the rows are staged straight
+   into a new version folder of the target, so the ``_is_valid=true``
+   folder *is* the new version: valid rows are written once. In upsert mode
+   (or with a custom ``publish``) they go to a staging table.
 2. Empty source: stop; the target is untouched.
-3. Rejected rows: read only the ``_is_valid=false`` partition (partition
+3. Rejected rows: read only the ``_is_valid=false`` folder (partition
    pruning) and write it to the DLQ (and optionally a DLQ table). A DLQ
    failure is recorded in the metrics and the load goes on.
-4. No valid row: the target keeps its rows. Otherwise read only the
-   ``_is_valid=true`` partition, drop the two bookkeeping columns and replace
-   the target all-or-nothing, or upsert it by key.
-5. The staging table is dropped whatever happened, including a failure while
-   staging.
+4. No valid row: the target keeps its rows. Otherwise switch the target to
+   the new version in one catalog call (replace), or upsert the valid rows
+   by key, or hand them to ``publish``.
+5. Staging (table or unused version folder) is removed whatever happened,
+   including a failure while staging.
 
 Each step reads durable output of the previous one, so a lost executor only
 re-runs tasks of the current step, never the source scan.
@@ -34,7 +37,16 @@ from vetline.functions.checks import ERRORS_COL, errors_array, is_valid
 from vetline.functions.rules import Rule
 from vetline.operators.validate import check_patterns, plan_rules, schema_problems
 from vetline.sinks.dlq import append_dlq_table, write_dlq
-from vetline.sinks.tables import append_rows, drop_table, replace_target, stage, upsert_target
+from vetline.session import delete_path
+from vetline.sinks.tables import (
+    append_rows,
+    default_root,
+    drop_table,
+    new_version_dir,
+    register_version,
+    stage,
+    upsert_target,
+)
 
 log = logging.getLogger(__name__)
 
@@ -111,6 +123,9 @@ def load(
     metrics = dict(run_id=run_id, target=target, status="started", total_count=0, valid_count=0,
                    invalid_count=0, dlq_count=0, dlq_status="skipped", rules_skipped=len(skipped),
                    target_version=None)
+    direct = mode == "replace" and publish is None
+    part_cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    version = registered = None
     try:
         ok = is_valid(active) if active else F.lit(True)
         staged_rows = (source.withColumn(ERRORS_COL, errors_array(active))
@@ -121,7 +136,16 @@ def load(
             F.count(F.lit(1)).alias("total"),
             F.sum(F.when(F.col(VALID_FLAG), 1).otherwise(0)).alias("valid"),
         )
-        stage(staged_rows, staging, partition_by=VALID_FLAG)
+        if direct:
+            # Stage straight into a new version of the target: its
+            # _is_valid=true folder becomes the target as written, so valid
+            # rows are written once, not staged and then copied.
+            root = target_root or default_root(spark, target)
+            version = new_version_dir(spark, target, root)
+            writer_rows = staged_rows.hint("rebalance", *part_cols) if part_cols else staged_rows
+            writer_rows.write.mode("errorifexists").partitionBy(VALID_FLAG, *part_cols).parquet(version)
+        else:
+            stage(staged_rows, staging, partition_by=VALID_FLAG)
         got = obs.get
         total = int(got["total"] or 0)
         valid = int(got["valid"] or 0)
@@ -132,9 +156,15 @@ def load(
             metrics["status"] = "empty_source"
             return _finish(spark, metrics, runs_table)
 
-        staged = spark.table(staging)
-        if total - valid > 0:
+        row_schema = StructType([f for f in staged_rows.schema.fields if f.name != VALID_FLAG])
+        if direct:
+            rejects_path = f"{version}/{VALID_FLAG}=false"
+            rejects = (spark.read.schema(row_schema).option("basePath", rejects_path).parquet(rejects_path)
+                       if total - valid > 0 else None)
+        else:
+            staged = spark.table(staging)
             rejects = staged.filter(~F.col(VALID_FLAG)).drop(VALID_FLAG)
+        if total - valid > 0:
             try:
                 if dlq_path:
                     metrics["dlq_count"] = write_dlq(rejects, dlq_path, run_date, count=total - valid,
@@ -153,17 +183,25 @@ def load(
             metrics["status"] = "no_valid_rows"
             return _finish(spark, metrics, runs_table)
 
+        if direct:
+            target_schema = StructType([f for f in row_schema.fields if f.name != ERRORS_COL])
+            register_version(spark, target, version, target_schema, part_cols,
+                             data_path=f"{version}/{VALID_FLAG}=true", root=root,
+                             keep_versions=keep_versions)
+            registered = version
+            if metrics["dlq_status"] == "written":
+                delete_path(spark, f"{version}/{VALID_FLAG}=false")  # rejects live in the DLQ now
+            metrics["target_version"] = version
+            metrics["status"] = "succeeded"
+            return _finish(spark, metrics, runs_table)
+
         accepted = staged.filter(F.col(VALID_FLAG)).drop(VALID_FLAG, ERRORS_COL)
         if publish is not None:
             metrics["target_version"] = publish(accepted, valid)
             metrics["status"] = "succeeded"
             return _finish(spark, metrics, runs_table)
-        if mode == "replace":
-            out = replace_target(accepted, target, partition_by=partition_by, root=target_root,
-                                 expected_count=valid, keep_versions=keep_versions)
-        else:
-            out = upsert_target(accepted, target, keys, partition_by=partition_by, root=target_root,
-                                keep_versions=keep_versions)
+        out = upsert_target(accepted, target, keys, partition_by=partition_by, root=target_root,
+                            keep_versions=keep_versions)
         metrics["target_version"] = out["version"]
         metrics["status"] = "succeeded"
         return _finish(spark, metrics, runs_table)
@@ -176,6 +214,8 @@ def load(
                 log.exception("Could not record the failed run")
         raise
     finally:
+        if version is not None and registered is None:
+            delete_path(spark, version)  # never switched to: empty, all rejected, or failed
         try:
             drop_table(spark, staging)
         except Exception:

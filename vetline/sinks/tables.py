@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import re
 import uuid
 from urllib.parse import unquote
 from typing import Sequence
@@ -36,6 +37,8 @@ log = logging.getLogger(__name__)
 _VERSION_PREFIX = "_v"
 _PHYS_SUFFIX = "__v"
 _VERSION_PROP = "vetline.version_path"
+_DATA_PROP = "vetline.data_path"
+_VERSION_DIR = re.compile(r"^_v\d{14}")
 _MANIFESTS = "_manifests"
 _ADD_BATCH = 500
 _MAX_PRUNE_VALUES = 10_000
@@ -116,8 +119,34 @@ def current_version(spark: SparkSession, name: str) -> str | None:
     db, t = _split(name)
     if not table_exists(spark, db, t):
         return None
-    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table_name(db, t)}").collect()}
-    return props.get(_VERSION_PROP)
+    return _props(spark, name).get(_VERSION_PROP)
+
+
+def _props(spark: SparkSession, name: str) -> dict[str, str]:
+    db, t = _split(name)
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table_name(db, t)}").collect()}
+
+
+def current_data_path(spark: SparkSession, name: str) -> str | None:
+    """Folder holding the current version's rows: the version folder itself,
+    or a sub-folder of it when a load staged its rows there."""
+    props = _props(spark, name) if table_exists(spark, *_split(name)) else {}
+    return props.get(_DATA_PROP) or props.get(_VERSION_PROP)
+
+
+def _version_of(data_path: str) -> str:
+    """The version folder a data folder belongs to."""
+    parts = data_path.rstrip("/").split("/")
+    for i in range(len(parts) - 1, -1, -1):
+        if _VERSION_DIR.match(parts[i]):
+            return "/".join(parts[: i + 1])
+    return data_path.rstrip("/")
+
+
+def new_version_dir(spark: SparkSession, target: str, root: str | None = None) -> str:
+    """A fresh, empty version folder for ``target`` (under ``root`` or the
+    database's folder). Write rows into it, then ``register_version``."""
+    return _new_version_dir(root or default_root(spark, target))
 
 
 def _write_version(df: DataFrame, path: str, partition_by: list[str], rebalance: bool) -> int:
@@ -162,8 +191,25 @@ def replace_target(df: DataFrame, target: str, partition_by: Sequence[str] | str
         delete_path(spark, version)
         raise
 
+    register_version(spark, target, version, df.schema, keys, data_path=version, root=root,
+                     keep_versions=keep_versions)
+    return {"version": version, "rows": rows}
+
+
+def register_version(spark: SparkSession, target: str, version: str, schema,
+                     partition_by: Sequence[str] | str | None = None, data_path: str | None = None,
+                     root: str | None = None, keep_versions: int = 2) -> None:
+    """Switch ``target`` to rows already written under ``version`` (at
+    ``data_path``, the version folder itself by default), in one catalog
+    call, then prune old versions. Columns of ``schema`` are the table's;
+    extra columns in the files are ignored."""
+    db, t = _split(target)
+    keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    data_path = data_path or version
+    root = root or version.rsplit("/", 1)[0]
     name = table_name(db, t)
     exists = table_exists(spark, db, t)
+    props = f"'{_VERSION_PROP}' = '{version}', '{_DATA_PROP}' = '{data_path}'"
     if not keys:
         if exists and spark.catalog.getTable(f"{db}.{t}").tableType == "VIEW":
             raise ValueError(f"{target} is a partitioned (view) target; pass partition_by")
@@ -171,22 +217,21 @@ def replace_target(df: DataFrame, target: str, partition_by: Sequence[str] | str
             # Additive schema change first: until the switch, old files
             # simply read the new columns as NULL.
             have = set(spark.table(name).columns)
-            new = [f for f in df.schema.fields if f.name not in have]
+            new = [f for f in schema.fields if f.name not in have]
             if new:
                 spark.sql(f"ALTER TABLE {name} ADD COLUMNS ("
                           + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new) + ")")
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
-            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_VERSION_PROP}' = '{version}')")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{data_path}'")
+            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")
             spark.catalog.refreshTable(name)
         else:
-            spark.sql(f"CREATE TABLE {name} ({_ddl_columns(df.schema, [])}) USING parquet "
-                      f"LOCATION '{version}' TBLPROPERTIES ('{_VERSION_PROP}' = '{version}')")
+            spark.sql(f"CREATE TABLE {name} ({_ddl_columns(schema, [])}) USING parquet "
+                      f"LOCATION '{data_path}' TBLPROPERTIES ({props})")
     else:
         if exists and spark.catalog.getTable(f"{db}.{t}").tableType != "VIEW":
             raise ValueError(f"{target} exists as a table; a partitioned target must be a view")
-        _publish_partitioned(spark, db, t, root, version, df.schema, keys, inherited={})
+        _publish_partitioned(spark, db, t, root, version, schema, keys, inherited={}, data_path=data_path)
     _prune_versions(spark, db, t, root, keep_versions)
-    return {"version": version, "rows": rows}
 
 
 def _phys_name(t: str, version: str) -> str:
@@ -199,27 +244,40 @@ def _prune_versions(spark: SparkSession, db: str, t: str, root: str, keep: int)
     (inherited by a partition-scoped upsert); its other partitions go."""
     versions = _list_versions(spark, root)
     kept = versions[-max(1, keep):]
-    still_read: dict[str, set[str]] = {}
+    still_read: dict[str, dict[str, set[str]]] = {}  # version -> data folder -> partitions
     for v in kept:
         for part, folder in _read_manifest(spark, root, v).items():
-            still_read.setdefault(folder, set()).add(part)
+            still_read.setdefault(_version_of(folder), {}).setdefault(folder, set()).add(part)
     for old in versions[: max(0, len(versions) - max(1, keep))]:
-        phys = table_name(db, _phys_name(t, old))
-        own: set[str] | None = None
+        phys_t = _phys_name(t, old)
+        phys = table_name(db, phys_t)
+        own: set[str] = set()
         if old in still_read:
             manifest = _read_manifest(spark, root, old)
-            if table_exists(spark, db, _phys_name(t, old)):
-                own = {p for p in _show_partitions(spark, phys) if manifest.get(p, old) == old}
-            else:
-                own = {p for p, folder in manifest.items() if folder == old}
-        if table_exists(spark, db, _phys_name(t, old)):
+            if table_exists(spark, db, phys_t):
+                own = {p for p in _show_partitions(spark, phys) if _version_of(manifest.get(p, old)) == old}
+        if table_exists(spark, db, phys_t):
             spark.sql(f"DROP TABLE IF EXISTS {phys}")
         delete_path(spark, _manifest_path(root, old))
         if old not in still_read:
             delete_path(spark, old)
-        else:
-            for part in (own or set()) - still_read[old]:
-                delete_path(spark, f"{old}/{part}")
+            continue
+        for folder, parts in still_read[old].items():
+            for part in own - parts:
+                delete_path(spark, f"{folder}/{part}")
+        if old.rstrip("/") not in still_read[old]:  # rows were staged in a sub-folder
+            for sub in _list_subdirs(spark, old):
+                if all(not f.startswith(sub) for f in still_read[old]):
+                    delete_path(spark, sub)
+
+
+def _list_subdirs(spark: SparkSession, path: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    return [f"{path.rstrip('/')}/{st.getPath().getName()}" for st in fs.listStatus(hpath) if st.isDirectory()]
 
 
 # --- partitioned versions -------------------------------------------------------------
@@ -267,12 +325,14 @@ def _show_partitions(spark: SparkSession, name: str) -> list[str]:
 
 
 def _publish_partitioned(spark: SparkSession, db: str, t: str, root: str, version: str, schema,
-                         keys: list[str], inherited: dict[str, str]) -> None:
-    """Register ``version`` (plus ``inherited`` partitions kept where they
-    are) as a physical table, then move the view to it in one catalog call."""
+                         keys: list[str], inherited: dict[str, str], data_path: str | None = None) -> None:
+    """Register ``version`` (rows under ``data_path``, plus ``inherited``
+    partitions kept where they are) as a physical table, then move the view
+    to it in one catalog call."""
+    data_path = data_path or version
     phys = table_name(db, _phys_name(t, version))
     spark.sql(f"CREATE TABLE {phys} ({_ddl_columns(schema, keys)}) USING parquet "
-              f"PARTITIONED BY ({', '.join(f'`{k}`' for k in keys)}) LOCATION '{version}'")
+              f"PARTITIONED BY ({', '.join(f'`{k}`' for k in keys)}) LOCATION '{data_path}'")
     spark.sql(f"ALTER TABLE {phys} RECOVER PARTITIONS")
     own = set(_show_partitions(spark, phys))
     extra = {p: d for p, d in inherited.items() if p not in own}
@@ -281,9 +341,10 @@ def _publish_partitioned(spark: SparkSession, db: str, t: str, root: str, versio
         clauses = " ".join(f"{_partition_spec(p)} LOCATION '{d}/{p}'" for p, d in items[i:i + _ADD_BATCH])
         spark.sql(f"ALTER TABLE {phys} ADD IF NOT EXISTS {clauses}")
     if extra:
-        _write_manifest(spark, root, version, {**extra, **{p: version for p in own}})
+        _write_manifest(spark, root, version, {**extra, **{p: data_path for p in own}})
     spark.sql(f"CREATE OR REPLACE VIEW {table_name(db, t)} "
-              f"TBLPROPERTIES ('{_VERSION_PROP}' = '{version}') AS SELECT * FROM {phys}")
+              f"TBLPROPERTIES ('{_VERSION_PROP}' = '{version}', '{_DATA_PROP}' = '{data_path}') "
+              f"AS SELECT * FROM {phys}")
 
 
 def _prune_to(current: DataFrame, touched: DataFrame, parts: list[str],
@@ -355,7 +416,8 @@ def _upsert_partitions(updates: DataFrame, target: str, keys: list[str], parts:
     except Exception:
         delete_path(spark, version)
         raise
-    old_map = {p: old_version for p in _show_partitions(spark, old_phys)}
+    old_data = current_data_path(spark, target) or old_version
+    old_map = {p: old_data for p in _show_partitions(spark, old_phys)}
     old_map.update(_read_manifest(spark, root, old_version))
     _publish_partitioned(spark, db, t, root, version, merged.schema, parts, inherited=old_map)
     _prune_versions(spark, db, t, root, keep_versions)
