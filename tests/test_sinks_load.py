@@ -313,3 +313,13 @@ def test_upsert_inherits_from_a_loaded_version(spark, tmp_root):
     # the first version keeps only what the current one still reads: p=b
     left = sorted(r for r, ds, fs in os.walk(_local(first)) if any(f.endswith(".parquet") for f in fs))
     assert [os.path.relpath(r, _local(first)) for r in left] == ["_is_valid=true/p=b"]
+
+
+def test_pruning_never_drops_the_current_version(spark):
+    from vetline.sinks.tables import new_version_dir, register_version
+    tgt = f"{DB}.{unique_name('cur')}"
+    early = new_version_dir(spark, tgt)       # a slow load starts first ...
+    replace_target(_src(spark), tgt)          # ... a fast one finishes meanwhile
+    _src(spark).filter("k = 1").write.parquet(early)
+    register_version(spark, tgt, early, _src(spark).schema, keep_versions=1)  # older name, now current
+    assert [r["k"] for r in spark.table(tgt).collect()] == [1]

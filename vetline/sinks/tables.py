@@ -244,11 +244,16 @@ def _prune_versions(spark: SparkSession, db: str, t: str, root: str, keep: int)
     (inherited by a partition-scoped upsert); its other partitions go."""
     versions = _list_versions(spark, root)
     kept = versions[-max(1, keep):]
+    # The version the table points at is never dropped, even when a
+    # concurrent load of the same target wrote a newer-named one.
+    current = current_version(spark, f"{db}.{t}")
+    if current and current not in kept and current in versions:
+        kept.append(current)
     still_read: dict[str, dict[str, set[str]]] = {}  # version -> data folder -> partitions
     for v in kept:
         for part, folder in _read_manifest(spark, root, v).items():
             still_read.setdefault(_version_of(folder), {}).setdefault(folder, set()).add(part)
-    for old in versions[: max(0, len(versions) - max(1, keep))]:
+    for old in [v for v in versions if v not in kept]:
         phys_t = _phys_name(t, old)
         phys = table_name(db, phys_t)
         own: set[str] = set()
