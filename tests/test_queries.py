@@ -32,10 +32,17 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
+# DuckDB type names and the Spark type each one must match.
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double",
+                 "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz", "DATE": "date", "FLOAT": "float"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
-    res = duck.execute(ORACLES[name])
-    d_cols = [d[0] for d in res.description]
+    rel = duck.sql(ORACLES[name])
+    d_cols = list(rel.columns)
     assert sorted(df.columns) == sorted(d_cols)
-    assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(d_cols, res.fetchall())
+    s_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    assert {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(d_cols, rel.types)} == s_types
+    assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(d_cols, rel.fetchall())

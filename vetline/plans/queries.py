@@ -329,7 +329,7 @@ def lookup_right_join_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dq_column_count", f"""
 SELECT 'ColumnCount > 0' AS rule, 'Passed' AS outcome, 'ColumnCount' AS metric_name,
-       8.0 AS metric_value, count(*) AS row_count
+       CAST(8.0 AS DOUBLE) AS metric_value, count(*) AS row_count
 FROM ({_DOC_JOIN_SQL})
 """)
 def dq_column_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -606,7 +606,7 @@ count(*) FILTER (WHERE {_ANY_FAIL}) AS invalid_count
 
 @register("run_metadata", _with_dirty(f"""
 SELECT 'succeeded' AS status, {_COUNTS_SQL},
-       count(*) FILTER (WHERE {_ANY_FAIL}) AS dlq_count, 'written' AS dlq_status, 0 AS rules_skipped
+       count(*) FILTER (WHERE {_ANY_FAIL}) AS dlq_count, 'written' AS dlq_status, CAST(0 AS BIGINT) AS rules_skipped
 FROM dirty_orders
 """))
 def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -618,7 +618,8 @@ def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("truncate_staging", """
-SELECT count(*) AS staged_rows, 0 AS rows_after_truncate, 0 AS rows_after_recreate FROM orders
+SELECT count(*) AS staged_rows, CAST(0 AS BIGINT) AS rows_after_truncate,
+       CAST(0 AS BIGINT) AS rows_after_recreate FROM orders
 """)
 def truncate_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
@@ -717,7 +718,7 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_jdbc(c, url, "CUSTOMER", DERBY, mode="overwrite")
     bounds = c.agg(F.min("c_custkey"), F.max("c_custkey")).first()
     return read_jdbc(spark, url, "CUSTOMER", DERBY, partition_column="c_custkey",
-                     lower_bound=bounds[0], upper_bound=bounds[1], num_partitions=4)
+                     lower_bound=bounds[0], upper_bound=bounds[1], num_partitions=4, timestamp_ntz=True)
 
 
 @register("jdbc_replace", _SPLIT_VALID_SQL)
@@ -728,14 +729,14 @@ def jdbc_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     load(spark, src, "vetline_q.orders_clean_jdbc", list(DEFAULT_RULES),
          dlq_path=scratch_path(spark, "load_dlq"), run_date=RUN_DATE,
          staging=f"{QDB}.{unique_name('stg')}", publish=jdbc_publisher(url, "ORDERS_CLEAN", DERBY))
-    return read_jdbc(spark, url, "ORDERS_CLEAN", DERBY)
+    return read_jdbc(spark, url, "ORDERS_CLEAN", DERBY, timestamp_ntz=True)
 
 
 # --- remaining sources and sinks ---------------------------------------------------------
 
 @register("dq_results_published", f"""
 SELECT 'ColumnCount > 0' AS rule, 'Passed' AS outcome, 'ColumnCount' AS metric_name,
-       8.0 AS metric_value, count(*) AS row_count
+       CAST(8.0 AS DOUBLE) AS metric_value, count(*) AS row_count
 FROM ({_DOC_JOIN_SQL}) j
 UNION ALL
 SELECT 'RowCount > 0', CASE WHEN count(*) > 0 THEN 'Passed' ELSE 'Failed' END, 'RowCount',
