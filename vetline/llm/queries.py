@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetline.llm import decontaminate, exact_dedup, simhash
-from vetline.llm.frames import table
+from vetline.llm import bpe, decontaminate, exact_dedup, quality, simhash
+from vetline.llm.frames import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -48,7 +49,7 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return got.select("doc_id", "hits.n_words", decontaminate.hit_words("hits").alias("n_hit"),
                       F.size(items).cast("bigint").alias("n_items"),
                       F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
-                      decontaminate.contaminated("hits").alias("contaminated"), F.col("hits.longest").alias("longest_match"))
+                      decontaminate.contaminated("hits").alias("contaminated"))
 
 
 @_register("op10_simhash_near_dedup")
@@ -56,3 +57,33 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents whose 3-word SimHash fingerprints differ in at most 3 bits."""
     rows = simhash.labelled(table(spark, sf_dir, "documents"), shingle=3, distance=3)
     return rows.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: The tokenizer of the registered query and the pipeline.
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
+
+@_register("op2_byte_bpe")
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    tokens = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
+    docs = table(spark, sf_dir, "documents")
+    coded = docs.select("doc_id", bpe.encode_decode(F.col("text"), tokens, public_tokenizers.PATTERN).alias("bpe"))
+    return coded.select("doc_id", F.size("bpe.ids").cast("bigint").alias("n_tokens"),
+                        F.sha2(F.array_join("bpe.ids", " ").cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2("bpe.decoded", 256).alias("decoded_sha256"))
+
+
+def quality_model(described: DataFrame, labels: DataFrame) -> quality.Discriminant:
+    """Learnt from the labels that the contract gives to training."""
+    return quality.fit(described, labels.where(remainder(F.col("doc_id"), 3) != 1))
+
+
+@_register("op5_quality_classifier")
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the discriminant learnt from the training labels."""
+    described = quality.describe(table(spark, sf_dir, "documents"))
+    model = quality_model(described, table(spark, sf_dir, "labels"))
+    scored = described.select("doc_id", quality.score(F.col("features"), model).alias("score"))
+    return scored.select("doc_id", F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -104,11 +104,16 @@ def mix64(h: np.ndarray) -> np.ndarray:
 
 def hash_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each lower-cased word, from prefix sums over the slice."""
+    return hash_bytes(LOWER[buf], starts, ends)
+
+
+def hash_bytes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each range of bytes."""
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
     p, q = _power_table(len(buf) + 1)
     sums = np.zeros(len(buf) + 1, dtype=np.uint64)
-    np.cumsum((LOWER[buf].astype(np.uint64) + np.uint64(1)) * p[:len(buf)], out=sums[1:])
+    np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * p[:len(buf)], out=sums[1:])
     raw = (sums[ends] - sums[starts]) * q[starts]
     return mix64(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
