@@ -12,34 +12,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vetline.llm import bpe, decontaminate, exact_dedup, quality, simhash
-from vetline.llm.frames import table
+from vetline.llm.frames import ship, table
 from vetline.llm.queries import VOCABULARY, quality_model
 from vetline.session import scratch_path
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, learnt from ``labels``, accepts."""
+    ship(spark)
     model = quality_model(quality.describe(docs), table(spark, sf_dir, "labels"))
     return quality.keep_good(docs, model)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id."""
+    ship(spark)
     return exact_dedup.deduplicate(docs, exact_dedup.scratch_index(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by SimHash fingerprints the document with the smallest id."""
+    ship(spark)
     return simhash.keep_one(docs, shingle=3, distance=3)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with fewer than one word in twenty inside a verbatim benchmark window."""
+    ship(spark)
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document left, and the digest of what they decode to."""
+    ship(spark)
     tokens = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
     coded = docs.select("doc_id", "lang", "source", bpe.encode_decode(F.col("text"), tokens, public_tokenizers.PATTERN).alias("bpe"))
     return coded.select("doc_id", "lang", "source", F.size("bpe.ids").cast("bigint").alias("n_tokens"),

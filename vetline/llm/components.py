@@ -1,7 +1,7 @@
 """Connected components of a link table, by repeated contraction.
 
 Each round hooks every node to its smallest neighbour, follows these pointers
-twice, and rewrites the links between the nodes pointed to; links inside what
+once, and rewrites the links between the nodes pointed to; links inside what
 has merged vanish. Rounds needed grow with the logarithm of a component's
 diameter. A hub is only ever the key of a minimum or of a join that AQE can
 split, never a collected list. Every round is written to the shared folder, so
@@ -28,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooks = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("up"))
-        hooks = durable(_jump(_jump(hooks)), "hooks")
+        hooks = durable(_jump(durable(hooks, "hooks")), "hooks")
         ends = (edges.join(hooks.select(F.col("node").alias("a"), F.col("up").alias("x")), "a")
                 .join(hooks.select(F.col("node").alias("b"), F.col("up").alias("y")), "b").select("x", "y"))
         rest = hooks.select(F.col("node").alias("x"), F.col("up").alias("z"))

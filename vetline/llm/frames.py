@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,3 +35,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus`` (null for a null id)."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(modulus))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library to the executors, once per application.
+
+    Functions that run in tasks are pickled by name, so the executors must be
+    able to import them also where the library is not installed.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_vetline_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    handle, path = tempfile.mkstemp(prefix="vetline-", suffix=".zip")
+    with os.fdopen(handle, "wb") as out, zipfile.ZipFile(out, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
+    context._vetline_shipped = True

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetline.llm import bpe, decontaminate, exact_dedup, quality, simhash
-from vetline.llm.frames import remainder, table
+from vetline.llm import bpe, decontaminate, exact_dedup, lm, quality, simhash, toxicity
+from vetline.llm.frames import remainder, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -17,7 +18,12 @@ ORACLE_SQL: dict[str, str] = {}
 
 def _register(name: str, sql: str | None = None):
     def put(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = shipped
         if sql:
             ORACLE_SQL[name] = sql
         return fn
@@ -87,3 +93,23 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = described.select("doc_id", quality.score(F.col("features"), model).alias("score"))
     return scored.select("doc_id", F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_register("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the class-conditional models learnt from the training labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(remainder(F.col("doc_id"), 4) != 2))
+    scored = docs.select("doc_id", toxicity.score(F.col("text"), model).alias("score"))
+    return scored.select("doc_id", F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_register("op8_lm_scoring")
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log-likelihood under a recurrent model learnt from the training documents."""
+    held_out = F.coalesce(remainder(F.col("doc_id"), 7) == 2, F.lit(False))
+    scored, corpus = lm.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.withColumnRenamed("id", "doc_id").select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(corpus.total).cast("bigint").alias("train_tokens"),
+        "base_score", "score")
