@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetline.llm import bpe, decontaminate, exact_dedup, lm, quality, simhash, toxicity
+from vetline.llm import bpe, decontaminate, exact_dedup, licences, lm, quality, simhash, toxicity
 from vetline.llm.frames import remainder, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,12 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumnRenamed("id", "doc_id").select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(corpus.total).cast("bigint").alias("train_tokens"),
         "base_score", "score")
+
+
+@_register("op4_license_scan", licences.duckdb_sql())
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of every document."""
+    found = licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.array_join("licences", ",").alias("licences"),
+                        F.array_join("licence_sentences", ",").alias("licence_sentences"),
+                        F.size("licences").cast("bigint").alias("n_licences"))
