@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetline.llm import bpe, decontaminate, exact_dedup, licences, lm, quality, simhash, toxicity
+from vetline.llm import bpe, chat, decontaminate, exact_dedup, html_text, licences, lm, quality, simhash, toxicity
 from vetline.llm.frames import remainder, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,16 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.array_join("licences", ",").alias("licences"),
                         F.array_join("licence_sentences", ",").alias("licence_sentences"),
                         F.size("licences").cast("bigint").alias("n_licences"))
+
+
+@_register("op6_html_extraction")
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page, laid out."""
+    return html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
+@_register("op1_chat_formatting")
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user turn of every conversation as a tool call, linked with the answer to it."""
+    calls, results = chat.calls_of_turns(table(spark, sf_dir, "conversations"))
+    return chat.link(calls, results, chat.TURN_TOOLS).withColumn("errors", F.array_join("errors", "; "))
