@@ -16,6 +16,6 @@ from vetline.functions.rules import (  # noqa: F401
     SUPPORTED_RULE_TYPES,
     Rule,
     not_null,
-    parse_rules,
+    read_rules,
     regex,
 )

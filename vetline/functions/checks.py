@@ -38,13 +38,13 @@ def failure(rule: Rule) -> Column:
     """Boolean Column, true where the row breaks ``rule``; never NULL."""
     c = col_ref(rule.column)
     as_text = c.cast("string")
-    if rule.rule_type == NOT_NULL:
+    if rule.kind == NOT_NULL:
         # trim() strips the space character only (not tabs or NBSP).
         return c.isNull() | (F.trim(as_text) == F.lit(""))
-    if rule.rule_type == REGEX:
+    if rule.kind == REGEX:
         # rlike is a *find*: the pattern may match anywhere unless anchored.
         return c.isNull() | ~as_text.rlike(rule.pattern)
-    raise ValueError(f"Unsupported rule type '{rule.rule_type}'")
+    raise ValueError(f"Unsupported rule type '{rule.kind}'")
 
 
 def error_entry(rule: Rule) -> Column:

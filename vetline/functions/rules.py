@@ -5,76 +5,63 @@ A rule is pure configuration (a few strings); nothing here touches data.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from typing import Any, Iterable, Mapping
+from collections.abc import Iterable, Mapping
+from typing import Any, NamedTuple
 
-# --- fixed values (must stay as they are for compatible output) -------------
-# Rule kinds understood by the validator: "not_null", "regex".
-# Default rule name: "<rule_type>_<column>".
-# Required keys of a rule mapping: "rule_type", "column".
-# Optional keys of a rule mapping: "pattern", "rule_name".
-NOT_NULL = "not_null"
-REGEX = "regex"
-SUPPORTED_RULE_TYPES = frozenset({NOT_NULL, REGEX})
-# ---------------------------------------------------------------------------
+# Fixed values, which compatible rule files and error entries rely on: the two
+# kinds of rule, the keys of a rule mapping, and the default name "<kind>_<column>".
+NOT_NULL, REGEX = "not_null", "regex"
+SUPPORTED_RULE_TYPES = frozenset((NOT_NULL, REGEX))
+_KIND, _COLUMN, _PATTERN, _NAME = "rule_type", "column", "pattern", "rule_name"
 
 
-@dataclass(frozen=True)
-class Rule:
-    """One row-level check on one column."""
+class Rule(NamedTuple):
+    """One check of one column. ``label`` is a name given by hand; ``name`` always has one."""
 
-    rule_type: str
+    kind: str
     column: str
     pattern: str | None = None
-    rule_name: str | None = None
-
-    def __post_init__(self) -> None:
-        if self.rule_name is None:
-            object.__setattr__(self, "rule_name", f"{self.rule_type}_{self.column}")
+    label: str | None = None
 
     @property
     def name(self) -> str:
-        return self.rule_name  # type: ignore[return-value]
-
-    @classmethod
-    def from_dict(cls, spec: Mapping[str, Any]) -> "Rule":
-        """Build a rule from a mapping, rejecting incomplete or unknown specs.
-
-        A ``regex`` rule without a pattern is rejected here: left unchecked it
-        would let every non-null value pass silently.
-        """
-        for key in ("rule_type", "column"):
-            if key not in spec:
-                raise ValueError(f"Missing required field: '{key}'")
-        kind = spec["rule_type"]
-        if kind not in SUPPORTED_RULE_TYPES:
-            raise ValueError(
-                f"Unknown rule type: '{kind}'. "
-                f"Supported types: {sorted(SUPPORTED_RULE_TYPES)}"
-            )
-        pattern = spec.get("pattern")
-        if kind == REGEX and not pattern:
-            raise ValueError(f"Rule type 'regex' on column '{spec['column']}' needs a 'pattern'")
-        return cls(rule_type=kind, column=spec["column"], pattern=pattern,
-                   rule_name=spec.get("rule_name"))
-
-    def to_dict(self) -> dict:
-        out = {"rule_type": self.rule_type, "column": self.column, "rule_name": self.rule_name}
-        if self.pattern is not None:
-            out["pattern"] = self.pattern
-        return out
-
-
-def parse_rules(specs: Iterable[Mapping[str, Any] | Rule]) -> list[Rule]:
-    """Turn a list of mappings (or ready rules) into rules, keeping order."""
-    return [s if isinstance(s, Rule) else Rule.from_dict(s) for s in specs]
-
-
-def not_null(column: str, rule_name: str | None = None) -> Rule:
-    return Rule(NOT_NULL, column, rule_name=rule_name)
-
-
-def regex(column: str, pattern: str, rule_name: str | None = None) -> Rule:
-    if not pattern:
-        raise ValueError(f"Rule type 'regex' on column '{column}' needs a 'pattern'")
-    return Rule(REGEX, column, pattern=pattern, rule_name=rule_name)
+        return f"{self.kind}_{self.column}" if self.label is None else self.label
+
+    def spec(self) -> dict[str, str]:
+        """The mapping that ``read_rule`` turns into this rule."""
+        parts = {_KIND: self.kind, _COLUMN: self.column, _PATTERN: self.pattern, _NAME: self.label}
+        return {key: value for key, value in parts.items() if value is not None}
+
+
+def _faults(spec: Mapping[str, Any]) -> list[str]:
+    """Everything that keeps a mapping from being a rule."""
+    faults = [f"it has no '{key}'" for key in (_KIND, _COLUMN) if key not in spec]
+    kind = spec.get(_KIND, NOT_NULL)
+    if kind not in SUPPORTED_RULE_TYPES:
+        faults.append(f"Unknown rule type '{kind}' (known: {', '.join(sorted(SUPPORTED_RULE_TYPES))})")
+    elif kind == REGEX and not spec.get(_PATTERN):
+        # Without a pattern it would let every value pass.
+        faults.append(f"a {REGEX} rule needs a '{_PATTERN}'")
+    return faults
+
+
+def read_rule(spec: Mapping[str, Any] | Rule) -> Rule:
+    """A rule from its mapping; a mapping with faults is refused with all of them named."""
+    if isinstance(spec, Rule):
+        return spec
+    faults = _faults(spec)
+    if faults:
+        raise ValueError(f"Not a rule, {dict(spec)}: {'; '.join(faults)}")
+    return Rule(spec[_KIND], spec[_COLUMN], spec.get(_PATTERN), spec.get(_NAME))
+
+
+def read_rules(specs: Iterable[Mapping[str, Any] | Rule]) -> list[Rule]:
+    return list(map(read_rule, specs))
+
+
+def not_null(column: str, label: str | None = None) -> Rule:
+    return Rule(NOT_NULL, column, label=label)
+
+
+def regex(column: str, pattern: str, label: str | None = None) -> Rule:
+    return read_rule(Rule(REGEX, column, pattern, label).spec())

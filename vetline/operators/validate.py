@@ -23,7 +23,7 @@ from vetline.functions.checks import (
     failure,
     is_valid,
 )
-from vetline.functions.rules import REGEX, SUPPORTED_RULE_TYPES, Rule, parse_rules
+from vetline.functions.rules import REGEX, SUPPORTED_RULE_TYPES, Rule, read_rules
 
 log = logging.getLogger(__name__)
 
@@ -36,7 +36,7 @@ def check_patterns(spark: SparkSession, rules: Sequence[Rule]) -> None:
     A bad pattern otherwise fails inside a task, after the scan started.
     The probe is a one-row constant expression, folded while planning.
     """
-    todo = [r.pattern for r in rules if r.rule_type == REGEX and r.pattern not in _checked_patterns]
+    todo = [r.pattern for r in rules if r.kind == REGEX and r.pattern not in _checked_patterns]
     if not todo:
         return
     probe = spark.range(1).select(*[F.lit("").rlike(p).alias(f"p{i}") for i, p in enumerate(todo)])
@@ -61,17 +61,16 @@ def plan_rules(
         raise ValueError("on_missing must be 'skip' or 'fail'")
     present = set(columns)
     active, skipped = [], []
-    for rule in parse_rules(rules):
-        if rule.rule_type not in SUPPORTED_RULE_TYPES:
-            log.warning("Unsupported rule type '%s' - skipping.", rule.rule_type)
+    for rule in read_rules(rules):
+        if rule.kind not in SUPPORTED_RULE_TYPES:
+            log.warning("No check exists for rules of type '%s'; rule left out.", rule.kind)
             skipped.append(rule)
         elif rule.column not in present:
             if on_missing == "fail":
                 raise ValueError(
-                    f"Column '{rule.column}' referenced by rule '{rule.name}' not found in schema"
+                    f"Rule '{rule.name}' checks column '{rule.column}', which the data lacks"
                 )
-            log.warning("Column '%s' referenced by rule '%s' not found in schema - skipping.",
-                        rule.column, rule.name)
+            log.warning("The data lacks column '%s'; rule '%s' left out.", rule.column, rule.name)
             skipped.append(rule)
         else:
             active.append(rule)
@@ -115,7 +114,7 @@ def validate(
     active, _ = plan_rules(cols, rules, on_missing)
     if not active:
         if not rules:
-            log.warning("No validation rules configured - treating all records as valid.")
+            log.warning("Validating without any rule: every row is valid.")
         return df.withColumn(ERRORS_COL, empty_errors())
     check_patterns(df.sparkSession, active)
     return df.withColumn(ERRORS_COL, errors_array(active))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import argparse
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -29,19 +28,26 @@ class IngestParams:
 
     @classmethod
     def from_args(cls, argv: Sequence[str]) -> "IngestParams":
-        """Parse ``--name value`` pairs in any order; unknown ones are ignored.
+        """Read ``--name value`` or ``--name=value`` in any order; names must be exact, others are ignored.
 
-        A missing required parameter raises ``ValueError`` naming it.
+        A required parameter that is absent, or one without a value, raises
+        ``ValueError`` naming it.
         """
-        parser = argparse.ArgumentParser(add_help=False)
-        for p in REQUIRED_PARAMS + OPTIONAL_PARAMS:
-            parser.add_argument(f"--{p}", default=None)
-        known, _ = parser.parse_known_args(list(argv))
-        values = vars(known)
-        for p in REQUIRED_PARAMS:
-            if values.get(p) is None:
-                raise ValueError(f"Missing required parameter: {p}")
-        return cls(**values)
+        given: dict[str, str] = {}
+        words = iter(argv)
+        for word in words:
+            name, joined, value = word.removeprefix("--").partition("=")
+            if not word.startswith("--") or name not in REQUIRED_PARAMS + OPTIONAL_PARAMS:
+                continue  # other jobs' arguments, and their values
+            if not joined:
+                value = next(words, None)
+                if value is None or value.startswith("--"):
+                    raise ValueError(f"--{name} has no value")
+            given[name] = value
+        absent = [name for name in REQUIRED_PARAMS if name not in given]
+        if absent:
+            raise ValueError(f"Parameters not given: {', '.join(absent)}")
+        return cls(**given)
 
 
 def ingest(spark: SparkSession, source_path: str, target_path: str, catalog_database: str,

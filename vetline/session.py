@@ -64,7 +64,7 @@ def _local_cores(master: str) -> int | None:
 
 
 def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20,
-                   max_partitions: int = 200_000, listing_parallelism: int = 2_000) -> dict[str, str]:
+                   listing_parallelism: int = 2_000) -> dict[str, str]:
     """Session settings sized for an input of ``input_bytes``.
 
     The initial shuffle partition count gives ~``target_partition_bytes`` per
@@ -75,7 +75,7 @@ def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20,
     listing is latency-bound, so a cluster wants many. Pass the result as
     ``build_session(extra=...)`` or set it on an existing session.
     """
-    parts = max(200, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    parts = max(200, -(-int(input_bytes) // target_partition_bytes))
     size = str(target_partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(parts),

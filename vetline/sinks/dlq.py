@@ -57,7 +57,7 @@ def write_dlq(invalid: DataFrame, base: str, run_date: dt.date | None = None,
     """
     run_date = run_date or dt.date.today()
     if count is not None and int(count) == 0 or count is None and invalid.limit(1).count() == 0:
-        log.info("No invalid records to write to DLQ.")
+        log.info("Nothing was rejected; the DLQ is left as it is.")
         return 0
     path = dlq_path(base, run_date, run_id)
     extra = ("run_id",) if run_id is not None else ()
