@@ -121,10 +121,9 @@ class TestLoad:
             "succeeded", 4, 2, 2, 2)
         assert sorted(r["k"] for r in spark.table(tgt).collect()) == [1, 4]
         assert not _staging_left(spark, tgt)
-        # valid rows were staged once, straight into the new version
-        data = current_data_path(spark, tgt)
-        assert data == m["target_version"] + "/_is_valid=true"
-        assert not path_exists(spark, m["target_version"] + "/_is_valid=false")  # now in the DLQ
+        # valid rows were written once, straight into the new version, with the target's columns only
+        assert current_data_path(spark, tgt) == m["target_version"]
+        assert spark.read.parquet(m["target_version"]).columns == ["k", "vendor_id"]
 
     def test_zero_valid_keeps_old_rows(self, spark, tmp_root):
         tgt = self._target()
@@ -185,7 +184,7 @@ class TestLoad:
         for _ in range(4):
             out = replace_target(_src(spark), tgt, keep_versions=2)
         root = _local(out["version"]).rsplit("/", 1)[0]
-        assert len([d for d in os.listdir(root) if d.startswith("_v")]) == 2
+        assert len([d for d in os.listdir(root) if d.startswith("_v2")]) == 2
 
 
 def test_jdbc_replace_and_cleanup(spark):
@@ -241,12 +240,12 @@ def test_upsert_with_key_outside_partitions_rewrites_all(spark):
 
 
 def test_partition_scoped_upsert_prunes_the_scan(spark):
-    from vetline.sinks.tables import _prune_to
+    from vetline.sinks.tables import _touched_rows
     tgt = f"{DB}.{unique_name('prn')}"
     base = spark.range(200).select(F.col("id").alias("k"), (F.col("id") % 20).cast("string").alias("p"))
     replace_target(base, tgt, partition_by="p")
     touched = spark.createDataFrame([("3",), (None,)], "p string")
-    pruned = _prune_to(spark.table(tgt), touched, ["p"])
+    pruned = _touched_rows(spark.table(tgt), touched, ["p"])
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     import re
     filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan).group(1)
@@ -312,7 +311,7 @@ def test_upsert_inherits_from_a_loaded_version(spark, tmp_root):
     assert got == [(1, "a", "70"), (2, "b", "8"), (4, "d", "9")]
     # the first version keeps only what the current one still reads: p=b
     left = sorted(r for r, ds, fs in os.walk(_local(first)) if any(f.endswith(".parquet") for f in fs))
-    assert [os.path.relpath(r, _local(first)) for r in left] == ["_is_valid=true/p=b"]
+    assert [os.path.relpath(r, _local(first)) for r in left] == ["p=b"]
 
 
 def test_pruning_never_drops_the_current_version(spark):

@@ -2,16 +2,18 @@
 
 Plan (the source is scanned once):
 
-1. Validate the source while writing it, with the error array, partitioned
-   by an ``_is_valid`` flag. The total/valid/invalid counters are observed
-   during that same write. In replace mode the rows are staged straight
-   into a new version folder of the target, so the ``_is_valid=true``
-   folder *is* the new version: valid rows are written once. In upsert mode
-   (or with a custom ``publish``) they go to a staging table.
+1. Validate the source while writing it. In replace mode the valid rows go
+   straight into a new version folder of the target, written once and with
+   the target's columns only; the total and valid counters are observed
+   during that write, above the shuffle that gathers partitions, so a map
+   task that runs again is not counted again. Only if there are rejects is the
+   source read once more, filtered to them, and their error arrays are built;
+   their number must agree with the counters. In upsert mode (or with a custom
+   ``publish``) all rows go to a staging table by an ``_is_valid`` flag.
 2. Empty source: stop; the target is untouched.
-3. Rejected rows: read only the ``_is_valid=false`` folder (partition
-   pruning) and write it to the DLQ (and optionally a DLQ table). A DLQ
-   failure is recorded in the metrics and the load goes on.
+3. Rejected rows go to the DLQ (and optionally a DLQ table) with their
+   original fields. A DLQ failure is recorded in the metrics and the load goes
+   on.
 4. No valid row: the target keeps its rows. Otherwise switch the target to
    the new version in one catalog call (replace), or upsert the valid rows
    by key, or hand them to ``publish``.
@@ -37,11 +39,14 @@ from vetline.functions.checks import ERRORS_COL, errors_array, is_valid
 from vetline.functions.rules import Rule
 from vetline.operators.validate import check_patterns, plan_rules, schema_problems
 from vetline.sinks.dlq import append_dlq_table, write_dlq
-from vetline.session import delete_path
+from vetline.session import delete_path, scratch_path
 from vetline.sinks.tables import (
     append_rows,
+    check_replacement,
     default_root,
     drop_table,
+    ensure_registered,
+    latest_number,
     new_version_dir,
     register_version,
     stage,
@@ -86,6 +91,7 @@ def load(
     dlq_per_run: bool = False,
     publish: Callable[[DataFrame, int], str | None] | None = None,
     expected_schema=None,
+    order_by: Sequence[str] | str | None = None,
 ) -> DataFrame:
     """Run one validated load of ``source`` into ``target``; return a one-row
     metrics DataFrame (also appended to ``runs_table`` when given).
@@ -99,6 +105,9 @@ def load(
     load and leaves the target untouched (together with ``on_missing='fail'``
     this is the pre-merge schema check).
 
+    ``order_by`` lets an upsert take several rows of one key: the last by these
+    columns stands.
+
     ``publish(accepted, valid_count)`` replaces the default target switch
     (catalog table replace or upsert), e.g. ``jdbc_publisher(...)`` for a
     database table; it returns a version label or None.
@@ -125,26 +134,24 @@ def load(
                    target_version=None)
     direct = mode == "replace" and publish is None
     part_cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
-    version = registered = None
+    version = registered = rejects_path = None
     try:
         ok = is_valid(active) if active else F.lit(True)
-        staged_rows = (source.withColumn(ERRORS_COL, errors_array(active))
-                       .withColumn(VALID_FLAG, ok))
         obs = Observation(f"load_{run_id}")
-        staged_rows = staged_rows.observe(
-            obs,
-            F.count(F.lit(1)).alias("total"),
-            F.sum(F.when(F.col(VALID_FLAG), 1).otherwise(0)).alias("valid"),
-        )
+        counters = (F.count(F.lit(1)).alias("total"), F.sum(F.when(F.col(VALID_FLAG), 1).otherwise(0)).alias("valid"))
         if direct:
-            # Stage straight into a new version of the target: its
-            # _is_valid=true folder becomes the target as written, so valid
-            # rows are written once, not staged and then copied.
             root = target_root or default_root(spark, target)
+            ensure_registered(spark, target, root)
+            check_replacement(spark, target, source.drop(ERRORS_COL, VALID_FLAG).schema)
+            base = latest_number(spark, root)
             version = new_version_dir(spark, target, root)
-            writer_rows = staged_rows.hint("rebalance", *part_cols) if part_cols else staged_rows
-            writer_rows.write.mode("errorifexists").partitionBy(VALID_FLAG, *part_cols).parquet(version)
+            flagged = source.drop(ERRORS_COL).withColumn(VALID_FLAG, ok)
+            if part_cols:
+                flagged = flagged.hint("rebalance", *part_cols)
+            writer = flagged.observe(obs, *counters).where(VALID_FLAG).drop(VALID_FLAG).write.mode("errorifexists")
+            (writer.partitionBy(*part_cols) if part_cols else writer).parquet(version)
         else:
+            staged_rows = source.withColumn(ERRORS_COL, errors_array(active)).withColumn(VALID_FLAG, ok).observe(obs, *counters)
             stage(staged_rows, staging, partition_by=VALID_FLAG)
         got = obs.get
         total = int(got["total"] or 0)
@@ -156,11 +163,16 @@ def load(
             metrics["status"] = "empty_source"
             return _finish(spark, metrics, runs_table)
 
-        row_schema = StructType([f for f in staged_rows.schema.fields if f.name != VALID_FLAG])
         if direct:
-            rejects_path = f"{version}/{VALID_FLAG}=false"
-            rejects = (spark.read.schema(row_schema).option("basePath", rejects_path).parquet(rejects_path)
-                       if total - valid > 0 else None)
+            rejects = None
+            if total - valid > 0:
+                rejects_path = scratch_path(spark, "rejects", run_id)
+                counted = Observation(f"rejects_{run_id}")
+                (source.drop(ERRORS_COL).where(~ok).withColumn(ERRORS_COL, errors_array(active))
+                 .observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(rejects_path))
+                if int(counted.get["n"]) != total - valid:
+                    raise RuntimeError(f"The source changed during the load: {counted.get['n']} rejects, {total - valid} expected")
+                rejects = spark.read.parquet(rejects_path)
         else:
             staged = spark.table(staging)
             rejects = staged.filter(~F.col(VALID_FLAG)).drop(VALID_FLAG)
@@ -184,13 +196,9 @@ def load(
             return _finish(spark, metrics, runs_table)
 
         if direct:
-            target_schema = StructType([f for f in row_schema.fields if f.name != ERRORS_COL])
-            register_version(spark, target, version, target_schema, part_cols,
-                             data_path=f"{version}/{VALID_FLAG}=true", root=root,
-                             keep_versions=keep_versions)
+            register_version(spark, target, version, source.drop(ERRORS_COL).schema, part_cols, root=root,
+                             keep_versions=keep_versions, base=base)
             registered = version
-            if metrics["dlq_status"] == "written":
-                delete_path(spark, f"{version}/{VALID_FLAG}=false")  # rejects live in the DLQ now
             metrics["target_version"] = version
             metrics["status"] = "succeeded"
             return _finish(spark, metrics, runs_table)
@@ -201,7 +209,7 @@ def load(
             metrics["status"] = "succeeded"
             return _finish(spark, metrics, runs_table)
         out = upsert_target(accepted, target, keys, partition_by=partition_by, root=target_root,
-                            keep_versions=keep_versions)
+                            keep_versions=keep_versions, order_by=order_by)
         metrics["target_version"] = out["version"]
         metrics["status"] = "succeeded"
         return _finish(spark, metrics, runs_table)
@@ -216,6 +224,8 @@ def load(
     finally:
         if version is not None and registered is None:
             delete_path(spark, version)  # never switched to: empty, all rejected, or failed
+        if rejects_path is not None:
+            delete_path(spark, rejects_path)
         try:
             drop_table(spark, staging)
         except Exception:

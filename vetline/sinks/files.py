@@ -16,10 +16,11 @@ HOUR_FORMATS = ("yyyy", "MM", "dd", "HH")
 
 def with_hour_partitions(df: DataFrame, ts_col: str) -> DataFrame:
     """Add zero-padded string partition columns derived from ``ts_col``
-    (wall-clock in the session time zone, UTC by default)."""
+    (UTC hours, whatever the session's time zone)."""
     out = df
+    utc = F.to_utc_timestamp(col_ref(ts_col).cast("timestamp"), F.current_timezone())
     for name, fmt in zip(HOUR_PARTITIONS, HOUR_FORMATS):
-        out = out.withColumn(name, F.date_format(col_ref(ts_col), fmt))
+        out = out.withColumn(name, F.date_format(utc, fmt))
     return out
 
 
@@ -40,7 +41,9 @@ def write_hourly(df: DataFrame, ts_col: str, root: str, fmt: str = "csv", header
         rows = rows.hint("rebalance", *HOUR_PARTITIONS)
     writer = rows.write.format(fmt).mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", header)
+        # The counterpart of CSV_OPTIONS: NULL is an empty field, the empty string a quoted one.
+        writer = writer.options(header=header, quote='"', escape='"', nullValue="", emptyValue='""',
+                                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     for k, v in options.items():

@@ -14,11 +14,21 @@ it:
 Readers see either the old or the new version, never a mix or nothing.
 Earlier versions are kept (``keep_versions``) for rollback and for readers
 still scanning them.
+
+Which version is current is recorded in the target's own folder: one small
+numbered file per version under ``_versions``, created (never overwritten) when
+the version is complete. That file is the commit; the catalog entry follows
+it and is rebuilt from it whenever a session's catalog does not know the
+target or points elsewhere, so a target outlives the session and a crash
+between the two steps. A load remembers the number it started from and fails
+if another load has committed since. Only committed versions are ever pruned;
+the folder of a load still running is not touched.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 import re
 import uuid
@@ -27,6 +37,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vetline.functions.checks import col_ref
 from vetline.session import delete_path, path_exists
@@ -41,9 +52,9 @@ _DATA_PROP = "vetline.data_path"
 _VERSION_DIR = re.compile(r"^_v\d{14}")
 _MANIFESTS = "_manifests"
 _ADD_BATCH = 500
-_MAX_PRUNE_VALUES = 10_000
-_MAX_BROADCAST_KEYS = 10_000_000
-_MAX_BROADCAST_KEY_BYTES = 256 << 20
+_POINTERS = "_versions"
+_MAX_BROADCAST_KEYS = 1_000_000
+_MAX_BROADCAST_KEY_BYTES = 128 << 20
 _DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -105,14 +116,75 @@ def _new_version_dir(root: str) -> str:
     return f"{root.rstrip('/')}/{_VERSION_PREFIX}{stamp}_{uuid.uuid4().hex[:8]}"
 
 
-def _list_versions(spark: SparkSession, root: str) -> list[str]:
+def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
-    hroot = jvm.org.apache.hadoop.fs.Path(root)
-    fs = hroot.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hroot):
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def committed_versions(spark: SparkSession, root: str) -> list[dict]:
+    """The target's committed versions, oldest first; each with its number ``seq``."""
+    folder, fs = _filesystem(spark, f"{root.rstrip('/')}/{_POINTERS}")
+    if not fs.exists(folder):
         return []
-    names = [s.getPath().getName() for s in fs.listStatus(hroot) if s.isDirectory()]
-    return sorted(f"{root.rstrip('/')}/{n}" for n in names if n.startswith(_VERSION_PREFIX))
+    found = []
+    for status in fs.listStatus(folder):
+        stream = fs.open(status.getPath())
+        try:
+            text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        try:
+            found.append({"seq": int(status.getPath().getName().split(".")[0]), **json.loads(text)})
+        except ValueError:
+            continue  # still being written: not committed yet
+    return sorted(found, key=lambda v: v["seq"])
+
+
+def latest_number(spark: SparkSession, root: str) -> int:
+    """Number of the target's newest committed version, 0 without any."""
+    return max((v["seq"] for v in committed_versions(spark, root)), default=0)
+
+
+def _commit(spark: SparkSession, root: str, base: int | None, version: str, data_path: str, schema, keys: list[str]) -> None:
+    """Record a complete version. Fails if any was committed since number ``base``."""
+    newest = latest_number(spark, root)
+    if base is not None and newest != base:
+        raise RuntimeError(f"Another load has changed {root} meanwhile (version {newest}, expected {base}); nothing was switched")
+    path, fs = _filesystem(spark, f"{root.rstrip('/')}/{_POINTERS}/{newest + 1:012d}.json")
+    entry = {"version": version, "data_path": data_path, "schema": schema.jsonValue(), "keys": keys}
+    out = fs.create(path, False)  # fails if another load takes the same number
+    try:
+        out.write(bytearray(json.dumps(entry).encode()))
+    finally:
+        out.close()
+
+
+def ensure_registered(spark: SparkSession, target: str, root: str | None = None) -> None:
+    """Make the catalog's entry of ``target`` agree with its newest committed version."""
+    db, t = _split(target)
+    root = root or default_root(spark, target)
+    versions = committed_versions(spark, root)
+    if not versions:
+        return
+    newest = versions[-1]
+    if table_exists(spark, db, t) and current_version(spark, target) == newest["version"]:
+        return
+    ensure_database(spark, db)
+    _point_catalog(spark, db, t, root, newest["version"], newest["data_path"], StructType.fromJson(newest["schema"]), newest["keys"],
+                   _read_manifest(spark, root, newest["version"]))
+
+
+def check_replacement(spark: SparkSession, target: str, schema) -> None:
+    """Refuse rows that would leave ``target`` unreadable: a column missing or of another type."""
+    db, t = _split(target)
+    if not table_exists(spark, db, t):
+        return
+    new = {f.name: f.dataType.simpleString() for f in schema.fields}
+    faults = [f"column '{f.name}' ({f.dataType.simpleString()}) is " + ("missing" if f.name not in new else new[f.name])
+              for f in spark.table(table_name(db, t)).schema.fields if new.get(f.name) != f.dataType.simpleString()]
+    if faults:
+        raise ValueError(f"The rows do not fit {target}: " + "; ".join(faults))
 
 
 def current_version(spark: SparkSession, name: str) -> str | None:
@@ -179,9 +251,11 @@ def replace_target(df: DataFrame, target: str, partition_by: Sequence[str] | str
     AQE splits hot keys). Returns ``{"version": path, "rows": n}``.
     """
     spark = df.sparkSession
-    db, t = _split(target)
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     root = root or default_root(spark, target)
+    ensure_registered(spark, target, root)
+    check_replacement(spark, target, df.schema)
+    base = latest_number(spark, root)
     version = _new_version_dir(root)
     try:
         rows = _write_version(df, version, keys, rebalance)
@@ -192,46 +266,56 @@ def replace_target(df: DataFrame, target: str, partition_by: Sequence[str] | str
         raise
 
     register_version(spark, target, version, df.schema, keys, data_path=version, root=root,
-                     keep_versions=keep_versions)
+                     keep_versions=keep_versions, base=base)
     return {"version": version, "rows": rows}
 
 
 def register_version(spark: SparkSession, target: str, version: str, schema,
                      partition_by: Sequence[str] | str | None = None, data_path: str | None = None,
-                     root: str | None = None, keep_versions: int = 2) -> None:
+                     root: str | None = None, keep_versions: int = 2, base: int | None = None) -> None:
     """Switch ``target`` to rows already written under ``version`` (at
-    ``data_path``, the version folder itself by default), in one catalog
-    call, then prune old versions. Columns of ``schema`` are the table's;
-    extra columns in the files are ignored."""
+    ``data_path``, the version folder itself by default): commit it, point
+    the catalog at it, then prune old versions. Columns of ``schema`` are the
+    table's; extra columns in the files are ignored. ``base`` is the newest
+    version's number when the load began; if it has changed, nothing is
+    switched."""
     db, t = _split(target)
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     data_path = data_path or version
     root = root or version.rsplit("/", 1)[0]
+    if table_exists(spark, db, t) and (spark.catalog.getTable(f"{db}.{t}").tableType == "VIEW") != bool(keys):
+        raise ValueError(f"{target} is {'not ' if keys else ''}partitioned; partition_by must agree")
+    try:
+        _commit(spark, root, base, version, data_path, schema, keys)
+    except Exception:
+        delete_path(spark, version)
+        raise
+    _point_catalog(spark, db, t, root, version, data_path, schema, keys, {})
+    _prune_versions(spark, db, t, root, keep_versions)
+
+
+def _point_catalog(spark: SparkSession, db: str, t: str, root: str, version: str, data_path: str, schema, keys: list[str],
+                   inherited: dict[str, str]) -> None:
+    """Make the catalog entry read a committed version."""
     name = table_name(db, t)
     exists = table_exists(spark, db, t)
     props = f"'{_VERSION_PROP}' = '{version}', '{_DATA_PROP}' = '{data_path}'"
-    if not keys:
-        if exists and spark.catalog.getTable(f"{db}.{t}").tableType == "VIEW":
-            raise ValueError(f"{target} is a partitioned (view) target; pass partition_by")
-        if exists:
-            # Additive schema change first: until the switch, old files
-            # simply read the new columns as NULL.
-            have = set(spark.table(name).columns)
-            new = [f for f in schema.fields if f.name not in have]
-            if new:
-                spark.sql(f"ALTER TABLE {name} ADD COLUMNS ("
-                          + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new) + ")")
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{data_path}'")
-            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")
-            spark.catalog.refreshTable(name)
-        else:
-            spark.sql(f"CREATE TABLE {name} ({_ddl_columns(schema, [])}) USING parquet "
-                      f"LOCATION '{data_path}' TBLPROPERTIES ({props})")
+    if keys:
+        _publish_partitioned(spark, db, t, root, version, schema, keys, inherited=inherited, data_path=data_path)
+    elif exists:
+        # Additive schema change first: until the switch, old files
+        # simply read the new columns as NULL.
+        have = set(spark.table(name).columns)
+        new = [f for f in schema.fields if f.name not in have]
+        if new:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ("
+                      + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new) + ")")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{data_path}'")
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")
+        spark.catalog.refreshTable(name)
     else:
-        if exists and spark.catalog.getTable(f"{db}.{t}").tableType != "VIEW":
-            raise ValueError(f"{target} exists as a table; a partitioned target must be a view")
-        _publish_partitioned(spark, db, t, root, version, schema, keys, inherited={}, data_path=data_path)
-    _prune_versions(spark, db, t, root, keep_versions)
+        spark.sql(f"CREATE TABLE {name} ({_ddl_columns(schema, [])}) USING parquet "
+                  f"LOCATION '{data_path}' TBLPROPERTIES ({props})")
 
 
 def _phys_name(t: str, version: str) -> str:
@@ -239,13 +323,13 @@ def _phys_name(t: str, version: str) -> str:
 
 
 def _prune_versions(spark: SparkSession, db: str, t: str, root: str, keep: int) -> None:
-    """Drop all but the newest ``keep`` versions. A dropped version's folder
+    """Drop all but the newest ``keep`` committed versions. A dropped version's folder
     stays only as far as a kept version still reads partitions from it
     (inherited by a partition-scoped upsert); its other partitions go."""
-    versions = _list_versions(spark, root)
+    committed = committed_versions(spark, root)
+    versions = [v["version"] for v in committed]
     kept = versions[-max(1, keep):]
-    # The version the table points at is never dropped, even when a
-    # concurrent load of the same target wrote a newer-named one.
+    # What the catalog still reads is never dropped either.
     current = current_version(spark, f"{db}.{t}")
     if current and current not in kept and current in versions:
         kept.append(current)
@@ -264,6 +348,9 @@ def _prune_versions(spark: SparkSession, db: str, t: str, root: str, keep: int)
         if table_exists(spark, db, phys_t):
             spark.sql(f"DROP TABLE IF EXISTS {phys}")
         delete_path(spark, _manifest_path(root, old))
+        for v in committed:
+            if v["version"] == old:
+                delete_path(spark, f"{root.rstrip('/')}/{_POINTERS}/{v['seq']:012d}.json")
         if old not in still_read:
             delete_path(spark, old)
             continue
@@ -325,6 +412,21 @@ def _partition_spec(part_path: str) -> str:
     return "PARTITION (" + ", ".join(out) + ")"
 
 
+def _written_partitions(spark: SparkSession, version: str) -> list[str]:
+    """Partition paths below a version's folder."""
+    found, level = [], [""]
+    while level:
+        deeper = []
+        for part in level:
+            names = [p.rsplit("/", 1)[1] for p in _list_subdirs(spark, f"{version}/{part}" if part else version)]
+            names = [n for n in names if "=" in n]
+            deeper += [f"{part}/{n}" if part else n for n in names]
+            if part and not names:
+                found.append(part)
+        level = deeper
+    return found
+
+
 def _show_partitions(spark: SparkSession, name: str) -> list[str]:
     return [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
 
@@ -336,6 +438,7 @@ def _publish_partitioned(spark: SparkSession, db: str, t: str, root: str, versio
     to it in one catalog call."""
     data_path = data_path or version
     phys = table_name(db, _phys_name(t, version))
+    spark.sql(f"DROP TABLE IF EXISTS {phys}")  # external: left by an interrupted switch
     spark.sql(f"CREATE TABLE {phys} ({_ddl_columns(schema, keys)}) USING parquet "
               f"PARTITIONED BY ({', '.join(f'`{k}`' for k in keys)}) LOCATION '{data_path}'")
     spark.sql(f"ALTER TABLE {phys} RECOVER PARTITIONS")
@@ -352,29 +455,30 @@ def _publish_partitioned(spark: SparkSession, db: str, t: str, root: str, versio
               f"AS SELECT * FROM {phys}")
 
 
-def _prune_to(current: DataFrame, touched: DataFrame, parts: list[str],
-              max_values: int = _MAX_PRUNE_VALUES) -> DataFrame:
-    """Static partition filter on ``current`` from the values ``touched`` holds.
+def _touched_rows(current: DataFrame, updates: DataFrame, parts: list[str]) -> DataFrame:
+    """The rows of ``current`` in the partitions that ``updates`` name.
 
-    A join alone does not prune here (dynamic pruning needs a selective
-    filter on the other side), so the scan would read every partition. Per
+    The partition values of the batch are collected once: they are partition
+    names, which the catalog calls that follow need on the driver anyway. Per
     column, ``IN (values)`` (plus ``IS NULL``) selects a superset of the
-    touched partitions that the file index prunes while planning; the semi
-    join then keeps exactly the touched ones. The values are partition
-    names, at most the catalog's partition count; beyond ``max_values`` per
-    column no filter is added and the result is still exact.
+    touched partitions that the file index prunes while planning (a join alone
+    does not prune here); with several columns a null-safe semi join with the
+    same values then keeps exactly the touched ones.
     """
-    cond = None
-    for c in parts:
-        vals = [r[0] for r in touched.select(c).distinct().limit(max_values + 1).collect()]
-        if len(vals) > max_values:
-            return current
-        present = [v for v in vals if v is not None]
-        term = current[c].isin(present) if present else F.lit(False)
-        if len(present) != len(vals):
+    touched = updates.select(*[col_ref(c) for c in parts]).distinct()
+    values = touched.collect()
+    cond = F.lit(True)
+    for k, c in enumerate(parts):
+        present = {r[k] for r in values} - {None}
+        term = current[c].isin(list(present)) if present else F.lit(False)
+        if any(r[k] is None for r in values):
             term = term | current[c].isNull()
-        cond = term if cond is None else cond & term
-    return current.filter(cond)
+        cond = cond & term
+    pruned = current.filter(cond)
+    if len(parts) == 1:
+        return pruned
+    named = current.sparkSession.createDataFrame(values, touched.schema)
+    return pruned.join(named, [pruned[c].eqNullSafe(named[c]) for c in parts], "left_semi")
 
 
 def _update_keys(updates: DataFrame, keys: list[str]) -> DataFrame:
@@ -406,14 +510,8 @@ def _upsert_partitions(updates: DataFrame, target: str, keys: list[str], parts:
     old_version = current_version(spark, target)
     old_phys = table_name(db, _phys_name(t, old_version))
     current = spark.table(old_phys)
-    touched = updates.select(*[col_ref(c) for c in parts]).distinct()
-    pruned = _prune_to(current, touched, parts)
-    if len(parts) == 1 and pruned is not current:
-        in_touched = pruned  # one column: IN (...) OR IS NULL is already exact
-    else:
-        small = _update_keys(touched, parts)
-        in_touched = pruned.join(small, [pruned[c].eqNullSafe(small[c]) for c in parts], "left_semi")
-    kept = in_touched.join(_update_keys(updates, keys), keys, "left_anti")
+    base = latest_number(spark, root)
+    kept = _touched_rows(current, updates, parts).join(_update_keys(updates, keys), keys, "left_anti")
     merged = kept.unionByName(updates, allowMissingColumns=True)
     version = _new_version_dir(root)
     try:
@@ -424,18 +522,51 @@ def _upsert_partitions(updates: DataFrame, target: str, keys: list[str], parts:
     old_data = current_data_path(spark, target) or old_version
     old_map = {p: old_data for p in _show_partitions(spark, old_phys)}
     old_map.update(_read_manifest(spark, root, old_version))
+    own = {p: version for p in _written_partitions(spark, version)}
+    try:
+        _write_manifest(spark, root, version, {**old_map, **own})
+        _commit(spark, root, base, version, version, merged.schema, parts)
+    except Exception:
+        delete_path(spark, _manifest_path(root, version))
+        delete_path(spark, version)
+        raise
     _publish_partitioned(spark, db, t, root, version, merged.schema, parts, inherited=old_map)
     _prune_versions(spark, db, t, root, keep_versions)
     return {"version": version, "rows": rows}
 
 
+def _one_per_key(updates: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+    """``updates`` with one row per key, the last by ``order_by``; rows with a NULL key are left as they are.
+
+    Map-side partial aggregation keeps one row per key and task, so a key that
+    fills the batch is no hot spot.
+    """
+    no_null = F.lit(True)
+    for k in keys:
+        no_null = no_null & col_ref(k).isNotNull()
+    keyed = updates.where(no_null)
+    if not order_by:
+        repeated = keyed.groupBy(*[col_ref(k) for k in keys]).count().where("count > 1").limit(1).collect()
+        if repeated:
+            raise ValueError(f"Updates repeat the key {tuple(repeated[0])[:-1]}; pass order_by to keep the last row of each key")
+        return updates
+    last = F.max_by(F.struct(*[col_ref(c) for c in updates.columns]), F.struct(*[col_ref(c) for c in order_by]))
+    return keyed.groupBy(*[col_ref(k) for k in keys]).agg(last.alias("_last")).select("_last.*").unionAll(updates.where(~no_null))
+
+
 # --- keyed upsert (K13) ------------------------------------------------------------
 
 def upsert_target(updates: DataFrame, target: str, keys: Sequence[str],
                   partition_by: Sequence[str] | str | None = None, root: str | None = None,
-                  keep_versions: int = 2, partition_scoped: bool = True, rebalance: bool = True) -> dict:
+                  keep_versions: int = 2, partition_scoped: bool = True, rebalance: bool = True,
+                  order_by: Sequence[str] | str | None = None) -> dict:
     """Insert-or-replace rows of ``target`` by ``keys``, then switch versions.
 
+    A key may occur once in ``updates``; with ``order_by`` it may occur more
+    often and the row that is last by these columns stands, otherwise repeated
+    keys are refused. ``updates`` must hold the key and partition columns,
+    and its columns the target's types.
+
     New version = target rows whose key is not in ``updates`` (left anti join)
     plus all of ``updates``. When a bounded check proves the update keys
     small they are broadcast and the target is not shuffled; otherwise both
@@ -452,6 +583,16 @@ def upsert_target(updates: DataFrame, target: str, keys: Sequence[str],
     if not keys:
         raise ValueError("upsert_target needs at least one key column")
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    absent = [c for c in [*keys, *parts] if c not in updates.columns]
+    if absent:
+        raise ValueError(f"Updates for {target} lack {', '.join(absent)}")
+    ensure_registered(spark, target, root)
+    if table_exists(spark, db, t):
+        kinds = {f.name: f.dataType.simpleString() for f in spark.table(table_name(db, t)).schema.fields}
+        other = [f.name for f in updates.schema.fields if kinds.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString()]
+        if other:
+            raise ValueError(f"Updates for {target} have other types than it: {', '.join(other)}")
+    updates = _one_per_key(updates, keys, [order_by] if isinstance(order_by, str) else list(order_by or []))
     if not table_exists(spark, db, t):
         return replace_target(updates, target, partition_by=partition_by, root=root,
                               keep_versions=keep_versions, rebalance=rebalance)

@@ -23,6 +23,15 @@ JSON_EXTENSION = ".json"
 # ------------------------------------------------------------------------------------
 
 
+#: Options under which CSV text survives a round trip: blanks, padding, quotes
+#: and line breaks stay, an unquoted empty field is NULL and a quoted one empty.
+#: Columns are positional, so a header that disagrees with the schema fails
+#: instead of shifting values. ``multiLine`` reads each file in one task: pass
+#: ``multiLine=False`` for large files known to hold no line breaks in values.
+CSV_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+               "nullValue": "\0", "emptyValue": "", "multiLine": True, "enforceSchema": False}
+
+
 def detect_format(path: str) -> str:
     """``"json"`` for a ``.json`` path (any case), ``"csv"`` otherwise."""
     ext = os.path.splitext(path)[1].lower()
@@ -32,13 +41,11 @@ def detect_format(path: str) -> str:
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | str | None = None,
              header: bool = True, recursive: bool = False, **options) -> DataFrame:
     """Header CSV. Without a schema every column is a string (no inference)."""
-    reader = spark.read.option("header", header)
+    reader = spark.read.options(header=header, **{**CSV_OPTIONS, **options})
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     if schema is not None:
         reader = reader.schema(schema)
-    for k, v in options.items():
-        reader = reader.option(k, v)
     return reader.csv(path)
 
 
@@ -83,10 +90,7 @@ def read_partitioned(spark: SparkSession, root: str, fmt: str = "csv",
     """
     reader = spark.read.format(fmt).option("basePath", root)
     if fmt == "csv":
-        reader = reader.option("header", options.pop("header", True))
-        # CSV columns are positional: fail on a header that disagrees with
-        # the schema instead of shifting values into the wrong columns.
-        reader = reader.option("enforceSchema", options.pop("enforceSchema", False))
+        options = {"header": True, **CSV_OPTIONS, **options}
     if schema is not None:
         full = partitioned_schema(schema, partition_columns or []) if partition_columns else schema
         reader = reader.schema(full)

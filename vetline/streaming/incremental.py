@@ -10,7 +10,10 @@ validated load as a batch job (stage, validate, dead-letter, switch target).
 replayed with the same id. Both outputs are idempotent under replay:
 
 * the target is upserted by ``keys`` (replaying a batch rewrites the same
-  rows), never fully replaced, which would keep only the newest batch;
+  rows), never fully replaced, which would keep only the newest batch. Rows
+  whose key is null or blank could not be found again, so they are rejected;
+  several rows of one key in a batch need ``order_by``, which also makes the
+  result the same however files fall into batches;
 * rejects go to ``.../day=DD/run_id=batch<id>/`` with overwrite.
 """
 
@@ -24,9 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from vetline.functions.rules import Rule
+from vetline.functions.rules import NOT_NULL, Rule, not_null, read_rules
 from vetline.plans.load import METRICS_SCHEMA, load
 from vetline.session import scratch_path
+from vetline.sources.files import CSV_OPTIONS
 
 log = logging.getLogger(__name__)
 
@@ -48,7 +52,7 @@ def file_stream(spark: SparkSession, source_dir: str, schema: StructType, fmt: s
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if fmt == "csv":
-        reader = reader.option("header", options.pop("header", True))
+        options = {"header": True, **CSV_OPTIONS, **options}
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     for k, v in options.items():
@@ -56,11 +60,14 @@ def file_stream(spark: SparkSession, source_dir: str, schema: StructType, fmt: s
     return reader.load(source_dir)
 
 
-def _batch_loader(target, rules, keys, dlq_path, run_date, partition_by, runs_table, sink: list | None):
+def _batch_loader(target, rules, keys, dlq_path, run_date, partition_by, runs_table, sink: list | None, order_by=None):
+    rules = read_rules(rules)
+    rules += [not_null(k) for k in keys if not any(r.kind == NOT_NULL and r.column == k for r in rules)]
+
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         metrics = load(batch.sparkSession, batch, target, rules, dlq_path=dlq_path, run_date=run_date,
                        run_id=f"batch{batch_id}", mode="upsert", keys=list(keys),
-                       partition_by=partition_by, runs_table=runs_table, dlq_per_run=True)
+                       partition_by=partition_by, runs_table=runs_table, dlq_per_run=True, order_by=order_by)
         if sink is not None:
             sink.extend(tuple(r) for r in metrics.collect())  # one row per batch
     return run_batch
@@ -88,6 +95,7 @@ def load_incremental(
     partition_by: Sequence[str] | str | None = None,
     runs_table: str | None = None,
     mode: str = "upsert",
+    order_by: Sequence[str] | str | None = None,
 ) -> DataFrame:
     """Process everything new in ``source`` (a streaming DataFrame) and stop.
 
@@ -99,7 +107,7 @@ def load_incremental(
     collected: list[tuple] = []
     query = (source.writeStream
              .foreachBatch(_batch_loader(target, rules, keys, dlq_path, run_date, partition_by,
-                                         runs_table, collected))
+                                         runs_table, collected, order_by))
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
@@ -120,6 +128,7 @@ def start_incremental(
     dlq_path: str | None = None,
     partition_by: Sequence[str] | str | None = None,
     runs_table: str | None = None,
+    order_by: Sequence[str] | str | None = None,
 ) -> StreamingQuery:
     """Long-running form: the same validated load every ``interval`` for the
     files that arrived since the last batch. Returns the running query; each
@@ -128,7 +137,7 @@ def start_incremental(
     """
     _check(source, keys, "upsert")
     return (source.writeStream
-            .foreachBatch(_batch_loader(target, rules, keys, dlq_path, None, partition_by, runs_table, None))
+            .foreachBatch(_batch_loader(target, rules, keys, dlq_path, None, partition_by, runs_table, None, order_by))
             .option("checkpointLocation", checkpoint)
             .trigger(processingTime=interval)
             .start())
