@@ -46,7 +46,26 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-@_register("op7_benchmark_decontamination")
+_OP7_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+@_register("op7_benchmark_decontamination", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_OP7_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_OP7_WORDS} AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS win
+            FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS k FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+own AS (SELECT r, n, k, array_to_string(w[k:k + n - 1], ' ') AS win
+        FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT r, n, k, item_id FROM own JOIN windows USING (n, win)),
+counts AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(k, k + n)) AS p FROM hits) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN counts USING (r) LEFT JOIN items USING (r)
+""")
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against every benchmark item."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
