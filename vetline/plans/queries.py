@@ -810,3 +810,136 @@ SELECT doc_id, lang, source, n_chars FROM documents WHERE NOT ({" OR ".join(_DOC
 def documents_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, _ = validate_split(read_table(spark, sf_dir, "documents"), list(DOC_RULES))
     return valid.select("doc_id", "lang", "source", "n_chars")
+
+
+# --- dirty inputs and refused or failing steps (S7, K9, K13, V9, V13, C4, K16, J1) -------------
+
+from vetline.functions.rules import Rule  # noqa: E402
+from vetline.sinks.tables import table_exists, upsert_target  # noqa: E402
+
+
+@register("load_from_catalog_table", _SPLIT_VALID_SQL)
+def load_from_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source, target = _target(spark, "orders_raw"), _target(spark, "orders_clean")
+    db, _, t = source.partition(".")
+    write_table(dirty_orders(spark, sf_dir), db, t, mode="overwrite")
+    load(spark, spark.table(source), target, list(DEFAULT_RULES), dlq_path=scratch_path(spark, "load_dlq"), run_date=RUN_DATE)
+    return spark.table(target)
+
+
+@register("staging_cleaned_after_failure", "SELECT count(*) AS target_rows, CAST(0 AS BIGINT) AS staging_tables FROM orders")
+def staging_cleaned_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    target, staging = _target(spark, "orders_keep"), _target(spark, "orders_stg")
+    replace_target(orders, target)
+
+    def refuse(accepted: DataFrame, valid_count: int) -> str | None:
+        raise RuntimeError(f"publishing {valid_count} rows fails on purpose")
+
+    try:
+        load(spark, orders, target, [], staging=staging, publish=refuse)
+        raise AssertionError("the load should have failed")
+    except RuntimeError:
+        left = int(table_exists(spark, *staging.split(".")))
+    return spark.table(target).agg(F.count(F.lit(1)).alias("target_rows"), F.lit(left).cast("bigint").alias("staging_tables"))
+
+
+@register("rule_unsupported_type", "SELECT o_orderkey, true AS valid FROM orders")
+def rule_unsupported_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = validate(read_table(spark, sf_dir, "orders"), [Rule("checksum", "o_orderpriority")])
+    return checked.select("o_orderkey", (F.size(ERRORS_COL) == 0).alias("valid"))
+
+
+@register("schema_check_refused", "SELECT o_orderkey, o_totalprice, true AS refused FROM orders")
+def schema_check_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    target, refused = _target(spark, "orders_keep"), []
+    replace_target(orders, target)
+    for rows, expected in ((orders.select(F.col("o_orderkey").cast("string"), "o_totalprice"), None), (orders.select("o_orderkey"), None),
+                           (orders, "o_orderkey bigint, o_clerk string")):
+        try:
+            load(spark, rows, target, [], expected_schema=expected)
+        except ValueError:
+            refused.append(True)
+    return spark.table(target).withColumn("refused", F.lit(len(refused) == 3))
+
+
+@register("dlq_failure_load_continues", _with_dirty(f"""
+SELECT 'succeeded' AS status, true AS dlq_failed, count(*) FILTER (WHERE NOT {_ANY_FAIL}) AS target_rows FROM dirty_orders
+"""))
+def dlq_failure_load_continues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _target(spark, "orders_clean")
+    metrics = load(spark, dirty_orders(spark, sf_dir), target, list(DEFAULT_RULES), dlq_path="nosuchfilesystem://dlq", run_date=RUN_DATE)
+    rows = spark.table(target).agg(F.count(F.lit(1)).alias("target_rows"))
+    return metrics.select("status", F.col("dlq_status").startswith("failed").alias("dlq_failed")).join(rows)
+
+
+@register("upsert_duplicate_keys", """
+SELECT o_custkey, o_orderkey, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS k FROM orders) WHERE k = 1
+""")
+def upsert_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
+    target = _target(spark, "last_order")
+    first = orders.where("o_orderkey % 2 = 0")
+    upsert_target(first, target, ["o_custkey"], order_by=["o_orderdate", "o_orderkey"])
+    upsert_target(orders, target, ["o_custkey"], order_by=["o_orderdate", "o_orderkey"])
+    return spark.table(target).drop("o_orderdate")
+
+
+@register("upsert_null_keys_replayed", """
+SELECT CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderkey END AS k, o_totalprice, 'rejected' AS kept
+FROM orders WHERE o_orderkey % 10 = 0
+UNION ALL
+SELECT o_orderkey, o_totalprice, 'loaded' FROM orders WHERE o_orderkey % 10 <> 0
+""")
+def upsert_null_keys_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # One drop delivered twice as two files: keys that are null go to the DLQ, the others are loaded once.
+    k = F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderkey")).alias("k")
+    rows = read_table(spark, sf_dir, "orders").select(k, "o_totalprice")
+    src, dlq, ckpt = (scratch_path(spark, "nulls", p) for p in ("in", "dlq", "ck"))
+    target = _target(spark, "null_keys")
+    for _ in range(2):
+        rows.write.mode("append").option("header", True).csv(src)
+        load_incremental(spark, file_stream(spark, src, rows.schema), target, [], keys=["k"], checkpoint=ckpt, dlq_path=dlq, run_date=RUN_DATE)
+    rejected = read_dlq(spark, dlq).where("run_id = 'batch0'").select("k", "o_totalprice", F.lit("rejected").alias("kept"))
+    return rejected.unionByName(spark.table(target).withColumn("kept", F.lit("loaded")))
+
+
+_CSV_TEXT = """
+SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN concat('  ', text, ' ')
+                               WHEN 3 THEN concat('"', text, '",') ELSE text END AS text
+FROM documents
+"""
+
+
+@register("csv_text_roundtrip", _CSV_TEXT)
+def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read_table(spark, sf_dir, "documents").createOrReplaceTempView("vetline_documents")
+    rows = spark.sql(_CSV_TEXT.replace("documents", "vetline_documents")).withColumn("at", F.expr("timestamp '2024-01-01 00:00:00'"))
+    root = scratch_path(spark, "csv_text")
+    write_hourly(rows, "at", root)
+    return read_partitioned(spark, root, schema=rows.schema, partition_columns=["year", "month", "day", "hour"]).select("doc_id", "text")
+
+
+@register("lookup_right_join_hot_fanout", """
+SELECT o.o_orderkey, c.c_custkey, c.c_name
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0 THEN 1 ELSE o_custkey END AS o_custkey FROM orders) o
+RIGHT JOIN customer c ON o.o_custkey = c.c_custkey
+""")
+def lookup_right_join_hot_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Nine lookup rows in ten share one key: it is dealt on both sides.
+    key = F.when(F.col("o_orderkey") % 10 != 0, F.lit(1).cast("bigint")).otherwise(F.col("o_custkey")).alias("o_custkey")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", key)
+    customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return lookup_right_join(orders, customers, "o_custkey", records_key="c_custkey", broadcast=False, salt_buckets=8).drop("o_custkey")
+
+
+@register("load_dlq_partitioned", _with_dirty(f"""
+SELECT o_orderkey, vendor_id FROM dirty_orders WHERE {_ANY_FAIL}
+"""))
+def load_dlq_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Rejects keep blank and empty values of the column that partitions the target.
+    target, dlq = _target(spark, "orders_by_vendor"), scratch_path(spark, "load_dlq")
+    load(spark, dirty_orders(spark, sf_dir), target, list(DEFAULT_RULES), partition_by="vendor_id", dlq_path=dlq, run_date=RUN_DATE)
+    return read_dlq(spark, dlq).select("o_orderkey", "vendor_id")
