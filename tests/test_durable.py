@@ -98,6 +98,18 @@ def test_upsert_refuses_other_types_and_absent_columns(spark):
         upsert_target(spark.createDataFrame([(1, "a", "2")], "k int, p string, n string"), target, ["k"], partition_by="p")
 
 
+def test_a_batch_rewrites_only_the_buckets_of_its_keys(spark):
+    target = f"{DB}.{unique_name('t')}"
+    whole = spark.range(200).selectExpr("id AS k", "'old' AS v")
+    upsert_target(whole, target, ["k"], buckets=8)
+    assert spark.table(target).columns == ["k", "v"]
+    before = set(spark.table(target).inputFiles())
+    upsert_target(spark.createDataFrame([(3, "new"), (999, "new")], "k long, v string"), target, ["k"], buckets=8)
+    after = set(spark.table(target).inputFiles())
+    assert len(before & after) >= 6 and len({f.rsplit("/", 2)[1] for f in after - before}) <= 2
+    assert {(r.k, r.v) for r in spark.table(target).collect()} == {(k, "new" if k == 3 else "old") for k in range(200)} | {(999, "new")}
+
+
 class TestRepeatedKeys:
     def test_refused_or_ordered(self, spark):
         target = f"{DB}.{unique_name('t')}"

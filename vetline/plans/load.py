@@ -92,6 +92,7 @@ def load(
     publish: Callable[[DataFrame, int], str | None] | None = None,
     expected_schema=None,
     order_by: Sequence[str] | str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Run one validated load of ``source`` into ``target``; return a one-row
     metrics DataFrame (also appended to ``runs_table`` when given).
@@ -106,7 +107,8 @@ def load(
     this is the pre-merge schema check).
 
     ``order_by`` lets an upsert take several rows of one key: the last by these
-    columns stands.
+    columns stands. ``buckets`` keeps an upsert target in that many hash
+    buckets of the key (see ``upsert_target``).
 
     ``publish(accepted, valid_count)`` replaces the default target switch
     (catalog table replace or upsert), e.g. ``jdbc_publisher(...)`` for a
@@ -209,7 +211,7 @@ def load(
             metrics["status"] = "succeeded"
             return _finish(spark, metrics, runs_table)
         out = upsert_target(accepted, target, keys, partition_by=partition_by, root=target_root,
-                            keep_versions=keep_versions, order_by=order_by)
+                            keep_versions=keep_versions, order_by=order_by, buckets=buckets)
         metrics["target_version"] = out["version"]
         metrics["status"] = "succeeded"
         return _finish(spark, metrics, runs_table)

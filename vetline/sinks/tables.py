@@ -53,6 +53,8 @@ _VERSION_DIR = re.compile(r"^_v\d{14}")
 _MANIFESTS = "_manifests"
 _ADD_BATCH = 500
 _POINTERS = "_versions"
+#: Hidden partition column of bucketed upsert targets.
+BUCKET = "_vetline_bucket"
 _MAX_BROADCAST_KEYS = 1_000_000
 _MAX_BROADCAST_KEY_BYTES = 128 << 20
 _DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -450,9 +452,10 @@ def _publish_partitioned(spark: SparkSession, db: str, t: str, root: str, versio
         spark.sql(f"ALTER TABLE {phys} ADD IF NOT EXISTS {clauses}")
     if extra:
         _write_manifest(spark, root, version, {**extra, **{p: data_path for p in own}})
+    ordered = [f for f in schema.fields if f.name not in keys] + [f for f in schema.fields if f.name in keys]
     spark.sql(f"CREATE OR REPLACE VIEW {table_name(db, t)} "
               f"TBLPROPERTIES ('{_VERSION_PROP}' = '{version}', '{_DATA_PROP}' = '{data_path}') "
-              f"AS SELECT * FROM {phys}")
+              f"AS SELECT {', '.join(f'`{f.name}`' for f in ordered if f.name != BUCKET)} FROM {phys}")
 
 
 def _touched_rows(current: DataFrame, updates: DataFrame, parts: list[str]) -> DataFrame:
@@ -559,7 +562,7 @@ def _one_per_key(updates: DataFrame, keys: list[str], order_by: list[str]) -> Da
 def upsert_target(updates: DataFrame, target: str, keys: Sequence[str],
                   partition_by: Sequence[str] | str | None = None, root: str | None = None,
                   keep_versions: int = 2, partition_scoped: bool = True, rebalance: bool = True,
-                  order_by: Sequence[str] | str | None = None) -> dict:
+                  order_by: Sequence[str] | str | None = None, buckets: int | None = None) -> dict:
     """Insert-or-replace rows of ``target`` by ``keys``, then switch versions.
 
     A key may occur once in ``updates``; with ``order_by`` it may occur more
@@ -575,8 +578,18 @@ def upsert_target(updates: DataFrame, target: str, keys: Sequence[str],
 
     For a partitioned target whose partition columns are all among ``keys``,
     only the partitions the updates touch are read and rewritten
-    (``partition_scoped``); otherwise the whole target is rewritten.
+    (``partition_scoped``); otherwise the whole target is rewritten. A target
+    without such columns can be kept in ``buckets`` by a hash of the key: a
+    hidden partition that the target's view leaves out, so that a batch
+    rewrites only the buckets its keys fall in. Pass the same number every
+    time; choose it for buckets of a few hundred MB.
     """
+    if buckets:
+        if partition_by:
+            raise ValueError("buckets are for targets without partition columns")
+        bucket = F.pmod(F.xxhash64(*[col_ref(k) for k in keys]), F.lit(int(buckets))).cast("int")
+        return upsert_target(updates.withColumn(BUCKET, bucket), target, [*keys, BUCKET], partition_by=BUCKET, root=root,
+                             keep_versions=keep_versions, rebalance=rebalance, order_by=order_by)
     spark = updates.sparkSession
     db, t = _split(target)
     keys = list(keys)

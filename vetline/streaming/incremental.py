@@ -60,14 +60,14 @@ def file_stream(spark: SparkSession, source_dir: str, schema: StructType, fmt: s
     return reader.load(source_dir)
 
 
-def _batch_loader(target, rules, keys, dlq_path, run_date, partition_by, runs_table, sink: list | None, order_by=None):
+def _batch_loader(target, rules, keys, dlq_path, run_date, partition_by, runs_table, sink: list | None, order_by=None, buckets=None):
     rules = read_rules(rules)
     rules += [not_null(k) for k in keys if not any(r.kind == NOT_NULL and r.column == k for r in rules)]
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         metrics = load(batch.sparkSession, batch, target, rules, dlq_path=dlq_path, run_date=run_date,
                        run_id=f"batch{batch_id}", mode="upsert", keys=list(keys),
-                       partition_by=partition_by, runs_table=runs_table, dlq_per_run=True, order_by=order_by)
+                       partition_by=partition_by, runs_table=runs_table, dlq_per_run=True, order_by=order_by, buckets=buckets)
         if sink is not None:
             sink.extend(tuple(r) for r in metrics.collect())  # one row per batch
     return run_batch
@@ -96,6 +96,7 @@ def load_incremental(
     runs_table: str | None = None,
     mode: str = "upsert",
     order_by: Sequence[str] | str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Process everything new in ``source`` (a streaming DataFrame) and stop.
 
@@ -107,7 +108,7 @@ def load_incremental(
     collected: list[tuple] = []
     query = (source.writeStream
              .foreachBatch(_batch_loader(target, rules, keys, dlq_path, run_date, partition_by,
-                                         runs_table, collected, order_by))
+                                         runs_table, collected, order_by, buckets))
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
@@ -129,6 +130,7 @@ def start_incremental(
     partition_by: Sequence[str] | str | None = None,
     runs_table: str | None = None,
     order_by: Sequence[str] | str | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Long-running form: the same validated load every ``interval`` for the
     files that arrived since the last batch. Returns the running query; each
@@ -137,7 +139,7 @@ def start_incremental(
     """
     _check(source, keys, "upsert")
     return (source.writeStream
-            .foreachBatch(_batch_loader(target, rules, keys, dlq_path, None, partition_by, runs_table, None, order_by))
+            .foreachBatch(_batch_loader(target, rules, keys, dlq_path, None, partition_by, runs_table, None, order_by, buckets))
             .option("checkpointLocation", checkpoint)
             .trigger(processingTime=interval)
             .start())
