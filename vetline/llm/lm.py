@@ -46,7 +46,7 @@ HEAD = 1 << 18
 FIRST_TEXTS, FIRST_PASSES = 1_000, 4
 FIRST_RATE, RATE = 0.01, 0.003
 #: Words held at a time while learning and scoring.
-GROUP_WORDS = 2_000_000
+GROUP_WORDS = 1_000_000
 
 
 @dataclass

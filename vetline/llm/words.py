@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _P = np.uint64(0x9E3779B97F4A7C55)            # odd, so it has an inverse modulo 2**64
 _P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
