@@ -198,6 +198,66 @@ class TestLicences:
         assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
         assert licences.scan(df.limit(0)).count() == 0
 
+    APACHE = ("Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\n"
+              "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n"
+              "Unless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\n"
+              "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\n"
+              "See the License for the specific language governing permissions and\nlimitations under the License.\n")
+    GPL = ("This program is free software{a} you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+           "the Free Software Foundation{b} either version {n} of the License, or\n(at your option) any later version.\n\n"
+           "This program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY{c} without even the implied warranty of\n"
+           "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.\n")
+    BSD = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n"
+           "1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n"
+           "2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n"
+           "   and/or other materials provided with the distribution.\n")
+    MPL = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v{} 2.0."
+    MPL_COPY = " If a copy of the MPL was not distributed with this\nfile, You can obtain one at {}://mozilla.org/MPL/2.0/.\n"
+    #: Public notices word for word, and the licences that a reader finds in them.
+    PUBLIC = [
+        ("Licensed under the Apache License, Version 2.0.", ["Apache-2.0"]),
+        (APACHE, ["Apache-2.0"]), (APACHE.replace("http:", "https:"), ["Apache-2.0"]),
+        ("".join(f"# {line}".rstrip() + "\n" for line in APACHE.splitlines()), ["Apache-2.0"]),
+        ("".join(f" * {line}".rstrip() + "\n" for line in APACHE.replace("http:", "https:").splitlines()), ["Apache-2.0"]),
+        (APACHE.replace(" at\n\n   ", " at"), ["Apache-2.0"]), (APACHE.replace(" at\n\n   ", " at").replace("http:", "https:"), ["Apache-2.0"]),
+        ("# SPDX-License-Identifier: Apache-2.0\nimport os\n", ["Apache-2.0"]), ("// SPDX-License-Identifier:Apache-2.0\n", ["Apache-2.0"]),
+        ("/* SPDX-License-Identifier: MIT */", ["MIT"]), ("SPDX-License-Identifier:MIT", ["MIT"]),
+        ("-- SPDX-License-Identifier: GPL-3.0-only\r\n", ["GPL-3.0-only"]), ("SPDX-License-Identifier:GPL-3.0-only", ["GPL-3.0-only"]),
+        ("SPDX-License-Identifier: GPL-3.0-or-later", ["GPL-3.0-or-later"]), ("SPDX-License-Identifier:GPL-3.0-or-later", ["GPL-3.0-or-later"]),
+        ("# SPDX-License-Identifier: GPL-2.0-only\n", ["GPL-2.0-only"]), ("SPDX-License-Identifier:GPL-2.0-only", ["GPL-2.0-only"]),
+        ("SPDX-License-Identifier: Zlib\n", []), ("MIT", []), ("Version 2.0. Only Apache 2.0.", []),
+        ("This code is released under the MIT License.\nReleased under the MIT License.", ["MIT"]), ("Licensed under the MIT License.", ["MIT"]), (MIT, ["MIT"]),
+        ("This work is licensed under the GNU General Public License version 3.", ["GPL-3.0-only"]),
+        ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0-only"]),
+        (GPL.format(a=":", b=",", c=";", n=3), ["GPL-3.0-or-later"]), (GPL.format(a=":", b=";", c=";", n=3), ["GPL-3.0-or-later"]),
+        (GPL.format(a=",", b=",", c=",", n=3), ["GPL-3.0-or-later"]), (GPL.format(a=",", b=",", c=",", n=2), ["GPL-2.0-or-later"]),
+        (GPL.format(a=";", b=";", c=";", n=2), ["GPL-2.0-or-later"]), (GPL.format(a=";", b=",", c=";", n=2), ["GPL-2.0-or-later"]),
+        ("".join(f"# {line}".rstrip() + "\n" for line in GPL.format(a=";", b=";", c=";", n=2).splitlines()), ["GPL-2.0-or-later"]),
+        ("Licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0"]), ("Licensed under CC BY 4.0.", ["CC-BY-4.0"]), ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA-4.0"]),
+        ("This work is licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International License.", ["CC-BY-NC-4.0"]),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", ["CC-BY-4.0"]),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", ["CC-BY-SA-4.0"]),
+        ("To the extent possible under law, the author has waived all copyright and related\nor neighboring rights to this work.", ["CC0-1.0"]),
+        (BSD, ["BSD-2-Clause"]),
+        (BSD + "\n3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n"
+         "   this software without specific prior written permission.\n", ["BSD-3-Clause"]),
+        (MPL.format("."), ["MPL-2.0"]), (MPL.format(".") + MPL_COPY.format("https"), ["MPL-2.0"]), (MPL.format(".") + MPL_COPY.format("http"), ["MPL-2.0"]),
+        (MPL.format("") + MPL_COPY.format("https"), ["MPL-2.0"]),
+        ("This is free and unencumbered software released into the public domain.", ["Unlicense"])]
+
+    def test_every_rule_finds_its_public_text(self, spark):
+        df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(self.PUBLIC)], "doc_id long, text string")
+        got = {r.doc_id: r.licences for r in licences.scan(df).collect()}
+        assert [(t, got[k]) for k, (t, _) in enumerate(self.PUBLIC)] == self.PUBLIC
+        cuts = df.select("doc_id", *[licences.sentence_ids(df.text, ends).alias(name) for name, ends in
+                                     (("line", licences.BY_LINE), ("paragraph", licences.BY_PARAGRAPH))]).collect()
+        seen = [("".join(f"<{i}>" for i in ids), self.PUBLIC[r.doc_id][1]) for r in cuts for ids in (r.line, r.paragraph)]
+        unused = [rule for rule in licences.RULES if not any(licences.Rule(rule[0], tuple(rule[1])).pattern in ids and rule[0] in want for ids, want in seen)]
+        assert unused == []
+        docs = df.toPandas()  # noqa: F841 - read by DuckDB
+        rows = duckdb.sql(licences.duckdb_sql("docs")).fetchall()
+        assert {r[0]: r[1] for r in rows} == {k: ",".join(v) for k, v in got.items()}
+
     def test_markers_cover_every_sentence(self):
         marks = licences.marker_words(licences.SENTENCES)
         assert all(any(m in s for m in marks) for s in licences.SENTENCES.values())

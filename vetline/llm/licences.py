@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from vetline.llm.frames import fresh
 
 # Sentences of public licence texts and notices, normalised; a sentence's identifier is its key.
+# A sentence that runs across a mark or a blank line is held as the parts that the cuts below make of it, and whole for
+# spellings without the mark.
 SENTENCES = {
     101: "licensed under the apache license version 2 0",
     102: "licensed under the apache license version 2 0 the license",
@@ -35,6 +37,17 @@ SENTENCES = {
          "an as is basis without warranties or conditions of any kind either express or implied",
     106: "see the license for the specific language governing permissions and limitations under the license",
     107: "spdx license identifier apache 2 0",
+    108: "apache 2 0",
+    109: "you may obtain a copy of the license at",
+    110: "http www apache org licenses license 2 0",
+    111: "https www apache org licenses license 2 0",
+    112: "you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or "
+         "agreed to in writing software distributed under the license is distributed on an as is basis without warranties or "
+         "conditions of any kind either express or implied",
+    113: "you may obtain a copy of the license at https www apache org licenses license 2 0 unless required by applicable law or "
+         "agreed to in writing software distributed under the license is distributed on an as is basis without warranties or "
+         "conditions of any kind either express or implied",
+    114: "you may obtain a copy of the license at https www apache org licenses license 2 0",
     201: "released under the mit license",
     202: "licensed under the mit license",
     203: "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
@@ -46,6 +59,7 @@ SENTENCES = {
     205: "the software is provided as is without warranty of any kind express or implied including but not limited to the "
          "warranties of merchantability fitness for a particular purpose and noninfringement",
     206: "spdx license identifier mit",
+    207: "mit",
     301: "this work is licensed under the gnu general public license version 3",
     302: "this work is licensed under the gnu general public license version 2",
     303: "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
@@ -60,6 +74,20 @@ SENTENCES = {
     307: "spdx license identifier gpl 3 0 only",
     308: "spdx license identifier gpl 3 0 or later",
     309: "spdx license identifier gpl 2 0 only",
+    310: "gpl 3 0 only",
+    311: "gpl 3 0 or later",
+    312: "gpl 2 0 only",
+    313: "this program is free software",
+    314: "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free "
+         "software foundation either version 3 of the license or at your option any later version",
+    315: "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free "
+         "software foundation either version 2 of the license or at your option any later version",
+    316: "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free "
+         "software foundation",
+    317: "either version 3 of the license or at your option any later version",
+    318: "either version 2 of the license or at your option any later version",
+    319: "this program is distributed in the hope that it will be useful but without any warranty",
+    320: "without even the implied warranty of merchantability or fitness for a particular purpose",
     401: "licensed under cc by nc 4 0",
     402: "licensed under cc by 4 0",
     403: "licensed under cc by sa 4 0",
@@ -77,26 +105,44 @@ SENTENCES = {
          "products derived from this software without specific prior written permission",
     601: "this source code form is subject to the terms of the mozilla public license v 2 0",
     602: "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    603: "this source code form is subject to the terms of the mozilla public license v",
+    604: "2 0",
+    605: "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
     701: "this is free and unencumbered software released into the public domain",
+    801: "spdx license identifier",
 }
 
 # Ordered rules, each the licence it stands for (SPDX identifier) and its sentences.
 RULES = [
     ("Apache-2.0", [101]),
     ("Apache-2.0", [107]),
+    ("Apache-2.0", [801, 108]),
     ("Apache-2.0", [102, 103, 104, 105, 106]),
+    ("Apache-2.0", [102, 103, 114, 105, 106]),
+    ("Apache-2.0", [102, 103, 109, 110, 105, 106]),
+    ("Apache-2.0", [102, 103, 109, 111, 105, 106]),
+    ("Apache-2.0", [102, 103, 112, 106]),
+    ("Apache-2.0", [102, 103, 113, 106]),
     ("Apache-2.0", [102, 103]),
     ("MIT", [201]),
     ("MIT", [202]),
     ("MIT", [206]),
+    ("MIT", [801, 207]),
     ("MIT", [203, 204, 205]),
     ("GPL-3.0-only", [301]),
     ("GPL-3.0-only", [307]),
+    ("GPL-3.0-only", [801, 310]),
     ("GPL-2.0-only", [302]),
     ("GPL-2.0-only", [309]),
+    ("GPL-2.0-only", [801, 312]),
     ("GPL-3.0-or-later", [308]),
+    ("GPL-3.0-or-later", [801, 311]),
     ("GPL-3.0-or-later", [303, 305, 306]),
+    ("GPL-3.0-or-later", [313, 314, 319, 320, 306]),
+    ("GPL-3.0-or-later", [313, 316, 317, 319, 320, 306]),
     ("GPL-2.0-or-later", [304, 305, 306]),
+    ("GPL-2.0-or-later", [313, 315, 319, 320, 306]),
+    ("GPL-2.0-or-later", [313, 316, 318, 319, 320, 306]),
     ("CC-BY-NC-4.0", [401]),
     ("CC-BY-NC-4.0", [405]),
     ("CC-BY-4.0", [402]),
@@ -108,6 +154,9 @@ RULES = [
     ("BSD-3-Clause", [501, 502, 503, 504]),
     ("MPL-2.0", [601, 602]),
     ("MPL-2.0", [601]),
+    ("MPL-2.0", [603, 604, 602]),
+    ("MPL-2.0", [603, 604, 605]),
+    ("MPL-2.0", [603, 604]),
     ("Unlicense", [701]),
 ]
 
