@@ -146,6 +146,20 @@ class TestGru:
         assert many == pytest.approx(alone, rel=1e-4)
         assert len(gru.log_likelihoods(model, flat[:0], np.array([0]), 3)) == 0
 
+    def test_training_learns_from_every_word(self):
+        model, seen = self.model(), []
+        plain = model._output
+
+        def output(states, y, weight):
+            seen.extend(y[weight > 0].tolist())
+            return plain(states, y, weight)
+
+        model._output = output
+        texts = [np.random.default_rng(k).integers(0, 8, n) for k, n in enumerate((700, 0, 3, 330))]
+        want = [w for t in texts for w in [*t.tolist(), 3]]
+        assert gru.train(model, texts, 3, 0.01, lanes=10, window=16) == len(want) == 1037
+        assert sorted(seen) == sorted(want)
+
 
 TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 

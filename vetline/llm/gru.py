@@ -112,12 +112,18 @@ class Gru:
                 grads["bo"][a:b] = d.sum(axis=0)
         return out, back, grads
 
-    def learn(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.ndarray, rate: float) -> tuple[np.ndarray, float]:
-        """One step of Adam on a window; returns the state to carry on and the mean log-probability."""
+    def learn(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.ndarray, rate: float,
+              real: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+        """One step of Adam on a window; returns the state to carry on and the mean log-probability.
+
+        ``real`` tells the window's words from what only fills it up; all are words without it.
+        """
         H, u = self.hidden, self.p["u"]
         states, kept = self.run(x, fresh, h, keep=True)
         flat = states.reshape(-1, H)
-        logs, back, grads = self._output(flat, y.ravel(), np.full(y.size, 1 / y.size, np.float32))
+        weight = np.ones(y.size, np.float32) if real is None else real.ravel().astype(np.float32)
+        weight /= weight.sum()
+        logs, back, grads = self._output(flat, y.ravel(), weight)
         back = back.reshape(states.shape)
         grads["u"], grads["table"] = np.zeros_like(u), np.zeros_like(self.p["table"])
         inputs = np.empty((*x.shape, 3 * H), np.float32)
@@ -139,7 +145,7 @@ class Gru:
         heads = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
         grads["table"][words[heads]] = np.add.reduceat(inputs.reshape(-1, 3 * H)[order], heads, axis=0)
         self._step(grads, rate)
-        return states[-1], float(logs.mean())
+        return states[-1], float((logs * weight).sum())
 
     def _step(self, grads: dict, rate: float) -> None:
         if self._moments is None:
@@ -161,7 +167,8 @@ def train(model: Gru, texts: list[np.ndarray], end: int, rate: float, lanes: int
     """One pass over texts (arrays of word numbers); returns how many words, ends included, were learnt from.
 
     The texts follow one another in ``lanes`` strands of equal length, with the
-    state carried along each strand. Few words make fewer strands.
+    state carried along each strand. Few words make fewer strands. The last
+    strands are filled up with ends that nothing is learnt from.
     """
     if not texts:
         return 0
@@ -169,12 +176,13 @@ def train(model: Gru, texts: list[np.ndarray], end: int, rate: float, lanes: int
     before = np.concatenate(([end], stream[:-1]))
     first = before == end
     lanes = max(1, min(lanes, len(stream) // window))
-    steps = len(stream) // lanes
-    x, y, fresh = (a[:lanes * steps].reshape(lanes, steps).T for a in (before, stream, first))
+    steps = -(-len(stream) // lanes)
+    x, y, fresh, real = (np.pad(a, (0, lanes * steps - len(a)), constant_values=fill).reshape(lanes, steps).T
+                         for a, fill in ((before, end), (stream, end), (first, True), (np.ones(len(stream), bool), False)))
     h = np.zeros((lanes, model.hidden), np.float32)
     for t in range(0, steps, window):
-        h, _ = model.learn(x[t:t + window], y[t:t + window], fresh[t:t + window], h, rate)
-    return lanes * steps
+        h, _ = model.learn(x[t:t + window], y[t:t + window], fresh[t:t + window], h, rate, real[t:t + window])
+    return len(stream)
 
 
 def log_likelihoods(model: Gru, words: np.ndarray, bounds: np.ndarray, end: int, lanes: int = LANES, window: int = WINDOW) -> np.ndarray:
