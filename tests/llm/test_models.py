@@ -192,6 +192,17 @@ class TestLm:
         held = [r for r in got if r.id is not None and r.id % 4 == 1 and r.id < 1000]
         assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
+    def test_first_texts_are_drawn_by_all_tasks_and_exactly(self, spark):
+        rows = [(k, "copy" if k % 3 == 0 else f"text {k}") for k in range(3000)]
+        texts = spark.createDataFrame(rows, "id long, text string").repartition(6)
+        got = lm.first_texts(texts, 3000, 90)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrdered" in plan and "Coalesce" not in plan
+        drawn = [r.text for r in got.collect()]
+        assert len(drawn) == 90 and 10 <= drawn.count("copy") <= 55
+        assert sorted(drawn) == sorted(r.text for r in lm.first_texts(texts.repartition(2), 3000, 90).collect())
+        assert got.rdd.getNumPartitions() == 1 and lm.first_texts(texts, 3000, 5000).count() == 3000
+
     def test_no_training_text_and_no_text(self, spark):
         docs = documents(spark, [(1, "a b"), (2, None)])
         scored, corpus = lm.score(docs, F.lit(False))

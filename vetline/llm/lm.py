@@ -8,8 +8,8 @@ Tokens are words between ASCII white space, A-Z lowered, and one end per text.
    words share one entry, from which a word is drawn in proportion to its
    count plus one. So the model gives every text a probability, unseen words
    included.
-3. The model (``gru``) starts from a few training texts in one task, then every
-   task learns from all the training texts of its partition, and the results
+3. The model (``gru``) starts from a few training texts in one task, drawn by
+   all tasks together by a hash of id and text, then every task learns from all the training texts of its partition, and the results
    are averaged by the words each has learnt from.
 4. Every text is scored whole, in one pass over the documents. Counts of the
    ``HEAD`` most frequent words go to the tasks (their number is fixed); the
@@ -42,7 +42,7 @@ HIDDEN = 16
 CLASSES = 32
 #: Words whose counts are sent to every task.
 HEAD = 1 << 18
-#: Training texts, at most about, that the first model is learnt from, and passes over them.
+#: Training texts, at most, that the first model is learnt from, and passes over them.
 FIRST_TEXTS, FIRST_PASSES = 1_000, 4
 FIRST_RATE, RATE = 0.01, 0.003
 #: Words held at a time while learning and scoring.
@@ -159,14 +159,22 @@ def _averaged(texts: DataFrame, vocabulary: Vocabulary, start: np.ndarray | None
     return (got["v"].to_numpy()[order] / got["w"].to_numpy()[order]).astype(np.float32)
 
 
+def first_texts(texts: DataFrame, among: int, n: int = FIRST_TEXTS) -> DataFrame:
+    """The ``n`` rows of ``texts`` (columns id and text, ``among`` rows) with the least hashes of both, in one partition.
+
+    All tasks read and hash; only about 4n rows, and at most n a task, pass to the one that orders them.
+    """
+    drawn = texts.withColumn("draw", F.shiftrightunsigned(F.xxhash64("id", "text", F.lit("first")), 11))
+    likely = drawn if among <= 4 * n else drawn.where(F.col("draw") < int(2 ** 53 * (4 * n / among)))
+    return likely.orderBy("draw").limit(n).select("text")
+
+
 def learn(texts: DataFrame, corpus: Corpus, vocabulary: Vocabulary) -> np.ndarray | None:
-    """Parameters of the recurrent model learnt from all rows of ``texts`` (column text)."""
+    """Parameters of the recurrent model learnt from all rows of ``texts`` (columns id and text)."""
     if not corpus.texts:
         return None
-    draw = F.pmod(F.xxhash64(F.col("text"), F.lit("first")), F.lit(1_000_000))
-    first = texts.where(draw < max(1, int(1e6 * min(1.0, FIRST_TEXTS / corpus.texts)))).coalesce(1)
-    start = _averaged(first, vocabulary, None, FIRST_PASSES, FIRST_RATE)
-    return _averaged(texts, vocabulary, start, 1, RATE)
+    start = _averaged(first_texts(texts, corpus.texts), vocabulary, None, FIRST_PASSES, FIRST_RATE)
+    return _averaged(texts.select("text"), vocabulary, start, 1, RATE)
 
 
 def _scorer(vocabulary: Vocabulary, corpus: Corpus, parameters: np.ndarray | None):
@@ -211,8 +219,8 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
 
     Columns: id, n_tokens, n_known, base_score, score; logarithms to base 10.
     """
-    texts = docs.where(F.coalesce(training, F.lit(True))).select(F.col(text_col).alias("text"))
-    corpus = count(texts)
+    texts = docs.where(F.coalesce(training, F.lit(True))).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    corpus = count(texts.select("text"))
     vocabulary = Vocabulary(corpus)
     parameters = learn(texts, corpus, vocabulary)
     id_type = docs.schema[id_col].dataType.simpleString()
