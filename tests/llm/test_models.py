@@ -110,6 +110,19 @@ class TestGru:
     def model(self, hidden=5):
         return gru.Gru(np.array([50, 30, 20, 10, 5, 5, 2, 1]), hidden, 3)
 
+    def test_trees_of_large_classes(self, monkeypatch):
+        monkeypatch.setattr(gru, "FEW", 2)
+        assert self.model().deep.any() and not self.model().deep.all()
+        plain = np.exp(self.model().log_probabilities(np.zeros((8, 5), np.float32), np.arange(8)))
+        assert plain == pytest.approx(np.array([51, 31, 21, 11, 6, 6, 3, 2]) / 131, abs=1e-5)  # starts from the counts
+        self.test_gradient()
+        self.test_probabilities_sum_to_one_and_lanes_do_not_matter()
+        model = self.model()
+        gru.train(model, [np.array([1, 5, 5, 0, 7])], 3, 0.01)
+        other = self.model()
+        other.load(model.rows())
+        assert all((other.p[k] == v).all() for k, v in model.p.items())
+
     def test_gradient(self):
         model, rng = self.model(), np.random.default_rng(0)
         x, y = rng.integers(0, 8, (6, 4)), rng.integers(0, 8, (6, 4))
@@ -203,6 +216,18 @@ class TestLm:
         assert sorted(drawn) == sorted(r.text for r in lm.first_texts(texts.repartition(2), 3000, 90).collect())
         assert got.rdd.getNumPartitions() == 1 and lm.first_texts(texts, 3000, 5000).count() == 3000
 
+    def test_vocabulary_grows_with_the_corpus(self, spark):
+        rng, sizes = random.Random(3), []
+        for n in (2_000, 40_000):
+            words_ = [f"w{int(rng.paretovariate(0.15))}" for _ in range(n * 10)]
+            corpus = lm.count(spark.createDataFrame([(" ".join(words_[k::200]),) for k in range(200)], "text string"))
+            voc = lm.Vocabulary(corpus)
+            counted = collections.Counter(words_)
+            known = sum(c for w, c in counted.items() if voc.number(np.array([words.hash_word(w)], np.uint64))[0] != voc.other)
+            assert known >= min(lm.SHARE * n * 10, sum(c for c in counted.values() if c > 1)) - 200
+            sizes.append(len(voc.names))
+        assert sizes[1] > 3 * 1022 and sizes[1] > 3 * sizes[0]
+
     def test_no_training_text_and_no_text(self, spark):
         docs = documents(spark, [(1, "a b"), (2, None)])
         scored, corpus = lm.score(docs, F.lit(False))

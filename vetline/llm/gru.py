@@ -3,10 +3,13 @@
 Words of a fixed vocabulary are numbered by falling frequency. The output
 softmax is factored: a class is predicted first, then the word in its class;
 classes are runs of the numbering with about equal shares of the square root
-of frequency, so frequent words sit in small classes. Texts run in parallel
+of frequency, so frequent words sit in small classes. In a class of more than
+``FEW`` words, a word is told by a binary tree over the class's run, whose
+nodes are the places where it is halved. Texts run in parallel
 lanes; a lane's state is carried from one window to the next and cleared where
 a text begins, so a text's log-likelihood is exact however long it is.
-Learning is truncated backpropagation through windows, with Adam.
+Learning is truncated backpropagation through windows, with Adam; the moments
+of a word's rows move only in windows that touch them.
 """
 
 from __future__ import annotations
@@ -17,6 +20,8 @@ import numpy as np
 
 WINDOW = 64
 LANES = 512
+#: Words of a class that a softmax tells apart; larger classes have trees.
+FEW = 64
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -42,15 +47,45 @@ class Gru:
                   "wo": small(n, hidden), "bo": log.astype(np.float32)}
         self.hidden = hidden
         self._moments = None
+        self._plant(counts + 1.0)
+        #: Words whose rows were ever changed, and the gradients of such rows, cleared where a window touched them.
+        self.touched = np.zeros(n, bool)
+        self._sparse = {k: np.zeros_like(self.p[k]) for k in ("table", "wo", "bo")}
+        self._rows = {k: np.zeros(0, np.int64) for k in self._sparse}
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([v.ravel() for v in self.p.values()])
+    def _plant(self, mass: np.ndarray) -> None:
+        """Paths of the words of large classes; a class [a, b) is halved at its middle m, and row m of the word outputs is the node."""
+        size = np.diff(self.class_start)
+        self.deep = size > FEW
+        words = np.flatnonzero(self.deep[self.word_class])
+        self.path_of = np.full(len(mass), -1)
+        self.path_of[words] = np.arange(len(words))
+        depth = int(size.max() - 1).bit_length() if len(words) else 0
+        self.nodes, self.sides = np.zeros((len(words), depth), np.int32), np.zeros((len(words), depth), np.float32)
+        lo, hi = self.class_start[self.word_class[words]], self.class_start[self.word_class[words] + 1]
+        below = np.concatenate(([0.0], np.cumsum(mass)))
+        for k in range(depth):
+            on = np.flatnonzero(hi - lo > 1)
+            middle = (lo[on] + hi[on]) >> 1
+            right = words[on] >= middle
+            self.nodes[on, k], self.sides[on, k] = middle, np.where(right, 1, -1)
+            self.p["bo"][middle] = np.log((below[hi[on]] - below[middle]) / (below[middle] - below[lo[on]]))
+            lo[on], hi[on] = np.where(right, middle, lo[on]), np.where(right, hi[on], middle)
 
-    def load(self, flat: np.ndarray) -> None:
+    def rows(self) -> np.ndarray:
+        """All parameters: a row for each word, then the shared ones in rows of the same width."""
+        shared = np.concatenate([self.p[k].ravel() for k in ("u", "wc", "bc")])
+        words = np.concatenate([self.p["table"], self.p["wo"], self.p["bo"][:, None]], axis=1)
+        return np.concatenate([words, np.pad(shared, (0, -len(shared) % words.shape[1])).reshape(-1, words.shape[1])])
+
+    def load(self, rows: np.ndarray) -> None:
+        n, H = len(self.word_class), self.hidden
+        words, shared = rows[:n].astype(np.float32), rows[n:].astype(np.float32).ravel()
+        self.p["table"], self.p["wo"], self.p["bo"] = (np.ascontiguousarray(a) for a in (words[:, :3 * H], words[:, 3 * H:4 * H], words[:, 4 * H]))
         at = 0
-        for k, v in self.p.items():
-            self.p[k] = flat[at:at + v.size].reshape(v.shape).astype(np.float32)
-            at += v.size
+        for k in ("u", "wc", "bc"):
+            self.p[k] = shared[at:at + self.p[k].size].reshape(self.p[k].shape).copy()
+            at += self.p[k].size
 
     def run(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool = False):
         """States after each step of a window (steps by lanes), and what backpropagation needs."""
@@ -88,13 +123,31 @@ class Gru:
             d[rows, klass] += 1
             d *= weight[:, None]
             back = d @ p["wc"].T
-            grads = {"wc": states.T @ d, "bc": d.sum(axis=0), "wo": np.zeros_like(p["wo"]), "bo": np.zeros_like(p["bo"])}
+            grads = {"wc": states.T @ d, "bc": d.sum(axis=0), "wo": self._cleared("wo"), "bo": self._cleared("bo")}
+        touched = []
+        at = np.flatnonzero(self.deep[klass])
+        if len(at):
+            path = self.path_of[y[at]]
+            nodes, sides = self.nodes[path], self.sides[path]
+            w = p["wo"][nodes]
+            margin = sides * ((w @ states[at][:, :, None])[:, :, 0] + p["bo"][nodes])
+            out[at] -= (np.logaddexp(0, -margin) * np.abs(sides)).sum(axis=1)
+            if weight is not None:
+                d = sides * _sigmoid(-margin) * weight[at][:, None]
+                back[at] += (d[:, None, :] @ w)[:, 0]
+                on = np.flatnonzero(sides.ravel())
+                on = on[np.argsort(nodes.ravel()[on], kind="stable")]
+                ranked, d = nodes.ravel()[on], d.ravel()[on]
+                heads = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+                grads["wo"][ranked[heads]] = np.add.reduceat(d[:, None] * states[at[on // nodes.shape[1]]], heads, axis=0)
+                grads["bo"][ranked[heads]] = np.add.reduceat(d, heads)
+                touched.append(ranked[heads])
         order = np.argsort(klass, kind="stable")
         cuts = np.searchsorted(klass[order], np.arange(len(self.class_start)))
         for c in range(len(self.class_start) - 1):
             at = order[cuts[c]:cuts[c + 1]]
             a, b = self.class_start[c], self.class_start[c + 1]
-            if len(at) == 0 or b - a == 1:
+            if len(at) == 0 or b - a == 1 or self.deep[c]:
                 continue
             s = states[at]
             logits = s @ p["wo"][a:b].T + p["bo"][a:b]
@@ -110,8 +163,16 @@ class Gru:
                 back[at] += d @ p["wo"][a:b]
                 grads["wo"][a:b] = d.T @ s
                 grads["bo"][a:b] = d.sum(axis=0)
+                touched.append(np.arange(a, b))
+        if weight is not None:
+            self._rows["wo"] = self._rows["bo"] = np.concatenate(touched) if touched else np.zeros(0, np.int64)
         return out, back, grads
 
+    def _cleared(self, k: str) -> np.ndarray:
+        """The gradient of word parameters, zero in every row."""
+        self._sparse[k][self._rows[k]] = 0
+        return self._sparse[k]
+
     def learn(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.ndarray, rate: float,
               real: np.ndarray | None = None) -> tuple[np.ndarray, float]:
         """One step of Adam on a window; returns the state to carry on and the mean log-probability.
@@ -125,7 +186,7 @@ class Gru:
         weight /= weight.sum()
         logs, back, grads = self._output(flat, y.ravel(), weight)
         back = back.reshape(states.shape)
-        grads["u"], grads["table"] = np.zeros_like(u), np.zeros_like(self.p["table"])
+        grads["u"], grads["table"] = np.zeros_like(u), self._cleared("table")
         inputs = np.empty((*x.shape, 3 * H), np.float32)
         carry = np.zeros_like(h)
         for t in range(len(x) - 1, -1, -1):
@@ -144,6 +205,7 @@ class Gru:
         words = x.ravel()[order]
         heads = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
         grads["table"][words[heads]] = np.add.reduceat(inputs.reshape(-1, 3 * H)[order], heads, axis=0)
+        self._rows["table"] = words[heads]
         self._step(grads, rate)
         return states[-1], float((logs * weight).sum())
 
@@ -153,14 +215,20 @@ class Gru:
             self._steps = 0
         self._steps += 1
         scale = rate * np.sqrt(1 - 0.99 ** self._steps) / (1 - 0.9 ** self._steps)
+        parts = {k: (self._rows[k] if k in self._rows else slice(None)) for k in grads}
+        grads = {k: g[parts[k]] for k, g in grads.items()}
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
         clip = np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
         for k, g in grads.items():
-            m, v = self._moments[k]
+            at, (m, v) = parts[k], self._moments[k]
             g = g * clip
-            m += np.float32(0.1) * (g - m)
-            v += np.float32(0.01) * (g * g - v)
-            self.p[k] += np.float32(scale) * m / (np.sqrt(v) + np.float32(1e-6))
+            m_at, v_at = m[at], v[at]
+            m_at = m_at + np.float32(0.1) * (g - m_at)
+            v_at = v_at + np.float32(0.01) * (g * g - v_at)
+            m[at], v[at] = m_at, v_at
+            self.p[k][at] += np.float32(scale) * m_at / (np.sqrt(v_at) + np.float32(1e-6))
+            if k in self._rows:
+                self.touched[at] = True
 
 
 def train(model: Gru, texts: list[np.ndarray], end: int, rate: float, lanes: int = 512, window: int = 16) -> int:

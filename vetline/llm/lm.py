@@ -4,15 +4,16 @@ Tokens are words between ASCII white space, A-Z lowered, and one end per text.
 
 1. Every training text is counted: the corpus counts of all words, by a
    partial aggregation and one shuffle.
-2. The most frequent words make the recurrent model's vocabulary; all other
-   words share one entry, from which a word is drawn in proportion to its
+2. The most frequent words, as many as make up ``SHARE`` of the training
+   tokens and occur twice or more, are the recurrent model's vocabulary, which
+   so grows with the corpus; all other words share one entry, from which a word is drawn in proportion to its
    count plus one. So the model gives every text a probability, unseen words
    included.
 3. The model (``gru``) starts from a few training texts in one task, drawn by
    all tasks together by a hash of id and text, then every task learns from all the training texts of its partition, and the results
    are averaged by the words each has learnt from.
 4. Every text is scored whole, in one pass over the documents. Counts of the
-   ``HEAD`` most frequent words go to the tasks (their number is fixed); the
+   ``HEAD`` most frequent words, or of the vocabulary where it is larger, go to the tasks; the
    rest are looked up by joining each text's remaining words with the counts.
 
 Words are known by 64-bit hashes. Defined cases: a null or empty text is one
@@ -36,17 +37,19 @@ from vetline.llm.words import NONSPACE, lookup, slices, sorted_counts, text_buff
 
 #: Hash that stands for the end of a text.
 END = 1
-#: Words the recurrent model knows by themselves.
-VOCABULARY = 1_022
+#: Share of the training tokens whose words the recurrent model knows by themselves, if they occur so often.
+SHARE, LEAST = 0.8, 2
 HIDDEN = 16
 CLASSES = 32
-#: Words whose counts are sent to every task.
+#: Words whose counts are sent to every task, or all of the vocabulary.
 HEAD = 1 << 18
 #: Training texts, at most, that the first model is learnt from, and passes over them.
 FIRST_TEXTS, FIRST_PASSES = 1_000, 4
 FIRST_RATE, RATE = 0.01, 0.003
 #: Words held at a time while learning and scoring.
 GROUP_WORDS = 1_000_000
+#: Rows of parameters passed at a time.
+BATCH_ROWS = 10_000
 
 
 @dataclass
@@ -60,6 +63,7 @@ class Corpus:
     head: np.ndarray
     head_count: np.ndarray
     least: int  # count from which a word belongs to the head
+    modelled: int = 0  # words of the recurrent model
 
 
 def _count(batches):
@@ -82,20 +86,25 @@ def count(texts: DataFrame, head: int = HEAD) -> Corpus:
         if taken + row.words > head:
             break
         least, taken = row.least, taken + row.words
-    top = counts.where(F.col("c") >= least).toArrow()  # at most ``head`` rows
+    modelled, covered, total = 0, 0, sum(r.c for r in steps)
+    for row in steps:
+        if covered >= SHARE * total or row.least < LEAST:
+            break
+        least, modelled, covered = min(least, row.least), modelled + row.words, covered + row.c
+    top = counts.where(F.col("c") >= least).toArrow()  # the head or the vocabulary
     names = top["hash"].to_numpy().view(np.uint64)
     order = np.argsort(names)
-    return Corpus(counts, sum(r.c for r in steps), sum(r.words for r in steps), ends.c if ends else 0,
-                  names[order], top["c"].to_numpy()[order], least)
+    return Corpus(counts, total, sum(r.words for r in steps), ends.c if ends else 0,
+                  names[order], top["c"].to_numpy()[order], least, modelled)
 
 
 class Vocabulary:
     """The recurrent model's words, numbered by falling count; ``end`` and ``other`` are among them."""
 
-    def __init__(self, corpus: Corpus, size: int = VOCABULARY):
+    def __init__(self, corpus: Corpus, size: int | None = None):
         words = corpus.head != END
         names, counts = corpus.head[words], corpus.head_count[words]
-        top = np.lexsort((names, -counts))[:size]
+        top = np.lexsort((names, -counts))[:corpus.modelled if size is None else size]
         names, counts = names[top], counts[top]
         rest = max(0, corpus.total - corpus.texts - int(counts.sum()))
         everything = np.concatenate([counts, [corpus.texts, rest]])
@@ -128,10 +137,15 @@ def _groups(batches):
             yield batch.slice(first), np.concatenate(held), np.array(bounds)
 
 
+def _model(vocabulary: Vocabulary) -> Gru:
+    """An untaught model; classes follow the square root of the words."""
+    return Gru(vocabulary.counts, HIDDEN, max(CLASSES, round(len(vocabulary.counts) ** 0.5 / 4)))
+
+
 def _learner(vocabulary: Vocabulary, start: np.ndarray | None, passes: int, rate: float):
-    """Learns from all texts of a partition; gives the parameters, weighted by the words learnt from."""
+    """Learns from all texts of a partition; gives the rows of parameters it touched, weighted by the words learnt from."""
     def learn(batches):
-        model = Gru(vocabulary.counts, HIDDEN, CLASSES)
+        model = _model(vocabulary)
         if start is not None:
             model.load(start)
         seen = 0
@@ -142,21 +156,53 @@ def _learner(vocabulary: Vocabulary, start: np.ndarray | None, passes: int, rate
                 words = train(model, texts, vocabulary.end, rate)
             seen += words
         if seen:
-            flat = model.flat().astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat * seen),
-                                              pa.array(np.full(len(flat), seen, np.int64))], ["k", "v", "w"])
+            rows = model.rows()
+            k = np.append(np.flatnonzero(model.touched), np.arange(len(model.touched), len(rows)))
+            for a in range(0, len(k), BATCH_ROWS):
+                part = k[a:a + BATCH_ROWS]
+                yield _rows(part, rows[part] * np.float32(seen), np.full(len(part), seen, np.int64))
 
     return learn
 
 
+def _rows(k: np.ndarray, v: np.ndarray, w: np.ndarray) -> pa.RecordBatch:
+    edges = pa.array(np.arange(len(k) + 1) * v.shape[1], pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.ListArray.from_arrays(edges, pa.array(v.ravel(), pa.float32())), pa.array(w)],
+                                      ["k", "v", "w"])
+
+
+def _matrix(v: pa.Array, n: int) -> np.ndarray:
+    return v.flatten().to_numpy().reshape(n, -1)
+
+
+def _summed(batches):
+    """Sums of the rows of each number in a partition."""
+    k, v, w = np.zeros(0, np.int32), None, np.zeros(0, np.int64)
+    for batch in batches:
+        if len(batch) == 0:
+            continue
+        here = _matrix(batch.column("v"), len(batch)).astype(np.float64)
+        k, v = np.append(k, batch.column("k").to_numpy()), here if v is None else np.concatenate([v, here])
+        w = np.append(w, batch.column("w").to_numpy())
+        order = np.argsort(k, kind="stable")
+        k = k[order]
+        heads = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+        k, v, w = k[heads], np.add.reduceat(v[order], heads, axis=0), np.add.reduceat(w[order], heads)
+    for a in range(0, len(k), BATCH_ROWS):
+        b = a + BATCH_ROWS
+        yield _rows(k[a:b], (v[a:b] / w[a:b, None]).astype(np.float32), w[a:b])
+
+
 def _averaged(texts: DataFrame, vocabulary: Vocabulary, start: np.ndarray | None, passes: int, rate: float) -> np.ndarray | None:
-    """Parameters averaged over the partitions' learners."""
-    got = (texts.mapInArrow(_learner(vocabulary, start, passes, rate), "k int, v double, w long")
-           .groupBy("k").agg(F.sum("v").alias("v"), F.sum("w").alias("w")).toArrow())  # as many rows as parameters
-    if len(got) == 0:
+    """Parameters averaged over the partitions' learners that touched them; as at the start where none did."""
+    schema = "k int, v array<float>, w long"
+    got = texts.mapInArrow(_learner(vocabulary, start, passes, rate), schema).repartition("k").mapInArrow(_summed, schema).select("k", "v").toArrow()
+    if len(got) == 0:  # as many rows as words and a few at most
         return start
-    order = np.argsort(got["k"].to_numpy())
-    return (got["v"].to_numpy()[order] / got["w"].to_numpy()[order]).astype(np.float32)
+    rows = (_model(vocabulary).rows() if start is None else start).copy()
+    for batch in got.to_batches():
+        rows[batch.column("k").to_numpy()] = _matrix(batch.column("v"), len(batch))
+    return rows
 
 
 def first_texts(texts: DataFrame, among: int, n: int = FIRST_TEXTS) -> DataFrame:
@@ -182,7 +228,7 @@ def _scorer(vocabulary: Vocabulary, corpus: Corpus, parameters: np.ndarray | Non
     end_log, end_known = np.log10(corpus.texts + 1.0), int(corpus.texts > 0)
 
     def score(batches):
-        model = Gru(vocabulary.counts, HIDDEN, CLASSES)
+        model = _model(vocabulary)
         if parameters is not None:
             model.load(parameters)
         for rows, hashes, bounds in _groups(batches):
