@@ -91,6 +91,29 @@ class TestToxicity:
         assert sum(got[i] >= 0.3 for i, y in held if not y) <= 0.03 * len(held)
         assert {words.hash_word(w) for w in ("vile", "foul", "rude")} <= set(model.words.tolist())
 
+    def test_continuation_counts(self, spark):
+        texts = [("a b a c", 1), ("a b d b", 0), ("c b", 0), ("e", 1), ("", 0)]
+        rows = spark.createDataFrame(texts, "text string, label long")
+        pairs = {(v, w, y) for t, y in texts for v, w in zip(t.split(), t.split()[1:])}
+        got = {(r.kind, r.word if r.kind == 1 else r.context): (r.toxic, r.ordinary, r.either) for r in toxicity._tables(rows).where("kind > 0").collect()}
+        for kind, own, far in ((1, 1, 0), (2, 0, 1)):
+            for w in "abcde":
+                seen = [{x[far] for x in pairs if x[own] == w and x[2] in ys} for ys in ((1,), (0,), (0, 1))]
+                name = int(np.uint64(words.hash_word(w)).view(np.int64))
+                assert got.get((kind, name), (0, 0, 0)) == tuple(map(len, seen))
+
+    def test_phrases_of_ordinary_words(self, spark):
+        rng, rows, labels = random.Random(11), [], []
+        for i in range(600):  # "w30 w31" is toxic, in 20 documents; either word alone is as common in both classes
+            text = rng.choices(self.WORDS[:60], k=40)
+            text = [w for a, w in zip(["", *text], text) if (a, w) != ("w30", "w31")]
+            rows.append((i, " ".join(text + ["w30", "w31"] if i % 5 == 0 and i < 125 else text)))
+            labels.append((i, int(i % 5 == 0)))
+        model = toxicity.fit(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+        pair = toxicity._pairs(np.array([words.hash_word(w) for w in ("w30", "w31")], np.uint64), np.array([0, 2]))[0][1]
+        at = np.flatnonzero(model.pairs == pair)
+        assert len(at) == 1 and model.pair_gain[at[0]] > 1 and len(model.pairs) <= 3
+
     def test_held_out_rates(self, spark):
         got = queries.QUERIES["op9_toxicity"](spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out").collect()
         assert np.mean([r.predicted for r in got if r.toxic]) > 0.5 and np.mean([r.predicted for r in got if not r.toxic]) < 0.05

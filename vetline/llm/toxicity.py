@@ -2,19 +2,24 @@
 
 For each class (toxic, ordinary) a bigram model is learnt whose counts are
 numbers of distinct documents, so that one document repeating itself counts
-once. Both classes back off to one set of shared counts. An expression (a word,
-or a word after another) gets estimates of its own in the two classes only if
-its counts differ between them by more than chance and by a clear factor; its
-count is then discounted as in Kneser-Ney smoothing. Everything rarer, or not
-set apart, takes its probability from the shared counts, the same in both
-classes up to normalisation:
-
-    p_y(w)     = max(c_y(w) - D, 0) / N_y + G s(w)          for words set apart
-               = a_y s(w)                                   else
-    p_y(w | v) = max(c_y(vw) - D, 0) / c_y(v) + G s(w | v)  for pairs set apart
-               = a_y(v) p_y(w)                              else
-
-with a_y and a_y(v) making each distribution sum to one. A text's evidence is
+once. Both classes back off to one shared distribution s of continuation
+counts: in how many distinct contexts (words before it) a word occurs. An
+expression (a word, or a word after another) gets estimates of its own in the
+two classes only if its counts differ between them by more than chance and by
+a clear factor; its count is then discounted, and the discounted mass goes to
+the lower order, as in Kneser-Ney smoothing. Everything not set apart takes its
+probability from the lower order, the same in both classes up to normalisation:
+
+    p_y(w)     = max(c_y(w) - D, 0) / N_y + D T_y / N_y s(w)                    for words set apart
+               = a_y s(w)                                                       else
+    p_y(w | v) = max(c_y(vw) - D, 0) / c_y(v) + D T_y(v) / c_y(v) s(w | v)      for pairs set apart
+               = a_y(v) p_y(w)                                                  else
+
+T_y are the distinct words of a class, T_y(v) those that follow v in it; s(w | v)
+is the Kneser-Ney estimate from both classes' counts, with s(w) below it. For
+words chance is measured by standard deviations, for pairs, of which most are
+rare, by the likelihood ratio, which holds for small counts too; a_y and a_y(v)
+make each distribution sum to one. A text's evidence is
 the difference of its two log-likelihoods over its length (plus ``PRIOR_WORDS``,
 so that a single word in a very short text weighs less). A logistic curve
 fitted on training documents that the models were not learnt from turns it into
@@ -45,12 +50,9 @@ from vetline.llm.words import ALNUM, lookup, mix64, slices, text_buffer, words_o
 
 ROWS_PER_CLASS = 10_000
 DISCOUNT = 0.75
-SHARED_WEIGHT = 0.1
 LEAST_SIGMAS = 6.0
 LEAST_FACTOR = 4.0
 PRIOR_WORDS = 25
-#: A pair in fewer documents is never set apart.
-LEAST_PAIRS = 30
 #: One training document in this many sets the curve instead of the counts.
 CURVE_FOLD = 5
 
@@ -99,13 +101,53 @@ def _tally(names: np.ndarray, toxic: np.ndarray, spell) -> pa.RecordBatch:
                                        pa.array((both - ones).astype(np.int64))], ["context", "word", "toxic", "ordinary"])
 
 
+def _tables(rows: DataFrame) -> DataFrame:
+    """The counts of text and label rows, all from one shuffle: ``kind`` 0 as ``_counts``, without pairs of one document.
+
+    Kind 1, for each word, the distinct contexts it occurs in; kind 2, for each context, the distinct words that
+    follow it; over all pairs, by class and in either class.
+    """
+    counts = (rows.mapInArrow(_counts, "context long, word long, toxic long, ordinary long")
+              .groupBy("context", "word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
+    either = F.col("toxic") + F.col("ordinary")
+    pair = (F.col("context") != 0) & (F.col("word") != 0) & (either > 0)
+
+    def distinct(kind: int, key: str) -> DataFrame:
+        # The sums take the tests, not a filter: it would be pushed below the shuffle, which then could not be shared.
+        tallies = [F.sum(F.when(pair & (F.col(c) > 0), 1).otherwise(0)).alias(c) for c in ("toxic", "ordinary")]
+        other = F.lit(0).cast("long").alias("word" if key == "context" else "context")
+        return (counts.groupBy(key).agg(*tallies, F.sum(F.when(pair, 1).otherwise(0)).alias("either"))
+                .select(F.lit(kind).alias("kind"), key, other, "toxic", "ordinary", "either"))
+
+    kept = counts.where((F.col("context") == 0) | (F.col("word") == 0) | (either > 1))
+    return (kept.select(F.lit(0).alias("kind"), "context", "word", "toxic", "ordinary", either.alias("either"))
+            .unionByName(distinct(1, "word")).unionByName(distinct(2, "context")))
+
+
+def _surely_apart(share: Column) -> Column:
+    """As ``_apart``, with chance measured by the likelihood ratio, which a rare expression cannot pass by luck."""
+    total = F.col("toxic") + F.col("ordinary")
+
+    def part(n: Column, expected: Column) -> Column:
+        return F.when(n > 0, n * F.log(n / (expected + 1e-9))).otherwise(0.0)
+
+    ratio = 2 * (part(F.col("toxic"), total * share) + part(F.col("ordinary"), total * (1 - share)))
+    return (ratio >= LEAST_SIGMAS ** 2) & _clearly(share)
+
+
+def _clearly(share: Column) -> Column:
+    total = F.col("toxic") + F.col("ordinary")
+    expected = total * share
+    odds = ((F.col("toxic") + 0.1) / (F.col("ordinary") + 0.1)) / ((expected + 0.1) / (total - expected + 0.1))
+    return F.abs(F.log(odds)) >= float(np.log(LEAST_FACTOR))
+
+
 def _apart(share: Column) -> Column:
     """Whether the toxic count of an expression differs from its expected share beyond chance and by a clear factor."""
     total = F.col("toxic") + F.col("ordinary")
     expected = total * share
     sigmas = F.abs(F.col("toxic") - expected) / F.sqrt(expected * (1 - share) + 1e-9)
-    odds = ((F.col("toxic") + 0.1) / (F.col("ordinary") + 0.1)) / ((expected + 0.1) / (total - expected + 0.1))
-    return (sigmas >= LEAST_SIGMAS) & (F.abs(F.log(odds)) >= float(np.log(LEAST_FACTOR)))
+    return (sigmas >= LEAST_SIGMAS) & _clearly(share)
 
 
 def _backed_off(own: np.ndarray, lower: np.ndarray) -> float:
@@ -187,10 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = durable(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted.where(keep), "id")
                    .withColumn("fold", F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("curve")), F.lit(CURVE_FOLD)))
                    .select("text", "label", "fold"), "toxicity-sample")
-    counts = durable(rows.where("fold > 0").select("text", "label")
-                     .mapInArrow(_counts, "context long, word long, toxic long, ordinary long")
-                     .groupBy("context", "word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-                     .where("context = 0 OR word = 0 OR toxic + ordinary > 1"), "toxicity-counts")
+    counts = durable(_tables(rows.where("fold > 0").select("text", "label")), "toxicity-counts")
     model = _learn(counts)
     curve = rows.where("fold = 0").select(_evidence(F.col("text"), model).alias("x"), "label").toArrow()  # a part of the sample
     y = curve["label"].to_numpy()
@@ -204,17 +243,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _learn(counts: DataFrame) -> Model:
-    words = counts.where("context = 0").drop("context")
-    totals = words.agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o"), F.count("*").alias("v")).first()
+    everyone = counts.where("kind = 0").drop("kind", "either")
+    words = everyone.where("context = 0").drop("context")
+    totals = words.agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o"), F.count("*").alias("v"),
+                       F.sum((F.col("toxic") > 0).cast("long")).alias("tt"), F.sum((F.col("ordinary") > 0).cast("long")).alias("to")).first()
     n = np.array([totals.t or 0, totals.o or 0], float)
     if not n.all():
         return Model()
     everything, vocabulary = n.sum(), totals.v
+    contexts = counts.where("kind = 1").select("word", F.col("either").alias("contexts"))
+    continued = contexts.agg(F.sum("contexts").alias("n")).first().n or 0
+    words = words.join(contexts, "word", "left").withColumn("contexts", F.coalesce("contexts", F.lit(0)))
     apart = words.where(_apart(F.lit(n[0] / everything))).orderBy("word").toArrow()  # bounded by the sample
     names = apart["word"].to_numpy().view(np.uint64)
     own = np.stack([apart["toxic"].to_numpy(), apart["ordinary"].to_numpy()]).astype(float)
-    shared = (own.sum(axis=0) + 1) / (everything + vocabulary + 1)
-    p = np.maximum(own - DISCOUNT, 0) / n[:, None] + SHARED_WEIGHT * shared
+    shared = (apart["contexts"].to_numpy() + 1) / (continued + vocabulary + 1)
+    p = np.maximum(own - DISCOUNT, 0) / n[:, None] + (DISCOUNT * np.array([totals.tt, totals.to]) / n)[:, None] * shared
     other = np.array([_backed_off(p[y], shared) for y in (0, 1)])
     order = np.argsort(names)
     model = Model(words=names[order], word_gain=(np.log(p[0]) - np.log(p[1]))[order], other_gain=float(other[0] - other[1]))
@@ -222,19 +266,26 @@ def _learn(counts: DataFrame) -> Model:
     # Pairs: the share to expect follows from the context's counts and the word's own estimates.
     gains = counts.sparkSession.createDataFrame(list(zip(apart["word"].to_pylist(), (np.log(p[0]) - np.log(p[1])).tolist())),
                                                 "word long, gain double")
-    pairs = counts.where("context <> 0 AND word <> 0").where(F.col("toxic") + F.col("ordinary") >= LEAST_PAIRS)
-    known = (pairs.join(counts.where("word = 0").select("context", F.col("toxic").alias("ct"), F.col("ordinary").alias("co")), "context")
-             .join(words.select("word", F.col("toxic").alias("wt"), F.col("ordinary").alias("wo")), "word")
+    known = (everyone.where("context <> 0 AND word <> 0")
+             .join(everyone.where("word = 0").select("context", F.col("toxic").alias("ct"), F.col("ordinary").alias("co")), "context")
              .join(gains, "word", "left"))
     odds = (F.col("ct") + 0.1) / (F.col("co") + 0.1) * F.exp(F.coalesce("gain", F.lit(model.other_gain)))
-    found = known.where(_apart(odds / (1 + odds))).select("context", "word", "toxic", "ordinary", "ct", "co", "wt", "wo").toArrow()
+    followers = counts.where("kind = 2").select("context", F.col("toxic").alias("ft"), F.col("ordinary").alias("fo"), F.col("either").alias("f"))
+    found = (known.where(_surely_apart(odds / (1 + odds))).join(followers, "context").join(contexts, "word")
+             .select("context", "word", "toxic", "ordinary", "ct", "co", "ft", "fo", "f", "contexts").toArrow())
     if len(found) == 0:
         return model
     context, word = (found[c].to_numpy().view(np.uint64) for c in ("context", "word"))
-    lower = np.stack([_word_probabilities(model, word, found["wt"].to_numpy() + found["wo"].to_numpy(), p, names, other, everything, vocabulary, y)
-                      for y in (0, 1)])
-    q = np.stack([np.maximum(found[c].to_numpy() - DISCOUNT, 0) / (found[k].to_numpy() + 1) for c, k in (("toxic", "ct"), ("ordinary", "co"))])
-    q = q + SHARED_WEIGHT * (found["toxic"].to_numpy() + found["ordinary"].to_numpy()) / (found["ct"].to_numpy() + found["co"].to_numpy())
+    shared_word = (found["contexts"].to_numpy() + 1) / (continued + vocabulary + 1)
+    lower = np.stack([_word_probabilities(word, shared_word, p, names, other, y) for y in (0, 1)])
+    both = found["ct"].to_numpy() + found["co"].to_numpy()
+    shared_pair = (found["toxic"].to_numpy() + found["ordinary"].to_numpy() - DISCOUNT + DISCOUNT * found["f"].to_numpy() * shared_word) / both
+    q = []
+    for y, (c, k, f) in enumerate((("toxic", "ct", "ft"), ("ordinary", "co", "fo"))):
+        size = np.maximum(found[k].to_numpy(), 1)
+        left = np.where(found[k].to_numpy() > 0, DISCOUNT * found[f].to_numpy() / size, 1.0)  # of a context the class lacks, all
+        q.append(np.maximum(found[c].to_numpy() - DISCOUNT, 0) / size + left * shared_pair)
+    q = np.stack(q)
     pair_names = mix64(context * np.uint64(0x9E3779B97F4A7C15) ^ word)
     order = np.argsort(pair_names)
     model.pairs, model.pair_gain = pair_names[order], (np.log(q[0]) - np.log(q[1]))[order]
@@ -248,11 +299,11 @@ def _learn(counts: DataFrame) -> Model:
     return model
 
 
-def _word_probabilities(model, word, total, p, names, other, everything, vocabulary, y) -> np.ndarray:
-    """p_y of each word: its own estimate if it is set apart, else from the shared counts."""
+def _word_probabilities(word, shared, p, names, other, y) -> np.ndarray:
+    """p_y of each word: its own estimate if it is set apart, else from the shared distribution."""
     order = np.argsort(names)
     at, known = lookup(names[order], word)
-    out = np.exp(other[y]) * (total + 1) / (everything + vocabulary + 1)
+    out = np.exp(other[y]) * shared
     out[known] = p[y][order][at[known]]
     return out
 
