@@ -176,6 +176,15 @@ class TestHtml:
         assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("pattern", [r"\p{L}{1,3}|\p{N}|[^\p{L}\p{N}]+", r"(\s?)\S+|\s+", public_tokenizers.PATTERN])
+def test_pieces_follow_the_pattern(pattern):
+    texts = ["International words, 12345 of them", "", "it's  naïve \n\n x", "\u00e9\u4e2d 7 "]
+    own = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks={t: i for i, t in enumerate(TOKENS)}, special_tokens={})
+    ids, bounds = bpe.transducer(TOKENS, pattern).encode_slice(*words.text_buffer(pa.array(texts)))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [own.encode(t) for t in texts]
+    assert bpe.CUT == public_tokenizers.PATTERN
+
+
 class TestLicences:
     MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated\n"
            "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation\n"

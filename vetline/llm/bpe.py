@@ -73,8 +73,12 @@ def _char_classes() -> np.ndarray:
     return _classes[0]
 
 
+#: The pattern that ``piece_starts`` implements.
+CUT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 def piece_starts(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """First byte of every piece that the tokenizer's pattern cuts a slice of texts into.
+    """First byte of every piece that the pattern ``CUT`` cuts a slice of texts into.
 
     Pieces are runs of letters, of numbers or of other marks, each with the one
     space before it; a run of white space without that space; and after an
@@ -291,7 +295,7 @@ class Transducer:
 
     def encode(self, text: str) -> list[int]:
         """Token ids of a text, piece by piece."""
-        return [token for piece in self.pattern.findall(text) for token in self.piece(piece.encode())]
+        return [token for piece in self.pattern.finditer(text) for token in self.piece(piece.group().encode())]
 
     def encode_slice(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of a slice of texts and the bounds of each text's ids.
@@ -299,8 +303,11 @@ class Transducer:
         Pieces are told apart by length and hash, each distinct one is encoded
         once, and the ids are laid out by array indexing. Decoding must give
         the slice back; were two pieces ever to share a hash it would not, and
-        the texts are then encoded piece by piece.
+        the texts are then encoded piece by piece, as they are for any other
+        pattern than ``CUT``.
         """
+        if self.pattern.pattern != CUT:
+            return self._encoded(buf.tobytes(), offsets)
         starts = piece_starts(buf, offsets)
         if len(starts) == 0:
             return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
@@ -319,11 +326,15 @@ class Transducer:
         ids = self.ids[np.arange(total[-1]) + np.repeat(place[which] - total[:-1], count)]
         bounds = total[np.searchsorted(starts, offsets)]
         if not np.array_equal(self.decode(ids), buf):
-            texts = [self.encode(data[a:b].decode()) for a, b in zip(offsets, offsets[1:])]
-            return (np.fromiter((i for x in texts for i in x), np.int32),
-                    np.concatenate(([0], np.cumsum([len(x) for x in texts]))))
+            return self._encoded(data, offsets)
         return ids, bounds
 
+    def _encoded(self, data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode_slice``, piece by piece."""
+        texts = [self.encode(data[a:b].decode()) for a, b in zip(offsets, offsets[1:])]
+        return (np.fromiter((i for x in texts for i in x), np.int32),
+                np.concatenate(([0], np.cumsum([len(x) for x in texts]))).astype(np.int64))
+
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """Bytes of a run of token ids."""
         size = self.size[ids]
