@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetline.llm import bpe, chat, decontaminate, exact_dedup, html_text, licences, lm, quality, simhash, toxicity
+from vetline.llm import align, bpe, chat, decontaminate, exact_dedup, html_text, licences, lm, quality, simhash, toxicity
 from vetline.llm.frames import remainder, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,15 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every user turn of every conversation as a tool call, linked with the answer to it."""
     calls, results = chat.calls_of_turns(table(spark, sf_dir, "conversations"))
     return chat.link(calls, results, chat.TURN_TOOLS).withColumn("errors", F.array_join("errors", "; "))
+
+
+#: The two tokenizers of the alignment query.
+BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+@_register("op13_cross_tokenizer_alignment")
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens of both vocabularies aligned, with the corpus-wide counts of the linked pairs."""
+    with open(public_tokenizers.path(BYTE_VOCABULARY), encoding="utf-8") as a, open(public_tokenizers.path(PIECE_VOCABULARY), "rb") as b:
+        rows = align.aligned(table(spark, sf_dir, "documents"), a.read(), b.read())
+    return rows.withColumnRenamed("id", "doc_id").select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
