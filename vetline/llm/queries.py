@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetline.llm import align, bpe, chat, decontaminate, exact_dedup, html_text, licences, lm, quality, simhash, toxicity
+from vetline.llm import align, bpe, chat, decontaminate, exact_dedup, html_text, licences, lm, mtree, quality, simhash, toxicity
 from vetline.llm.frames import remainder, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,18 @@ def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     with open(public_tokenizers.path(BYTE_VOCABULARY), encoding="utf-8") as a, open(public_tokenizers.path(PIECE_VOCABULARY), "rb") as b:
         rows = align.aligned(table(spark, sf_dir, "documents"), a.read(), b.read())
     return rows.withColumnRenamed("id", "doc_id").select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@_register("op12_exact_topk", """
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+           FROM e AS q JOIN e AS c ON q.r <> c.r WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""")
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest inner products of every hundredth vector with all others."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", mtree.quantised(F.col("embedding")).alias("vec"))
+    return mtree.top_k(vectors, F.col("vec_id") % 100 == 0, k=10)
