@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetline.llm import align, bpe, chat, decontaminate, exact_dedup, html_text, licences, lm, mtree, quality, simhash, toxicity
+from vetline.llm import align, bpe, chat, decontaminate, exact_dedup, html_text, licences, lm, mtree, quality, simhash, toxicity, trie
 from vetline.llm.frames import remainder, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,39 @@ def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten highest inner products of every hundredth vector with all others."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", mtree.quantised(F.col("embedding")).alias("vec"))
     return mtree.top_k(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
+#: crc32 of a text of ASCII characters, bit by bit, for DuckDB.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)), 4294967295)"""
+
+
+@_register("op11_prefix_trie", f"""
+WITH turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                        sha256(concat(sha256(coalesce(role, '')), sha256(coalesce(text, ''))))) AS p,
+                      {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS said FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(said ORDER BY p) AS ts FROM turns GROUP BY conv_id),
+h AS (SELECT conv_id, ts, {_CRC32.format("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM own),
+built AS (SELECT a.conv_id, list_concat(coalesce(b.ts[1:a.h], []), a.ts[a.h + 1:]) AS ts
+          FROM h AS a LEFT JOIN own AS b ON b.conv_id = a.conv_id - a.conv_id % 20),
+members AS (SELECT conv_id, ts[1:d] AS path, d, len(ts) AS n FROM (SELECT conv_id, ts, unnest(range(0, len(ts) + 1)) AS d FROM built)),
+nodes AS (SELECT path, min(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                 sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+          FROM members GROUP BY path),
+linked AS (SELECT c.*, p.conv_id AS parent_conv_id, p.path AS parent_path FROM nodes AS c
+           LEFT JOIN nodes AS p ON c.depth > 0 AND p.depth = c.depth - 1 AND p.path = c.path[1:c.depth - 1]),
+kids AS (SELECT parent_path AS path, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY ALL),
+weighed AS (SELECT path, depth, CASE WHEN depth = 0 THEN 0 ELSE
+              (n_convs - 1) * len(regexp_extract_all(path[depth].t, '[^\x20\x09-\x0D]+')) END AS saved,
+              CASE WHEN kids.path IS NULL THEN 1 ELSE 0 END AS leaf FROM nodes LEFT JOIN kids USING (path)),
+sums AS (SELECT up AS path, sum(saved) AS saved_tokens, sum(leaf) AS n_leaves
+         FROM (SELECT saved, leaf, path[1:unnest(range(0, depth + 1))] AS up FROM weighed) GROUP BY up)
+SELECT conv_id, depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM linked JOIN sums USING (path) LEFT JOIN kids USING (path)
+""")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all rebuilt conversations."""
+    rows, convs = trie.rebuilt(trie.turns_of(table(spark, sf_dir, "conversations")))
+    return trie.trie(rows, convs)
