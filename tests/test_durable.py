@@ -1,6 +1,7 @@
 """Targets that outlive a session, refused replacements, repeated keys, and CSV text."""
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,15 +11,15 @@ from vetline.plans.load import load
 from vetline.session import path_exists, scratch_path, unique_name
 from vetline.sinks.dlq import read_dlq
 from vetline.sinks.files import write_hourly
+from vetline.sinks import commits
+from vetline.sinks.commits import committed_versions, filesystem, latest_number, new_version_dir, read_text, write_once
 from vetline.sinks.tables import (
-    _new_version_dir,
-    committed_versions,
     default_root,
     drop_table,
     ensure_registered,
-    latest_number,
     register_version,
     replace_target,
+    sweep_uncommitted,
     upsert_target,
 )
 from vetline.sources.files import read_csv, read_partitioned
@@ -66,7 +67,7 @@ def test_a_load_that_is_still_writing_keeps_its_folder_and_a_lost_race_fails(spa
     target = f"{DB}.{unique_name('t')}"
     root = default_root(spark, target)
     replace_target(spark.range(1), target)
-    base, slow = latest_number(spark, root), _new_version_dir(root)
+    base, slow = latest_number(spark, root), new_version_dir(root)
     spark.range(9).write.parquet(slow)
     for n in (2, 3, 4):
         replace_target(spark.range(n), target, keep_versions=1)
@@ -110,6 +111,167 @@ def test_a_batch_rewrites_only_the_buckets_of_its_keys(spark):
     assert {(r.k, r.v) for r in spark.table(target).collect()} == {(k, "new" if k == 3 else "old") for k in range(200)} | {(999, "new")}
 
 
+class TestCrashes:
+    """A load that ends at any point of its commit leaves a target that the next one can load."""
+
+    def test_an_empty_commit_file_does_not_block_the_target(self, spark):
+        target = f"{DB}.{unique_name('t')}"
+        root = default_root(spark, target)
+        replace_target(spark.range(3), target)
+        path, fs = filesystem(spark, f"{root}/_versions/000000000002.json")
+        fs.create(path, False).close()  # created, never written
+        assert latest_number(spark, root) == 1
+        replace_target(spark.range(5), target)
+        assert spark.table(target).count() == 5 and latest_number(spark, root) == 2
+        upsert_target(spark.range(4, 9), target, ["id"])
+        assert spark.table(target).count() == 9
+
+    @pytest.mark.parametrize("step", ["before", "after"])
+    def test_cut_off_around_the_rename(self, spark, monkeypatch, step):
+        target = f"{DB}.{unique_name('t')}"
+        root = default_root(spark, target)
+        replace_target(spark.range(3), target)
+        real = commits.write_once
+
+        def cut(*args):
+            if step == "after":
+                real(*args)
+            raise KeyboardInterrupt
+
+        monkeypatch.setattr(commits, "write_once", cut)
+        with pytest.raises(KeyboardInterrupt):
+            replace_target(spark.range(5), target)
+        monkeypatch.setattr(commits, "write_once", real)
+        ensure_registered(spark, target)
+        spark.catalog.refreshTable(target)
+        assert spark.table(target).count() == (3 if step == "before" else 5)
+        replace_target(spark.range(7), target)
+        assert spark.table(target).count() == 7 and latest_number(spark, root) == (2 if step == "before" else 3)
+
+    def test_only_one_of_many_gets_a_number(self, spark):
+        path = f"{scratch_path(spark, 'once')}/_versions/000000000001.json"
+        with ThreadPoolExecutor(8) as pool:
+            won = list(pool.map(lambda k: write_once(spark, path, f'{{"k": {k}}}'), range(16)))
+        assert sum(won) == 1
+        folder, fs = filesystem(spark, path.rsplit("/", 1)[0])
+        assert [s.getPath().getName() for s in fs.listStatus(folder)] == ["000000000001.json"]
+        assert read_text(spark, *filesystem(spark, path)) == f'{{"k": {won.index(True)}}}'
+
+    @pytest.mark.parametrize("parts", [None, "p"])
+    def test_what_never_committed_is_swept_by_age(self, spark, parts):
+        target = f"{DB}.{unique_name('t')}"
+        root = default_root(spark, target)
+        df = spark.range(40).selectExpr("id", "CAST(id % 4 AS string) AS p")
+        upsert_target(df, target, ["id"], partition_by=parts)
+        upsert_target(df.where("id < 2"), target, ["id"], partition_by=parts)  # the first version's other files are still read
+        fresh_one, old_one = new_version_dir(root), f"{root}/_v20200101000000000000_0123abcd"
+        for folder in (fresh_one, old_one):
+            df.write.parquet(folder)
+        assert sweep_uncommitted(spark, target) == ["_v20200101000000000000_0123abcd"]
+        assert path_exists(spark, fresh_one) and not path_exists(spark, old_one)
+        assert sweep_uncommitted(spark, target, older_than=dt.timedelta(0)) == [fresh_one.rsplit("/", 1)[1]]
+        assert spark.table(target).count() == 40
+
+
+class TestFilesOfAnUpsert:
+    """A target without partitions or buckets: only files that hold an updated key are rewritten."""
+
+    def files(self, spark, target):
+        return set(spark.table(target).inputFiles())
+
+    def many(self, spark, n=400):
+        return spark.range(n).selectExpr("id AS k", "'old' AS v").repartitionByRange(8, "k")
+
+    @pytest.fixture(autouse=True)
+    def small_files(self, spark):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        yield
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+    @pytest.mark.parametrize("start", ["upsert", "replace"])
+    def test_untouched_files_stay(self, spark, start):
+        target = f"{DB}.{unique_name('t')}"
+        if start == "replace":  # a plain target gets its groups with its first upsert
+            replace_target(self.many(spark), target)
+            upsert_target(spark.createDataFrame([(7, "seven")], "k long, v string"), target, ["k"])
+        else:
+            upsert_target(self.many(spark), target, ["k"])
+        assert spark.table(target).columns == ["k", "v"]
+        before = self.files(spark, target)
+        assert len(before) >= 6
+        upsert_target(spark.createDataFrame([(3, "new"), (5, "new"), (1000, "new")], "k long, v string"), target, ["k"])
+        after = self.files(spark, target)
+        assert len(before - after) == 1
+        want = {(k, "new" if k in (3, 5) else "seven" if k == 7 and start == "replace" else "old") for k in range(400)} | {(1000, "new")}
+        assert {tuple(r) for r in spark.table(target).collect()} == want
+
+    def test_new_keys_touch_nothing(self, spark):
+        target = f"{DB}.{unique_name('t')}"
+        upsert_target(self.many(spark), target, ["k"])
+        before = self.files(spark, target)
+        upsert_target(spark.range(400, 500).selectExpr("id AS k", "'new' AS v"), target, ["k"])
+        assert before < self.files(spark, target) and spark.table(target).count() == 500
+
+    def test_a_replacement_keeps_the_form_and_null_keys_never_match(self, spark):
+        target = f"{DB}.{unique_name('t')}"
+        upsert_target(self.many(spark), target, ["k"])
+        replace_target(self.many(spark, 300), target)
+        assert spark.table(target).count() == 300
+        load(spark, self.many(spark, 200), target, [])
+        before = self.files(spark, target)
+        for _ in range(2):
+            upsert_target(spark.createDataFrame([(None, "null"), (0, "zero")], "k long, v string"), target, ["k"])
+        assert len(before & self.files(spark, target)) >= 1
+        rest = spark.table(target).where("k IS NULL OR k = 0").collect()
+        assert sorted(map(tuple, rest), key=repr) == [(0, "zero"), (None, "null"), (None, "null")]
+        assert spark.table(target).count() == 202
+
+    def test_only_files_in_the_range_of_the_keys_are_searched(self, spark):
+        from vetline.sinks.tables import _in_range
+        target = f"{DB}.{unique_name('t')}"
+        upsert_target(self.many(spark), target, ["k"])
+        plan = _in_range(spark.table(target), spark.range(3, 6).toDF("k"), "k")._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(k,3)" in plan and "LessThanOrEqual(k,5)" in plan
+        assert _in_range(spark.table(target), spark.range(0).toDF("k"), "k").count() == 0
+
+    def test_a_key_that_moves_between_partitions_leaves_the_others_alone(self, spark):
+        target = f"{DB}.{unique_name('t')}"
+        rows_ = spark.range(60).selectExpr("id AS k", "CAST(id % 6 AS string) AS p", "'old' AS v")
+        replace_target(rows_, target, partition_by="p")
+        before = self.files(spark, target)
+        upsert_target(spark.createDataFrame([(2, "5", "moved"), (99, "new", "new")], "k long, p string, v string"), target, ["k"], partition_by="p")
+        after = self.files(spark, target)
+        assert {f.rsplit("/", 2)[1] for f in before & after} == {"p=0", "p=1", "p=3", "p=4"}
+        assert {tuple(r) for r in spark.table(target).select("k", "p", "v").collect()} == \
+            {(k, str(k % 6), "old") for k in range(60) if k != 2} | {(2, "5", "moved"), (99, "new", "new")}
+
+    def test_a_partition_that_loses_its_last_row_is_gone(self, spark):
+        target = f"{DB}.{unique_name('t')}"
+        replace_target(spark.createDataFrame([(1, "a", None), (2, "b", 7)], "k int, p string, q int"), target, partition_by=["p", "q"])
+        upsert_target(spark.createDataFrame([(1, "b", 7), (2, "b", 7)], "k int, p string, q int"), target, ["k"], partition_by=["p", "q"])
+        assert rows(spark, target) == [(1, "b", 7), (2, "b", 7)]
+
+
+def test_another_number_of_buckets_is_refused(spark):
+    target = f"{DB}.{unique_name('t')}"
+    df = spark.range(20).selectExpr("id AS k", "id % 3 AS other")
+    upsert_target(df, target, ["k"], buckets=4)
+    for kw in ({"keys": ["k"], "buckets": 7}, {"keys": ["k", "other"], "buckets": 4}, {"keys": ["other", "k"]}):
+        with pytest.raises(ValueError, match="4 buckets of k"):
+            upsert_target(df, target, **kw)
+    upsert_target(df, target, ["k"])  # the target knows its number
+    assert spark.table(target).count() == 20
+    replace_target(df.where("k < 5"), target)
+    upsert_target(df.where("k < 6"), target, ["k"], buckets=4)
+    assert spark.table(target).count() == 6
+    plain = f"{DB}.{unique_name('t')}"
+    replace_target(df, plain)
+    with pytest.raises(ValueError, match="not kept in buckets"):
+        upsert_target(df, plain, ["k"], buckets=4)
+
+
 class TestRepeatedKeys:
     def test_refused_or_ordered(self, spark):
         target = f"{DB}.{unique_name('t')}"

@@ -1,10 +1,12 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
+import pytest
 
 from vetline.session import delete_path, scratch_path, unique_name
+from vetline.sinks.commits import CommitConflict, committed_versions
 from vetline.sinks.dlq import read_dlq
-from vetline.streaming.incremental import file_stream, load_incremental
+from vetline.sinks.tables import default_root, upsert_target
+from vetline.streaming.incremental import file_stream, load_incremental, stream_id
 
 RULES = [{"rule_type": "regex", "column": "v", "pattern": r"^\d+$"}]
 SCHEMA = "k int, v string"
@@ -97,3 +99,71 @@ def test_long_running_stream(spark):
     assert sorted(r["k"] for r in spark.table(tgt).collect()) == [1, 3]
     got = sorted((r["run_id"], r["valid_count"]) for r in spark.table(runs).collect())
     assert got[0] == ("batch0", 1) and got[-1][1] == 1 and sum(v for _, v in got) == 2
+
+
+def test_a_replay_after_midnight_adds_nothing_and_undoes_nothing(spark):
+    src, ckpt, dlq = scratch_path(spark, "in"), scratch_path(spark, "ck"), scratch_path(spark, "dlq")
+    tgt = f"vetline_i.{unique_name('mid')}"
+
+    def run(day):
+        return load_incremental(spark, file_stream(spark, src, SCHEMA), tgt, RULES, keys=["k"], checkpoint=ckpt, dlq_path=dlq, run_date=day)
+
+    _drop(spark, src, [(1, "10"), (2, "x")])
+    run(dt.date(2024, 5, 6))
+    versions = committed_versions(spark, default_root(spark, tgt))
+    upsert_target(spark.createDataFrame([(1, "corrected")], SCHEMA), tgt, ["k"])  # by another job, meanwhile
+    delete_path(spark, f"{ckpt}/commits/0")
+    again = run(dt.date(2024, 5, 7)).collect()
+    assert [(r["run_id"], r["status"]) for r in again] == [("batch0", "already_loaded")]
+    assert sorted(map(tuple, spark.table(tgt).collect())) == [(1, "corrected")]
+    assert [(r.k, r.day) for r in read_dlq(spark, dlq).collect()] == [(2, 6)]
+    assert len(versions) == 1 and committed_versions(spark, default_root(spark, tgt))[-1]["streams"] == {stream_id(spark, ckpt): 0}
+
+
+def test_a_batch_cut_off_before_its_commit_runs_again_on_its_own_day(spark, monkeypatch):
+    from vetline.sinks import tables
+    src, ckpt, dlq = scratch_path(spark, "in"), scratch_path(spark, "ck"), scratch_path(spark, "dlq")
+    tgt = f"vetline_i.{unique_name('cut')}"
+    _drop(spark, src, [(1, "10"), (2, "x")])
+
+    def run(day):
+        return load_incremental(spark, file_stream(spark, src, SCHEMA), tgt, RULES, keys=["k"], checkpoint=ckpt, dlq_path=dlq, run_date=day)
+
+    real = tables.commit
+    monkeypatch.setattr(tables, "commit", lambda *a, **k: 1 / 0)
+    with pytest.raises(Exception):
+        run(dt.date(2024, 5, 6))
+    monkeypatch.setattr(tables, "commit", real)
+    assert run(dt.date(2024, 5, 7)).first()["status"] == "succeeded"
+    assert sorted(map(tuple, spark.table(tgt).collect())) == [(1, "10")]
+    assert [(r.k, r.day) for r in read_dlq(spark, dlq).collect()] == [(2, 6)]
+
+
+def test_two_streams_share_target_queue_and_runs_table(spark):
+    dlq, tgt, runs = scratch_path(spark, "dlq"), f"vetline_i.{unique_name('two')}", f"vetline_i.{unique_name('runs')}"
+    day, streams = dt.date(2024, 5, 6), {}
+    for name, rows in (("a", [(1, "10"), (2, "x")]), ("b", [(3, "30"), (4, "y"), (5, "z")])):
+        src, ckpt = scratch_path(spark, name), scratch_path(spark, "ck")
+        _drop(spark, src, rows)
+        load_incremental(spark, file_stream(spark, src, SCHEMA), tgt, RULES, keys=["k"], checkpoint=ckpt, dlq_path=dlq, run_date=day, runs_table=runs)
+        streams[name] = stream_id(spark, ckpt)
+    assert sorted(r.k for r in spark.table(tgt).collect()) == [1, 3]
+    assert sorted((r.k, r.stream) for r in read_dlq(spark, dlq).collect()) == [(2, streams["a"]), (4, streams["b"]), (5, streams["b"])]
+    assert {(r.stream_id, r.run_id) for r in spark.table(runs).collect()} == {(s, "batch0") for s in streams.values()}
+
+
+def test_a_collision_of_commits_is_tried_again(spark, monkeypatch):
+    from vetline.sinks import tables
+    src, tgt = scratch_path(spark, "in"), f"vetline_i.{unique_name('col')}"
+    _drop(spark, src, [(1, "10")])
+    real, left = tables.commit, [2]
+
+    def commit(*args, **kw):
+        if left[0]:
+            left[0] -= 1
+            raise CommitConflict("meanwhile")
+        return real(*args, **kw)
+
+    monkeypatch.setattr(tables, "commit", commit)
+    got = load_incremental(spark, file_stream(spark, src, SCHEMA), tgt, RULES, keys=["k"]).collect()
+    assert [r["status"] for r in got] == ["succeeded"] and spark.table(tgt).count() == 1

@@ -231,7 +231,7 @@ def test_partition_scoped_upsert(spark):
     assert spark.table(tgt).filter("k = 3").count() == 2
 
 
-def test_upsert_with_key_outside_partitions_rewrites_all(spark):
+def test_upsert_with_key_outside_partitions_finds_its_rows(spark):
     tgt = f"{DB}.{unique_name('pall')}"
     base = spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string")
     replace_target(base, tgt, partition_by="p")
@@ -240,12 +240,12 @@ def test_upsert_with_key_outside_partitions_rewrites_all(spark):
 
 
 def test_partition_scoped_upsert_prunes_the_scan(spark):
-    from vetline.sinks.tables import _touched_rows
+    from vetline.sinks.tables import _rows_in
     tgt = f"{DB}.{unique_name('prn')}"
     base = spark.range(200).select(F.col("id").alias("k"), (F.col("id") % 20).cast("string").alias("p"))
     replace_target(base, tgt, partition_by="p")
     touched = spark.createDataFrame([("3",), (None,)], "p string")
-    pruned = _touched_rows(spark.table(tgt), touched, ["p"])
+    pruned = _rows_in(spark.table(tgt), touched.collect(), ["p"], touched.schema)
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     import re
     filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan).group(1)
@@ -315,9 +315,10 @@ def test_upsert_inherits_from_a_loaded_version(spark, tmp_root):
 
 
 def test_pruning_never_drops_the_current_version(spark):
-    from vetline.sinks.tables import new_version_dir, register_version
+    from vetline.sinks.commits import new_version_dir
+    from vetline.sinks.tables import default_root, register_version
     tgt = f"{DB}.{unique_name('cur')}"
-    early = new_version_dir(spark, tgt)       # a slow load starts first ...
+    early = new_version_dir(default_root(spark, tgt))  # a slow load starts first ...
     replace_target(_src(spark), tgt)          # ... a fast one finishes meanwhile
     _src(spark).filter("k = 1").write.parquet(early)
     register_version(spark, tgt, early, _src(spark).schema, keep_versions=1)  # older name, now current

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import re
 import uuid
 from typing import Callable, Mapping, Sequence
 
@@ -40,17 +41,18 @@ from vetline.functions.rules import Rule
 from vetline.operators.validate import check_patterns, plan_rules, schema_problems
 from vetline.sinks.dlq import append_dlq_table, write_dlq
 from vetline.session import delete_path, scratch_path
+from vetline.sinks.commits import latest_number, new_version_dir
 from vetline.sinks.tables import (
     append_rows,
     check_replacement,
     default_root,
     drop_table,
     ensure_registered,
-    latest_number,
-    new_version_dir,
+    layout_for,
     register_version,
     stage,
     upsert_target,
+    with_hidden,
 )
 
 log = logging.getLogger(__name__)
@@ -68,6 +70,7 @@ METRICS_SCHEMA = StructType([
     StructField("dlq_status", StringType(), False),
     StructField("rules_skipped", LongType(), False),
     StructField("target_version", StringType(), True),
+    StructField("stream_id", StringType(), True),
 ])
 
 
@@ -93,6 +96,7 @@ def load(
     expected_schema=None,
     order_by: Sequence[str] | str | None = None,
     buckets: int | None = None,
+    batch: tuple[str, int] | None = None,
 ) -> DataFrame:
     """Run one validated load of ``source`` into ``target``; return a one-row
     metrics DataFrame (also appended to ``runs_table`` when given).
@@ -110,6 +114,10 @@ def load(
     columns stands. ``buckets`` keeps an upsert target in that many hash
     buckets of the key (see ``upsert_target``).
 
+    ``batch`` (stream id, number) makes an upsert a batch of that stream: the
+    number is committed with the target's version, so that a batch included
+    already changes nothing, and staging and rejects carry the stream's id.
+
     ``publish(accepted, valid_count)`` replaces the default target switch
     (catalog table replace or upsert), e.g. ``jdbc_publisher(...)`` for a
     database table; it returns a version label or None.
@@ -120,6 +128,8 @@ def load(
         raise ValueError("mode must be 'replace' or 'upsert'")
     if mode == "upsert" and not keys:
         raise ValueError("mode='upsert' needs keys")
+    if batch and (mode != "upsert" or publish is not None):
+        raise ValueError("batch is for upserts of a target table")
     if expected_schema is not None:
         problems = schema_problems(source, expected_schema)
         if problems:
@@ -127,13 +137,14 @@ def load(
     run_date = run_date or dt.date.today()
     run_id = run_id or uuid.uuid4().hex[:12]
     # One staging table per run, so concurrent loads of a target never share it.
-    staging = staging or f"{target}__staging_{run_id}"
+    stream = batch[0] if batch else None
+    staging = staging or f"{target}__staging_{re.sub('[^0-9A-Za-z]', '_', stream + '_' if stream else '')}{run_id}"
     active, skipped = plan_rules(source.columns, rules, on_missing)
     check_patterns(spark, active)
 
     metrics = dict(run_id=run_id, target=target, status="started", total_count=0, valid_count=0,
                    invalid_count=0, dlq_count=0, dlq_status="skipped", rules_skipped=len(skipped),
-                   target_version=None)
+                   target_version=None, stream_id=stream)
     direct = mode == "replace" and publish is None
     part_cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     version = registered = rejects_path = None
@@ -146,11 +157,12 @@ def load(
             ensure_registered(spark, target, root)
             check_replacement(spark, target, source.drop(ERRORS_COL, VALID_FLAG).schema)
             base = latest_number(spark, root)
-            version = new_version_dir(spark, target, root)
+            version = new_version_dir(root)
             flagged = source.drop(ERRORS_COL).withColumn(VALID_FLAG, ok)
             if part_cols:
                 flagged = flagged.hint("rebalance", *part_cols)
-            writer = flagged.observe(obs, *counters).where(VALID_FLAG).drop(VALID_FLAG).write.mode("errorifexists")
+            part_cols, layout = layout_for(spark, root, part_cols)
+            writer = with_hidden(flagged.observe(obs, *counters).where(VALID_FLAG).drop(VALID_FLAG), layout).write.mode("errorifexists")
             (writer.partitionBy(*part_cols) if part_cols else writer).parquet(version)
         else:
             staged_rows = source.withColumn(ERRORS_COL, errors_array(active)).withColumn(VALID_FLAG, ok).observe(obs, *counters)
@@ -182,10 +194,10 @@ def load(
             try:
                 if dlq_path:
                     metrics["dlq_count"] = write_dlq(rejects, dlq_path, run_date, count=total - valid,
-                                                     run_id=run_id if dlq_per_run else None)
+                                                     run_id=run_id if dlq_per_run else None, stream=stream)
                 if dlq_table:
                     db, _, t = dlq_table.rpartition(".")
-                    append_dlq_table(rejects, db, t, run_date, run_id)
+                    append_dlq_table(rejects, db, t, run_date, f"{stream}.{run_id}" if stream else run_id)
                     metrics["dlq_count"] = total - valid
                 metrics["dlq_status"] = "written" if (dlq_path or dlq_table) else "no_dlq_configured"
             except Exception as exc:  # rejects are lost, the load goes on
@@ -199,7 +211,7 @@ def load(
 
         if direct:
             register_version(spark, target, version, source.drop(ERRORS_COL).schema, part_cols, root=root,
-                             keep_versions=keep_versions, base=base)
+                             keep_versions=keep_versions, base=base, layout=layout)
             registered = version
             metrics["target_version"] = version
             metrics["status"] = "succeeded"
@@ -211,7 +223,7 @@ def load(
             metrics["status"] = "succeeded"
             return _finish(spark, metrics, runs_table)
         out = upsert_target(accepted, target, keys, partition_by=partition_by, root=target_root,
-                            keep_versions=keep_versions, order_by=order_by, buckets=buckets)
+                            keep_versions=keep_versions, order_by=order_by, buckets=buckets, batch=batch)
         metrics["target_version"] = out["version"]
         metrics["status"] = "succeeded"
         return _finish(spark, metrics, runs_table)

@@ -950,3 +950,96 @@ def load_dlq_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, dlq = _target(spark, "orders_by_vendor"), scratch_path(spark, "load_dlq")
     load(spark, dirty_orders(spark, sf_dir), target, list(DEFAULT_RULES), partition_by="vendor_id", dlq_path=dlq, run_date=RUN_DATE)
     return read_dlq(spark, dlq).select("o_orderkey", "vendor_id")
+
+
+# --- commits, replays and shared targets (K6, K11, K13, S6) -----------------------------------
+
+import datetime as dt  # noqa: E402
+
+from vetline.session import delete_path, path_exists  # noqa: E402
+from vetline.sinks.commits import POINTERS, filesystem  # noqa: E402
+from vetline.sinks.tables import default_root, sweep_uncommitted  # noqa: E402
+from vetline.streaming.incremental import stream_id  # noqa: E402
+
+
+@register("commit_crash_recovered", "SELECT o_orderkey, o_totalprice, CAST(1 AS INTEGER) AS folders_swept FROM orders")
+def commit_crash_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A load died between creating its commit file and writing it, and left its rows: neither blocks the next load.
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    target = _target(spark, "crashed")
+    root = default_root(spark, target)
+    replace_target(orders.where("o_orderkey % 2 = 0"), target)
+    path, fs = filesystem(spark, f"{root}/{POINTERS}/000000000002.json")
+    fs.create(path, False).close()
+    orders.write.parquet(f"{root}/_v20240101000000000000_00000000")
+    load(spark, orders.where("o_orderkey % 3 = 0"), target, [])
+    upsert_target(orders, target, ["o_orderkey"])
+    swept = int(not path_exists(spark, f"{root}/_v20240101000000000000_00000000")) + len(sweep_uncommitted(spark, target))
+    return spark.table(target).withColumn("folders_swept", F.lit(swept))
+
+
+@register("upsert_bucket_change_refused", "SELECT o_orderkey, o_totalprice, true AS refused FROM orders")
+def upsert_bucket_change_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Rows would be looked for in buckets they are not in: the number of the target stands, and a batch may leave it out.
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    target = _target(spark, "bucketed")
+    upsert_target(orders, target, ["o_orderkey"], buckets=4)
+    try:
+        upsert_target(orders, target, ["o_orderkey"], buckets=7)
+        refused = False
+    except ValueError:
+        refused = True
+    upsert_target(orders.where("o_orderkey % 5 = 0"), target, ["o_orderkey"])
+    return spark.table(target).withColumn("refused", F.lit(refused))
+
+
+@register("upsert_untouched_files", """
+SELECT o_orderkey, CASE WHEN o_orderkey <= 100 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice, true AS others_stay FROM orders
+""")
+def upsert_untouched_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Neither partitions nor buckets: files are ranges of the key, and a batch rewrites those that hold its keys.
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    target = _target(spark, "by_file")
+    upsert_target(orders.where("o_orderkey <= 1000"), target, ["o_orderkey"])
+    upsert_target(orders.where("o_orderkey > 1000"), target, ["o_orderkey"])  # new keys: the first files stay
+    before = set(spark.table(target).inputFiles())
+    upsert_target(orders.where("o_orderkey <= 100").withColumn("o_totalprice", -F.col("o_totalprice")), target, ["o_orderkey"])
+    stay = before & set(spark.table(target).inputFiles())
+    return spark.table(target).withColumn("others_stay", F.lit(0 < len(stay) < len(before)))
+
+
+_STREAMS_SQL = f"""
+SELECT o_orderkey, vendor_id, 'rejected' AS kept, CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END AS stream FROM dirty_orders WHERE {{0}}
+UNION ALL
+SELECT o_orderkey, vendor_id, 'loaded', '' FROM dirty_orders WHERE NOT {{0}}
+"""
+_VENDOR_RULE = [{"rule_type": "regex", "column": "vendor_id", "pattern": r"^\d+$"}]
+
+
+def _two_streams(spark: SparkSession, sf_dir: str, replay: bool) -> DataFrame:
+    rows = dirty_orders(spark, sf_dir).select("o_orderkey", "vendor_id")
+    target, dlq, names = _target(spark, "shared"), scratch_path(spark, "shared_dlq"), []
+    for name, rest in (("even", 0), ("odd", 1)):
+        src, ckpt = scratch_path(spark, name), scratch_path(spark, "ck")
+        rows.where(F.col("o_orderkey") % 2 == rest).write.csv(src, header=True, emptyValue='""', ignoreLeadingWhiteSpace=False,
+                                                              ignoreTrailingWhiteSpace=False)
+        for day in (RUN_DATE, RUN_DATE + dt.timedelta(days=1))[:1 + replay]:
+            load_incremental(spark, file_stream(spark, src, rows.schema), target, _VENDOR_RULE, keys=["o_orderkey"], checkpoint=ckpt,
+                             dlq_path=dlq, run_date=day)
+            delete_path(spark, f"{ckpt}/commits/0")  # as if the driver had died before the stream took note of the batch
+        names.append((stream_id(spark, ckpt), name))
+    named = F.create_map(*[F.lit(x) for pair in names for x in pair])
+    rejected = read_dlq(spark, dlq).select("o_orderkey", "vendor_id", F.lit("rejected").alias("kept"), named[F.col("stream")].alias("stream"))
+    return rejected.unionByName(spark.table(target).select("o_orderkey", "vendor_id", F.lit("loaded").alias("kept"), F.lit("").alias("stream")))
+
+
+@register("two_streams_one_dlq", _with_dirty(_STREAMS_SQL.format(_RX_VENDOR)))
+def two_streams_one_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Both call their first batch batch0; target and queue keep the rows of either.
+    return _two_streams(spark, sf_dir, replay=False)
+
+
+@register("stream_replay_after_midnight", _with_dirty(_STREAMS_SQL.format(_RX_VENDOR)))
+def stream_replay_after_midnight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Every batch is delivered again the next day: no reject appears twice, no row is loaded twice.
+    return _two_streams(spark, sf_dir, replay=True)

@@ -25,9 +25,11 @@ DLQ_PARTITIONS = ("year", "month", "day")
 # ---------------------------------------------------------------------------------
 
 
-def dlq_path(base: str, run_date: dt.date, run_id: str | None = None) -> str:
-    """Partitioned DLQ folder for ``run_date`` (and optionally one run)."""
+def dlq_path(base: str, run_date: dt.date, run_id: str | None = None, stream: str | None = None) -> str:
+    """Partitioned DLQ folder for ``run_date`` (and optionally one stream, one run)."""
     path = f"{base.rstrip('/')}/year={run_date.year:04d}/month={run_date.month:02d}/day={run_date.day:02d}/"
+    if stream is not None:
+        path += f"stream={stream}/"
     if run_id is not None:
         path += f"run_id={run_id}/"
     return path
@@ -44,7 +46,8 @@ def _rename_path_columns(df: DataFrame, extra: tuple[str, ...]) -> DataFrame:
 
 
 def write_dlq(invalid: DataFrame, base: str, run_date: dt.date | None = None,
-              run_id: str | None = None, mode: str = "overwrite", count: int | None = None) -> int:
+              run_id: str | None = None, mode: str = "overwrite", count: int | None = None,
+              stream: str | None = None) -> int:
     """Write rejected rows for one day; return how many were written.
 
     With no rows nothing is written (an earlier run's rejects stay). Pass
@@ -53,14 +56,15 @@ def write_dlq(invalid: DataFrame, base: str, run_date: dt.date | None = None,
     first reject) and the count is observed during the write itself, so the
     rejects are computed once, not counted and then recomputed.
     ``mode='overwrite'`` replaces the day's (or, with ``run_id``, the run's)
-    folder, so rerunning a run is idempotent.
+    folder, so rerunning a run is idempotent. Runs are numbered within a stream:
+    streams that share a queue give their id.
     """
     run_date = run_date or dt.date.today()
     if count is not None and int(count) == 0 or count is None and invalid.limit(1).count() == 0:
         log.info("Nothing was rejected; the DLQ is left as it is.")
         return 0
-    path = dlq_path(base, run_date, run_id)
-    extra = ("run_id",) if run_id is not None else ()
+    path = dlq_path(base, run_date, run_id, stream)
+    extra = tuple(c for c, v in (("stream", stream), ("run_id", run_id)) if v is not None)
     rows = _rename_path_columns(invalid, extra)
     obs = None
     if count is None:

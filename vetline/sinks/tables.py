@@ -16,19 +16,17 @@ Earlier versions are kept (``keep_versions``) for rollback and for readers
 still scanning them.
 
 Which version is current is recorded in the target's own folder: one small
-numbered file per version under ``_versions``, created (never overwritten) when
-the version is complete. That file is the commit; the catalog entry follows
+numbered file per version under ``_versions``, published complete or not at all
+(``vetline.sinks.commits``). That file is the commit; the catalog entry follows
 it and is rebuilt from it whenever a session's catalog does not know the
 target or points elsewhere, so a target outlives the session and a crash
 between the two steps. A load remembers the number it started from and fails
-if another load has committed since. Only committed versions are ever pruned;
-the folder of a load still running is not touched.
+if another load has committed since. Committed versions are pruned by number;
+folders that no commit names are swept once they are older than any load runs.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import json
 import logging
 import re
 import uuid
@@ -37,24 +35,36 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, IntegerType, NumericType, StringType, StructField, StructType
 
 from vetline.functions.checks import col_ref
 from vetline.session import delete_path, path_exists
 from vetline.sinks.catalog import ensure_database, table_exists, table_name, write_table
+from vetline.sinks.commits import (
+    POINTERS,
+    SWEEP_AFTER,
+    VERSION_PREFIX,
+    commit,
+    committed_versions,
+    included_batch,
+    latest_number,
+    new_version_dir,
+    newest,
+    sweep,
+    version_of,
+)
 
 log = logging.getLogger(__name__)
 
-_VERSION_PREFIX = "_v"
 _PHYS_SUFFIX = "__v"
 _VERSION_PROP = "vetline.version_path"
 _DATA_PROP = "vetline.data_path"
-_VERSION_DIR = re.compile(r"^_v\d{14}")
 _MANIFESTS = "_manifests"
 _ADD_BATCH = 500
-_POINTERS = "_versions"
-#: Hidden partition column of bucketed upsert targets.
-BUCKET = "_vetline_bucket"
+#: Hidden partition columns of upsert targets, left out of the target's view: a hash
+#: bucket of the key, or the group of rows that one task wrote (one file).
+BUCKET, GROUP = "_vetline_bucket", "_vetline_group"
+_HIDDEN = (BUCKET, GROUP)
 _MAX_BROADCAST_KEYS = 1_000_000
 _MAX_BROADCAST_KEY_BYTES = 128 << 20
 _DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -113,68 +123,16 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 # --- versions ----------------------------------------------------------------------
 
-def _new_version_dir(root: str) -> str:
-    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    return f"{root.rstrip('/')}/{_VERSION_PREFIX}{stamp}_{uuid.uuid4().hex[:8]}"
-
-
-def _filesystem(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def committed_versions(spark: SparkSession, root: str) -> list[dict]:
-    """The target's committed versions, oldest first; each with its number ``seq``."""
-    folder, fs = _filesystem(spark, f"{root.rstrip('/')}/{_POINTERS}")
-    if not fs.exists(folder):
-        return []
-    found = []
-    for status in fs.listStatus(folder):
-        stream = fs.open(status.getPath())
-        try:
-            text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        try:
-            found.append({"seq": int(status.getPath().getName().split(".")[0]), **json.loads(text)})
-        except ValueError:
-            continue  # still being written: not committed yet
-    return sorted(found, key=lambda v: v["seq"])
-
-
-def latest_number(spark: SparkSession, root: str) -> int:
-    """Number of the target's newest committed version, 0 without any."""
-    return max((v["seq"] for v in committed_versions(spark, root)), default=0)
-
-
-def _commit(spark: SparkSession, root: str, base: int | None, version: str, data_path: str, schema, keys: list[str]) -> None:
-    """Record a complete version. Fails if any was committed since number ``base``."""
-    newest = latest_number(spark, root)
-    if base is not None and newest != base:
-        raise RuntimeError(f"Another load has changed {root} meanwhile (version {newest}, expected {base}); nothing was switched")
-    path, fs = _filesystem(spark, f"{root.rstrip('/')}/{_POINTERS}/{newest + 1:012d}.json")
-    entry = {"version": version, "data_path": data_path, "schema": schema.jsonValue(), "keys": keys}
-    out = fs.create(path, False)  # fails if another load takes the same number
-    try:
-        out.write(bytearray(json.dumps(entry).encode()))
-    finally:
-        out.close()
-
-
 def ensure_registered(spark: SparkSession, target: str, root: str | None = None) -> None:
     """Make the catalog's entry of ``target`` agree with its newest committed version."""
     db, t = _split(target)
     root = root or default_root(spark, target)
-    versions = committed_versions(spark, root)
-    if not versions:
-        return
-    newest = versions[-1]
-    if table_exists(spark, db, t) and current_version(spark, target) == newest["version"]:
+    last = newest(spark, root)
+    if not last or table_exists(spark, db, t) and current_version(spark, target) == last["version"]:
         return
     ensure_database(spark, db)
-    _point_catalog(spark, db, t, root, newest["version"], newest["data_path"], StructType.fromJson(newest["schema"]), newest["keys"],
-                   _read_manifest(spark, root, newest["version"]))
+    _point_catalog(spark, db, t, root, last["version"], last["data_path"], StructType.fromJson(last["schema"]), last["keys"],
+                   _read_manifest(spark, root, last["version"]))
 
 
 def check_replacement(spark: SparkSession, target: str, schema) -> None:
@@ -208,25 +166,37 @@ def current_data_path(spark: SparkSession, name: str) -> str | None:
     return props.get(_DATA_PROP) or props.get(_VERSION_PROP)
 
 
-def _version_of(data_path: str) -> str:
-    """The version folder a data folder belongs to."""
-    parts = data_path.rstrip("/").split("/")
-    for i in range(len(parts) - 1, -1, -1):
-        if _VERSION_DIR.match(parts[i]):
-            return "/".join(parts[: i + 1])
-    return data_path.rstrip("/")
+# --- hidden layouts --------------------------------------------------------------------
+
+def layout_for(spark: SparkSession, root: str, partition_by: list[str]) -> tuple[list[str], dict]:
+    """Partition columns and layout that a new version of the target is written with: those asked for, else the hidden ones it has."""
+    layout = (newest(spark, root) or {}).get("layout") or {}
+    if partition_by:
+        return partition_by, {}
+    return [BUCKET] if "buckets" in layout else [GROUP] if "groups" in layout else [], layout
 
 
-def new_version_dir(spark: SparkSession, target: str, root: str | None = None) -> str:
-    """A fresh, empty version folder for ``target`` (under ``root`` or the
-    database's folder). Write rows into it, then ``register_version``."""
-    return _new_version_dir(root or default_root(spark, target))
+def with_hidden(df: DataFrame, layout: dict) -> DataFrame:
+    """``df`` with the hidden partition column of ``layout``."""
+    if "buckets" in layout:
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[col_ref(k) for k in layout["by"]]), F.lit(int(layout["buckets"]))).cast("int"))
+    if "groups" in layout:
+        return df.withColumn(GROUP, F.concat(F.lit(f"{uuid.uuid4().hex[:12]}-"), F.spark_partition_id().cast("string")))
+    return df
 
 
-def _write_version(df: DataFrame, path: str, partition_by: list[str], rebalance: bool) -> int:
+def _write_version(df: DataFrame, path: str, partition_by: list[str], rebalance: bool, layout: dict | None = None) -> int:
+    """Write one version. Rows of a layout by groups are sorted into ranges of the key, so that each file holds one."""
+    layout = layout or {}
     obs = Observation(f"vetline_version_{uuid.uuid4().hex[:8]}")
-    rows = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partition_by and rebalance:
+    if "groups" in layout:
+        # Equal keys, which only rows without one have, may be dealt to several ranges.
+        row = F.xxhash64(*[col_ref(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+        df = df.repartitionByRange(*[col_ref(k) for k in layout["by"]], row)
+    rows = with_hidden(df.observe(obs, F.count(F.lit(1)).alias("rows")), layout)
+    if "groups" in layout:
+        rows = rows.sortWithinPartitions(GROUP, *[col_ref(k) for k in layout["by"]])
+    elif partition_by and rebalance:
         rows = rows.hint("rebalance", *partition_by)
     writer = rows.write.mode("errorifexists")
     if partition_by:
@@ -235,6 +205,12 @@ def _write_version(df: DataFrame, path: str, partition_by: list[str], rebalance:
     return int(obs.get["rows"])
 
 
+def _hidden_schema(schema: StructType, partition_by: list[str]) -> StructType:
+    """``schema`` with the hidden partition column that is to be written."""
+    kinds = {BUCKET: IntegerType(), GROUP: StringType()}
+    return StructType([*schema.fields, *[StructField(c, kinds[c]) for c in partition_by if c in kinds]])
+
+
 def _ddl_columns(schema, partition_by: list[str]) -> str:
     data = [f for f in schema.fields if f.name not in partition_by]
     part = [next(f for f in schema.fields if f.name == p) for p in partition_by]
@@ -250,17 +226,25 @@ def replace_target(df: DataFrame, target: str, partition_by: Sequence[str] | str
     rows counted earlier) is checked against the rows actually written before
     the switch; on a mismatch or any failure the target is left untouched.
     A partitioned version is rebalanced on its keys (few files per folder;
-    AQE splits hot keys). Returns ``{"version": path, "rows": n}``.
+    AQE splits hot keys). A target kept in hidden buckets or file groups by
+    upserts keeps them. Returns ``{"version": path, "rows": n}``.
     """
     spark = df.sparkSession
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     root = root or default_root(spark, target)
     ensure_registered(spark, target, root)
     check_replacement(spark, target, df.schema)
+    keys, layout = layout_for(spark, root, keys)
+    return _replace(df, target, keys, layout, root, expected_count, keep_versions, rebalance)
+
+
+def _replace(df: DataFrame, target: str, keys: list[str], layout: dict, root: str, expected_count: int | None = None,
+             keep_versions: int = 2, rebalance: bool = True, batch: tuple[str, int] | None = None) -> dict:
+    spark = df.sparkSession
     base = latest_number(spark, root)
-    version = _new_version_dir(root)
+    version = new_version_dir(root)
     try:
-        rows = _write_version(df, version, keys, rebalance)
+        rows = _write_version(df, version, keys, rebalance, layout)
         if expected_count is not None and rows != expected_count:
             raise RuntimeError(f"Wrote {rows} rows to {version}, expected {expected_count}")
     except Exception:
@@ -268,27 +252,35 @@ def replace_target(df: DataFrame, target: str, partition_by: Sequence[str] | str
         raise
 
     register_version(spark, target, version, df.schema, keys, data_path=version, root=root,
-                     keep_versions=keep_versions, base=base)
+                     keep_versions=keep_versions, base=base, layout=layout, batch=batch)
     return {"version": version, "rows": rows}
 
 
 def register_version(spark: SparkSession, target: str, version: str, schema,
                      partition_by: Sequence[str] | str | None = None, data_path: str | None = None,
-                     root: str | None = None, keep_versions: int = 2, base: int | None = None) -> None:
+                     root: str | None = None, keep_versions: int = 2, base: int | None = None, layout: dict | None = None,
+                     batch: tuple[str, int] | None = None) -> None:
     """Switch ``target`` to rows already written under ``version`` (at
     ``data_path``, the version folder itself by default): commit it, point
     the catalog at it, then prune old versions. Columns of ``schema`` are the
     table's; extra columns in the files are ignored. ``base`` is the newest
     version's number when the load began; if it has changed, nothing is
-    switched."""
+    switched. ``layout`` and ``batch``: see ``commits.commit``."""
     db, t = _split(target)
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     data_path = data_path or version
     root = root or version.rsplit("/", 1)[0]
-    if table_exists(spark, db, t) and (spark.catalog.getTable(f"{db}.{t}").tableType == "VIEW") != bool(keys):
-        raise ValueError(f"{target} is {'not ' if keys else ''}partitioned; partition_by must agree")
+    last = newest(spark, root)
+    visible = [k for k in keys if k not in _HIDDEN]
+    if last:
+        agrees = [k for k in last["keys"] if k not in _HIDDEN] == visible
+    else:
+        agrees = not table_exists(spark, db, t) or (spark.catalog.getTable(f"{db}.{t}").tableType == "VIEW") == bool(visible)
+    if not agrees:
+        raise ValueError(f"{target} is {'not ' if visible else ''}partitioned so; partition_by must agree")
+    schema = _hidden_schema(schema, keys)
     try:
-        _commit(spark, root, base, version, data_path, schema, keys)
+        commit(spark, root, base, version, data_path, schema, keys, layout, batch)
     except Exception:
         delete_path(spark, version)
         raise
@@ -301,6 +293,8 @@ def _point_catalog(spark: SparkSession, db: str, t: str, root: str, version: str
     """Make the catalog entry read a committed version."""
     name = table_name(db, t)
     exists = table_exists(spark, db, t)
+    if keys and exists and spark.catalog.getTable(f"{db}.{t}").tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")  # external: the first upsert of a plain target gives it file groups, and a view
     props = f"'{_VERSION_PROP}' = '{version}', '{_DATA_PROP}' = '{data_path}'"
     if keys:
         _publish_partitioned(spark, db, t, root, version, schema, keys, inherited=inherited, data_path=data_path)
@@ -321,7 +315,7 @@ def _point_catalog(spark: SparkSession, db: str, t: str, root: str, version: str
 
 
 def _phys_name(t: str, version: str) -> str:
-    return f"{t}{_PHYS_SUFFIX}{version.rsplit('/', 1)[1][len(_VERSION_PREFIX):]}"
+    return f"{t}{_PHYS_SUFFIX}{version.rsplit('/', 1)[1][len(VERSION_PREFIX):]}"
 
 
 def _prune_versions(spark: SparkSession, db: str, t: str, root: str, keep: int) -> None:
@@ -338,7 +332,7 @@ def _prune_versions(spark: SparkSession, db: str, t: str, root: str, keep: int)
     still_read: dict[str, dict[str, set[str]]] = {}  # version -> data folder -> partitions
     for v in kept:
         for part, folder in _read_manifest(spark, root, v).items():
-            still_read.setdefault(_version_of(folder), {}).setdefault(folder, set()).add(part)
+            still_read.setdefault(version_of(folder), {}).setdefault(folder, set()).add(part)
     for old in [v for v in versions if v not in kept]:
         phys_t = _phys_name(t, old)
         phys = table_name(db, phys_t)
@@ -346,13 +340,13 @@ def _prune_versions(spark: SparkSession, db: str, t: str, root: str, keep: int)
         if old in still_read:
             manifest = _read_manifest(spark, root, old)
             if table_exists(spark, db, phys_t):
-                own = {p for p in _show_partitions(spark, phys) if _version_of(manifest.get(p, old)) == old}
+                own = {p for p in _show_partitions(spark, phys) if version_of(manifest.get(p, old)) == old}
         if table_exists(spark, db, phys_t):
             spark.sql(f"DROP TABLE IF EXISTS {phys}")
         delete_path(spark, _manifest_path(root, old))
         for v in committed:
             if v["version"] == old:
-                delete_path(spark, f"{root.rstrip('/')}/{_POINTERS}/{v['seq']:012d}.json")
+                delete_path(spark, f"{root.rstrip('/')}/{POINTERS}/{v['seq']:012d}.json")
         if old not in still_read:
             delete_path(spark, old)
             continue
@@ -363,6 +357,21 @@ def _prune_versions(spark: SparkSession, db: str, t: str, root: str, keep: int)
             for sub in _list_subdirs(spark, old):
                 if all(not f.startswith(sub) for f in still_read[old]):
                     delete_path(spark, sub)
+    sweep(spark, root, set(still_read) | set(kept))
+
+
+def sweep_uncommitted(spark: SparkSession, target: str, root: str | None = None, older_than=SWEEP_AFTER) -> list[str]:
+    """Delete what loads that never committed left in the target's folder, once older than ``older_than``; the names deleted.
+
+    Every load does this with the default age; choose an age that no running load reaches.
+    """
+    root = root or default_root(spark, target)
+    read = {version_of(folder) for v in committed_versions(spark, root) for folder in _read_manifest(spark, root, v["version"]).values()}
+    gone = sweep(spark, root, read, older_than)
+    db, t = _split(target)
+    for name in gone:
+        spark.sql(f"DROP TABLE IF EXISTS {table_name(db, _phys_name(t, f'{root}/{name}'))}")
+    return gone
 
 
 def _list_subdirs(spark: SparkSession, path: str) -> list[str]:
@@ -455,35 +464,47 @@ def _publish_partitioned(spark: SparkSession, db: str, t: str, root: str, versio
     ordered = [f for f in schema.fields if f.name not in keys] + [f for f in schema.fields if f.name in keys]
     spark.sql(f"CREATE OR REPLACE VIEW {table_name(db, t)} "
               f"TBLPROPERTIES ('{_VERSION_PROP}' = '{version}', '{_DATA_PROP}' = '{data_path}') "
-              f"AS SELECT {', '.join(f'`{f.name}`' for f in ordered if f.name != BUCKET)} FROM {phys}")
+              f"AS SELECT {', '.join(f'`{f.name}`' for f in ordered if f.name not in _HIDDEN)} FROM {phys}")
 
 
-def _touched_rows(current: DataFrame, updates: DataFrame, parts: list[str]) -> DataFrame:
-    """The rows of ``current`` in the partitions that ``updates`` name.
+def _rows_in(current: DataFrame, touched: list, parts: list[str], schema: StructType) -> DataFrame:
+    """The rows of ``current`` in the partitions ``touched``.
 
-    The partition values of the batch are collected once: they are partition
-    names, which the catalog calls that follow need on the driver anyway. Per
-    column, ``IN (values)`` (plus ``IS NULL``) selects a superset of the
-    touched partitions that the file index prunes while planning (a join alone
-    does not prune here); with several columns a null-safe semi join with the
-    same values then keeps exactly the touched ones.
+    The partition values are on the driver: they are partition names, which the
+    catalog calls that follow need there anyway. Per column, ``IN (values)``
+    (plus ``IS NULL``) selects a superset of the touched partitions that the
+    file index prunes while planning (a join alone does not prune here); with
+    several columns a null-safe semi join with the same values then keeps
+    exactly the touched ones.
     """
-    touched = updates.select(*[col_ref(c) for c in parts]).distinct()
-    values = touched.collect()
     cond = F.lit(True)
     for k, c in enumerate(parts):
-        present = {r[k] for r in values} - {None}
+        present = {r[k] for r in touched} - {None}
         term = current[c].isin(list(present)) if present else F.lit(False)
-        if any(r[k] is None for r in values):
+        if any(r[k] is None for r in touched):
             term = term | current[c].isNull()
         cond = cond & term
     pruned = current.filter(cond)
     if len(parts) == 1:
         return pruned
-    named = current.sparkSession.createDataFrame(values, touched.schema)
+    named = current.sparkSession.createDataFrame(touched, schema)
     return pruned.join(named, [pruned[c].eqNullSafe(named[c]) for c in parts], "left_semi")
 
 
+def _in_range(current: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+    """``current`` cut to the updates' range of ``key``: a filter that the Parquet reader applies to files and row groups."""
+    if not isinstance(updates.schema[key].dataType, (NumericType, StringType, DateType)):
+        return current
+    low, high = updates.agg(F.min(col_ref(key)), F.max(col_ref(key))).first()
+    return current.where(col_ref(key).between(F.lit(low), F.lit(high)) if low is not None else F.lit(False))
+
+
+def _partition_values(part_path: str) -> tuple[str | None, ...]:
+    """``a=1/b=x%2Fy`` to its values as text, None for the default partition."""
+    raw = [unquote(seg.partition("=")[2]) for seg in part_path.split("/")]
+    return tuple(None if v == _DEFAULT_PARTITION else v for v in raw)
+
+
 def _update_keys(updates: DataFrame, keys: list[str]) -> DataFrame:
     """The update keys for the anti join, broadcast when a bounded check
     proves them small: then the (large) target is streamed through a hash
@@ -496,44 +517,56 @@ def _update_keys(updates: DataFrame, keys: list[str]) -> DataFrame:
     return key_df
 
 
-def _upsert_partitions(updates: DataFrame, target: str, keys: list[str], parts: list[str],
-                       root: str | None, keep_versions: int, rebalance: bool) -> dict:
-    """Upsert that rewrites only the partitions ``updates`` touches.
+def _upsert_scoped(updates: DataFrame, target: str, keys: list[str], parts: list[str], layout: dict, root: str,
+                   keep_versions: int, rebalance: bool, batch: tuple[str, int] | None) -> dict:
+    """Upsert that rewrites only the partitions (or hidden buckets, or groups of files) that ``updates`` touch.
 
-    Valid when every partition column is part of the key: a key's rows can
-    then only live in partitions the updates name. Old rows of those
-    partitions are found with a null-safe semi join on the partition columns
-    (a partition filter on the scan when few partitions are touched), the
-    anti join on the keys drops replaced rows, and the result is written as
-    a new version holding just those partitions.
+    * Partition columns that are part of the key, and buckets, follow from the updates themselves.
+    * Otherwise a key may stand anywhere. Where it stands is found by a semi
+      join of the target's key columns, cut to the updates' key range, with
+      the update keys; partitions that updates go to are touched as well.
+
+    The anti join on the keys drops replaced rows from the touched partitions,
+    the result is written as a new version holding just those, and all other
+    partitions are taken over where they are.
     """
     spark = updates.sparkSession
     db, t = _split(target)
-    root = root or default_root(spark, target)
-    old_version = current_version(spark, target)
-    old_phys = table_name(db, _phys_name(t, old_version))
+    last = newest(spark, root)
+    old_phys = table_name(db, _phys_name(t, last["version"]))
     current = spark.table(old_phys)
-    base = latest_number(spark, root)
-    kept = _touched_rows(current, updates, parts).join(_update_keys(updates, keys), keys, "left_anti")
+    named = with_hidden(updates, layout) if parts == [BUCKET] else updates
+    update_keys = _update_keys(updates, keys)
+    if parts == [BUCKET] or set(parts) <= set(keys):
+        found = named.select(*[col_ref(c) for c in parts]).distinct()
+    else:
+        found = _in_range(current, updates, keys[0]).join(update_keys, keys, "left_semi").select(*[col_ref(c) for c in parts])
+        found = (found if parts == [GROUP] else found.union(updates.select(*[col_ref(c) for c in parts]))).distinct()
+    touched = found.collect()  # names of partitions
+    kept = _rows_in(current, touched, parts, found.schema).drop(*_HIDDEN).join(update_keys, keys, "left_anti")
     merged = kept.unionByName(updates, allowMissingColumns=True)
-    version = _new_version_dir(root)
+    version = new_version_dir(root)
     try:
-        rows = _write_version(merged, version, parts, rebalance)
+        rows = _write_version(merged, version, parts, rebalance, layout) if "groups" in layout else \
+            _write_version(with_hidden(merged, layout), version, parts, rebalance)
     except Exception:
         delete_path(spark, version)
         raise
-    old_data = current_data_path(spark, target) or old_version
-    old_map = {p: old_data for p in _show_partitions(spark, old_phys)}
-    old_map.update(_read_manifest(spark, root, old_version))
+    old_map = {p: last["data_path"] for p in _show_partitions(spark, old_phys)}
+    old_map.update(_read_manifest(spark, root, last["version"]))
+    gone = {tuple(None if v in (None, "") else str(v) for v in r)
+            for r in found.select(*[col_ref(c).cast("string") for c in parts]).collect()} if parts != [GROUP] else {(r[0],) for r in touched}
+    inherited = {p: d for p, d in old_map.items() if _partition_values(p) not in gone}
     own = {p: version for p in _written_partitions(spark, version)}
+    schema = _hidden_schema(merged.schema, parts)
     try:
-        _write_manifest(spark, root, version, {**old_map, **own})
-        _commit(spark, root, base, version, version, merged.schema, parts)
+        _write_manifest(spark, root, version, {**inherited, **own})
+        commit(spark, root, last["seq"], version, version, schema, parts, layout, batch)
     except Exception:
         delete_path(spark, _manifest_path(root, version))
         delete_path(spark, version)
         raise
-    _publish_partitioned(spark, db, t, root, version, merged.schema, parts, inherited=old_map)
+    _publish_partitioned(spark, db, t, root, version, schema, parts, inherited=inherited)
     _prune_versions(spark, db, t, root, keep_versions)
     return {"version": version, "rows": rows}
 
@@ -562,62 +595,85 @@ def _one_per_key(updates: DataFrame, keys: list[str], order_by: list[str]) -> Da
 def upsert_target(updates: DataFrame, target: str, keys: Sequence[str],
                   partition_by: Sequence[str] | str | None = None, root: str | None = None,
                   keep_versions: int = 2, partition_scoped: bool = True, rebalance: bool = True,
-                  order_by: Sequence[str] | str | None = None, buckets: int | None = None) -> dict:
+                  order_by: Sequence[str] | str | None = None, buckets: int | None = None,
+                  batch: tuple[str, int] | None = None) -> dict:
     """Insert-or-replace rows of ``target`` by ``keys``, then switch versions.
 
     A key may occur once in ``updates``; with ``order_by`` it may occur more
     often and the row that is last by these columns stands, otherwise repeated
     keys are refused. ``updates`` must hold the key and partition columns,
-    and its columns the target's types.
+    and its columns the target's types. Rows with a NULL key never match, as
+    in SQL MERGE. ``updates`` is read several times: hand over stored rows.
 
     New version = target rows whose key is not in ``updates`` (left anti join)
     plus all of ``updates``. When a bounded check proves the update keys
     small they are broadcast and the target is not shuffled; otherwise both
-    sides shuffle on the keys and AQE splits skewed key partitions. Rows with a NULL key never
-    match, as in SQL MERGE.
-
-    For a partitioned target whose partition columns are all among ``keys``,
-    only the partitions the updates touch are read and rewritten
-    (``partition_scoped``); otherwise the whole target is rewritten. A target
-    without such columns can be kept in ``buckets`` by a hash of the key: a
-    hidden partition that the target's view leaves out, so that a batch
-    rewrites only the buckets its keys fall in. Pass the same number every
-    time; choose it for buckets of a few hundred MB.
+    sides shuffle on the keys and AQE splits skewed key partitions.
+
+    What is rewritten follows the batch (``partition_scoped``):
+
+    * a partitioned target: the partitions that hold an updated key or that
+      updates go to (if all partition columns are among ``keys``, the latter
+      alone);
+    * ``buckets``: the buckets that the update keys fall in. The number is
+      recorded with the target; another one, or other keys, are refused;
+    * otherwise: the files that hold an updated key. The target is kept in
+      hidden groups of one file each, sorted into ranges of the key, so a
+      batch of new or neighbouring keys touches few. A plain target (made by
+      ``replace_target``) is rewritten once to get them.
+
+    ``batch`` (stream id, number) is recorded with the version; a batch the
+    target includes already is skipped, whatever its rows.
     """
-    if buckets:
-        if partition_by:
-            raise ValueError("buckets are for targets without partition columns")
-        bucket = F.pmod(F.xxhash64(*[col_ref(k) for k in keys]), F.lit(int(buckets))).cast("int")
-        return upsert_target(updates.withColumn(BUCKET, bucket), target, [*keys, BUCKET], partition_by=BUCKET, root=root,
-                             keep_versions=keep_versions, rebalance=rebalance, order_by=order_by)
     spark = updates.sparkSession
     db, t = _split(target)
     keys = list(keys)
     if not keys:
         raise ValueError("upsert_target needs at least one key column")
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    if buckets and parts:
+        raise ValueError("buckets are for targets without partition columns")
     absent = [c for c in [*keys, *parts] if c not in updates.columns]
     if absent:
         raise ValueError(f"Updates for {target} lack {', '.join(absent)}")
+    root = root or default_root(spark, target)
     ensure_registered(spark, target, root)
+    last = newest(spark, root)
+    if batch and included_batch(spark, root, batch[0]) >= batch[1]:
+        return {"version": last["version"], "rows": 0}
     if table_exists(spark, db, t):
         kinds = {f.name: f.dataType.simpleString() for f in spark.table(table_name(db, t)).schema.fields}
         other = [f.name for f in updates.schema.fields if kinds.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString()]
         if other:
             raise ValueError(f"Updates for {target} have other types than it: {', '.join(other)}")
+    layout = _upsert_layout(last, target, keys, parts, buckets)
+    parts = parts or ([BUCKET] if "buckets" in layout else [GROUP])
     updates = _one_per_key(updates, keys, [order_by] if isinstance(order_by, str) else list(order_by or []))
     if not table_exists(spark, db, t):
-        return replace_target(updates, target, partition_by=partition_by, root=root,
-                              keep_versions=keep_versions, rebalance=rebalance)
-    if (parts and set(parts) <= set(keys) and partition_scoped
-            and spark.catalog.getTable(f"{db}.{t}").tableType == "VIEW"
-            and current_version(spark, target)):
-        return _upsert_partitions(updates, target, keys, parts, root, keep_versions, rebalance)
-    current = spark.table(table_name(db, t))
-    kept = current.join(_update_keys(updates, keys), keys, "left_anti")
-    merged = kept.unionByName(updates, allowMissingColumns=True)
-    return replace_target(merged, target, partition_by=partition_by, root=root,
-                          keep_versions=keep_versions, rebalance=rebalance)
+        return _replace(updates, target, parts, layout, root, keep_versions=keep_versions, rebalance=rebalance, batch=batch)
+    if partition_scoped and last and last["keys"] == parts:
+        return _upsert_scoped(updates, target, keys, parts, layout, root, keep_versions, rebalance, batch)
+    merged = spark.table(table_name(db, t)).join(_update_keys(updates, keys), keys, "left_anti").unionByName(updates, allowMissingColumns=True)
+    if last is None:  # a table that this library did not write keeps its form
+        parts, layout = ([] if parts == [GROUP] else parts), ({} if parts == [GROUP] else layout)
+    return _replace(merged, target, parts, layout, root, keep_versions=keep_versions, rebalance=rebalance, batch=batch)
+
+
+def _upsert_layout(last: dict | None, target: str, keys: list[str], parts: list[str], buckets: int | None) -> dict:
+    """The layout an upsert writes: the target's own, or what is asked for where it has none."""
+    if parts:
+        return {}
+    layout = (last or {}).get("layout") or {}
+    if "buckets" in layout:
+        if buckets not in (None, layout["buckets"]) or keys != layout["by"]:
+            raise ValueError(f"{target} is kept in {layout['buckets']} buckets of {', '.join(layout['by'])}; "
+                             f"an upsert in {buckets} of {', '.join(keys)} would not find its rows")
+        return layout
+    if buckets:
+        if last and last["keys"] != [BUCKET]:
+            raise ValueError(f"{target} is not kept in buckets")
+        return {"buckets": int(buckets), "by": keys}
+    return {"groups": True, "by": keys}
 
 
 # --- run metadata (K15, K17) ---------------------------------------------------------
