@@ -31,11 +31,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,14 +49,17 @@ from vetline.llm.words import lookup, sorted_counts
 
 #: Pairs whose counts are sent to every task (12 bytes each); links of all others are joined.
 HEAD = 1 << 18
-#: Parts of texts that a task remembers at a time, and the longest of them.
-CACHED, LONGEST = 200_000, 200
+#: Parts of texts that a process remembers in each of two generations, and the longest of them.
+CACHED, LONGEST = 150_000, 100
+#: Bytes of texts (one text at least) that are taken apart at a time, and how many of their new parts are encoded as one text.
+SLICE, JOINED = 1 << 18, 256
 #: Distinct pairs that a task holds before it passes their counts on.
 HELD = 1 << 20
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_DOUBLE = re.compile(r"\s\s")
 
-Part = tuple[int, int, int, bytes, bytes]
+Part = tuple[int, int, int, str, bytes]
 
 
 def byte_letters() -> dict[str, int]:
@@ -63,63 +69,97 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
-def slices(ends_a: Sequence[int], ends_b: Sequence[int]) -> Iterator[tuple[int, int, int, int]]:
-    """Index ranges ``(a, a2, b, b2)`` of both token lists between the byte offsets where both have an end."""
-    at_a = {end: k for k, end in enumerate(ends_a, 1)}
-    at_b = {end: k for k, end in enumerate(ends_b, 1)}
-    a = b = 0
-    for end in sorted(at_a.keys() & at_b.keys()):
-        yield a, at_a[end], b, at_b[end]
-        a, b = at_a[end], at_b[end]
-
-
 class Aligner:
     """Two tokenizers and the bytes of their tokens; ``part`` aligns a text, remembering short parts."""
 
     def __init__(self, byte_json: str, piece_model: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self.a = Tokenizer.from_str(byte_json)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
         letters, spec = byte_letters(), json.loads(byte_json)
-        self.bytes_a = {i: bytes(letters[c] for c in word) if all(c in letters for c in word) else word.encode()
-                        for word, i in self.a.get_vocab(with_added_tokens=True).items()}
+        vocabulary = self.a.get_vocab(with_added_tokens=True)
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        for word, i in vocabulary.items():
+            self.bytes_a[i] = bytes(letters[c] for c in word) if all(c in letters for c in word) else word.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         steps = [spec.get("normalizer"), spec.get("pre_tokenizer") or {}]
         by_rule = steps[0] is None and steps[1].get("type") == "ByteLevel" and steps[1].get("use_regex", True) and not steps[1].get("add_prefix_space")
         self.cuts = by_rule and not any("▁" in p.lstrip("▁") for p in pieces)
+        self.size_a, self.size_b = [len(x) for x in self.bytes_a], [len(x) for x in self.bytes_b]
+        self.said = [str(i) for i in range(max(len(pieces), len(self.bytes_a)))]
         self.known: dict[str, Part | None] = {}
+        self.before: dict[str, Part | None] = {}
+
+    def ids(self, text: str) -> tuple[list[int], list[int]]:
+        """The ids of a space and the text by A, and of the text by B, which adds the space."""
+        return self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.b.encode(text)
 
-    def part(self, ids_a: list[int], ids_b: list[int], text: str) -> Part | None:
-        """Numbers of tokens and groups, the groups written out, and the links, of one part; None if the bytes differ."""
-        a, b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        whole = b" " + text.encode()
-        if b"".join(a) != whole or b"".join(b) != whole:
+    def sliced(self, text: str, ids_a: list[int], ids_b: list[int]) -> tuple | None:
+        """The groups of a text: each one's end in bytes, its ends in either list, its ids written out, and its link; None if the bytes differ.
+
+        No token is empty, so a slice's last tokens are its only pair that ends together.
+        """
+        data = b" " + text.encode()
+        if b"".join(map(self.bytes_a.__getitem__, ids_a)) != data or b"".join(map(self.bytes_b.__getitem__, ids_b)) != data:
             return None
-        ends_a, ends_b = np.cumsum([len(x) for x in a]).tolist(), np.cumsum([len(x) for x in b]).tolist()
-        said, links = [], []
-        for i, i2, j, j2 in slices(ends_a, ends_b):
-            said.append(",".join(map(str, ids_a[i:i2])) + "|" + ",".join(map(str, ids_b[j:j2])))
-            links += [ids_a[x] << 16 | ids_b[y] for x in range(i, i2) if ends_a[x] == ends_a[i2 - 1]
-                      for y in range(j, j2) if ends_b[y] == ends_b[j2 - 1]]
-        return len(a), len(b), len(said), ";".join(said).encode(), np.array(links, np.uint32).tobytes()
-
-    def encoded(self, texts: list[str]) -> list[Part | None]:
-        a = [x.ids for x in self.a.encode_batch([" " + x for x in texts], add_special_tokens=False)]
-        return [self.part(x, y, t) for x, y, t in zip(a, self.b.encode(texts, num_threads=1), texts)]
-
-    def parts(self, text: str) -> list[Part | None]:
-        """The aligned parts of a text, in order."""
-        cut = _CUT.split(text) if self.cuts else [text]
-        new = list({w for w in cut if w not in self.known})
-        if not new:
-            return [self.known[w] for w in cut]
-        if len(self.known) + len(new) > CACHED:
-            self.known = {}
-            new = list(set(cut))
-        found = dict(zip(new, self.encoded(new)))
-        got = [found[w] if w in found else self.known[w] for w in cut]
-        self.known.update((w, p) for w, p in found.items() if len(w) <= LONGEST)
+        at_a = dict(zip(accumulate(map(self.size_a.__getitem__, ids_a)), range(1, len(ids_a) + 1)))
+        at_b = dict(zip(accumulate(map(self.size_b.__getitem__, ids_b)), range(1, len(ids_b) + 1)))
+        common = sorted(at_a.keys() & at_b.keys())
+        cut_a, cut_b = list(map(at_a.__getitem__, common)), list(map(at_b.__getitem__, common))
+        said_a, said_b = list(map(self.said.__getitem__, ids_a)), list(map(self.said.__getitem__, ids_b))
+        said, i, j = [], 0, 0
+        for i2, j2 in zip(cut_a, cut_b):
+            said.append(f"{said_a[i] if i2 - i == 1 else ','.join(said_a[i:i2])}|{said_b[j] if j2 - j == 1 else ','.join(said_b[j:j2])}")
+            i, j = i2, j2
+        links = np.array(ids_a, np.uint32)[np.array(cut_a) - 1] << 16 | np.array(ids_b, np.uint32)[np.array(cut_b) - 1]
+        return common, cut_a, cut_b, said, links.tobytes()
+
+    def whole(self, text: str) -> Part | None:
+        """A text encoded and sliced by itself: numbers of tokens and groups, the groups written out, and the links."""
+        got = self.sliced(text, *self.ids(text))
+        return got and (got[1][-1], got[2][-1], len(got[0]), ";".join(got[3]), got[4])
+
+    def joined(self, words: list[str]) -> list[Part | None]:
+        """As ``whole`` of each word, for words that neither begin nor end with white space: they are encoded as one text and taken apart."""
+        text = " ".join(words)
+        got = self.sliced(text, *self.ids(text))
+        if got is None:
+            return [self.whole(w) for w in words]
+        common, cut_a, cut_b, said, links = got
+        number = dict(zip(common, range(1, len(common) + 1)))
+        last = [number[end] for end in accumulate([len(w.encode()) + 1 for w in words])]
+        cut_a, cut_b = [0, *cut_a], [0, *cut_b]
+        return [(cut_a[h] - cut_a[g], cut_b[h] - cut_b[g], h - g, ";".join(said[g:h]), links[4 * g:4 * h]) for g, h in pairwise([0, *last])]
+
+    def cut(self, text: str) -> list[str]:
+        if not self.cuts:
+            return [text]
+        # Without two white space characters together, or one at either end, every space is a place to cut at.
+        return _CUT.split(text) if _DOUBLE.search(text) or text.strip() != text else text.split(" ")
+
+    def parts(self, texts: list[str]) -> list[list[Part | None]]:
+        """The aligned parts of each text, in order."""
+        cut = [self.cut(t) for t in texts]
+        known, before = self.known, self.before
+        new = []
+        for w in {w for words in cut for w in words if w not in known}:
+            if w in before:
+                known[w] = before[w]
+            else:
+                new.append(w)
+        plain = [w for w in new if w and not w[0].isspace() and not w[-1].isspace()] if self.cuts else []
+        for k in range(0, len(plain), JOINED):
+            known.update(zip(plain[k:k + JOINED], self.joined(plain[k:k + JOINED])))
+        for w in set(new).difference(plain):
+            known[w] = self.whole(w)
+        got = [[known[w] for w in words] for words in cut]
+        for w in new:
+            if len(w) > LONGEST:
+                del known[w]
+        if len(known) > CACHED:  # what is not met again in the time of as many other parts is forgotten
+            self.known, self.before = {}, known
         return got
 
 
@@ -143,20 +183,21 @@ def align(docs: DataFrame, byte_json: str, piece_model: bytes, id_col: str = "do
     kind = pa.schema([("id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()),
                       ("groups_sha256", pa.string()), ("links", pa.binary())])
 
-    def one(both: Aligner, row_id: int | None, text: str | None) -> tuple:
-        got = both.parts(text) if text else []
-        if not got or None in got:
+    def one(row_id: int | None, text: str | None, got: list[Part | None]) -> tuple:
+        if not text or None in got:
             return row_id, 0, 0, 0, 0, "", b""
         n_a, n_b, n_groups, said, held = zip(*got)
         links = b"".join(held)
-        return row_id, sum(n_a), sum(n_b), sum(n_groups), len(links) // 4, hashlib.sha256(b";".join(said)).hexdigest(), links
+        return row_id, sum(n_a), sum(n_b), sum(n_groups), len(links) // 4, hashlib.sha256(";".join(said).encode()).hexdigest(), links
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(byte_json, piece_model)
-        for batch in batches:
-            for k in range(0, len(batch), 512):
-                part = batch.slice(k, 512)
-                rows = [one(both, i.as_py(), t.as_py()) for i, t in zip(part.column("id"), part.column("text"))]
+        for batch in filter(len, batches):
+            read = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+            for k, k2 in pairwise([0, *(np.flatnonzero(np.diff(read // SLICE)) + 1).tolist(), len(batch)]):
+                part = batch.slice(k, k2 - k)
+                texts = part.column("text").to_pylist()
+                rows = [one(*x) for x in zip(part.column("id").to_pylist(), texts, both.parts([t or "" for t in texts]))]
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), kind)], schema=kind)
 
     valid = F.when(F.is_valid_utf8(F.col(text_col)), F.col(text_col))
