@@ -304,8 +304,10 @@ class TestCsv:
     def test_text_survives_the_hourly_layout(self, spark):
         root = scratch_path(spark, "hours")
         df = spark.createDataFrame([(k, t, dt.datetime(2024, 5, 6, 7)) for k, t in enumerate(self.TEXTS)], "k int, t string, at timestamp")
-        write_hourly(df, "at", root)
-        back = read_partitioned(spark, root, schema=df.schema, partition_columns=["year", "month", "day", "hour"])
+        with pytest.raises(Exception, match="line break"):
+            write_hourly(df, "at", root)
+        write_hourly(df, "at", root, mode="overwrite", line_breaks=True)
+        back = read_partitioned(spark, root, schema=df.schema, partition_columns=["year", "month", "day", "hour"], multiLine=True)
         assert [r.t for r in back.orderBy("k").collect()] == self.TEXTS
 
     def test_hours_are_utc_in_any_session(self, spark):
@@ -326,6 +328,72 @@ class TestCsv:
             load_incremental(spark, file_stream(spark, path, "a string, b string"), f"{DB}.{unique_name('t')}", [], keys=["a"])
 
 
+    def test_a_large_file_is_split_over_tasks(self, spark):
+        path = scratch_path(spark, "csv") + "/one.csv"
+        spark.range(60_000).selectExpr("id", "repeat('x', 50) AS t").coalesce(1).write.option("header", True).csv(path)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+        try:
+            back = read_csv(spark, path, schema="id long, t string")
+            assert back.rdd.getNumPartitions() > 8 and back.agg(F.sum("id")).first()[0] == sum(range(60_000))
+            assert read_csv(spark, path, schema="id long, t string", multiLine=True).rdd.getNumPartitions() == 1
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+class TestMalformedRecords:
+    def test_raw_text_reaches_the_queue_and_the_target_has_no_such_column(self, spark):
+        path, dlq, target = scratch_path(spark, "in") + "/a.csv", scratch_path(spark, "dlq"), f"{DB}.{unique_name('t')}"
+        lines = ["1,one", "x,two", "3", "4,four,more", '5,"open', ",six"]
+        spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path)
+        for mode, keys in (("replace", None), ("upsert", ["k"])):
+            source = read_csv(spark, path, schema="k int, v string", header=False, keep_malformed=True)
+            got = load(spark, source, target, [{"rule_type": "not_null", "column": "k"}], dlq_path=dlq, mode=mode, keys=keys).first()
+            assert (got.total_count, got.valid_count) == (6, 2)
+            assert spark.table(target).columns == ["k", "v"] and rows(spark, target) == [(1, "one"), (5, "open")]
+            back = {r.raw_record: [e.rule_name for e in r._validation_errors] for r in read_dlq(spark, dlq).collect()}
+            assert back == {"x,two": ["malformed_record", "not_null_k"], "3": ["malformed_record"], "4,four,more": ["malformed_record"],
+                            None: ["not_null_k"]}
+
+    def test_partitioned_and_without_schema(self, spark):
+        root = scratch_path(spark, "in")
+        spark.createDataFrame([("a,b",), ("1,2",), ("1",)], "value string").coalesce(1).write.text(f"{root}/day=01")
+        back = read_partitioned(spark, root, schema=spark.createDataFrame([], "a int, b int").schema, partition_columns=["day"], keep_malformed=True)
+        assert {(r.a, r.b, r._corrupt_record, r.day) for r in back.collect()} == {(1, 2, None, "01"), (1, None, "1", "01")}
+        assert read_csv(spark, f"{root}/day=01", keep_malformed=True).where("_corrupt_record IS NOT NULL").select("a", "_corrupt_record").first() == ("1", "1")
+        with pytest.raises(ValueError, match="schema"):
+            read_partitioned(spark, root, keep_malformed=True)
+
+
+class TestPinnedSource:
+    def test_other_rows_in_equal_number_are_refused(self, spark, monkeypatch):
+        from vetline.plans import load as plan
+        src, target = scratch_path(spark, "src"), f"{DB}.{unique_name('t')}"
+        spark.createDataFrame([(1, "a"), (2, None)], "k int, v string").write.parquet(src)
+        replace_target(spark.createDataFrame([(0, "old")], "k int, v string"), target)
+        real = plan.scratch_path
+
+        def between_the_passes(*args):
+            spark.createDataFrame([(1, "a"), (3, None)], "k int, v string").write.mode("append").parquet(f"{src}-new")
+            (hpath, fs), (new, _) = commits.filesystem(spark, src), commits.filesystem(spark, f"{src}-new")
+            fs.delete(hpath, True)
+            fs.rename(new, hpath)
+            return real(*args)
+
+        monkeypatch.setattr(plan, "scratch_path", between_the_passes)
+        source = spark.read.schema("k int, v string").parquet(src)
+        with pytest.raises(Exception):
+            load(spark, source, target, [{"rule_type": "not_null", "column": "v"}])
+        assert rows(spark, target) == [(0, "old")]
+
+    def test_a_source_that_changes_by_itself(self, spark):
+        target = f"{DB}.{unique_name('t')}"
+        source = spark.range(20).withColumn("r", F.current_timestamp()).withColumn("v", F.when(F.col("id") > 5, "x"))
+        with pytest.raises(RuntimeError, match="changed"):
+            load(spark, source, target, [{"rule_type": "not_null", "column": "v"}])
+        source = source.drop("r").withColumn("m", F.create_map(F.lit("a"), F.col("id")))
+        assert load(spark, source, target, [{"rule_type": "not_null", "column": "v"}]).first().invalid_count == 6
+
+
 class TestBlankPartitionKeys:
     def test_rejects_keep_their_fields(self, spark):
         target, dlq = f"{DB}.{unique_name('t')}", scratch_path(spark, "dlq")
@@ -334,6 +402,38 @@ class TestBlankPartitionKeys:
         assert sorted((r.k, r.part) for r in read_dlq(spark, dlq).collect()) == [(2, ""), (3, None)]
         assert rows(spark, target) == [(1, "x")]
 
+    TEXTS = ["", None, " ", "__vetline_empty__", "__vetline_empty__x", "__vetline_empt", "a/b=c", "ü"]
+
+    @pytest.mark.parametrize("how", ["replace", "load", "upsert"])
+    def test_blank_values_stay_apart_from_null(self, spark, how):
+        target = f"{DB}.{unique_name('t')}"
+        df = spark.createDataFrame([(k, t, "v") for k, t in enumerate(self.TEXTS)], "k int, p string, v string")
+        if how == "load":
+            load(spark, df, target, [], partition_by="p")
+        else:
+            (replace_target if how == "replace" else lambda *a, **kw: upsert_target(*a, keys=["k"], **kw))(df, target, partition_by="p")
+        assert [r.p for r in spark.table(target).orderBy("k").collect()] == self.TEXTS
+        assert [r.k for r in spark.table(target).where("p = ''").collect()] == [0]
+        assert [r.k for r in spark.table(target).where("p IS NULL").collect()] == [1]
+        forget(spark, target)
+        ensure_registered(spark, target)
+        moved = spark.createDataFrame([(0, "", "new"), (2, "", "new"), (1, None, "new"), (9, "__vetline_empty__", "new")], df.schema)
+        upsert_target(moved, target, ["k"], partition_by="p")
+        want = {k: (t, "v") for k, t in enumerate(self.TEXTS)} | {0: ("", "new"), 1: (None, "new"), 2: ("", "new"), 9: ("__vetline_empty__", "new")}
+        assert {r.k: (r.p, r.v) for r in spark.table(target).collect()} == want
+        upsert_target(spark.createDataFrame([(0, "", "again"), (5, "a", "again")], df.schema), target, ["k", "p"], partition_by="p")
+        got = sorted((r.k, r.p, r.v) for r in spark.table(target).where("k IN (0, 5)").collect())
+        assert got == [(0, "", "again"), (5, "__vetline_empt", "v"), (5, "a", "again")]
+
+    def test_pruning_still_reaches_the_folders(self, spark):
+        import re
+        target = f"{DB}.{unique_name('t')}"
+        for value in ("x", ""):  # without and with values under another name
+            replace_target(spark.createDataFrame([(1, value), (2, "b")], "k int, p string"), target, partition_by="p")
+            plan = spark.table(target).where("p = 'b'")._jdf.queryExecution().executedPlan().toString()
+            assert "PartitionFilters: [" in plan and "b" in re.search(r"PartitionFilters: \[(.*?)\]", plan, re.S).group(1), plan
+            assert [r.k for r in spark.table(target).where("p = 'b'").collect()] == [2]
+
 
 class TestHotKeys:
     def test_hot_on_either_side_gives_the_same_rows(self, spark):
@@ -347,3 +447,23 @@ class TestHotKeys:
     def test_measuring_a_lookup(self, spark):
         n, size = lookup_size(spark.range(1000).repartition(7))
         assert n == 1000 and size >= 8 * 1000
+
+
+class TestDlqTable:
+    def test_a_run_that_is_repeated_leaves_one_copy(self, spark):
+        from vetline.sinks.dlq import append_dlq_table
+        t, day = unique_name("dlq"), dt.date(2024, 5, 6)
+        first, again = (spark.createDataFrame([(1, v)], "k int, v string") for v in ("first", "again"))
+        for rows_, run, on in ((first, "r1", day), (first, "it's", day), (first, "r1", day + dt.timedelta(days=1)), (again, "r1", day), (again, "it's", day)):
+            append_dlq_table(rows_, DB, t, on, run)
+        got = sorted((r.run_id, r.run_date.day, r.v) for r in spark.table(f"{DB}.{t}").collect())
+        assert got == [("it's", 6, "again"), ("r1", 6, "again"), ("r1", 7, "first")]
+
+    def test_a_table_of_the_older_form_is_appended_to(self, spark):
+        from vetline.sinks.catalog import write_table
+        from vetline.sinks.dlq import append_dlq_table
+        t, day = unique_name("dlq"), dt.date(2024, 5, 6)
+        rows_ = spark.createDataFrame([(1, "a")], "k int, v string")
+        write_table(rows_.withColumn("run_id", F.lit("r0")).withColumn("run_date", F.lit(day)), DB, t, partition_by="run_date")
+        append_dlq_table(rows_, DB, t, day, "r1")
+        assert sorted(r.run_id for r in spark.table(f"{DB}.{t}").collect()) == ["r0", "r1"]

@@ -90,3 +90,21 @@ def test_enrich_publishes_and_gates(spark):
                    gate_on_quality=True)
         assert not spark.catalog.tableExists(f"{db}.{t2}")
     assert spark.table(res).filter("outcome = 'Failed'").count() == 2
+
+
+def test_a_large_lookup_is_cut_to_the_records_keys(spark):
+    lookup = spark.range(5000).selectExpr("id % 1000 AS k", "id AS l")
+    records = spark.createDataFrame([(3, "a"), (3, "b"), (7, "c"), (2000, "d"), (None, "e")], "k long, r string")
+    want = lookup_right_join(lookup, records, "k", broadcast=False)
+    small = lookup_right_join(lookup, records, "k", max_broadcast_rows=100)  # what is left of the lookup fits
+    some = lookup_right_join(lookup, records, "k", max_broadcast_rows=4)  # only the keys fit
+    none = lookup_right_join(lookup, records, "k", max_broadcast_rows=1)
+    off = lookup_right_join(lookup, records, "k", max_broadcast_rows=100, reduce_lookup=False)
+    salted = lookup_right_join(lookup, records, "k", max_broadcast_rows=4, salt_buckets=3)
+    for got in (small, some, none, off, salted):
+        assert got.columns == want.columns and _rows(got) == _rows(want)
+    plans = {name: _plan(df) for name, df in (("small", small), ("some", some), ("none", none), ("off", off), ("salted", salted))}
+    assert "LeftSemi, BuildRight" in plans["small"] and "RightOuter, BuildLeft" in plans["small"] and "SortMergeJoin" not in plans["small"]
+    for name in ("some", "salted"):
+        assert "BroadcastHashJoin" in plans[name] and "LeftSemi" in plans[name] and "SortMergeJoin" in plans[name]
+    assert "LeftSemi" not in plans["none"] + plans["off"]

@@ -323,3 +323,44 @@ def test_pruning_never_drops_the_current_version(spark):
     _src(spark).filter("k = 1").write.parquet(early)
     register_version(spark, tgt, early, _src(spark).schema, keep_versions=1)  # older name, now current
     assert [r["k"] for r in spark.table(tgt).collect()] == [1]
+
+
+class TestKeyRanges:
+    """Conditions of equal depth for JDBC reads, over an in-process database."""
+
+    DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+    def table(self, spark, keys):
+        from vetline.sources.jdbc import write_jdbc
+        url = f"jdbc:derby:memory:{unique_name('ranges')};create=true"
+        df = spark.createDataFrame([(k, n) for n, k in enumerate(keys)], "K long, N long")
+        write_jdbc(df, url, "T", self.DERBY, mode="overwrite")
+        return url
+
+    def read(self, spark, url, n, **kw):
+        from vetline.sources.jdbc import equi_depth_predicates, read_jdbc
+        ranges = equi_depth_predicates(spark, url, "T", "K", n, self.DERBY, **kw)
+        back = read_jdbc(spark, url, "T", self.DERBY, partition_column="K", num_partitions=n)
+        sizes = [r.n for r in back.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        return ranges, sorted(r.N for r in back.collect()), sizes
+
+    def test_skewed_keys_are_split_evenly(self, spark):
+        keys = [k for k in range(700)] + [10**12 + k for k in range(100)]
+        ranges, rows, sizes = self.read(spark, self.table(spark, keys), 4)
+        assert len(ranges) == 4 and rows == list(range(800)) and sizes == [200] * 4
+
+    def test_a_hot_key_null_keys_and_few_keys(self, spark):
+        keys = [5] * 300 + [None] * 20 + list(range(10, 30))
+        ranges, rows, sizes = self.read(spark, self.table(spark, keys), 4)
+        assert rows == list(range(len(keys))) and max(sizes) <= 320 and 1 < len(ranges) <= 4
+        for own in ([], [None, None], [7, 7]):
+            ranges, rows, _ = self.read(spark, self.table(spark, own), 3)
+            assert ranges == ["1 = 1"] and rows == list(range(len(own)))
+
+    def test_a_sample_covers_all_rows(self, spark):
+        keys = [k * k for k in range(1000)] + [-k for k in range(500)]
+        ranges, rows, _ = self.read(spark, self.table(spark, keys), 5, sample=100)
+        assert 3 <= len(ranges) <= 5 and rows == list(range(1500))
+        with pytest.raises(ValueError, match="both bounds"):
+            from vetline.sources.jdbc import read_jdbc
+            read_jdbc(spark, "jdbc:derby:memory:x;create=true", "T", self.DERBY, partition_column="K", lower_bound=1, num_partitions=3)

@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from vetline.functions.rules import NOT_NULL, REGEX, Rule
+from vetline.functions.rules import NOT_NULL, REGEX, WELL_FORMED, Rule
 
 # --- fixed values (output contract) -----------------------------------------
 # Name of the per-row error column: "_validation_errors".
@@ -44,6 +44,8 @@ def failure(rule: Rule) -> Column:
     if rule.kind == REGEX:
         # rlike is a *find*: the pattern may match anywhere unless anchored.
         return c.isNull() | ~as_text.rlike(rule.pattern)
+    if rule.kind == WELL_FORMED:
+        return c.isNotNull()
     raise ValueError(f"Unsupported rule type '{rule.kind}'")
 
 

@@ -12,6 +12,8 @@ from typing import Any, NamedTuple
 # kinds of rule, the keys of a rule mapping, and the default name "<kind>_<column>".
 NOT_NULL, REGEX = "not_null", "regex"
 SUPPORTED_RULE_TYPES = frozenset((NOT_NULL, REGEX))
+#: A check that the library adds itself where malformed records were kept: its column, their raw text, must be NULL.
+WELL_FORMED = "well_formed"
 _KIND, _COLUMN, _PATTERN, _NAME = "rule_type", "column", "pattern", "rule_name"
 
 
@@ -65,3 +67,8 @@ def not_null(column: str, label: str | None = None) -> Rule:
 
 def regex(column: str, pattern: str, label: str | None = None) -> Rule:
     return read_rule(Rule(REGEX, column, pattern, label).spec())
+
+
+def well_formed(column: str, label: str = "malformed_record") -> Rule:
+    """Fails for records whose raw text a reader kept in ``column``."""
+    return Rule(WELL_FORMED, column, label=label)

@@ -14,6 +14,11 @@ Physical strategy, decided by measured size, never by estimates:
   join (a file-size estimate cannot override the measurement); AQE splits
   skewed partitions of the preserved (records) side. Give ``broadcast=False``
   where the lookup is known to be large, to save the pass.
+* A lookup beyond the bound is cut to the records' keys before it is shuffled,
+  if these, distinct, are within the bound: a broadcast semi join, so that
+  only lookup rows that will match move. What is left is measured again, and
+  broadcast if it fits. ``reduce_lookup=False`` saves the pass over the records'
+  keys where most of the lookup matches.
 * ``salt_buckets=N``: the sort-merge join with hot keys split over N tasks.
   Keys with more than one row in ``4 N`` of either side are found by a partial
   aggregate (at most ``4 N`` of them a side). Records with a key that is hot
@@ -118,6 +123,7 @@ def lookup_right_join(
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     salt_buckets: int = 0,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+    reduce_lookup: bool = True,
 ) -> DataFrame:
     """``lookup RIGHT JOIN records ON lookup.key = records.records_key``."""
     rkey = records_key or key
@@ -130,6 +136,12 @@ def lookup_right_join(
     if broadcast is True:
         log.warning("Lookup exceeds %d rows or %d bytes; using a shuffle join.",
                     max_broadcast_rows, max_broadcast_bytes)
+    if broadcast is not False and reduce_lookup:
+        keys = records.select(col_ref(rkey).alias("_vetline_key")).where("_vetline_key IS NOT NULL").distinct()
+        if lookup_fits(keys, max_broadcast_rows, max_broadcast_bytes):
+            lk = lk.join(F.broadcast(keys), lk[lkey] == keys["_vetline_key"], "left_semi")
+            if lookup_fits(lk, max_broadcast_rows, max_broadcast_bytes):
+                return F.broadcast(lk).join(records, lk[lkey] == records[rkey], "right")
     if salt_buckets and salt_buckets > 1:
         return _salted_join(lk, records, lkey, rkey, int(salt_buckets))
     lk = lk.hint("merge")

@@ -1,6 +1,6 @@
 """Validated load: stage, validate, dead-letter, replace or upsert, clean up.
 
-Plan (the source is scanned once):
+Plan (the source is scanned once, in replace mode a second time if rows are rejected):
 
 1. Validate the source while writing it. In replace mode the valid rows go
    straight into a new version folder of the target, written once and with
@@ -21,7 +21,12 @@ Plan (the source is scanned once):
    including a failure while staging.
 
 Each step reads durable output of the previous one, so a lost executor only
-re-runs tasks of the current step, never the source scan.
+re-runs tasks of the current step.
+
+A source that keeps malformed records (``keep_malformed=True`` of the readers)
+has them rejected first of all: an error entry ``malformed_record`` with the
+record's raw text, which the DLQ keeps as a field too. The target does not get
+that column.
 """
 
 from __future__ import annotations
@@ -32,12 +37,12 @@ import re
 import uuid
 from typing import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from vetline.functions.checks import ERRORS_COL, errors_array, is_valid
-from vetline.functions.rules import Rule
+from vetline.functions.checks import ERRORS_COL, col_ref, errors_array, is_valid
+from vetline.functions.rules import Rule, well_formed
 from vetline.operators.validate import check_patterns, plan_rules, schema_problems
 from vetline.sinks.dlq import append_dlq_table, write_dlq
 from vetline.session import delete_path, scratch_path
@@ -48,13 +53,17 @@ from vetline.sinks.tables import (
     default_root,
     drop_table,
     ensure_registered,
+    escaped,
     layout_for,
+    needs_escape,
     register_version,
     stage,
     upsert_target,
     with_hidden,
 )
 
+from vetline.sources.files import CORRUPT
+
 log = logging.getLogger(__name__)
 
 VALID_FLAG = "_is_valid"
@@ -141,6 +150,10 @@ def load(
     staging = staging or f"{target}__staging_{re.sub('[^0-9A-Za-z]', '_', stream + '_' if stream else '')}{run_id}"
     active, skipped = plan_rules(source.columns, rules, on_missing)
     check_patterns(spark, active)
+    if CORRUPT in source.columns:
+        active.insert(0, well_formed(CORRUPT))
+    source = source.drop(ERRORS_COL)
+    own = source.drop(CORRUPT, VALID_FLAG).schema
 
     metrics = dict(run_id=run_id, target=target, status="started", total_count=0, valid_count=0,
                    invalid_count=0, dlq_count=0, dlq_status="skipped", rules_skipped=len(skipped),
@@ -151,18 +164,21 @@ def load(
     try:
         ok = is_valid(active) if active else F.lit(True)
         obs = Observation(f"load_{run_id}")
-        counters = (F.count(F.lit(1)).alias("total"), F.sum(F.when(F.col(VALID_FLAG), 1).otherwise(0)).alias("valid"))
+        counters = (F.count(F.lit(1)).alias("total"), F.sum(F.when(F.col(VALID_FLAG), 1).otherwise(0)).alias("valid"),
+                    _fingerprint(source, ~F.col(VALID_FLAG)).alias("rejected"))
         if direct:
             root = target_root or default_root(spark, target)
             ensure_registered(spark, target, root)
-            check_replacement(spark, target, source.drop(ERRORS_COL, VALID_FLAG).schema)
+            check_replacement(spark, target, own)
             base = latest_number(spark, root)
             version = new_version_dir(root)
-            flagged = source.drop(ERRORS_COL).withColumn(VALID_FLAG, ok)
+            flagged = source.withColumn(VALID_FLAG, ok)
             if part_cols:
                 flagged = flagged.hint("rebalance", *part_cols)
             part_cols, layout = layout_for(spark, root, part_cols)
-            writer = with_hidden(flagged.observe(obs, *counters).where(VALID_FLAG).drop(VALID_FLAG), layout).write.mode("errorifexists")
+            counters += (F.count_if(needs_escape(flagged, part_cols)).alias("escaped"),)
+            accepted = with_hidden(flagged.observe(obs, *counters).where(VALID_FLAG).drop(VALID_FLAG, CORRUPT), layout)
+            writer = escaped(accepted, part_cols).write.mode("errorifexists")
             (writer.partitionBy(*part_cols) if part_cols else writer).parquet(version)
         else:
             staged_rows = source.withColumn(ERRORS_COL, errors_array(active)).withColumn(VALID_FLAG, ok).observe(obs, *counters)
@@ -182,10 +198,11 @@ def load(
             if total - valid > 0:
                 rejects_path = scratch_path(spark, "rejects", run_id)
                 counted = Observation(f"rejects_{run_id}")
-                (source.drop(ERRORS_COL).where(~ok).withColumn(ERRORS_COL, errors_array(active))
-                 .observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(rejects_path))
-                if int(counted.get["n"]) != total - valid:
-                    raise RuntimeError(f"The source changed during the load: {counted.get['n']} rejects, {total - valid} expected")
+                (source.where(~ok).withColumn(ERRORS_COL, errors_array(active))
+                 .observe(counted, F.count(F.lit(1)).alias("n"), _fingerprint(source, F.lit(True)).alias("rejected")).write.parquet(rejects_path))
+                if int(counted.get["n"]) != total - valid or counted.get["rejected"] != got["rejected"]:
+                    raise RuntimeError(f"The source changed during the load: {counted.get['n']} rejects, {total - valid} expected, "
+                                       "or as many other ones; nothing was switched")
                 rejects = spark.read.parquet(rejects_path)
         else:
             staged = spark.table(staging)
@@ -210,14 +227,16 @@ def load(
             return _finish(spark, metrics, runs_table)
 
         if direct:
-            register_version(spark, target, version, source.drop(ERRORS_COL).schema, part_cols, root=root,
+            if got["escaped"]:
+                layout = {**layout, "escaped": True}
+            register_version(spark, target, version, own, part_cols, root=root,
                              keep_versions=keep_versions, base=base, layout=layout)
             registered = version
             metrics["target_version"] = version
             metrics["status"] = "succeeded"
             return _finish(spark, metrics, runs_table)
 
-        accepted = staged.filter(F.col(VALID_FLAG)).drop(VALID_FLAG, ERRORS_COL)
+        accepted = staged.filter(F.col(VALID_FLAG)).drop(VALID_FLAG, ERRORS_COL, CORRUPT)
         if publish is not None:
             metrics["target_version"] = publish(accepted, valid)
             metrics["status"] = "succeeded"
@@ -246,6 +265,13 @@ def load(
             log.exception("Failed to drop staging table %s", staging)
 
 
+def _fingerprint(source: DataFrame, where: Column) -> Column:
+    """Sum over the rows that ``where`` selects of a hash of all their fields; it does not depend on their order."""
+    cols = [F.to_json(F.struct(col_ref(f.name))) if "map<" in f.dataType.simpleString() else col_ref(f.name)
+            for f in source.schema.fields if f.name != VALID_FLAG]
+    return F.coalesce(F.sum(F.when(where, F.xxhash64(*cols)).cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)"))
+
+
 def jdbc_publisher(url: str, table: str, properties: dict | None = None,
                    **options) -> Callable[[DataFrame, int], str | None]:
     """``publish`` step that replaces a database table over JDBC."""

@@ -405,6 +405,9 @@ SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal,
 """
 
 
+_CUSTOMER_JSON = "c_custkey bigint, c_name string, c_nationkey bigint, c_acctbal double, c_mktsegment string"
+
+
 def _customer_source(spark: SparkSession, sf_dir: str, fmt: str) -> str:
     path = scratch_path(spark, "ingest_src") + f"/customer.{fmt}"
     writer = read_table(spark, sf_dir, "customer").write
@@ -415,14 +418,14 @@ def _customer_source(spark: SparkSession, sf_dir: str, fmt: str) -> str:
 @register("catalog_ingest", _CUSTOMER_JSON_SQL)
 def catalog_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _customer_source(spark, sf_dir, "json")
-    return ingest(spark, src, scratch_path(spark, "ingest_out"), QDB, unique_name("customer"))
+    return ingest(spark, src, scratch_path(spark, "ingest_out"), QDB, unique_name("customer"), schema=_CUSTOMER_JSON)
 
 
 @register("catalog_ingest_partitioned", _CUSTOMER_JSON_SQL)
 def catalog_ingest_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _customer_source(spark, sf_dir, "json")
     return ingest(spark, src, scratch_path(spark, "ingest_out"), QDB, unique_name("customer_p"),
-                  partition_key="c_mktsegment")
+                  partition_key="c_mktsegment", schema=_CUSTOMER_JSON)
 
 
 @register("catalog_ingest_csv", """
@@ -482,7 +485,7 @@ def dlq_same_day_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_dlq(first, base, RUN_DATE)
     _, second = validate_split(src, [{"rule_type": "not_null", "column": "pickup_datetime"}])
     write_dlq(second, base, RUN_DATE)  # same day: replaces the first run's rejects
-    back = read_dlq(spark, base)
+    back = read_dlq(spark, base, schema=dlq_schema(second))
     return back.select("o_orderkey", F.inline(ERRORS_COL)).select("o_orderkey", "rule_name")
 
 
@@ -736,7 +739,7 @@ def jdbc_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     load(spark, src, "vetline_q.orders_clean_jdbc", list(DEFAULT_RULES),
          dlq_path=scratch_path(spark, "load_dlq"), run_date=RUN_DATE,
          staging=f"{QDB}.{unique_name('stg')}", publish=jdbc_publisher(url, "ORDERS_CLEAN", DERBY))
-    return read_jdbc(spark, url, "ORDERS_CLEAN", DERBY, timestamp_ntz=True)
+    return read_jdbc(spark, url, "ORDERS_CLEAN", DERBY, partition_column='"o_orderkey"', num_partitions=4, timestamp_ntz=True)
 
 
 # --- remaining sources and sinks ---------------------------------------------------------
@@ -925,8 +928,8 @@ def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     read_table(spark, sf_dir, "documents").createOrReplaceTempView("vetline_documents")
     rows = spark.sql(_CSV_TEXT.replace("documents", "vetline_documents")).withColumn("at", F.expr("timestamp '2024-01-01 00:00:00'"))
     root = scratch_path(spark, "csv_text")
-    write_hourly(rows, "at", root)
-    return read_partitioned(spark, root, schema=rows.schema, partition_columns=["year", "month", "day", "hour"]).select("doc_id", "text")
+    write_hourly(rows, "at", root, line_breaks=True)
+    return read_partitioned(spark, root, schema=rows.schema, partition_columns=["year", "month", "day", "hour"], multiLine=True).select("doc_id", "text")
 
 
 @register("lookup_right_join_hot_fanout", """
@@ -1043,3 +1046,169 @@ def two_streams_one_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_replay_after_midnight(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Every batch is delivered again the next day: no reject appears twice, no row is loaded twice.
     return _two_streams(spark, sf_dir, replay=True)
+
+
+# --- malformed records and sources that change (S1, S4, C1, C7) --------------------------------
+
+_LINE_FAULTS = """
+CASE o_orderkey % 10 WHEN 0 THEN concat('x', {k}, ',', {c}, ',', o_orderstatus) WHEN 1 THEN concat({k}, ',', {c}, ',', o_orderstatus, ',more')
+                     WHEN 2 THEN concat({k}, ',', {c}) ELSE concat({k}, ',', {c}, ',', o_orderstatus) END"""
+_JSON_FAULTS = """
+CASE o_orderkey % 10 WHEN 0 THEN concat('{{"o_orderkey":', {k}, ',"o_cust') WHEN 1 THEN concat('{{"o_orderkey":"x', {k}, '","o_custkey":', {c}, '}}')
+                     WHEN 2 THEN concat('[', {k}, ']}}') ELSE concat('{{"o_orderkey":', {k}, ',"o_custkey":', {c}, ',"o_orderstatus":"', o_orderstatus, '"}}') END"""
+_MALFORMED_SQL = """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(NULL AS VARCHAR) AS raw, 'loaded' AS kept FROM orders WHERE o_orderkey % 10 > 2
+UNION ALL
+SELECT NULL, NULL, NULL, {0}, 'malformed_record' FROM orders WHERE o_orderkey % 10 <= 2
+"""
+
+
+def _fault(kind: str, cast: str) -> str:
+    return kind.format(k=f"CAST(o_orderkey AS {cast})", c=f"CAST(o_custkey AS {cast})")
+
+
+_ORDER_LINE = "o_orderkey bigint, o_custkey bigint, o_orderstatus string"
+
+
+def _lines(spark: SparkSession, sf_dir: str, faults: str, name: str) -> str:
+    path = scratch_path(spark, "lines") + "/" + name
+    read_table(spark, sf_dir, "orders").selectExpr(_fault(faults, "STRING") + " AS value").write.text(path)
+    return path
+
+
+def _loaded_and_malformed(spark: SparkSession, table: DataFrame, dlq: str) -> DataFrame:
+    rejected = read_dlq(spark, dlq).select("raw_record", F.inline(ERRORS_COL)).where("value = raw_record")
+    return table.select("o_orderkey", "o_custkey", "o_orderstatus", F.lit(None).cast("string").alias("raw"), F.lit("loaded").alias("kept")).unionAll(
+        rejected.selectExpr("CAST(NULL AS bigint)", "CAST(NULL AS bigint)", "CAST(NULL AS string)", "raw_record", "rule_name"))
+
+
+@register("csv_malformed_to_dlq", _MALFORMED_SQL.format(_fault(_LINE_FAULTS, "VARCHAR")))
+def csv_malformed_to_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A word where a number belongs, a field too many, a field too few: rejected with their text, nothing loaded as NULL.
+    path, target, dlq = _lines(spark, sf_dir, _LINE_FAULTS, "orders.csv"), _target(spark, "lines"), scratch_path(spark, "dlq")
+    rows = read_csv(spark, path, schema=_ORDER_LINE, header=False, keep_malformed=True)
+    load(spark, rows, target, [], dlq_path=dlq, run_date=RUN_DATE)
+    return _loaded_and_malformed(spark, spark.table(target), dlq)
+
+
+@register("json_malformed_to_dlq", _MALFORMED_SQL.format(_fault(_JSON_FAULTS, "VARCHAR")))
+def json_malformed_to_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Cut off, of another type, no object: through the file ingest.
+    path, dlq = _lines(spark, sf_dir, _JSON_FAULTS, "orders.json"), scratch_path(spark, "dlq")
+    table = ingest(spark, path, scratch_path(spark, "ingest_out"), QDB, unique_name("orders"), schema=_ORDER_LINE, dlq_path=dlq, run_date=RUN_DATE)
+    return _loaded_and_malformed(spark, table, dlq)
+
+
+@register("csv_malformed_upsert", _MALFORMED_SQL.format(_fault(_LINE_FAULTS, "VARCHAR")))
+def csv_malformed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The same records through an incremental load.
+    path, target, dlq = _lines(spark, sf_dir, _LINE_FAULTS, "orders.csv"), _target(spark, "lines"), scratch_path(spark, "dlq")
+    rows = file_stream(spark, path, _ORDER_LINE, keep_malformed=True, header=False)
+    load_incremental(spark, rows, target, [], keys=["o_orderkey"], dlq_path=dlq, run_date=RUN_DATE)
+    return _loaded_and_malformed(spark, spark.table(target), dlq)
+
+
+@register("source_change_refused", "SELECT o_orderkey, o_totalprice, true AS refused FROM orders")
+def source_change_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Every read of this source gives other rejects, always as many: they are not those that were left out.
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    target = _target(spark, "pinned")
+    replace_target(orders, target)
+    read_at = F.unix_micros(F.current_timestamp()).cast("double")
+    moving = orders.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice")).otherwise(-read_at))
+    try:
+        load(spark, moving, target, [{"rule_type": "regex", "column": "o_totalprice", "pattern": "^[0-9]"}])
+        refused = False
+    except RuntimeError:
+        refused = True
+    return spark.table(target).withColumn("refused", F.lit(refused))
+
+
+# --- types, reruns, blank partitions, skewed keys, large lookups (K1-K3, K12, S8, J1) ----------------
+
+@register("append_type_refused", """
+SELECT c_custkey, c_nationkey, true AS refused FROM customer
+UNION ALL
+SELECT -c_custkey, CAST(c_nationkey AS INTEGER), true FROM customer
+""")
+def append_type_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A balance does not fit a column of whole numbers, a bigint no int; an int fits a bigint.
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    t, refused = unique_name("customers"), 0
+    name = write_table(c.select("c_custkey", "c_nationkey"), QDB, t)
+    wrong = (c.select("c_custkey", F.col("c_acctbal").alias("c_nationkey")), c.select("c_custkey", F.col("c_custkey").alias("c_nationkey")))
+    for rows in wrong:
+        for write in (lambda df: write_table(df, QDB, t), lambda df: write_table(df, QDB, t, by_name=False)):
+            try:
+                write(rows)
+            except ValueError:
+                refused += 1
+    write_table(c.select((-F.col("c_custkey")).cast("int").alias("c_custkey"), "c_nationkey"), QDB, t)
+    return spark.table(name).withColumn("refused", F.lit(refused == 4))
+
+
+@register("upsert_types_widen", """
+SELECT o_orderkey, CASE WHEN o_orderkey <= 1000 THEN CAST(1 AS DOUBLE) ELSE o_totalprice END AS o_totalprice, true AS refused FROM orders
+""")
+def upsert_types_widen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    target = _target(spark, "widened")
+    upsert_target(orders, target, ["o_orderkey"])
+    updates = orders.where("o_orderkey <= 1000").select(F.col("o_orderkey").cast("int"), F.lit(1).alias("o_totalprice"))
+    upsert_target(updates, target, ["o_orderkey"])
+    try:
+        upsert_target(updates.withColumn("o_totalprice", F.lit("1")), target, ["o_orderkey"])
+        refused = False
+    except ValueError:
+        refused = True
+    return spark.table(target).withColumn("refused", F.lit(refused))
+
+
+@register("dlq_table_rerun", ORACLE_SQL["dlq_table_append"])
+def dlq_table_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The first run is repeated after the second: the table holds one copy of either.
+    t = unique_name("dlq")
+    _, invalid = validate_split(dirty_orders(spark, sf_dir), list(DEFAULT_RULES))
+    for run in ("r1", "r2", "r1"):
+        append_dlq_table(invalid, QDB, t, RUN_DATE, run)
+    return spark.table(f"{QDB}.{t}").select("run_id", "o_orderkey", F.inline(ERRORS_COL)).select("run_id", "o_orderkey", "rule_name")
+
+
+@register("replace_blank_partitions", _with_dirty("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN vendor_id LIKE 'v%' THEN 'v' WHEN trim(vendor_id) = '' THEN vendor_id ELSE 'n' END AS vendor
+FROM dirty_orders
+"""))
+def replace_blank_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Empty, blank and NULL partition values stay apart, also where an upsert rewrites some of them.
+    dirty_orders(spark, sf_dir).createOrReplaceTempView("vetline_dirty")
+    rows = spark.sql("""SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN vendor_id LIKE 'v%' THEN 'v'
+                               WHEN trim(vendor_id) = '' THEN vendor_id ELSE 'n' END AS vendor FROM vetline_dirty""")
+    target = _target(spark, "blank")
+    load(spark, rows.where("o_orderkey % 3 <> 0"), target, [], partition_by="vendor")
+    upsert_target(rows.where("o_orderkey % 2 = 0 OR o_orderkey % 3 = 0"), target, ["o_orderkey"], partition_by="vendor")
+    return spark.table(target)
+
+
+@register("jdbc_skewed_keys", "SELECT o_orderkey, o_totalprice, true AS even FROM orders")
+def jdbc_skewed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Most keys lie close together and few far away: ranges follow the keys, not the width.
+    key = F.when(F.col("o_orderkey") % 50 == 0, F.col("o_orderkey") * 1_000_000).otherwise(F.col("o_orderkey")).alias("K")
+    orders = read_table(spark, sf_dir, "orders").select(key, F.col("o_totalprice").alias("PRICE"))
+    url = _derby_url()
+    write_jdbc(orders, url, "SKEWED", DERBY, mode="overwrite", num_partitions=4)
+    back = read_jdbc(spark, url, "SKEWED", DERBY, partition_column="K", num_partitions=8)
+    sizes = [r["n"] for r in back.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]  # a row per range
+    even = len(sizes) == 8 and max(sizes) <= 1.2 * min(sizes)
+    return back.select(F.when(F.col("K") % 1_000_000 == 0, (F.col("K") / 1_000_000).cast("bigint")).otherwise(F.col("K")).alias("o_orderkey"),
+                       F.col("PRICE").alias("o_totalprice"), F.lit(even).alias("even"))
+
+
+@register("lookup_large_reduced", """
+SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, o.o_orderkey, o.o_totalprice
+FROM lineitem l RIGHT JOIN (SELECT * FROM orders WHERE o_custkey % 20 = 0) o ON l.l_orderkey = o.o_orderkey
+""")
+def lookup_large_reduced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The lookup is too large to be broadcast, the records' keys are few: only lookup rows that match are moved.
+    lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    orders = read_table(spark, sf_dir, "orders").where("o_custkey % 20 = 0").select("o_orderkey", "o_totalprice")
+    return lookup_right_join(lines, orders, "l_orderkey", records_key="o_orderkey", max_broadcast_rows=orders.count() + 1)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vetline.functions.checks import col_ref
 from vetline.session import shared_root
+from vetline.sinks.widening import misfits, widened
 
 
 def table_name(database: str, table: str) -> str:
@@ -46,8 +47,12 @@ def add_missing_columns(spark: SparkSession, name: str, df: DataFrame) -> list[s
 
 
 def align_to_table(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
-    """Columns of ``df`` by name, in the table's order; absent ones as NULL."""
+    """Columns of ``df`` by name, in the table's order and types; absent ones as NULL.
+
+    Types may only widen (``sinks.widening``); others are refused.
+    """
     target = spark.table(name).schema
+    df = widened(df, target, name)
     have = set(df.columns)
     cols = [col_ref(f.name).cast(f.dataType).alias(f.name) if f.name in have
             else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields]
@@ -66,6 +71,7 @@ def write_table(df: DataFrame, database: str, table: str, path: str | None = Non
       default partition);
     * existing table, ``append``: columns the table lacks are added first,
       then rows are inserted by name, so schema drift does not shift values;
+      types may widen (int into bigint), others are refused before anything is written;
       ``by_name=False`` inserts positionally (``INSERT INTO t SELECT *``),
       without schema evolution.
     Partitioned writes are rebalanced on the keys (one shuffle; AQE splits hot
@@ -87,8 +93,12 @@ def write_table(df: DataFrame, database: str, table: str, path: str | None = Non
             if len(df.columns) != len(spark.table(name).columns):
                 raise ValueError(f"Positional insert needs {len(spark.table(name).columns)} columns, "
                                  f"got {len(df.columns)}")
+            faults = misfits(list(zip(df.schema.fields, spark.table(name).schema.fields)))
+            if faults:
+                raise ValueError(f"Rows for {name} have other types than it: {', '.join(faults)}")
             df.write.insertInto(name)
             return name
+        widened(df, spark.table(name).schema, name)
         if evolve_schema:
             add_missing_columns(spark, name, df)
         writer = align_to_table(spark, name, df).write

@@ -10,12 +10,14 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import uuid
+from typing import Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from vetline.sinks.catalog import write_table
+from vetline.sinks.catalog import table_exists, table_name, write_table
+from vetline.sources.files import CORRUPT
 
 log = logging.getLogger(__name__)
 
@@ -23,6 +25,10 @@ log = logging.getLogger(__name__)
 # DLQ directory: <base without trailing slash>/year=YYYY/month=MM/day=DD/
 DLQ_PARTITIONS = ("year", "month", "day")
 # ---------------------------------------------------------------------------------
+#: Partitions of a DLQ table.
+DLQ_TABLE_PARTITIONS = ("run_date", "run_id")
+#: The DLQ's field for the raw text of a malformed record.
+RAW_RECORD = "raw_record"
 
 
 def dlq_path(base: str, run_date: dt.date, run_id: str | None = None, stream: str | None = None) -> str:
@@ -37,12 +43,15 @@ def dlq_path(base: str, run_date: dt.date, run_id: str | None = None, stream: st
 
 def _rename_path_columns(df: DataFrame, extra: tuple[str, ...]) -> DataFrame:
     """Columns named like a partition directory would be shadowed by the
-    path value on read-back; keep them under ``src_<name>``."""
+    path value on read-back; keep them under ``src_<name>``. The raw text of a
+    malformed record goes into ``raw_record``: JSON readers fill a field of the
+    reader's own name themselves."""
     out = df
-    for c in DLQ_PARTITIONS + extra:
+    malformed = (RAW_RECORD,) if CORRUPT in df.columns else ()
+    for c in DLQ_PARTITIONS + extra + malformed:
         if c in out.columns:
             out = out.withColumnRenamed(c, f"src_{c}")
-    return out
+    return out.withColumnRenamed(CORRUPT, RAW_RECORD)
 
 
 def write_dlq(invalid: DataFrame, base: str, run_date: dt.date | None = None,
@@ -52,7 +61,7 @@ def write_dlq(invalid: DataFrame, base: str, run_date: dt.date | None = None,
 
     With no rows nothing is written (an earlier run's rejects stay). Pass
     ``count`` when it is already known (e.g. from the load's counters).
-    Otherwise emptiness is probed with a ``limit(1)`` (which stops at the
+    Otherwise emptiness is probed for one whole row (which stops at the
     first reject) and the count is observed during the write itself, so the
     rejects are computed once, not counted and then recomputed.
     ``mode='overwrite'`` replaces the day's (or, with ``run_id``, the run's)
@@ -60,7 +69,7 @@ def write_dlq(invalid: DataFrame, base: str, run_date: dt.date | None = None,
     streams that share a queue give their id.
     """
     run_date = run_date or dt.date.today()
-    if count is not None and int(count) == 0 or count is None and invalid.limit(1).count() == 0:
+    if count is not None and int(count) == 0 or count is None and not invalid.head(1):
         log.info("Nothing was rejected; the DLQ is left as it is.")
         return 0
     path = dlq_path(base, run_date, run_id, stream)
@@ -102,10 +111,21 @@ def read_dlq(spark, base: str, schema=None) -> DataFrame:
 
 def append_dlq_table(invalid: DataFrame, database: str, table: str, run_date: dt.date,
                      run_id: str) -> str:
-    """Append rejected rows to a catalog table partitioned by ``run_date``.
+    """Put a run's rejected rows into a catalog table partitioned by ``run_date`` and ``run_id``.
 
-    One run writes one partition value, so there is nothing to rebalance:
-    each task writes its rows into that folder without a shuffle.
+    A run replaces its own partition, so running it again leaves one copy. One
+    run writes one partition value, so there is nothing to rebalance: each
+    task writes its rows into that folder without a shuffle. A table that is
+    partitioned otherwise (by ``run_date`` alone) is appended to.
     """
-    rows = invalid.withColumn("run_id", F.lit(run_id)).withColumn("run_date", F.lit(run_date))
-    return write_table(rows, database, table, partition_by="run_date", mode="append", rebalance=False)
+    spark = invalid.sparkSession
+    rows = _rename_path_columns(invalid, DLQ_TABLE_PARTITIONS).withColumn("run_id", F.lit(run_id)).withColumn("run_date", F.lit(run_date))
+    parts: Sequence[str] = DLQ_TABLE_PARTITIONS
+    if table_exists(spark, database, table):
+        parts = [c.name for c in spark.catalog.listColumns(f"{database}.{table}") if c.isPartition]
+        if set(parts) == set(DLQ_TABLE_PARTITIONS):
+            own = run_id.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {table_name(database, table)} DROP IF EXISTS PARTITION (run_date = DATE '{run_date}', run_id = '{own}')")
+        else:
+            log.warning("%s.%s is not partitioned by run: rejects of a run that is repeated appear twice", database, table)
+    return write_table(rows, database, table, partition_by=parts, mode="append", rebalance=False)

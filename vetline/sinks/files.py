@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from vetline.functions.checks import col_ref
 
@@ -24,9 +25,18 @@ def with_hour_partitions(df: DataFrame, ts_col: str) -> DataFrame:
     return out
 
 
+def _without_line_breaks(df: DataFrame) -> DataFrame:
+    """``df``; a row with a line break in a text fails the job."""
+    def checked(name: str):
+        c = col_ref(name)
+        return F.when(c.rlike("[\r\n]"), F.raise_error(F.lit(f"A line break in column '{name}': write it with line_breaks=True"))).otherwise(c).alias(name)
+
+    return df.select(*[checked(f.name) if isinstance(f.dataType, StringType) else col_ref(f.name) for f in df.schema.fields])
+
+
 def write_hourly(df: DataFrame, ts_col: str, root: str, fmt: str = "csv", header: bool = True,
                  mode: str = "append", max_records_per_file: int | None = None,
-                 rebalance: bool = True, **options) -> None:
+                 rebalance: bool = True, line_breaks: bool = False, **options) -> None:
     """Write rows under ``root/year=/month=/day=/hour=/``.
 
     ``rebalance`` (default) shuffles rows by hour with a REBALANCE hint, so
@@ -35,8 +45,12 @@ def write_hourly(df: DataFrame, ts_col: str, root: str, fmt: str = "csv", header
     several tasks and merges quiet ones, so skew does not serialize the
     write. Without it there is no shuffle, at the cost of many small files.
     ``max_records_per_file`` bounds file size for a hot hour.
+
+    CSV values that hold a line break are refused, for readers split files at
+    line ends; ``line_breaks=True`` writes them, to be read with ``multiLine=True``
+    (each file then in one task).
     """
-    rows = with_hour_partitions(df, ts_col)
+    rows = with_hour_partitions(df if fmt != "csv" or line_breaks else _without_line_breaks(df), ts_col)
     if rebalance:
         rows = rows.hint("rebalance", *HOUR_PARTITIONS)
     writer = rows.write.format(fmt).mode(mode)

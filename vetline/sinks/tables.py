@@ -33,7 +33,7 @@ import uuid
 from urllib.parse import unquote
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, NumericType, StringType, StructField, StructType
 
@@ -53,6 +53,7 @@ from vetline.sinks.commits import (
     sweep,
     version_of,
 )
+from vetline.sinks.widening import widened
 
 log = logging.getLogger(__name__)
 
@@ -68,6 +69,8 @@ _HIDDEN = (BUCKET, GROUP)
 _MAX_BROADCAST_KEYS = 1_000_000
 _MAX_BROADCAST_KEY_BYTES = 128 << 20
 _DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+#: Stands in front of partition values that folders cannot hold, the empty text above all.
+_EMPTY = "__vetline_empty__"
 
 
 def _split(name: str) -> tuple[str, str]:
@@ -132,7 +135,7 @@ def ensure_registered(spark: SparkSession, target: str, root: str | None = None)
         return
     ensure_database(spark, db)
     _point_catalog(spark, db, t, root, last["version"], last["data_path"], StructType.fromJson(last["schema"]), last["keys"],
-                   _read_manifest(spark, root, last["version"]))
+                   _read_manifest(spark, root, last["version"]), last.get("layout"))
 
 
 def check_replacement(spark: SparkSession, target: str, schema) -> None:
@@ -166,11 +169,48 @@ def current_data_path(spark: SparkSession, name: str) -> str | None:
     return props.get(_DATA_PROP) or props.get(_VERSION_PROP)
 
 
+# --- blank partition values ---------------------------------------------------------------
+#
+# A folder cannot be named by an empty text: Spark writes it as the default
+# partition, which reads as NULL. It is written under a name of its own instead,
+# which the target's view undoes; texts that begin like that name get it put in front.
+
+def _escapes(df: DataFrame, parts: Sequence[str]) -> list[str]:
+    """Partition columns whose values may need another name."""
+    return [c for c in parts if c not in _HIDDEN and isinstance(df.schema[c].dataType, StringType)]
+
+
+def needs_escape(df: DataFrame, parts: Sequence[str]) -> Column:
+    """Whether a row has a partition value that is written under another name."""
+    out = F.lit(False)
+    for c in _escapes(df, parts):
+        out = out | F.coalesce((col_ref(c) == "") | col_ref(c).startswith(_EMPTY), F.lit(False))
+    return out
+
+
+def escaped(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """``df`` with partition values as folders can hold them."""
+    for c in _escapes(df, parts):
+        odd = (col_ref(c) == "") | col_ref(c).startswith(_EMPTY)
+        df = df.withColumn(c, F.when(odd, F.concat(F.lit(_EMPTY), col_ref(c))).otherwise(col_ref(c)))
+    return df
+
+
+def _unescape_sql(name: str) -> str:
+    return f"CASE WHEN startswith(`{name}`, '{_EMPTY}') THEN substring(`{name}`, {len(_EMPTY) + 1}) ELSE `{name}` END"
+
+
+def _unescaped(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    for c in _escapes(df, parts):
+        df = df.withColumn(c, F.expr(_unescape_sql(c)))
+    return df
+
+
 # --- hidden layouts --------------------------------------------------------------------
 
 def layout_for(spark: SparkSession, root: str, partition_by: list[str]) -> tuple[list[str], dict]:
     """Partition columns and layout that a new version of the target is written with: those asked for, else the hidden ones it has."""
-    layout = (newest(spark, root) or {}).get("layout") or {}
+    layout = {k: v for k, v in ((newest(spark, root) or {}).get("layout") or {}).items() if k != "escaped"}
     if partition_by:
         return partition_by, {}
     return [BUCKET] if "buckets" in layout else [GROUP] if "groups" in layout else [], layout
@@ -185,15 +225,18 @@ def with_hidden(df: DataFrame, layout: dict) -> DataFrame:
     return df
 
 
-def _write_version(df: DataFrame, path: str, partition_by: list[str], rebalance: bool, layout: dict | None = None) -> int:
-    """Write one version. Rows of a layout by groups are sorted into ranges of the key, so that each file holds one."""
-    layout = layout or {}
+def _write_version(df: DataFrame, path: str, partition_by: list[str], rebalance: bool, layout: dict) -> tuple[int, dict]:
+    """Write one version; returns its rows and its layout, which notes escaped partition values.
+
+    Rows of a layout by groups are sorted into ranges of the key, so that each file holds one.
+    """
     obs = Observation(f"vetline_version_{uuid.uuid4().hex[:8]}")
     if "groups" in layout:
         # Equal keys, which only rows without one have, may be dealt to several ranges.
         row = F.xxhash64(*[col_ref(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
         df = df.repartitionByRange(*[col_ref(k) for k in layout["by"]], row)
-    rows = with_hidden(df.observe(obs, F.count(F.lit(1)).alias("rows")), layout)
+    counted = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(needs_escape(df, partition_by)).alias("escaped"))
+    rows = escaped(with_hidden(counted, layout), partition_by)
     if "groups" in layout:
         rows = rows.sortWithinPartitions(GROUP, *[col_ref(k) for k in layout["by"]])
     elif partition_by and rebalance:
@@ -202,7 +245,7 @@ def _write_version(df: DataFrame, path: str, partition_by: list[str], rebalance:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return int(obs.get["rows"])
+    return int(obs.get["rows"]), {**layout, "escaped": True} if obs.get["escaped"] else layout
 
 
 def _hidden_schema(schema: StructType, partition_by: list[str]) -> StructType:
@@ -244,7 +287,7 @@ def _replace(df: DataFrame, target: str, keys: list[str], layout: dict, root: st
     base = latest_number(spark, root)
     version = new_version_dir(root)
     try:
-        rows = _write_version(df, version, keys, rebalance, layout)
+        rows, layout = _write_version(df, version, keys, rebalance, layout)
         if expected_count is not None and rows != expected_count:
             raise RuntimeError(f"Wrote {rows} rows to {version}, expected {expected_count}")
     except Exception:
@@ -284,12 +327,12 @@ def register_version(spark: SparkSession, target: str, version: str, schema,
     except Exception:
         delete_path(spark, version)
         raise
-    _point_catalog(spark, db, t, root, version, data_path, schema, keys, {})
+    _point_catalog(spark, db, t, root, version, data_path, schema, keys, {}, layout)
     _prune_versions(spark, db, t, root, keep_versions)
 
 
 def _point_catalog(spark: SparkSession, db: str, t: str, root: str, version: str, data_path: str, schema, keys: list[str],
-                   inherited: dict[str, str]) -> None:
+                   inherited: dict[str, str], layout: dict | None = None) -> None:
     """Make the catalog entry read a committed version."""
     name = table_name(db, t)
     exists = table_exists(spark, db, t)
@@ -297,7 +340,7 @@ def _point_catalog(spark: SparkSession, db: str, t: str, root: str, version: str
         spark.sql(f"DROP TABLE {name}")  # external: the first upsert of a plain target gives it file groups, and a view
     props = f"'{_VERSION_PROP}' = '{version}', '{_DATA_PROP}' = '{data_path}'"
     if keys:
-        _publish_partitioned(spark, db, t, root, version, schema, keys, inherited=inherited, data_path=data_path)
+        _publish_partitioned(spark, db, t, root, version, schema, keys, inherited, layout, data_path=data_path)
     elif exists:
         # Additive schema change first: until the switch, old files
         # simply read the new columns as NULL.
@@ -443,7 +486,7 @@ def _show_partitions(spark: SparkSession, name: str) -> list[str]:
 
 
 def _publish_partitioned(spark: SparkSession, db: str, t: str, root: str, version: str, schema,
-                         keys: list[str], inherited: dict[str, str], data_path: str | None = None) -> None:
+                         keys: list[str], inherited: dict[str, str], layout: dict | None = None, data_path: str | None = None) -> None:
     """Register ``version`` (rows under ``data_path``, plus ``inherited``
     partitions kept where they are) as a physical table, then move the view
     to it in one catalog call."""
@@ -462,9 +505,11 @@ def _publish_partitioned(spark: SparkSession, db: str, t: str, root: str, versio
     if extra:
         _write_manifest(spark, root, version, {**extra, **{p: data_path for p in own}})
     ordered = [f for f in schema.fields if f.name not in keys] + [f for f in schema.fields if f.name in keys]
+    odd = [f.name for f in schema.fields if f.name in keys and isinstance(f.dataType, StringType)] if (layout or {}).get("escaped") else []
+    columns = [f"{_unescape_sql(f.name)} AS `{f.name}`" if f.name in odd else f"`{f.name}`" for f in ordered if f.name not in _HIDDEN]
     spark.sql(f"CREATE OR REPLACE VIEW {table_name(db, t)} "
               f"TBLPROPERTIES ('{_VERSION_PROP}' = '{version}', '{_DATA_PROP}' = '{data_path}') "
-              f"AS SELECT {', '.join(f'`{f.name}`' for f in ordered if f.name not in _HIDDEN)} FROM {phys}")
+              f"AS SELECT {', '.join(columns)} FROM {phys}")
 
 
 def _rows_in(current: DataFrame, touched: list, parts: list[str], schema: StructType) -> DataFrame:
@@ -535,27 +580,28 @@ def _upsert_scoped(updates: DataFrame, target: str, keys: list[str], parts: list
     last = newest(spark, root)
     old_phys = table_name(db, _phys_name(t, last["version"]))
     current = spark.table(old_phys)
-    named = with_hidden(updates, layout) if parts == [BUCKET] else updates
+    plain = _unescaped(current, parts)
     update_keys = _update_keys(updates, keys)
+    of_updates = escaped(with_hidden(updates, layout) if parts == [BUCKET] else updates, [c for c in parts if c != GROUP])
+    names = [col_ref(c) for c in parts]
     if parts == [BUCKET] or set(parts) <= set(keys):
-        found = named.select(*[col_ref(c) for c in parts]).distinct()
+        found = of_updates.select(*names).distinct()
     else:
-        found = _in_range(current, updates, keys[0]).join(update_keys, keys, "left_semi").select(*[col_ref(c) for c in parts])
-        found = (found if parts == [GROUP] else found.union(updates.select(*[col_ref(c) for c in parts]))).distinct()
+        found = escaped(_in_range(plain, updates, keys[0]).join(update_keys, keys, "left_semi").select(*names), parts)
+        found = (found if parts == [GROUP] else found.union(of_updates.select(*names))).distinct()
     touched = found.collect()  # names of partitions
-    kept = _rows_in(current, touched, parts, found.schema).drop(*_HIDDEN).join(update_keys, keys, "left_anti")
+    kept = _unescaped(_rows_in(current, touched, parts, found.schema), parts).drop(*_HIDDEN).join(update_keys, keys, "left_anti")
     merged = kept.unionByName(updates, allowMissingColumns=True)
     version = new_version_dir(root)
     try:
-        rows = _write_version(merged, version, parts, rebalance, layout) if "groups" in layout else \
-            _write_version(with_hidden(merged, layout), version, parts, rebalance)
+        rows, layout = _write_version(merged, version, parts, rebalance, layout)
     except Exception:
         delete_path(spark, version)
         raise
     old_map = {p: last["data_path"] for p in _show_partitions(spark, old_phys)}
     old_map.update(_read_manifest(spark, root, last["version"]))
-    gone = {tuple(None if v in (None, "") else str(v) for v in r)
-            for r in found.select(*[col_ref(c).cast("string") for c in parts]).collect()} if parts != [GROUP] else {(r[0],) for r in touched}
+    as_text = spark.createDataFrame(touched, found.schema).select(*[c.cast("string") for c in names])
+    gone = {tuple(r) for r in as_text.collect()}
     inherited = {p: d for p, d in old_map.items() if _partition_values(p) not in gone}
     own = {p: version for p in _written_partitions(spark, version)}
     schema = _hidden_schema(merged.schema, parts)
@@ -566,7 +612,7 @@ def _upsert_scoped(updates: DataFrame, target: str, keys: list[str], parts: list
         delete_path(spark, _manifest_path(root, version))
         delete_path(spark, version)
         raise
-    _publish_partitioned(spark, db, t, root, version, schema, parts, inherited=inherited)
+    _publish_partitioned(spark, db, t, root, version, schema, parts, inherited, layout)
     _prune_versions(spark, db, t, root, keep_versions)
     return {"version": version, "rows": rows}
 
@@ -601,8 +647,8 @@ def upsert_target(updates: DataFrame, target: str, keys: Sequence[str],
 
     A key may occur once in ``updates``; with ``order_by`` it may occur more
     often and the row that is last by these columns stands, otherwise repeated
-    keys are refused. ``updates`` must hold the key and partition columns,
-    and its columns the target's types. Rows with a NULL key never match, as
+    keys are refused. ``updates`` must hold the key and partition columns, and
+    types that fit the target's (an int a bigint; see ``sinks.widening``). Rows with a NULL key never match, as
     in SQL MERGE. ``updates`` is read several times: hand over stored rows.
 
     New version = target rows whose key is not in ``updates`` (left anti join)
@@ -642,10 +688,7 @@ def upsert_target(updates: DataFrame, target: str, keys: Sequence[str],
     if batch and included_batch(spark, root, batch[0]) >= batch[1]:
         return {"version": last["version"], "rows": 0}
     if table_exists(spark, db, t):
-        kinds = {f.name: f.dataType.simpleString() for f in spark.table(table_name(db, t)).schema.fields}
-        other = [f.name for f in updates.schema.fields if kinds.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString()]
-        if other:
-            raise ValueError(f"Updates for {target} have other types than it: {', '.join(other)}")
+        updates = widened(updates, spark.table(table_name(db, t)).schema, target)
     layout = _upsert_layout(last, target, keys, parts, buckets)
     parts = parts or ([BUCKET] if "buckets" in layout else [GROUP])
     updates = _one_per_key(updates, keys, [order_by] if isinstance(order_by, str) else list(order_by or []))
@@ -662,7 +705,7 @@ def upsert_target(updates: DataFrame, target: str, keys: Sequence[str],
 def _upsert_layout(last: dict | None, target: str, keys: list[str], parts: list[str], buckets: int | None) -> dict:
     """The layout an upsert writes: the target's own, or what is asked for where it has none."""
     if parts:
-        return {}
+        return {k: v for k, v in ((last or {}).get("layout") or {}).items() if k == "escaped"}
     layout = (last or {}).get("layout") or {}
     if "buckets" in layout:
         if buckets not in (None, layout["buckets"]) or keys != layout["by"]:

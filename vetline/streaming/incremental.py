@@ -41,14 +41,14 @@ from vetline.plans.load import METRICS_SCHEMA, load
 from vetline.session import delete_path, scratch_path
 from vetline.sinks.commits import CommitConflict, filesystem, included_batch, read_text, write_once
 from vetline.sinks.tables import default_root
-from vetline.sources.files import CSV_OPTIONS
+from vetline.sources.files import CORRUPT_OPTIONS, CSV_OPTIONS, with_corrupt
 
 log = logging.getLogger(__name__)
 
 
 def file_stream(spark: SparkSession, source_dir: str, schema: StructType, fmt: str = "csv",
                 max_files_per_trigger: int | None = None, archive_dir: str | None = None,
-                **options) -> DataFrame:
+                keep_malformed: bool = False, **options) -> DataFrame:
     """Streaming file source. A schema is required (no inference on streams);
     ``key=value`` sub-folders are discovered and filled in when the schema
     names them. ``max_files_per_trigger`` splits a large backlog into several
@@ -57,8 +57,11 @@ def file_stream(spark: SparkSession, source_dir: str, schema: StructType, fmt: s
     Every trigger lists the whole source tree, so with a growing history of
     hourly folders the listing grows too. ``archive_dir`` moves each file
     out of the source after its batch commits (``cleanSource=archive``),
-    keeping the listing to the files not yet processed.
+    keeping the listing to the files not yet processed. ``keep_malformed`` keeps
+    the raw text of records that do not fit the schema, for the DLQ.
     """
+    if keep_malformed:
+        schema, options = with_corrupt(schema), {**CORRUPT_OPTIONS, **options}
     reader = spark.readStream.format(fmt).schema(schema)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
