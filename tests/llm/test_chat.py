@@ -1,4 +1,7 @@
 import json
+import random
+
+import pytest
 
 from vetline.llm import chat, queries
 
@@ -28,6 +31,75 @@ class TestValues:
         assert check({"x": {"$ref": "c"}}) == [] and check({"x": True}) == ["$.x: type"]
 
 
+    def test_what_has_no_canonical_form(self):
+        for text in ('{"x":"\\ud800"}', '{"\\udfff":1}', '{"x":NaN}', '{"x":-Infinity}', '{"x":1e999}', "", "[" * 9000, None):
+            got = chat.read_arguments("f", text, TOOLS)
+            assert got == {"json": chat.canonical(text), "needs": [], "errors": ["$: json"]}
+        assert chat.read_arguments("f", '{"x":1,"s":"a\\ud83d\\ude00"}', TOOLS)["json"] == '{"s":"a\U0001f600","x":1}'
+
+    def test_only_strings_refer(self):
+        for odd in ("5", "null", '["a"]', '{"$ref":"a"}'):
+            got = chat.read_arguments("f", '{"x":{"$ref":%s}}' % odd, TOOLS)
+            assert got["errors"] == ["$.x: type"] and got["needs"] == (["a"] if "a\"}" in odd else [])
+        assert chat.read_arguments("f", '{"x":{"$ref":"a"}}', TOOLS)["errors"] == []
+
+    @pytest.mark.parametrize("schema", [{"anyOf": []}, {"exclusiveMinimum": 1}, {"properties": {"a": {"multipleOf": 2}}}, {"items": [{}]},
+                                        {"items": {"type": "text"}}, {"additionalProperties": {"not": {}}}, {"pattern": "("}, True])
+    def test_schemas_that_would_not_be_checked_are_refused(self, spark, schema):
+        with pytest.raises(ValueError, match="g.*(unknown|pattern|object)"):
+            chat.link(*frames(spark, [], []), {**TOOLS, "g": schema})
+
+
+class TestOrder:
+    def by_place(self, rows):
+        return [r.call_id for r in sorted(rows, key=lambda r: (r.wave, r.turn is not None, r.turn or 0, r.call_id))]
+
+    def test_null_turns_come_first_or_in_a_later_wave(self, spark):
+        ref = lambda i: json.dumps({"x": {"$ref": i}})
+        calls = [(1, None, "a", "f", ref("b")), (1, 5, "b", "f", '{"x":1}'), (2, None, "a", "f", '{"x":1}'), (2, 0, "b", "f", ref("a")),
+                 (3, None, "b", "f", ref("a")), (3, None, "a", "f", '{"x":1}'), (4, 0, "a", "f", ref("b")), (4, None, "b", "f", '{"x":1}')]
+        got = chat.link(*frames(spark, calls, []), TOOLS).collect()
+        order = {c: self.by_place([r for r in got if r.conv_id == c]) for c in (1, 2, 3, 4)}
+        assert order == {1: ["b", "a"], 2: ["a", "b"], 3: ["a", "b"], 4: ["b", "a"]}
+        assert {r.wave for r in got if r.conv_id in (2, 3, 4)} == {0}
+
+    @pytest.mark.parametrize("peeled", [0, 100_000])
+    def test_in_tasks_and_in_rounds(self, spark, peeled):
+        rng = random.Random(6)
+        names = [f"c{k}" for k in range(9)]
+        needs = {(conv, n): sorted(rng.sample(names, rng.choice([0, 0, 1, 2]))) for conv in range(12) for n in names}
+        rows = [(conv, k, n, [*needs[conv, n], "nowhere"]) for conv in range(12) for k, n in enumerate(names)]
+        calls = spark.createDataFrame(rows, "conv_id long, turn long, call_id string, needs array<string>")
+        got = {(r.conv_id, r.call_id): r.wave for r in chat.waves(calls, peeled).collect()}
+        want = {}
+        for conv in range(12):
+            if all(names.index(m) < k for k, n in enumerate(names) for m in needs[conv, n]):
+                want |= {(conv, n): 0 for n in names}
+                continue
+            left, wave = set(names), 0
+            while ready := {n for n in left if not left & set(needs[conv, n])}:
+                want |= {(conv, n): wave for n in ready}
+                left, wave = left - ready, wave + 1
+            want |= {(conv, n): None for n in left}
+        assert got == want
+
+    def test_a_chain_of_a_thousand_calls_takes_few_jobs(self, spark):
+        rows = [(1, k, f"c{k:04}", [f"c{k + 1:04}"] if k < 999 else []) for k in range(1000)]
+        calls = spark.createDataFrame(rows, "conv_id long, turn long, call_id string, needs array<string>")
+        spark.sparkContext.setJobGroup("chain", "chain")
+        try:
+            assert {r.call_id: r.wave for r in chat.waves(calls).collect()} == {f"c{k:04}": 999 - k for k in range(1000)}
+            assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("chain")) < 30
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    def test_long_texts_pass_whole(self, spark):
+        text = "word " * 400_000
+        calls, results = frames(spark, [(1, 0, "a", "f", json.dumps({"x": 1, "s": text}))], [(1, 1, "a", text)])
+        got = chat.link(calls, results, TOOLS).first()
+        assert json.loads(got.message) == {"arguments": {"s": text, "x": 1}, "call_id": "a", "content": text, "name": "f"}
+
+
 class TestLink:
     def test_status_order_and_errors(self, spark):
         ref = lambda *ids: json.dumps({"x": 1, "l": [{"$ref": i} for i in ids]})

@@ -8,20 +8,23 @@ no spaces, integers and decimals in their shortest form.
 
 A call may name others whose results it needs, by ``{"$ref": "<call id>"}``
 anywhere in its arguments. ``wave`` orders calls topologically: sorting a
-conversation by (wave, turn, call id) puts every call after those it needs.
-Where calls only need earlier ones, as almost always, the order of turns is
-topological and no work is done (wave 0). Only conversations in which a call
-needs a later one are peeled in rounds, each a join on call identifiers over
-all of them at once; a conversation of any size is never gathered in one task.
-Calls on a cycle, or that need one, get no wave.
+conversation by (wave, turn, call id), null turns first, puts every call after
+those it needs. Where calls only need earlier ones, as almost always, the
+order of turns is topological and no work is done (wave 0). Conversations in
+which a call needs a later one are peeled: in one task each up to ``PEELED``
+calls and references, counted first, and beyond that in rounds, each a join on
+call identifiers over all of them at once, so that no larger conversation is
+gathered anywhere. Calls on a cycle, or that need one, get no wave.
 
 Defined cases: rows without conversation or identifier are left out. Of calls
 (results) with one identifier in a conversation the first by turn, then by
 content, stands; ``calls`` and ``results`` count them. A call without result has status
 ``unanswered``, a result without call ``orphan``. References to unknown calls
-are errors of validation, not of order. Null or malformed arguments, unknown
-tools and null content are reported the same way, with the raw text kept as a
-JSON string. Empty tables give an empty result; extra columns are ignored.
+are errors of validation, not of order; only a string can refer. Null or
+malformed arguments (also numbers that are not finite and lone surrogates, for
+which there is no canonical form), unknown tools and null content are reported
+the same way, with the raw text kept as a JSON string. A tool's schema with a
+keyword or pattern that is not understood is refused at once. Empty tables give an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -70,14 +73,43 @@ class _Raw(str):
 
 
 def _number(x: float) -> str:
-    if math.isnan(x) or math.isinf(x):
-        return "null"
+    if not math.isfinite(x):
+        raise ValueError("JSON has no such number")
     if x == int(x) and abs(x) < 1e21:
         return str(int(x))
     mantissa, _, exponent = repr(x).partition("e")
     return f"{mantissa}e{int(exponent):+d}" if exponent else mantissa
 
 
+#: Keywords that ``violations`` checks, and those that describe without constraining.
+_CHECKED = {"type", "enum", "const", "required", "properties", "additionalProperties", "items", "minItems", "maxItems", "minLength",
+            "maxLength", "pattern", "minimum", "maximum"}
+_DESCRIBING = {"title", "description", "default", "examples", "format", "$schema", "$id", "$comment", "deprecated", "readOnly", "writeOnly"}
+
+
+def check_schema(schema, at: str = "$") -> None:
+    """Refuse a schema that ``violations`` would not check in full."""
+    if not isinstance(schema, dict):
+        raise ValueError(f"{at}: a schema is an object, not {schema!r}")
+    unknown = sorted(set(schema) - _CHECKED - _DESCRIBING)
+    if unknown:
+        raise ValueError(f"{at}: unknown keywords {', '.join(unknown)}")
+    kinds = schema.get("type", [])
+    odd = [k for k in ([kinds] if isinstance(kinds, str) else kinds) if k not in (*_TYPES, "integer", "number")]
+    if odd:
+        raise ValueError(f"{at}: unknown types {', '.join(map(str, odd))}")
+    try:
+        re.compile(schema.get("pattern", ""))
+    except re.error as exc:
+        raise ValueError(f"{at}: pattern {schema['pattern']!r}: {exc}") from exc
+    for name, own in schema.get("properties", {}).items():
+        check_schema(own, f"{at}.{name}")
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        check_schema(schema["additionalProperties"], f"{at}.*")
+    if "items" in schema:
+        check_schema(schema["items"], f"{at}[]")
+
+
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 
 
@@ -95,7 +127,7 @@ def violations(value, schema: dict, at: str = "$") -> list[str]:
     Keywords: type, enum, const, required, properties, additionalProperties,
     items, minItems, maxItems, minLength, maxLength, pattern, minimum, maximum.
     """
-    if isinstance(value, dict) and set(value) == {"$ref"}:
+    if isinstance(value, dict) and set(value) == {"$ref"} and isinstance(value["$ref"], str):
         return []  # stands for another call's result
     found = []
     kinds = schema.get("type")
@@ -148,11 +180,16 @@ def references(value) -> list[str]:
 _READ = (T.StructType().add("json", T.StringType()).add("needs", T.ArrayType(T.StringType())).add("errors", T.ArrayType(T.StringType())))
 
 
+def _number_by_name(name: str) -> float:
+    raise ValueError(f"JSON has no {name}")
+
+
 def read_arguments(name: str | None, arguments: str | None, tools: dict[str, dict]) -> dict:
     """Canonical form, references and errors of one call's arguments."""
     try:
-        value = json.loads(arguments)
+        value = json.loads(arguments, parse_constant=_number_by_name)
         text = canonical(value)
+        text.encode()  # a lone surrogate is no text
     except (TypeError, ValueError, RecursionError):
         return {"json": canonical(arguments), "needs": [], "errors": ["$: json"]}
     schema = tools.get(name)
@@ -178,29 +215,71 @@ def _first(rows: DataFrame, count: str, *columns: str) -> DataFrame:
     return top.select("conv_id", "call_id", count, "top.turn", *[f"top.{c}" for c in columns])
 
 
-def waves(calls: DataFrame) -> DataFrame:
+#: Calls and references of a conversation that one task orders at most.
+PEELED = 100_000
+
+
+def peel(calls: list[str], needs: list[tuple[str, str]]) -> dict[str, int]:
+    """Wave of each call that does not stand on or behind a cycle; ``needs`` pairs a call with one it needs."""
+    waiting, wanted_by = dict.fromkeys(calls, 0), {}
+    for call, need in needs:
+        waiting[call] += 1
+        wanted_by.setdefault(need, []).append(call)
+    done, ready, wave = {}, [c for c in calls if not waiting[c]], 0
+    while ready:
+        done.update(dict.fromkeys(ready, wave))
+        freed = []
+        for need in ready:
+            for call in wanted_by.get(need, ()):
+                waiting[call] -= 1
+                if not waiting[call]:
+                    freed.append(call)
+        ready, wave = freed, wave + 1
+    return done
+
+
+def waves(calls: DataFrame, peeled: int = PEELED) -> DataFrame:
     """``conv_id, call_id, wave`` of ``calls(conv_id, call_id, turn, needs)``; wave is null on and behind cycles."""
     key = ["conv_id", "call_id"]
     needs = (calls.select("conv_id", "call_id", "turn", F.explode(F.array_distinct("needs")).alias("need"))
              .join(calls.select("conv_id", F.col("call_id").alias("need"), F.col("turn").alias("need_turn")), ["conv_id", "need"]))
-    late = needs.where(F.struct(F.coalesce("need_turn", F.lit(0)), "need") >= F.struct(F.coalesce("turn", F.lit(0)), "call_id"))
+    place = lambda turn, call: F.struct(F.col(turn).isNotNull(), F.coalesce(turn, F.lit(0)), F.col(call))
+    late = needs.where(place("need_turn", "need") >= place("turn", "call_id"))
     tangled = durable(late.select("conv_id").distinct(), "chat-tangled")
     if tangled.isEmpty():
         return calls.select(*key, F.lit(0).alias("wave"))
     left = durable(calls.join(tangled, "conv_id", "left_semi").select(*key), "chat-left")
     edges = durable(needs.join(tangled, "conv_id", "left_semi").select(*key, "need"), "chat-edges")
+    plain = calls.join(tangled, "conv_id", "left_anti").select(*key, F.lit(0).alias("wave"))
+    rows = left.withColumn("need", F.lit(None).cast("string")).unionByName(edges)
+    large = durable(rows.groupBy("conv_id").count().where(F.col("count") > peeled).select("conv_id"), "chat-large")
+
+    def order(own):
+        found = peel(own.loc[own["need"].isna(), "call_id"].tolist(), list(own.loc[own["need"].notna(), ["call_id", "need"]].itertuples(index=False, name=None)))
+        out = own.loc[own["need"].isna(), key]
+        return out.assign(wave=out["call_id"].map(found).astype("Int32"))
+
+    kind = T.StructType([left.schema["conv_id"], left.schema["call_id"], T.StructField("wave", T.IntegerType())])
+    small = rows.join(large, "conv_id", "left_anti").groupBy("conv_id").applyInPandas(order, kind)
+    return plain.unionByName(small).unionByName(_in_rounds(left.join(large, "conv_id", "left_semi"), edges.join(large, "conv_id", "left_semi")))
+
+
+def _in_rounds(left: DataFrame, edges: DataFrame) -> DataFrame:
+    """Waves of calls ``left`` with ``edges``, one join a wave."""
+    key = ["conv_id", "call_id"]
+    if left.isEmpty():
+        return left.withColumn("wave", F.lit(None).cast("int"))
     done, wave = None, 0
     while True:
         ready = durable(left.join(edges.select(*key), key, "left_anti").withColumn("wave", F.lit(wave)), "chat-ready")
         if ready.isEmpty():
             break
-        done = ready if done is None else done.unionByName(ready)
+        done = ready if done is None else durable(done.unionByName(ready), "chat-done")
         left = durable(left.join(ready, key, "left_anti"), "chat-left")
         edges = durable(edges.join(ready.select("conv_id", F.col("call_id").alias("need")), ["conv_id", "need"], "left_anti"), "chat-edges")
         wave += 1
     stuck = left.withColumn("wave", F.lit(None).cast("int"))
-    plain = calls.join(tangled, "conv_id", "left_anti").select(*key, F.lit(0).alias("wave"))
-    return plain.unionByName(stuck if done is None else done.unionByName(stuck))
+    return stuck if done is None else done.unionByName(stuck)
 
 
 def link(calls: DataFrame, results: DataFrame, tools: dict[str, dict]) -> DataFrame:
@@ -211,6 +290,8 @@ def link(calls: DataFrame, results: DataFrame, tools: dict[str, dict]) -> DataFr
     arguments. Gives conv_id, call_id, turn, wave, status, calls, results,
     errors (array) and message (canonical JSON).
     """
+    for name, schema in tools.items():
+        check_schema(schema, name)
     called = _first(calls, "calls", "name", "arguments")
     called = durable(called.withColumn("read", _reader(tools)("name", "arguments")).drop("arguments"), "chat-calls")
     answered = _first(results, "results", "content").withColumnRenamed("turn", "result_turn")
