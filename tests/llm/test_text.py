@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from html.parser import HTMLParser
 
 import duckdb
@@ -9,7 +10,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from vetline.llm import bpe, decontaminate, html_text, licences, words
+from vetline.llm import bpe, decontaminate, html_text, licences, queries, words
 
 TOKENS = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 MACHINE = bpe.transducer(TOKENS, public_tokenizers.PATTERN)
@@ -174,6 +175,23 @@ class TestHtml:
         df = spark.createDataFrame([(1, None, "k"), (2, "", "k"), (3, "<p>a", "k")], "page_id int, html string, text string")
         assert [r.seen for r in html_text.extract_text(df, into="seen").orderBy("page_id").collect()] == [None, "", "a"]
         assert html_text.extract_text(df.limit(0)).count() == 0
+        kept = html_text.extract_text(df)
+        assert kept.columns == ["page_id", "html", "text", "_text"]
+        assert [(r.text, r["_text"]) for r in kept.orderBy("page_id").collect()] == [("k", None), ("k", ""), ("k", "a")]
+
+    @pytest.mark.parametrize("page", ["<div>" * 200_000, "<span>" * 100_000 + "</b>" * 100_000, "<p><button>" + "<div>" * 180_000,
+                                      "<b>" * 90_000 + "</i>" * 90_000 + "<div>" * 90_000, "<table>" + "<tr><td>" * 120_000, "<li>x" * 180_000])
+    def test_a_megabyte_of_tags_takes_seconds(self, page):
+        began = time.process_time()
+        html_text.extract(page)
+        assert time.process_time() - began < 10
+
+    def test_registered_query(self, spark):
+        got = queries.QUERIES["op6_html_extraction"](spark, "/root/testdata/sf0.001")
+        assert got.columns == ["page_id", "url", "text"]
+        pages = {r.page_id: r for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()}
+        rows = got.collect()
+        assert len(rows) == len(pages) and all((r.url, r.text) == (pages[r.page_id].url, html_text.extract(pages[r.page_id].html)) for r in rows)
 
 
 @pytest.mark.parametrize("pattern", [r"\p{L}{1,3}|\p{N}|[^\p{L}\p{N}]+", r"(\s?)\S+|\s+", public_tokenizers.PATTERN])
@@ -206,6 +224,9 @@ class TestLicences:
         assert {r.doc_id: r.licences for r in got.collect()} == {k: v for k, (_, v) in cases.items()}
         assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
         assert licences.scan(df.limit(0)).count() == 0
+        clash = licences.scan(df.withColumnRenamed("licence_scan", "Licences"))
+        assert clash.columns == ["doc_id", "text", "Licences", "licence_sentences", "_licences"]
+        assert {r.doc_id: (r.Licences, r["_licences"]) for r in clash.collect()} == {k: ("z", v) for k, (_, v) in cases.items()}
 
     APACHE = ("Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\n"
               "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n"

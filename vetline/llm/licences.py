@@ -232,8 +232,10 @@ def matched(ids: Column, rules: list[tuple[str, list[int]]] = RULES) -> Column:
 def scan(docs: DataFrame, into: str = "licences", ids_into: str = "licence_sentences", text_col: str = "text") -> DataFrame:
     """``docs`` with the sorted licences of each text and the sentence identifiers they were found by.
 
-    The identifiers are those of the line-wise cut; licences come from both cuts.
+    The identifiers are those of the line-wise cut; licences come from both
+    cuts. A result whose name a column of ``docs`` has gets underscores in front.
     """
+    into, ids_into = fresh(docs, into), fresh(docs, ids_into)
     text = F.col(text_col)
     both = F.array(sentence_ids(text, BY_LINE), sentence_ids(text, BY_PARAGRAPH))
     found = _bound(both, lambda cuts: F.struct(F.element_at(cuts, 1).alias("ids"), F.array_sort(
