@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 import time
@@ -18,6 +19,32 @@ WANTED = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_r
 BITS = ["a", "b", "ab", "th", "er", "é", "漢", "\n", " ", "  ", "😀", "x", "7", "'s", "!!", "'", "'ll", "'r", "\t", " '", "　", "٣", "\0", "ÃÂ"]
 
 
+def test_registered_bpe_query(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    got = queries.QUERIES["op2_byte_bpe"](spark, "/root/testdata/sf0.001")
+    assert got.dtypes == [("doc_id", "bigint"), ("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
+    rows = got.collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        ids = WANTED.encode_ordinary(docs[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
+
+
+def test_decoding_is_a_stream(spark, monkeypatch):
+    """Portions end inside characters; what is no UTF-8 becomes the replacement character, as it does when decoded whole."""
+    rng = random.Random(3)
+    monkeypatch.setattr(bpe, "PORTION", 1)
+    odd = [[rng.randrange(256) for _ in range(rng.randrange(12))] for _ in range(200)] + [WANTED.encode_ordinary("é漢😀" * 5)]
+    for ids in odd:
+        assert bpe.decoded(MACHINE, np.array(ids, np.int64)) == b"".join(TOKENS[i] for i in ids).decode("utf-8", "replace")
+    df = spark.createDataFrame([(ids,) for ids in odd] + [(None,)], "ids array<int>")
+    got = [bytes(r[0]) for r in df.select(bpe.decode(df.ids, TOKENS, public_tokenizers.PATTERN)).collect()]
+    assert got == [b"".join(TOKENS[i] for i in ids).decode("utf-8", "replace").encode() for ids in odd] + [b""]
+    clash = bpe.encode(spark.createDataFrame([("a b", 7)], "text string, ids int"), TOKENS, public_tokenizers.PATTERN)
+    assert clash.columns == ["text", "ids", "_ids"] and clash.first()["_ids"] == WANTED.encode_ordinary("a b")
+
+
 class TestBpe:
     def texts(self):
         rng = random.Random(11)

@@ -13,9 +13,10 @@ once every position from which a token can still reach past the input leads
 back through it; the lookahead this takes is bounded by the longest tokens,
 and long pieces take linear time and bounded memory.
 
-Decoding concatenates token bytes; ``StreamDecoder`` turns tokens that arrive
-in portions into text with a UTF-8 state machine that holds back at most three
-bytes of an unfinished character.
+Decoding is a stream: ``StreamDecoder`` turns tokens that arrive in portions
+into text with a UTF-8 state machine that holds back at most three bytes of an
+unfinished character. (Slices of encoded texts are also checked, token bytes
+against input, before they are handed on.)
 
 Texts are cut into pieces by the tokenizer's pattern, each piece is encoded
 separately, and special tokens are ordinary text. Pieces met are remembered
@@ -31,7 +32,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from vetline.llm.frames import fresh
 from vetline.llm.words import hash_bytes, lookup, slices, text_buffer
 
 MOST_PIECES = 2_000_000
@@ -371,7 +373,7 @@ class StreamDecoder:
         return 0
 
     def feed(self, ids: Iterable[int]) -> str:
-        data = self.held + b"".join(self.transducer.tokens[i] for i in ids)
+        data = self.held + b"".join(map(self.transducer.tokens.__getitem__, ids))
         keep = self.unfinished(data)
         self.held = data[len(data) - keep:]
         return data[:len(data) - keep].decode("utf-8", "replace")
@@ -392,41 +394,48 @@ def transducer(tokens: list[bytes], pattern: str) -> Transducer:
     return _made[key]
 
 
+#: Ids that the decoder is fed at a time.
+PORTION = 1 << 14
+
+
+def decoded(machine: Transducer, ids: np.ndarray) -> str:
+    """Text that ids stand for, decoded as a stream: in portions, through the UTF-8 state machine."""
+    stream = StreamDecoder(machine)
+    parts = [stream.feed(ids[k:k + PORTION].tolist()) for k in range(0, len(ids), PORTION)]
+    return "".join(parts) + stream.finish()
+
+
 ENCODED = T.StructType().add("ids", T.ArrayType(T.IntegerType())).add("decoded", T.BinaryType())
 
 
 def encode_decode(text: Column, tokens: list[bytes], pattern: str) -> Column:
-    """Struct column: ids, the tokens of a text, and decoded, the bytes decoded from these ids."""
+    """Struct column: ids, the tokens of a text, and decoded, the UTF-8 bytes of the text that streaming these ids gives."""
     @F.arrow_udf(ENCODED)
     def both(col: pa.Array) -> pa.Array:
         machine = transducer(tokens, pattern)
-        ids, decoded, n, size = [], [], [[0]], [[0]]
+        ids, texts, n = [], [], [[0]]
         for _, _, buf, offsets in slices(*text_buffer(col)):
             got, bounds = machine.encode_slice(buf, offsets)
-            data = machine.decode(got)
-            ends = np.concatenate(([0], np.cumsum(machine.size[got])))[bounds]
-            ids.append(got), decoded.append(data), n.append(np.diff(bounds)), size.append(np.diff(ends))
+            ids.append(got), n.append(np.diff(bounds))
+            texts += [decoded(machine, got[a:b]).encode() for a, b in pairwise(bounds.tolist())]
         if not ids:
             return pa.array([], to_arrow_type(ENCODED))
         lists = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(n)), pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
-        edges = np.cumsum(np.concatenate(size))
-        data = pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)),
-                                                                   pa.py_buffer(np.concatenate(decoded))])
-        return pa.StructArray.from_arrays([lists, data], fields=list(to_arrow_type(ENCODED)))
+        return pa.StructArray.from_arrays([lists, pa.array(texts, pa.binary())], fields=list(to_arrow_type(ENCODED)))
 
     return both(text)
 
 
 def decode(ids: Column, tokens: list[bytes], pattern: str) -> Column:
-    """Binary column of the bytes that token ids stand for (null ids: empty)."""
+    """Binary column of the UTF-8 bytes that token ids stand for, decoded as a stream (null ids: empty; bytes that are no UTF-8: U+FFFD)."""
     @F.arrow_udf("binary")
     def data(col: pa.Array) -> pa.Array:
         machine = transducer(tokens, pattern)
-        return pa.array([machine.decode(np.array(x.as_py() or [], np.int64)).tobytes() for x in col], pa.binary())
+        return pa.array([decoded(machine, np.array(x.as_py() or [], np.int64)).encode() for x in col], pa.binary())
 
     return data(ids)
 
 
 def encode(docs: DataFrame, tokens: list[bytes], pattern: str, into: str = "ids", text_col: str = "text") -> DataFrame:
-    """``docs`` with the token ids of each text in column ``into``."""
-    return docs.withColumn(into, encode_decode(F.col(text_col), tokens, pattern)["ids"])
+    """``docs`` with the token ids of each text in column ``into`` (underscores in front if ``docs`` has such a column)."""
+    return docs.withColumn(fresh(docs, into), encode_decode(F.col(text_col), tokens, pattern)["ids"])

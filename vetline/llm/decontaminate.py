@@ -10,8 +10,9 @@ word to their longest. Shards are independent, so the job is one pass over
 the documents without a shuffle, at any size.
 
 A benchmark is compiled on the driver and sent to the tasks, so it is first
-measured and cut into blocks of at most ``BLOCK_BYTES`` of text; the documents
-pass every block in turn, within the same pass.
+measured. One of at most ``BLOCK_BYTES`` of text is sent whole. A larger one
+stays a table, cut into blocks by hash: the documents pass one block after the
+other, each block's hits are written, and at the end they are put together.
 
 Words are runs of a-z, 0-9 and non-ASCII characters after A-Z are lowered.
 A window is ``window`` consecutive words of one item; an item of fewer words,
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from vetline.llm.frames import fresh
+from vetline.llm.frames import durable, fresh
 from vetline.llm.words import ALNUM, slices, text_buffer, words_of
 
 WINDOW = 13
@@ -265,18 +266,8 @@ def _together(blocks: pa.Array) -> pa.Array:
     return pa.array(out, _ARROW)
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[list[tuple[str, str]]]:
-    """The items in blocks of at most ``block_bytes`` of text, or of one item."""
-    rows = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
-                            F.coalesce(F.col(text_col), F.lit("")).alias("text")).orderBy("id", "text")
-    blocks, size = [[]], 0
-    for id_, text in rows.toLocalIterator():
-        if blocks[-1] and size + len(text) > block_bytes:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((id_, text))
-        size += len(text)
-    return blocks
+def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, into: str, window: int = WINDOW, text_col: str = "text",
@@ -287,8 +278,34 @@ def judge(docs: DataFrame, benchmark: DataFrame, into: str, window: int = WINDOW
     word, number of words); longest, the words of the longest verbatim match of
     a window or more; item_ids, the items with a window in the document.
     """
-    results = [_matcher(Windows(block, window))(F.col(text_col)) for block in _blocks(benchmark, item_col, item_text_col, block_bytes)]
-    return docs.withColumn(into, results[0] if len(results) == 1 else _together(F.array(*results)))
+    items = _items(benchmark, item_col, item_text_col)
+    size = int(items.agg(F.sum(F.octet_length("text") + F.octet_length("id"))).head()[0] or 0)
+    if size > block_bytes:
+        return _judge_by_block(docs, items, into, window, text_col, -(-2 * size // block_bytes))
+    return docs.withColumn(into, _matcher(Windows([tuple(r) for r in items.collect()], window))(F.col(text_col)))
+
+
+def _judge_by_block(docs: DataFrame, items: DataFrame, into: str, window: int, text_col: str, n: int) -> DataFrame:
+    """``judge`` for a benchmark that is too large to be sent whole: a pass over the documents for each of ``n`` blocks of items.
+
+    Blocks are dealt by hash and half full on average; one at a time is on the
+    driver and in the tasks. Their hits are written, a row for each document
+    that a block hits, and put together at the end.
+    """
+    row = fresh(docs, "judged_row")
+    held = durable(docs.withColumn(row, F.monotonically_increasing_id()), "judged-docs")
+    items = durable(items.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n))), "judged-items")
+    hits = None
+    for k in range(n):
+        block = [tuple(r) for r in items.where(F.col("block") == k).select("id", "text").collect()]
+        if block:
+            found = held.select(F.col(row).alias("row"), _matcher(Windows(block, window))(F.col(text_col)).alias("one"))
+            found = durable(found.where(F.size("one.item_ids") > 0), "judged-block")
+            hits = found if hits is None else hits.unionAll(found)
+    together = hits.groupBy("row").agg(F.collect_list("one").alias("many"))  # one of each block at most
+    joined = held.join(together.withColumnRenamed("row", row).withColumnRenamed("many", many := fresh(docs, "judged_many")), row, "left")
+    clean = _matcher(Windows([], window))(F.col(text_col))
+    return joined.withColumn(into, _together(F.coalesce(many, F.array(clean)))).select(*docs.columns, into)
 
 
 def hit_words(result: str):
