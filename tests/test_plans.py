@@ -55,3 +55,9 @@ def test_hour_filter_prunes_partitions(spark):
     scan = _scan(_plan(back.filter((F.col("day") == "05") & (F.col("hour") < "12"))))
     filters = re.search(r"PartitionFilters: \[(.*?)\]", scan).group(1)
     assert "day" in filters and "hour" in filters
+
+
+def test_only_local_mode_may_invent_a_shared_folder():
+    from vetline.session import _local_cores
+    assert all(_local_cores(m) for m in ("local", "local[3]", "local[4, 2]", "local[*]"))
+    assert not any(_local_cores(m) for m in ("local-cluster[3,2,1024]", "spark://host:7077", "yarn"))

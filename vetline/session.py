@@ -100,7 +100,7 @@ def shared_root(spark: SparkSession) -> str:
         root = spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if _local_cores(spark.sparkContext.master) is None:
         raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach "
                            "(e.g. on the cluster's distributed file system)")
     root = tempfile.mkdtemp(prefix="vetline-")
