@@ -90,6 +90,22 @@ def test_rows_that_do_not_fit_are_refused_and_the_target_stays(spark, bad, named
     assert spark.table(target).columns == ["k", "v", "extra"]
 
 
+@pytest.mark.parametrize("how", [replace_target, lambda df, target, **kw: load(df.sparkSession, df, target, [], **kw)])
+def test_replacement_by_position(spark, how):
+    target = f"{DB}.{unique_name('t')}"
+    replace_target(spark.createDataFrame([(1, "a", 2.5)], "k bigint, v string, x double"), target, partition_by="v")
+    assert spark.table(target).columns == ["k", "x", "v"]  # the partition column stands last
+    how(spark.createDataFrame([(7, 3, "new")], "v int, k int, x string"), target, by_name=False, partition_by="v")
+    assert rows(spark, target) == [(7, 3.0, "new")]
+    for bad in ("7 AS k, 'new' AS v", "7.5 AS a, 1 AS b, 'p' AS c"):
+        with pytest.raises(ValueError):
+            how(spark.sql(f"SELECT {bad}"), target, by_name=False, partition_by="v")
+    assert rows(spark, target) == [(7, 3.0, "new")]
+    fresh = f"{DB}.{unique_name('t')}"
+    how(spark.range(3), fresh, by_name=False)
+    assert rows(spark, fresh) == [(0,), (1,), (2,)]
+
+
 def test_upsert_refuses_other_types_and_absent_columns(spark):
     target = f"{DB}.{unique_name('t')}"
     replace_target(spark.createDataFrame([(1, "a", 2)], "k int, p string, n int"), target, partition_by="p")

@@ -49,6 +49,7 @@ from vetline.session import delete_path, scratch_path
 from vetline.sinks.commits import latest_number, new_version_dir
 from vetline.sinks.tables import (
     append_rows,
+    by_position,
     check_replacement,
     default_root,
     drop_table,
@@ -106,6 +107,7 @@ def load(
     order_by: Sequence[str] | str | None = None,
     buckets: int | None = None,
     batch: tuple[str, int] | None = None,
+    by_name: bool = True,
 ) -> DataFrame:
     """Run one validated load of ``source`` into ``target``; return a one-row
     metrics DataFrame (also appended to ``runs_table`` when given).
@@ -127,6 +129,9 @@ def load(
     number is committed with the target's version, so that a batch included
     already changes nothing, and staging and rejects carry the stream's id.
 
+    ``by_name=False`` (replace mode) gives the valid rows to the target's columns
+    by position instead of by name; rules use the source's names.
+
     ``publish(accepted, valid_count)`` replaces the default target switch
     (catalog table replace or upsert), e.g. ``jdbc_publisher(...)`` for a
     database table; it returns a version label or None.
@@ -137,6 +142,8 @@ def load(
         raise ValueError("mode must be 'replace' or 'upsert'")
     if mode == "upsert" and not keys:
         raise ValueError("mode='upsert' needs keys")
+    if not by_name and (mode != "replace" or publish is not None):
+        raise ValueError("by_name=False is for replacements of a target table")
     if batch and (mode != "upsert" or publish is not None):
         raise ValueError("batch is for upserts of a target table")
     if expected_schema is not None:
@@ -169,16 +176,19 @@ def load(
         if direct:
             root = target_root or default_root(spark, target)
             ensure_registered(spark, target, root)
+            fitted = (lambda df: df) if by_name else (lambda df: by_position(df, target))
+            own = fitted(spark.createDataFrame([], own)).schema
             check_replacement(spark, target, own)
             base = latest_number(spark, root)
             version = new_version_dir(root)
             flagged = source.withColumn(VALID_FLAG, ok)
-            if part_cols:
+            if part_cols and by_name:
                 flagged = flagged.hint("rebalance", *part_cols)
             part_cols, layout = layout_for(spark, root, part_cols)
-            counters += (F.count_if(needs_escape(flagged, part_cols)).alias("escaped"),)
-            accepted = with_hidden(flagged.observe(obs, *counters).where(VALID_FLAG).drop(VALID_FLAG, CORRUPT), layout)
-            writer = escaped(accepted, part_cols).write.mode("errorifexists")
+            accepted = fitted(flagged.observe(obs, *counters).where(VALID_FLAG).drop(VALID_FLAG, CORRUPT))
+            blank = Observation(f"blank_{run_id}")
+            accepted = accepted.observe(blank, F.count_if(needs_escape(accepted, part_cols)).alias("escaped"))
+            writer = escaped(with_hidden(accepted, layout), part_cols).write.mode("errorifexists")
             (writer.partitionBy(*part_cols) if part_cols else writer).parquet(version)
         else:
             staged_rows = source.withColumn(ERRORS_COL, errors_array(active)).withColumn(VALID_FLAG, ok).observe(obs, *counters)
@@ -227,7 +237,7 @@ def load(
             return _finish(spark, metrics, runs_table)
 
         if direct:
-            if got["escaped"]:
+            if blank.get["escaped"]:
                 layout = {**layout, "escaped": True}
             register_version(spark, target, version, own, part_cols, root=root,
                              keep_versions=keep_versions, base=base, layout=layout)

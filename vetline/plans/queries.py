@@ -1212,3 +1212,17 @@ def lookup_large_reduced(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     orders = read_table(spark, sf_dir, "orders").where("o_custkey % 20 = 0").select("o_orderkey", "o_totalprice")
     return lookup_right_join(lines, orders, "l_orderkey", records_key="o_orderkey", max_broadcast_rows=orders.count() + 1)
+
+
+@register("replace_positional", """
+SELECT c_mktsegment AS c_name, c_name AS c_mktsegment, CAST(c_nationkey AS BIGINT) AS c_custkey FROM customer WHERE c_nationkey > 4
+""")
+def replace_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # INSERT INTO target SELECT *: the n-th column of the rows is the target's n-th, whatever either is called.
+    c = read_table(spark, sf_dir, "customer")
+    target = _target(spark, "by_position")
+    replace_target(c.select("c_name", "c_mktsegment", "c_custkey"), target)
+    replace_target(c.select("c_mktsegment", "c_name", "c_custkey"), target, by_name=False)
+    load(spark, c.select("c_mktsegment", "c_name", "c_nationkey"), target, [{"rule_type": "regex", "column": "c_nationkey", "pattern": "^([5-9]|..)$"}],
+         by_name=False)
+    return spark.table(target)

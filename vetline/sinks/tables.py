@@ -150,6 +150,21 @@ def check_replacement(spark: SparkSession, target: str, schema) -> None:
         raise ValueError(f"The rows do not fit {target}: " + "; ".join(faults))
 
 
+def by_position(df: DataFrame, target: str) -> DataFrame:
+    """``df`` with the names and types of ``target``'s columns in their order, as ``INSERT INTO target SELECT *`` takes them.
+
+    The numbers of columns must agree, and types may only widen. A target that does not exist yet takes ``df`` as it is.
+    """
+    spark = df.sparkSession
+    db, t = _split(target)
+    if not table_exists(spark, db, t):
+        return df
+    wanted = spark.table(table_name(db, t)).schema
+    if len(wanted) != len(df.columns):
+        raise ValueError(f"{target} has {len(wanted)} columns, the rows {len(df.columns)}")
+    return widened(df.toDF(*wanted.fieldNames()), wanted, target)
+
+
 def current_version(spark: SparkSession, name: str) -> str | None:
     db, t = _split(name)
     if not table_exists(spark, db, t):
@@ -262,10 +277,11 @@ def _ddl_columns(schema, partition_by: list[str]) -> str:
 
 def replace_target(df: DataFrame, target: str, partition_by: Sequence[str] | str | None = None,
                    root: str | None = None, expected_count: int | None = None,
-                   keep_versions: int = 2, rebalance: bool = True) -> dict:
+                   keep_versions: int = 2, rebalance: bool = True, by_name: bool = True) -> dict:
     """Replace ``target``'s contents with ``df``, all or nothing.
 
-    Columns are matched by name. ``expected_count`` (e.g. the number of valid
+    Columns are matched by name, or with ``by_name=False`` by position (see
+    ``by_position``). ``expected_count`` (e.g. the number of valid
     rows counted earlier) is checked against the rows actually written before
     the switch; on a mismatch or any failure the target is left untouched.
     A partitioned version is rebalanced on its keys (few files per folder;
@@ -276,6 +292,7 @@ def replace_target(df: DataFrame, target: str, partition_by: Sequence[str] | str
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     root = root or default_root(spark, target)
     ensure_registered(spark, target, root)
+    df = df if by_name else by_position(df, target)
     check_replacement(spark, target, df.schema)
     keys, layout = layout_for(spark, root, keys)
     return _replace(df, target, keys, layout, root, expected_count, keep_versions, rebalance)
