@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from vetline.llm import gru, lm, quality, queries, toxicity, words
 
 SF = "/root/testdata/sf0.01"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def documents(spark, rows):
@@ -115,8 +116,19 @@ class TestToxicity:
         assert len(at) == 1 and model.pair_gain[at[0]] > 1 and len(model.pairs) <= 3
 
     def test_held_out_rates(self, spark):
-        got = queries.QUERIES["op9_toxicity"](spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out").collect()
-        assert np.mean([r.predicted for r in got if r.toxic]) > 0.5 and np.mean([r.predicted for r in got if not r.toxic]) < 0.05
+        """Documents labelled toxic that hold a word which training documents show to be toxic are found; others cannot be."""
+        sf = "/root/testdata/sf0.1"
+        labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+        texts = {r.doc_id: set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", r.text.translate(LOWER)))
+                 for r in spark.read.parquet(f"{sf}/documents.parquet").where("text IS NOT NULL").collect() if r.doc_id in labels}
+        train = [i for i in texts if zlib.crc32(str(i).encode()) % 4 != 2]
+        counts = [collections.Counter(w for i in train if labels[i] == y for w in texts[i]) for y in (0, 1)]
+        size = [sum(labels[i] == y for i in train) for y in (0, 1)]
+        telling = {w for w, n in counts[1].items() if n >= 6 and n / size[1] > 6 * (counts[0][w] + 0.5) / size[0]}
+        got = [r for r in queries.QUERIES["op9_toxicity"](spark, sf).collect() if r.held_out and r.doc_id in labels]
+        toxic, ordinary = ([r for r in got if labels[r.doc_id] == y] for y in (1, 0))
+        assert np.mean([r.predicted for r in toxic if texts[r.doc_id] & telling]) >= 0.95
+        assert np.mean([r.predicted for r in toxic]) >= 0.85 and np.mean([r.predicted for r in ordinary]) <= 0.005
 
     def test_odd_rows(self, spark):
         docs = documents(spark, [(None, None), (1, ""), (2, "a"), (2, "a")])

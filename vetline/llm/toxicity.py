@@ -19,7 +19,8 @@ T_y are the distinct words of a class, T_y(v) those that follow v in it; s(w | v
 is the Kneser-Ney estimate from both classes' counts, with s(w) below it. For
 words chance is measured by standard deviations, for pairs, of which most are
 rare, by the likelihood ratio, which holds for small counts too; a_y and a_y(v)
-make each distribution sum to one. A text's evidence is
+make each distribution sum to one (estimates of pairs that would take more than
+0.99 of a context are scaled down to that). A text's evidence is
 the difference of its two log-likelihoods over its length (plus ``PRIOR_WORDS``,
 so that a single word in a very short text weighs less). A logistic curve
 fitted on training documents that the models were not learnt from turns it into
@@ -287,15 +288,16 @@ def _learn(counts: DataFrame) -> Model:
         q.append(np.maximum(found[c].to_numpy() - DISCOUNT, 0) / size + left * shared_pair)
     q = np.stack(q)
     pair_names = mix64(context * np.uint64(0x9E3779B97F4A7C15) ^ word)
-    order = np.argsort(pair_names)
-    model.pairs, model.pair_gain = pair_names[order], (np.log(q[0]) - np.log(q[1]))[order]
     model.contexts = np.unique(context)
     gain = []
     for c in model.contexts:
         here = context == c
-        q_here = np.minimum(1, 0.99 / np.maximum(q[:, here].sum(axis=1), 0.99))[:, None] * q[:, here]
-        gain.append(_backed_off(q_here[0], lower[0, here]) - _backed_off(q_here[1], lower[1, here]))
+        # Pairs set apart never take all of a context: something is left for every other word.
+        q[:, here] *= np.minimum(1, 0.99 / np.maximum(q[:, here].sum(axis=1), 0.99))[:, None]
+        gain.append(_backed_off(q[0, here], lower[0, here]) - _backed_off(q[1, here], lower[1, here]))
     model.context_gain = np.array(gain)
+    order = np.argsort(pair_names)
+    model.pairs, model.pair_gain = pair_names[order], (np.log(q[0]) - np.log(q[1]))[order]
     return model
 
 
