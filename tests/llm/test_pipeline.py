@@ -63,3 +63,35 @@ def test_stages_keep_the_columns_of_documents(spark):
     assert len(corpus_pipeline.STAGES) == 5
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.limit(30), SF).columns == docs.columns
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, digest string, fp long, features double, benchmark_hits int, kept boolean"
+
+
+def odd_documents(spark):
+    long = " ".join(f"word{k % 977}" for k in range(60_000))
+    rows = [(1, None), (2, ""), (3, "same text of a few words"), (3, "same text of a few words"), (4, "same text of a few words"), (None, "no id at all"),
+            (None, None), (5, long), (6, long + " end"), (7, "?!"), (8, "\u3000 \u00e9 \U0001F600")]
+    return spark.createDataFrame([(i, t, None, "s", None, "d", 7, 0.5, 1, True) for i, t in rows], ODD)
+
+
+def test_odd_rows_pass_every_stage(spark):
+    docs, judged = odd_documents(spark), {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        judged[name] = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+        assert set(judged[name]) <= {(r.doc_id, r.text) for r in docs.collect()}
+    exact = [(i, (t or "")[:20]) for i, t in judged["exact dedup"]]
+    assert [i for i, t in exact if t.startswith("same")] == [4] and len([1 for _, t in exact if t == ""]) == 1 and (None, "no id at all") in exact
+    near = [i for i, t in judged["simhash near-dedup"] if t and len(t) > 1000]
+    assert near == [5]
+    assert len(judged["benchmark decontamination"]) == 11
+    coded = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert len(coded) == 11 and {(r.doc_id, tuple(r.ids)) for r in coded if not r.n_tokens} == {(1, ()), (2, ()), (None, ())}
+
+
+def test_empty_table_passes_every_stage(spark):
+    docs = odd_documents(spark).limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF).count() == 0
