@@ -3,6 +3,14 @@
 Stages take ``(spark, docs, sf_dir)`` and return a DataFrame, which is written
 as Parquet and read again for the next stage. All but the last return the
 columns of ``documents``; the last returns each document's token ids.
+
+Defined cases: a null text counts as empty everywhere. Empty texts are judged by
+the classifier like others; of those it keeps, exact dedup leaves one. Rows
+without a doc_id pass like others (of equal texts one with an id stays before
+one without). Repeated rows are copies: one stays. Of near copies that tie the
+smallest doc_id stays. An empty table passes every stage as an empty table.
+Further columns pass through to the last stage, whatever their names. Texts of
+any length are read whole.
 """
 
 from __future__ import annotations
