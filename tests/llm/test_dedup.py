@@ -1,12 +1,14 @@
 import hashlib
 import random
+import re
 
 import numpy as np
 import xxhash
 
-from vetline.llm import components, exact_dedup, simhash
+from vetline.llm import components, exact_dedup, queries, simhash
 from vetline.session import scratch_path
 
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 DOCS = "doc_id long, text string, digest string, kept_id int"
 
 
@@ -53,7 +55,7 @@ class TestExact:
 
 
 def brute_fingerprint(text, shingle=3):
-    words = (text or "").lower().split()
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
     if not words:
         return 0
     parts = [" ".join(words[i:i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
@@ -128,6 +130,19 @@ class TestSimHash:
         assert simhash.keep_one(rows_of(spark, [])).count() == 0
 
 
+def test_registered_simhash_query(spark):
+    sf = "/root/testdata/sf0.001"
+    got = queries.QUERIES["op10_simhash_near_dedup"](spark, sf)
+    assert got.dtypes == [("doc_id", "bigint"), ("fingerprint", "string"), ("component_id", "bigint")]
+    rows = {r.doc_id: r for r in got.collect()}
+    prints = {r.doc_id: brute_fingerprint(r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    group = {i: i for i in prints}
+    while any([group.update({a: group[b]}) is None for a in prints for b in prints
+               if group[b] < group[a] and (prints[a] ^ prints[b]).bit_count() <= 3]):
+        pass
+    assert {i: (r.fingerprint, r.component_id) for i, r in rows.items()} == {i: (f"{prints[i]:016x}", group[i]) for i in prints}
+
+
 class TestComponents:
     def test_chains_stars_and_nulls(self, spark):
         links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 130)] + [(200, 200), (None, 3)]

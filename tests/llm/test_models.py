@@ -183,6 +183,46 @@ class TestGru:
                 v[at] = old
                 assert (up - down) / 2e-3 == pytest.approx(taken[k][at], abs=3e-4)
 
+    @pytest.mark.parametrize("few", [2, 64])
+    def test_against_a_forward_pass_word_by_word(self, monkeypatch, few):
+        """Plain scalar sums: gates, class, then the word by softmax or by halving its class."""
+        monkeypatch.setattr(gru, "FEW", few)
+        model, rng = self.model(), np.random.default_rng(9)
+        for k in model.p:
+            model.p[k] = (model.p[k] + rng.normal(0, 0.4, model.p[k].shape)).astype(np.float32)
+        p, H, end = {k: v.astype(float) for k, v in model.p.items()}, 5, 3
+        sigmoid = lambda v: 1 / (1 + math.exp(-v))
+        dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+
+        def chosen(scores, k):
+            return scores[k] - math.log(sum(math.exp(x) for x in scores))
+
+        def log_likelihood(words):
+            h, before, total = [0.0] * H, end, 0.0
+            for w in [*words, end]:
+                g, hu = p["table"][before], [dot(h, p["u"][:, j]) for j in range(3 * H)]
+                z, r = ([sigmoid(g[k * H + j] + hu[k * H + j]) for j in range(H)] for k in (0, 1))
+                new = [math.tanh(g[2 * H + j] + r[j] * hu[2 * H + j]) for j in range(H)]
+                h = [new[j] + z[j] * (h[j] - new[j]) for j in range(H)]
+                c = model.word_class[w]
+                total += chosen([dot(h, p["wc"][:, j]) + p["bc"][j] for j in range(p["wc"].shape[1])], c)
+                a, b = model.class_start[c], model.class_start[c + 1]
+                if b - a <= few:
+                    total += chosen([dot(h, p["wo"][i]) + p["bo"][i] for i in range(a, b)], w - a)
+                else:
+                    while b - a > 1:
+                        m = (a + b) // 2
+                        side = dot(h, p["wo"][m]) + p["bo"][m]
+                        total += math.log(sigmoid(side if w >= m else -side))
+                        a, b = (m, b) if w >= m else (a, m)
+                before = w
+            return total
+
+        texts = [[], [0], [7, 7, 1], rng.integers(0, 8, 150).tolist(), [3, 5, 2, 6, 4]]
+        bounds = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+        got = gru.log_likelihoods(model, np.concatenate([np.array(t, np.int64) for t in texts]), bounds, end, lanes=2, window=4)
+        assert got == pytest.approx([log_likelihood(t) for t in texts], rel=1e-4, abs=1e-4)
+
     def test_probabilities_sum_to_one_and_lanes_do_not_matter(self):
         model, rng = self.model(), np.random.default_rng(2)
         state = rng.normal(0, 1, (1, 5)).astype(np.float32)
@@ -274,3 +314,22 @@ class TestLm:
         voc = lm.Vocabulary(corpus, size=2)
         rare = [1, 1, 1, 1, 1]
         assert voc.rest_mass == sum(c + 1 for c in rare) + 1
+
+
+def test_registered_language_model_query(spark):
+    sf = "/root/testdata/sf0.001"
+    got = queries.QUERIES["op8_lm_scoring"](spark, sf)
+    assert got.dtypes[:7] == [("doc_id", "bigint"), ("held_out", "boolean"), ("n_tokens", "bigint"), ("n_known", "bigint"), ("train_tokens", "bigint"),
+                              ("base_score", "double"), ("score", "double")]
+    texts = {r.doc_id: re.findall(r"[^\x20\x09-\x0D]+", (r.text or "").translate(LOWER)) + [None]
+             for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    out = {i for i in texts if zlib.crc32(str(i).encode()) % 7 == 2}
+    counts = collections.Counter(w for i, t in texts.items() if i not in out for w in t)
+    total, kinds = sum(counts.values()), len(counts)
+    rows = {r.doc_id: r for r in got.collect()}
+    assert set(rows) == set(texts)
+    for i, t in texts.items():
+        r = rows[i]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (i in out, len(t), sum(w in counts for w in t), total)
+        assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (total + kinds + 1)) for w in t), rel=1e-9)
+        assert math.isfinite(r.score) and r.score < 0
