@@ -413,15 +413,18 @@ def encode_decode(text: Column, tokens: list[bytes], pattern: str) -> Column:
     @F.arrow_udf(ENCODED)
     def both(col: pa.Array) -> pa.Array:
         machine = transducer(tokens, pattern)
-        ids, texts, n = [], [], [[0]]
+        ids, n, data, size = [], [[0]], bytearray(), [0]
         for _, _, buf, offsets in slices(*text_buffer(col)):
             got, bounds = machine.encode_slice(buf, offsets)
             ids.append(got), n.append(np.diff(bounds))
-            texts += [decoded(machine, got[a:b]).encode() for a, b in pairwise(bounds.tolist())]
+            for a, b in pairwise(bounds.tolist()):
+                data += decoded(machine, got[a:b]).encode()
+                size.append(len(data))
         if not ids:
             return pa.array([], to_arrow_type(ENCODED))
         lists = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(n)), pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
-        return pa.StructArray.from_arrays([lists, pa.array(texts, pa.binary())], fields=list(to_arrow_type(ENCODED)))
+        held = pa.Array.from_buffers(pa.binary(), len(size) - 1, [None, pa.py_buffer(np.array(size, np.int32)), pa.py_buffer(data)])
+        return pa.StructArray.from_arrays([lists, held], fields=list(to_arrow_type(ENCODED)))
 
     return both(text)
 
