@@ -1,3 +1,4 @@
+import os
 import zlib
 
 import numpy as np
@@ -8,11 +9,18 @@ import pyarrow.parquet as pq
 import corpus_pipeline
 from tests.llm.test_dedup import brute_fingerprint
 from tests.llm.test_text import WANTED, WORD, LOW
-from vetline.llm import quality, words
+from vetline.llm import frames, quality, words
+from vetline.session import shared_root
 
 SF = "/root/testdata/sf0.001"
 
 
+def _files(spark, stage):
+    """Data files of a stage's outputs in the shared folder."""
+    root = shared_root(spark).removeprefix("file:")
+    return [os.path.join(d, f) for d, _, names in os.walk(f"{root}/vetline/pipeline/{stage}") for f in names if f.endswith(".parquet")]
+
+
 def test_pipeline_matches_brute_force(spark):
     docs = pq.read_table(f"{SF}/documents.parquet").to_pylist()
     labels = {r["doc_id"]: r["quality"] for r in pq.read_table(f"{SF}/labels.parquet").to_pylist()}
@@ -51,7 +59,12 @@ def test_pipeline_matches_brute_force(spark):
         hit = {p for n in {len(w) for w in windows} for k in range(len(ws) - n + 1) if tuple(ws[k:k + n]) in windows for p in range(k, k + n)}
         if not hit or 20 * len(hit) < len(ws):
             clean.append(d)
-    got = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
+    mark = frames.scratch_mark(spark)
+    result = corpus_pipeline.run(spark, SF)
+    assert frames.scratch_mark(spark) == mark  # nothing is left of the way
+    left = [f for k in range(5) for f in _files(spark, k)]
+    assert len(left) == len(result.inputFiles()) and all("/pipeline/4/" in f for f in left)
+    got = {r.doc_id: r for r in result.collect()}
     assert set(got) == {d["doc_id"] for d in clean} and len(clean) > 50
     for d in clean[:40]:
         assert got[d["doc_id"]].ids == WANTED.encode_ordinary(d["text"])

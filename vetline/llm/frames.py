@@ -9,7 +9,7 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetline.session import scratch_path
+from vetline.session import delete_path, scratch_path
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -21,13 +21,42 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def durable(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: cuts the lineage, survives lost executors."""
+    """``df`` written to the shared folder and read back: cuts the lineage, survives lost executors.
+
+    The folder stays until ``clear_scratch``, for results may read it whenever they are computed.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, "llm", label)
+    _scratch(spark).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _scratch(spark: SparkSession) -> list[str]:
+    """Folders that ``durable`` has written in this application."""
+    context = spark.sparkContext
+    if not hasattr(context, "_vetline_scratch"):
+        context._vetline_scratch = []
+    return context._vetline_scratch
+
+
+def scratch_mark(spark: SparkSession) -> int:
+    """How many folders ``durable`` has written, for ``clear_scratch``."""
+    return len(_scratch(spark))
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete what ``durable`` wrote since a mark; returns the number of folders.
+
+    Call it once the results that may read it are stored, and not beside another thread's operators.
+    """
+    own = _scratch(spark)[since:]
+    for path in own:
+        delete_path(spark, path)
+    del _scratch(spark)[since:]
+    return len(own)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
