@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vetline.llm import bpe, decontaminate, exact_dedup, quality, simhash
-from vetline.llm.frames import ship, table
+from vetline.llm.frames import clear_scratch, scratch_mark, ship, table
 from vetline.llm.queries import VOCABULARY, quality_model
-from vetline.session import scratch_path
+from vetline.session import delete_path, scratch_path
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,10 +72,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``. Once a stage's output is stored, what it read and wrote on the way is deleted."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
-        path = scratch_path(spark, "pipeline", str(k))
+        mark, path = scratch_mark(spark), scratch_path(spark, "pipeline", str(k))
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        clear_scratch(spark, mark)
+        if before:
+            delete_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
