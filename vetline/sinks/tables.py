@@ -28,7 +28,6 @@ folders that no commit names are swept once they are older than any load runs.
 from __future__ import annotations
 
 import logging
-import re
 import uuid
 from urllib.parse import unquote
 from typing import Sequence
