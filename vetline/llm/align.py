@@ -29,6 +29,7 @@ the documents are ignored, whatever their names.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -192,6 +193,13 @@ def align(docs: DataFrame, byte_json: str, piece_model: bytes, id_col: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(byte_json, piece_model)
+        gc.disable()  # no cycles arise here, and the collector would walk all remembered parts again and again
+        try:
+            yield from aligned_batches(both, batches)
+        finally:
+            gc.enable()
+
+    def aligned_batches(both: Aligner, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in filter(len, batches):
             read = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
             for k, k2 in pairwise([0, *(np.flatnonzero(np.diff(read // SLICE)) + 1).tolist(), len(batch)]):
