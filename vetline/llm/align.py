@@ -51,7 +51,7 @@ from vetline.llm.words import lookup, sorted_counts
 #: Pairs whose counts are sent to every task (12 bytes each); links of all others are joined.
 HEAD = 1 << 18
 #: Parts of texts that a process remembers in each of two generations, and the longest of them.
-CACHED, LONGEST = 150_000, 100
+CACHED, LONGEST = 75_000, 100
 #: Bytes of texts (one text at least) that are taken apart at a time, and how many of their new parts are encoded as one text.
 SLICE, JOINED = 1 << 18, 256
 #: Distinct pairs that a task holds before it passes their counts on.
