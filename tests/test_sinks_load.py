@@ -364,3 +364,33 @@ class TestKeyRanges:
         with pytest.raises(ValueError, match="both bounds"):
             from vetline.sources.jdbc import read_jdbc
             read_jdbc(spark, "jdbc:derby:memory:x;create=true", "T", self.DERBY, partition_column="K", lower_bound=1, num_partitions=3)
+
+
+def test_very_many_partition_values_share_folders(spark):
+    target = f"{DB}.{unique_name('many')}"
+    n = 12_000
+    src = spark.range(n).select("id", F.when(F.col("id") % 100 == 0, F.lit("")).when(F.col("id") % 100 == 1, F.lit(None))
+                                .otherwise(F.col("id").cast("string")).alias("v"))
+    rules = [{"rule_type": "regex", "column": "id", "pattern": "^.*[0-8]$"}]
+    load(spark, src, target, rules, partition_by="v")
+    folders = [d for d in os.listdir(_local(current_data_path(spark, target))) if "=" in d]
+    assert 1 < len(folders) < 10
+    want = {r.id: r.v for r in src.where("id % 10 <> 9").collect()}
+    assert spark.table(target).columns == ["id", "v"]
+    got = [tuple(r) for r in spark.table(target).collect()]
+    assert len(got) == len(want) and dict(got) == want
+    # An upsert by another key moves a row from one value to another, and finds rows wherever they stand.
+    change = spark.createDataFrame([(2, "new"), (100, "7"), (1, ""), (n, None)], "id long, v string")
+    upsert_target(change, target, ["id"], partition_by="v")
+    want.update({r.id: r.v for r in change.collect()})
+    got = [tuple(r) for r in spark.table(target).collect()]
+    assert len(got) == len(want) and dict(got) == want
+    for other in (None, "id"):
+        with pytest.raises(ValueError, match="partition"):
+            upsert_target(change, target, ["id"], partition_by=other)
+    with pytest.raises(ValueError, match="partition"):
+        replace_target(src, target)
+    # Few values have folders of their own again.
+    load(spark, src.where("id < 50"), target, rules, partition_by="v")
+    folders = [d for d in os.listdir(_local(current_data_path(spark, target))) if "=" in d]
+    assert len(folders) == 45 and spark.table(target).count() == 45

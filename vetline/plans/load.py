@@ -1,6 +1,7 @@
 """Validated load: stage, validate, dead-letter, replace or upsert, clean up.
 
-Plan (the source is scanned once, in replace mode a second time if rows are rejected):
+Plan (the source is scanned once, in replace mode a second time if rows are rejected,
+and before that for an estimate of a partitioned target's values):
 
 1. Validate the source while writing it. In replace mode the valid rows go
    straight into a new version folder of the target, written once and with
@@ -55,6 +56,7 @@ from vetline.sinks.tables import (
     drop_table,
     ensure_registered,
     escaped,
+    gathered,
     layout_for,
     needs_escape,
     register_version,
@@ -182,13 +184,19 @@ def load(
             base = latest_number(spark, root)
             version = new_version_dir(root)
             flagged = source.withColumn(VALID_FLAG, ok)
-            if part_cols and by_name:
-                flagged = flagged.hint("rebalance", *part_cols)
-            part_cols, layout = layout_for(spark, root, part_cols)
+            if part_cols:
+                part_cols, layout = gathered(fitted(source.where(ok).drop(VALID_FLAG, CORRUPT)), part_cols)
+                if by_name:
+                    flagged = with_hidden(flagged, layout).hint("rebalance", *part_cols)
+            else:
+                part_cols, layout = layout_for(spark, root, [])
             accepted = fitted(flagged.observe(obs, *counters).where(VALID_FLAG).drop(VALID_FLAG, CORRUPT))
             blank = Observation(f"blank_{run_id}")
             accepted = accepted.observe(blank, F.count_if(needs_escape(accepted, part_cols)).alias("escaped"))
-            writer = escaped(with_hidden(accepted, layout), part_cols).write.mode("errorifexists")
+            rows = escaped(with_hidden(accepted, layout), part_cols)
+            if "partitioned" in layout:
+                rows = rows.sortWithinPartitions(*part_cols, *[col_ref(c) for c in layout["by"]])
+            writer = rows.write.mode("errorifexists")
             (writer.partitionBy(*part_cols) if part_cols else writer).parquet(version)
         else:
             staged_rows = source.withColumn(ERRORS_COL, errors_array(active)).withColumn(VALID_FLAG, ok).observe(obs, *counters)

@@ -951,8 +951,9 @@ SELECT o_orderkey, vendor_id FROM dirty_orders WHERE {_ANY_FAIL}
 def load_dlq_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Rejects keep blank and empty values of the column that partitions the target.
     target, dlq = _target(spark, "orders_by_vendor"), scratch_path(spark, "load_dlq")
-    load(spark, dirty_orders(spark, sf_dir), target, list(DEFAULT_RULES), partition_by="vendor_id", dlq_path=dlq, run_date=RUN_DATE)
-    return read_dlq(spark, dlq).select("o_orderkey", "vendor_id")
+    src = dirty_orders(spark, sf_dir)
+    load(spark, src, target, list(DEFAULT_RULES), partition_by="vendor_id", dlq_path=dlq, run_date=RUN_DATE)
+    return read_dlq(spark, dlq, schema=src.select("o_orderkey", "vendor_id").schema).select("o_orderkey", "vendor_id")
 
 
 # --- commits, replays and shared targets (K6, K11, K13, S6) -----------------------------------
