@@ -22,6 +22,8 @@ WINDOW = 64
 LANES = 512
 #: Words of a class that a softmax tells apart; larger classes have trees.
 FEW = 64
+#: Words whose paths are followed at a time: their rows stay in the processor's cache.
+PATHS = 1024
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -47,6 +49,8 @@ class Gru:
                   "wo": small(n, hidden), "bo": log.astype(np.float32)}
         self.hidden = hidden
         self._moments = None
+        #: Type that holds word numbers; short ones sort faster.
+        self.number = np.uint16 if n <= 1 << 16 else np.int32
         self._plant(counts + 1.0)
         #: Words whose rows were ever changed, and the gradients of such rows, cleared where a window touched them.
         self.touched = np.zeros(n, bool)
@@ -94,7 +98,7 @@ class Gru:
         kept = []
         for t in range(len(x)):
             before = h * ~fresh[t][:, None]
-            g, hu = table[x[t]], before @ u
+            g, hu = table.take(x[t], axis=0), before @ u
             gates = _sigmoid(g[:, :2 * H] + hu[:, :2 * H])
             z, r = gates[:, :H], gates[:, H:]
             new = np.tanh(g[:, 2 * H:] + r * hu[:, 2 * H:])
@@ -113,41 +117,50 @@ class Gru:
         p, klass = self.p, self.word_class[y]
         logits = states @ p["wc"] + p["bc"]
         logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
         rows = np.arange(len(y))
-        out = logits[rows, klass] - np.log(total)
+        out = logits[rows, klass]
+        e = np.exp(logits, out=logits)
+        total = e @ np.ones(e.shape[1], e.dtype)
+        out -= np.log(total)
         grads, back = {}, None
         if weight is not None:
-            d = -e / total[:, None]
-            d[rows, klass] += 1
-            d *= weight[:, None]
+            e *= (-weight / total)[:, None]
+            e[rows, klass] += weight
+            d = e
             back = d @ p["wc"].T
             grads = {"wc": states.T @ d, "bc": d.sum(axis=0), "wo": self._cleared("wo"), "bo": self._cleared("bo")}
         touched = []
-        at = np.flatnonzero(self.deep[klass])
-        if len(at):
+        deep = np.flatnonzero(self.deep[klass])
+        deep = deep[np.argsort(y[deep].astype(self.number), kind="stable")]  # a node's words then follow one another
+        ones, passed = np.ones(self.hidden, np.float32), []
+        for a in range(0, len(deep), PATHS):
+            at = deep[a:a + PATHS]
             path = self.path_of[y[at]]
-            nodes, sides = self.nodes[path], self.sides[path]
-            w = p["wo"][nodes]
-            margin = sides * ((w @ states[at][:, :, None])[:, :, 0] + p["bo"][nodes])
-            out[at] -= (np.logaddexp(0, -margin) * np.abs(sides)).sum(axis=1)
+            nodes, sides = (np.ascontiguousarray(of.take(path, axis=0).T) for of in (self.nodes, self.sides))
+            w = p["wo"].take(nodes, axis=0)
+            margin = sides * (((w * states.take(at, axis=0)).reshape(-1, self.hidden) @ ones).reshape(nodes.shape) + p["bo"].take(nodes))
+            away = np.exp(-np.abs(margin))
+            out[at] += ((np.minimum(margin, 0) - np.log(1 + away)) * np.abs(sides)).sum(axis=0)
             if weight is not None:
-                d = sides * _sigmoid(-margin) * weight[at][:, None]
-                back[at] += (d[:, None, :] @ w)[:, 0]
-                on = np.flatnonzero(sides.ravel())
-                on = on[np.argsort(nodes.ravel()[on], kind="stable")]
-                ranked, d = nodes.ravel()[on], d.ravel()[on]
-                heads = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-                grads["wo"][ranked[heads]] = np.add.reduceat(d[:, None] * states[at[on // nodes.shape[1]]], heads, axis=0)
-                grads["bo"][ranked[heads]] = np.add.reduceat(d, heads)
-                touched.append(ranked[heads])
-        order = np.argsort(klass, kind="stable")
+                d = sides * np.where(margin < 0, np.float32(1), away) / (1 + away) * weight[at]
+                w *= d[:, :, None]
+                back[at] += w.sum(axis=0)
+                passed.append((nodes, sides, d))
+        if passed:
+            nodes, sides, d = (np.concatenate(parts, axis=1).ravel() for parts in zip(*passed))
+            on = np.flatnonzero(sides)
+            ranked, d = nodes[on], d[on]
+            heads = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+            grads["wo"][ranked[heads]] = np.add.reduceat(d[:, None] * states.take(deep[on % len(deep)], axis=0), heads, axis=0)
+            grads["bo"][ranked[heads]] = np.add.reduceat(d, heads)
+            touched.append(ranked[heads])
+        few = np.flatnonzero(~self.deep[klass])
+        order = few[np.argsort(klass[few].astype(self.number), kind="stable")]
         cuts = np.searchsorted(klass[order], np.arange(len(self.class_start)))
-        for c in range(len(self.class_start) - 1):
+        for c in np.flatnonzero(~self.deep):
             at = order[cuts[c]:cuts[c + 1]]
             a, b = self.class_start[c], self.class_start[c + 1]
-            if len(at) == 0 or b - a == 1 or self.deep[c]:
+            if len(at) == 0 or b - a == 1:
                 continue
             s = states[at]
             logits = s @ p["wo"][a:b].T + p["bo"][a:b]
@@ -189,19 +202,21 @@ class Gru:
         grads["u"], grads["table"] = np.zeros_like(u), self._cleared("table")
         inputs = np.empty((*x.shape, 3 * H), np.float32)
         carry = np.zeros_like(h)
+        turned = np.ascontiguousarray(u.T)
         for t in range(len(x) - 1, -1, -1):
             before, z, r, new, hn = kept[t]
             dh = back[t] + carry
-            dnew = dh * (1 - z) * (1 - new * new)
+            closed = 1 - z
+            dnew = dh * closed * (1 - new * new)
             g = inputs[t]
-            g[:, :H] = dh * (before - new) * z * (1 - z)
-            g[:, H:2 * H] = dnew * hn * r * (1 - r)
+            g[:, :H] = dh * (before - new) * (z * closed)
+            g[:, H:2 * H] = dnew * hn * (r - r * r)
             g[:, 2 * H:] = dnew
             recurrent = g.copy()
             recurrent[:, 2 * H:] *= r
             grads["u"] += before.T @ recurrent
-            carry = (recurrent @ u.T + dh * z) * ~fresh[t][:, None]
-        order = np.argsort(x, axis=None, kind="stable")  # sums of each word's rows
+            carry = (recurrent @ turned + dh * z) * ~fresh[t][:, None]
+        order = np.argsort(x.ravel().astype(self.number), kind="stable")  # sums of each word's rows
         words = x.ravel()[order]
         heads = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
         grads["table"][words[heads]] = np.add.reduceat(inputs.reshape(-1, 3 * H)[order], heads, axis=0)
@@ -216,19 +231,36 @@ class Gru:
         self._steps += 1
         scale = rate * np.sqrt(1 - 0.99 ** self._steps) / (1 - 0.9 ** self._steps)
         parts = {k: (self._rows[k] if k in self._rows else slice(None)) for k in grads}
-        grads = {k: g[parts[k]] for k, g in grads.items()}
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        grads = {k: g.take(parts[k], axis=0) if k in self._rows else g for k, g in grads.items()}
+        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
         clip = np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
         for k, g in grads.items():
-            at, (m, v) = parts[k], self._moments[k]
-            g = g * clip
-            m_at, v_at = m[at], v[at]
-            m_at = m_at + np.float32(0.1) * (g - m_at)
-            v_at = v_at + np.float32(0.01) * (g * g - v_at)
-            m[at], v[at] = m_at, v_at
-            self.p[k][at] += np.float32(scale) * m_at / (np.sqrt(v_at) + np.float32(1e-6))
-            if k in self._rows:
-                self.touched[at] = True
+            (m, v), p = self._moments[k], self.p[k]
+            if k not in self._rows:
+                p += self._moved(g * clip, m, v, scale)
+                continue
+            self.touched[parts[k]] = True
+            for a in range(0, len(g), PATHS):
+                at = parts[k][a:a + PATHS]
+                m_at, v_at = m.take(at, axis=0), v.take(at, axis=0)
+                moved = self._moved(g[a:a + PATHS] * clip, m_at, v_at, scale)
+                moved += p.take(at, axis=0)
+                m[at], v[at], p[at] = m_at, v_at, moved
+
+    @staticmethod
+    def _moved(g: np.ndarray, m: np.ndarray, v: np.ndarray, scale: float) -> np.ndarray:
+        """Adam's step for a gradient; the moments ``m`` and ``v`` are brought up to date in place."""
+        m *= np.float32(0.9)
+        m += np.float32(0.1) * g
+        v *= np.float32(0.99)
+        g *= g
+        g *= np.float32(0.01)
+        v += g
+        np.sqrt(v, out=g)
+        g += np.float32(1e-6)
+        np.divide(m, g, out=g)
+        g *= np.float32(scale)
+        return g
 
 
 def train(model: Gru, texts: list[np.ndarray], end: int, rate: float, lanes: int = 512, window: int = 16) -> int:
