@@ -234,6 +234,62 @@ class TestGru:
         assert many == pytest.approx(alone, rel=1e-4)
         assert len(gru.log_likelihoods(model, flat[:0], np.array([0]), 3)) == 0
 
+    def test_large_trees(self, monkeypatch):
+        """Levels reckoned for a whole class and levels fetched word by word, against halving each class by itself."""
+        monkeypatch.setattr(gru, "FEW", 40)
+        monkeypatch.setattr(gru, "PATHS", 32)
+        model, rng = gru.Gru(np.round(3000 / np.arange(1, 401)), 5, 4), np.random.default_rng(4)
+        assert model.top >= 3 and len(model.nodes) > model.top + 1 and not model.deep.all()
+        for k in model.p:
+            model.p[k] = model.p[k].astype(np.float64) + rng.normal(0, 0.3, model.p[k].shape)
+        states, y, weight = rng.normal(0, 1, (90, 5)), np.minimum(rng.integers(0, 400, 90), rng.integers(0, 400, 90)), rng.random(90)
+        p, start = model.p, model.class_start
+
+        def log_probability(s, w):
+            c = model.word_class[w]
+            scores = s @ p["wc"] + p["bc"]
+            out = scores[c] - np.log(np.exp(scores).sum())
+            a, b = start[c], start[c + 1]
+            if b - a <= 40:
+                scores = p["wo"][a:b] @ s + p["bo"][a:b]
+                return out + scores[w - a] - np.log(np.exp(scores).sum())
+            while b - a > 1:
+                m = (a + b) // 2
+                out -= np.log1p(np.exp((p["wo"][m] @ s + p["bo"][m]) * (-1 if w >= m else 1)))
+                a, b = (m, b) if w >= m else (a, m)
+            return out
+
+        value = lambda: sum(v * log_probability(s, w) for s, w, v in zip(states, y, weight))
+        logs, back, grads = model._output(states, y, weight)
+        assert logs == pytest.approx([log_probability(s, w) for s, w in zip(states, y)])
+        assert model.log_probabilities(states, y) == pytest.approx(logs)
+        assert len(set(grads["wo"].at.tolist())) == len(grads["wo"].at)
+        for table, got in [(states, back), *((p[k], grads[k]) for k in ("wc", "bc", "wo", "bo"))]:
+            for at in [tuple(rng.integers(0, n) for n in table.shape) for _ in range(25)]:
+                old = table[at]
+                table[at] = old + 1e-4
+                up = value()
+                table[at] = old - 1e-4
+                down = value()
+                table[at] = old
+                assert (up - down) / 2e-4 == pytest.approx(got[at], abs=1e-5)
+
+    def test_sums_of_runs(self):
+        rng = np.random.default_rng(6)
+        size = rng.choice([1, 2, 3, gru.RUN - 1, gru.RUN, gru.RUN + 1, 500], 60)
+        rows, heads = rng.normal(0, 1, (size.sum(), 3)), np.cumsum(size) - size
+        order = rng.permutation(len(rows))
+        assert gru._sums(rows, heads) == pytest.approx(np.add.reduceat(rows, heads, axis=0))
+        assert gru._sums(rows, heads, order) == pytest.approx(np.add.reduceat(rows[order], heads, axis=0))
+        assert gru._sums(rows[:1], np.array([0])) == pytest.approx(rows[:1])
+
+    def test_scores_that_might_overflow(self):
+        model = self.model()
+        for k in ("wc", "wo"):
+            model.p[k] = model.p[k] * np.float32(3000)
+        logs = model.log_probabilities(np.ones((8, 5), np.float32), np.arange(8))
+        assert np.isfinite(logs).all() and np.exp(logs.astype(float)).sum() == pytest.approx(1, abs=1e-4)
+
     def test_training_learns_from_every_word(self):
         model, seen = self.model(), []
         plain = model._output
@@ -291,6 +347,15 @@ class TestLm:
         assert sorted(drawn) == sorted(r.text for r in lm.first_texts(texts.repartition(2), 3000, 90).collect())
         assert got.rdd.getNumPartitions() == 1 and lm.first_texts(texts, 3000, 5000).count() == 3000
 
+    @pytest.mark.parametrize("n", [0, 1, 2, 1000])
+    def test_names_are_found(self, n):
+        rng = np.random.default_rng(n)
+        names = np.unique(np.concatenate([rng.integers(0, 2 ** 64 - 1, n, np.uint64), np.arange(20 if n > 2 else 0, dtype=np.uint64) + np.uint64(5 << 40)]))
+        asked = np.concatenate([names, names + np.uint64(1), rng.integers(0, 2 ** 64 - 1, 500, np.uint64), np.array([0, 2 ** 64 - 1], np.uint64)])
+        at, known = lm.Names(names).find(asked)
+        assert (known == np.isin(asked, names)).all() and (at[~known] == len(names)).all()
+        assert (names[at[known]] == asked[known]).all()
+
     def test_vocabulary_grows_with_the_corpus(self, spark):
         rng, sizes = random.Random(3), []
         for n in (2_000, 40_000):

@@ -24,10 +24,58 @@ LANES = 512
 FEW = 64
 #: Words whose paths are followed at a time: their rows stay in the processor's cache.
 PATHS = 1024
+#: Levels of a large class's tree, from its root, that are reckoned for all its words together.
+TOP = 4
+#: Steps of a window, and states, that are worked on at a time, for the same reason.
+STEPS, STATES = 16, 2048
+#: Scores up to this size need no shift before the exponential.
+SAFE = 40.0
+#: Rows of a run that are added one by one.
+RUN = 32
+HALF = np.float32(0.5)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + np.float32(0.5)
+def _sums(rows: np.ndarray, heads: np.ndarray, order: np.ndarray | None = None) -> np.ndarray:
+    """Sums of the runs of ``rows`` (in the given order) that begin at ``heads``.
+
+    The first rows of all runs are taken, then their second ones added, and so on; long runs are summed by a product each.
+    """
+    size = np.diff(heads, append=len(rows))
+    rest = (RUN + 1 - np.minimum(size, RUN + 1)).astype(np.uint8)
+    by = np.argsort(rest, kind="stable")  # the longest first
+    at, ended = heads[by], np.searchsorted(rest[by], np.arange(RUN + 1, dtype=np.uint8), side="right").tolist()
+    total = rows.take(at if order is None else order[at], axis=0)
+    for k in range(1, RUN):
+        n = ended[RUN - k]
+        if n == 0:
+            break
+        more = at[:n] + k
+        total[:n] += rows.take(more if order is None else order[more], axis=0)
+    one = np.ones(size.max(), rows.dtype)
+    for i, (a, n) in enumerate(zip(at[:ended[0]].tolist(), size[by[:ended[0]]].tolist())):
+        np.matmul(one[:n], rows[a:a + n] if order is None else rows.take(order[a:a + n], axis=0), out=total[i])
+    return total.take(_inverse(by), axis=0)
+
+
+def _inverse(order: np.ndarray) -> np.ndarray:
+    return _placed(np.arange(len(order)), order)
+
+
+def _placed(values: np.ndarray, order: np.ndarray) -> np.ndarray:
+    out = np.empty_like(values)
+    out[order] = values
+    return out
+
+
+class Rows:
+    """Gradient of a table that is zero but for some rows."""
+
+    def __init__(self, at: np.ndarray, values: np.ndarray):
+        self.at, self.values = at, values
+
+    def __getitem__(self, place: tuple):
+        here = np.flatnonzero(self.at == place[0])
+        return self.values[(here[0], *place[1:])] if len(here) else 0.0
 
 
 class Gru:
@@ -52,10 +100,8 @@ class Gru:
         #: Type that holds word numbers; short ones sort faster.
         self.number = np.uint16 if n <= 1 << 16 else np.int32
         self._plant(counts + 1.0)
-        #: Words whose rows were ever changed, and the gradients of such rows, cleared where a window touched them.
+        #: Words whose rows were ever changed.
         self.touched = np.zeros(n, bool)
-        self._sparse = {k: np.zeros_like(self.p[k]) for k in ("table", "wo", "bo")}
-        self._rows = {k: np.zeros(0, np.int64) for k in self._sparse}
 
     def _plant(self, mass: np.ndarray) -> None:
         """Paths of the words of large classes; a class [a, b) is halved at its middle m, and row m of the word outputs is the node."""
@@ -65,16 +111,26 @@ class Gru:
         self.path_of = np.full(len(mass), -1)
         self.path_of[words] = np.arange(len(words))
         depth = int(size.max() - 1).bit_length() if len(words) else 0
-        self.nodes, self.sides = np.zeros((len(words), depth), np.int32), np.zeros((len(words), depth), np.float32)
+        #: By level and word: nodes, sides (zero beyond the word's own leaf), and, in the upper levels, the places of nodes among the class's own.
+        self.nodes, self.sides = np.zeros((depth, len(words)), np.int32), np.zeros((depth, len(words)), np.float32)
+        self.top = min(TOP, int(size[self.deep].min()).bit_length() - 1) if len(words) else 0  # levels that no leaf cuts short
+        self.places = np.zeros((self.top, len(words)), np.int32)
+        self.top_nodes = np.zeros((self.deep.sum(), (1 << self.top) - 1), np.int64)
+        tree = (np.cumsum(self.deep) - 1)[self.word_class[words]]
+        place = np.zeros(len(words), np.int64)
         lo, hi = self.class_start[self.word_class[words]], self.class_start[self.word_class[words] + 1]
         below = np.concatenate(([0.0], np.cumsum(mass)))
         for k in range(depth):
             on = np.flatnonzero(hi - lo > 1)
             middle = (lo[on] + hi[on]) >> 1
             right = words[on] >= middle
-            self.nodes[on, k], self.sides[on, k] = middle, np.where(right, 1, -1)
+            self.nodes[k, on], self.sides[k, on] = middle, np.where(right, 1, -1)
             self.p["bo"][middle] = np.log((below[hi[on]] - below[middle]) / (below[middle] - below[lo[on]]))
+            if k < self.top:  # all words are on
+                self.places[k], self.top_nodes[tree, place] = place, middle
+                place = 2 * place + 1 + right
             lo[on], hi[on] = np.where(right, middle, lo[on]), np.where(right, hi[on], middle)
+        self.levels = (self.sides != 0).sum(axis=0)
 
     def rows(self) -> np.ndarray:
         """All parameters: a row for each word, then the shared ones in rows of the same width."""
@@ -93,20 +149,40 @@ class Gru:
 
     def run(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool = False):
         """States after each step of a window (steps by lanes), and what backpropagation needs."""
-        H, u, table = self.hidden, self.p["u"], self.p["table"]
-        states = np.empty((*x.shape, H), np.float32)
-        kept = []
-        for t in range(len(x)):
-            before = h * ~fresh[t][:, None]
-            g, hu = table.take(x[t], axis=0), before @ u
-            gates = _sigmoid(g[:, :2 * H] + hu[:, :2 * H])
-            z, r = gates[:, :H], gates[:, H:]
-            new = np.tanh(g[:, 2 * H:] + r * hu[:, 2 * H:])
-            h = new + z * (before - new)
-            states[t] = h
-            if keep:
-                kept.append((before, z, r, new, hu[:, 2 * H:]))
-        return states, kept
+        H, table = self.hidden, self.p["table"]
+        to_z, to_r, to_new = self._turns()
+        to_z, to_r = to_z * HALF, to_r * HALF  # a sigmoid is a tanh of half its argument
+        states = np.empty((*x.shape, H), table.dtype)
+        befores, turned = (np.empty_like(states), np.empty_like(states)) if keep else (None, None)
+        cleared = fresh.any(axis=1).tolist()
+        steps = len(x) if keep else STEPS
+        for first in range(0, len(x), steps):
+            rows = table.take(x[first:first + steps].ravel(), axis=0)
+            z, r, new = ((rows[:, k * H:(k + 1) * H] * by).reshape(-1, x.shape[1], H) for k, by in enumerate((HALF, HALF, np.float32(1))))
+            for t, (z_t, r_t, new_t) in enumerate(zip(z, r, new), first):
+                if cleared[t]:
+                    h = h.copy()
+                    h[fresh[t]] = 0
+                for gate, to in ((z_t, to_z), (r_t, to_r)):
+                    gate += h @ to
+                    np.tanh(gate, out=gate)
+                    gate *= HALF
+                    gate += HALF
+                hu = h @ to_new
+                if keep:
+                    befores[t], turned[t] = h, hu
+                hu *= r_t
+                new_t += hu
+                np.tanh(new_t, out=new_t)
+                after = np.subtract(h, new_t, out=states[t])
+                after *= z_t
+                after += new_t
+                h = after
+        return states, (befores, z, r, new, turned) if keep else None
+
+    def _turns(self) -> list[np.ndarray]:
+        """Recurrent weights of the update gate, the reset gate and the candidate."""
+        return [np.ascontiguousarray(part) for part in np.split(self.p["u"], 3, axis=1)]
 
     def log_probabilities(self, states: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log-probability of each target from its state."""
@@ -114,77 +190,130 @@ class Gru:
 
     def _output(self, states: np.ndarray, y: np.ndarray, weight: np.ndarray | None):
         """Log-probabilities, and with weights the gradients of their weighted sum (states' and parameters')."""
-        p, klass = self.p, self.word_class[y]
-        logits = states @ p["wc"] + p["bc"]
-        logits -= logits.max(axis=1, keepdims=True)
-        rows = np.arange(len(y))
-        out = logits[rows, klass]
-        e = np.exp(logits, out=logits)
-        total = e @ np.ones(e.shape[1], e.dtype)
-        out -= np.log(total)
-        grads, back = {}, None
+        p, H, n = self.p, self.hidden, len(y)
+        order = np.argsort(y.astype(self.number), kind="stable")  # words of a class, and of a node, then follow one another
+        y, states = y[order], states.take(order, axis=0)
+        klass, cuts = self.word_class[y], np.searchsorted(y, self.class_start).tolist()
+        wide = np.ones((n, H + 1), states.dtype)  # the last column meets the biases
+        wide[:, :H] = states
+        most = np.abs(wide).max(initial=0)
+        out, back, found = np.empty(n, states.dtype), None, []
+        classes, turned = np.concatenate([p["wc"], p["bc"][None]]), np.ascontiguousarray(p["wc"].T)
+        d_classes, one = np.zeros_like(classes), np.ones(classes.shape[1], states.dtype)
         if weight is not None:
-            e *= (-weight / total)[:, None]
-            e[rows, klass] += weight
-            d = e
-            back = d @ p["wc"].T
-            grads = {"wc": states.T @ d, "bc": d.sum(axis=0), "wo": self._cleared("wo"), "bo": self._cleared("bo")}
-        touched = []
+            weight, back = weight[order], np.empty_like(states)
+        for a in range(0, n, STATES):
+            b = min(a + STATES, n)
+            here = (np.arange(b - a), klass[a:b])
+            e = self._scores(wide[a:b], classes, most)
+            out[a:b] = e[here]
+            np.exp(e, out=e)
+            total = e @ one
+            out[a:b] -= np.log(total)
+            if weight is not None:
+                e *= (-weight[a:b] / total)[:, None]
+                e[here] += weight[a:b]
+                np.matmul(e, turned, out=back[a:b])
+                d_classes += wide[a:b].T @ e
         deep = np.flatnonzero(self.deep[klass])
-        deep = deep[np.argsort(y[deep].astype(self.number), kind="stable")]  # a node's words then follow one another
-        ones, passed = np.ones(self.hidden, np.float32), []
-        for a in range(0, len(deep), PATHS):
-            at = deep[a:a + PATHS]
-            path = self.path_of[y[at]]
-            nodes, sides = (np.ascontiguousarray(of.take(path, axis=0).T) for of in (self.nodes, self.sides))
-            w = p["wo"].take(nodes, axis=0)
-            margin = sides * (((w * states.take(at, axis=0)).reshape(-1, self.hidden) @ ones).reshape(nodes.shape) + p["bo"].take(nodes))
-            away = np.exp(-np.abs(margin))
-            out[at] += ((np.minimum(margin, 0) - np.log(1 + away)) * np.abs(sides)).sum(axis=0)
+        if len(deep):
+            on = slice(deep[0], deep[-1] + 1) if deep[-1] - deep[0] < len(deep) else deep
+            logs, back_deep, found = self._deep(states[on], y[on], None if weight is None else weight[on])
+            out[on] += logs
             if weight is not None:
-                d = sides * np.where(margin < 0, np.float32(1), away) / (1 + away) * weight[at]
-                w *= d[:, :, None]
-                back[at] += w.sum(axis=0)
-                passed.append((nodes, sides, d))
-        if passed:
-            nodes, sides, d = (np.concatenate(parts, axis=1).ravel() for parts in zip(*passed))
-            on = np.flatnonzero(sides)
-            ranked, d = nodes[on], d[on]
-            heads = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-            grads["wo"][ranked[heads]] = np.add.reduceat(d[:, None] * states.take(deep[on % len(deep)], axis=0), heads, axis=0)
-            grads["bo"][ranked[heads]] = np.add.reduceat(d, heads)
-            touched.append(ranked[heads])
-        few = np.flatnonzero(~self.deep[klass])
-        order = few[np.argsort(klass[few].astype(self.number), kind="stable")]
-        cuts = np.searchsorted(klass[order], np.arange(len(self.class_start)))
+                back[on] += back_deep
         for c in np.flatnonzero(~self.deep):
-            at = order[cuts[c]:cuts[c + 1]]
-            a, b = self.class_start[c], self.class_start[c + 1]
-            if len(at) == 0 or b - a == 1:
+            a, b, first, last = cuts[c], cuts[c + 1], self.class_start[c], self.class_start[c + 1]
+            if a == b or last - first == 1:
                 continue
-            s = states[at]
-            logits = s @ p["wo"][a:b].T + p["bo"][a:b]
-            logits -= logits.max(axis=1, keepdims=True)
-            e = np.exp(logits)
-            total = e.sum(axis=1)
-            local, here = y[at] - a, np.arange(len(at))
-            out[at] += logits[here, local] - np.log(total)
+            e = self._scores(wide[a:b], np.concatenate([p["wo"][first:last], p["bo"][first:last, None]], axis=1).T, most)
+            here = (np.arange(b - a), y[a:b] - first)
+            chosen = e[here]
+            np.exp(e, out=e)
+            total = e @ np.ones(last - first, e.dtype)
+            out[a:b] += chosen - np.log(total)
             if weight is not None:
-                d = -e / total[:, None]
-                d[here, local] += 1
-                d *= weight[at][:, None]
-                back[at] += d @ p["wo"][a:b]
-                grads["wo"][a:b] = d.T @ s
-                grads["bo"][a:b] = d.sum(axis=0)
-                touched.append(np.arange(a, b))
-        if weight is not None:
-            self._rows["wo"] = self._rows["bo"] = np.concatenate(touched) if touched else np.zeros(0, np.int64)
-        return out, back, grads
+                e *= (-weight[a:b] / total)[:, None]
+                e[here] += weight[a:b]
+                back[a:b] += e @ p["wo"][first:last]
+                d = e.T @ wide[a:b]
+                found.append((np.arange(first, last), d[:, :H], d[:, H]))
+        place = _inverse(order)
+        if weight is None:
+            return out.take(place), None, {}
+        at, wo, bo = (np.concatenate(parts) for parts in zip(*found)) if found else (order[:0], states[:0], out[:0])
+        return out.take(place), back.take(place, axis=0), {"wc": d_classes[:H], "bc": d_classes[H], "wo": Rows(at, wo), "bo": Rows(at, bo)}
+
+    @staticmethod
+    def _scores(wide: np.ndarray, weights: np.ndarray, most: float) -> np.ndarray:
+        """Scores of a softmax, shifted by each row's highest if exponentials might overflow; nothing in ``wide`` is larger than ``most``."""
+        e = wide @ weights
+        if most * np.abs(weights).sum(axis=0).max() > SAFE:
+            e -= e.max(axis=1, keepdims=True)
+        return e
 
-    def _cleared(self, k: str) -> np.ndarray:
-        """The gradient of word parameters, zero in every row."""
-        self._sparse[k][self._rows[k]] = 0
-        return self._sparse[k]
+    def _deep(self, states: np.ndarray, y: np.ndarray, weight: np.ndarray | None):
+        """The share of trees in ``_output``, for targets in rising order, with the gradients of the nodes that they meet.
+
+        A class's upper nodes meet all its words in one product; below them each word's own nodes are fetched.
+        """
+        p, H, n, top = self.p, self.hidden, len(y), self.top
+        width = (1 << top) - 1
+        cuts = np.searchsorted(y, self.class_start).tolist()
+        runs = [(i, cuts[c], cuts[c + 1]) for i, c in enumerate(np.flatnonzero(self.deep).tolist()) if cuts[c] < cuts[c + 1]]
+        upper = p["wo"].take(self.top_nodes, axis=0)
+        scores = np.empty((n, width), states.dtype)
+        for i, a, b in runs:
+            np.matmul(states[a:b], upper[i].T, out=scores[a:b])
+        path = self.path_of[y]
+        logs, ones = np.empty(n, states.dtype), np.ones(H, states.dtype)
+        if weight is not None:
+            depth = len(self.nodes) - top
+            back, spread = np.empty_like(states), np.zeros((n, width), states.dtype)
+            visited = np.zeros(self.top_nodes.shape, bool)
+            lower, turn = np.full((depth, n), -1, np.int32), np.zeros((depth, n), states.dtype)
+        for a in range(0, n, PATHS):
+            at = path[a:a + PATHS]
+            b = a + len(at)
+            levels = int(self.levels.take(at).max())
+            nodes, sides = self.nodes[:levels].take(at, axis=1), self.sides[:levels].take(at, axis=1)
+            places = self.places.take(at, axis=1)
+            places += np.arange(a, b, dtype=np.int32) * np.int32(width)
+            margin = np.empty(nodes.shape, states.dtype)
+            margin[:top] = scores.ravel().take(places)
+            w = p["wo"].take(nodes[top:], axis=0)
+            margin[top:] = ((w * states[a:b]).reshape(-1, H) @ ones).reshape(levels - top, b - a)
+            margin += p["bo"].take(nodes)
+            margin *= sides
+            away = np.exp(-np.abs(margin))
+            logs[a:b] = ((np.minimum(margin, 0) - np.log(1 + away)) * np.abs(sides)).sum(axis=0)
+            if weight is not None:
+                d = sides * np.where(margin < 0, np.float32(1), away) / (1 + away) * weight[a:b]
+                spread.ravel()[places] = d[:top]
+                w *= d[top:, :, None]
+                w.sum(axis=0, out=back[a:b])
+                lower[:levels - top, a:b] = np.where(sides[top:] != 0, nodes[top:], -1)
+                turn[:levels - top, a:b] = d[top:]
+        if weight is None:
+            return logs, None, []
+        sums, biases = np.zeros(upper.shape, states.dtype), np.zeros(upper.shape[:2], states.dtype)
+        for i, a, b in runs:
+            d, one = spread[a:b], np.ones(b - a, states.dtype)
+            back[a:b] += d @ upper[i]
+            np.matmul(d.T, states[a:b], out=sums[i])
+            np.matmul(one, d, out=biases[i])
+            visited[i, self.places[-1].take(path[a:b])] = True
+        for k in range(width // 2 - 1, -1, -1):  # a node is met by whatever meets those below it
+            visited[:, k] = visited[:, 2 * k + 1] | visited[:, 2 * k + 2]
+        found = [(self.top_nodes[visited], sums[visited], biases[visited])]
+        on = np.flatnonzero(lower >= 0)
+        if len(on):
+            ranked, d = lower.ravel()[on], turn.ravel()[on]
+            heads = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+            rows = states.take(on % n, axis=0)
+            rows *= d[:, None]
+            found.append((ranked[heads], _sums(rows, heads), np.add.reduceat(d, heads)))
+        return logs, back, found
 
     def learn(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.ndarray, rate: float,
               real: np.ndarray | None = None) -> tuple[np.ndarray, float]:
@@ -192,35 +321,42 @@ class Gru:
 
         ``real`` tells the window's words from what only fills it up; all are words without it.
         """
-        H, u = self.hidden, self.p["u"]
-        states, kept = self.run(x, fresh, h, keep=True)
+        H = self.hidden
+        states, (before, z, r, new, hn) = self.run(x, fresh, h, keep=True)
         flat = states.reshape(-1, H)
         weight = np.ones(y.size, np.float32) if real is None else real.ravel().astype(np.float32)
         weight /= weight.sum()
         logs, back, grads = self._output(flat, y.ravel(), weight)
         back = back.reshape(states.shape)
-        grads["u"], grads["table"] = np.zeros_like(u), self._cleared("table")
-        inputs = np.empty((*x.shape, 3 * H), np.float32)
-        carry = np.zeros_like(h)
-        turned = np.ascontiguousarray(u.T)
+        # What a state's gradient is multiplied by on its way to the arguments of the candidate and the gates.
+        closed = 1 - z
+        by_new = closed * (1 - new * new)
+        by_z = (before - new) * (z * closed)
+        by_r = hn * (r - r * r)
+        carry = np.zeros_like(states[0])
+        from_z, from_r, from_new = (np.ascontiguousarray(part.T) for part in self._turns())
+        cleared = fresh.any(axis=1).tolist()
         for t in range(len(x) - 1, -1, -1):
-            before, z, r, new, hn = kept[t]
-            dh = back[t] + carry
-            closed = 1 - z
-            dnew = dh * closed * (1 - new * new)
-            g = inputs[t]
-            g[:, :H] = dh * (before - new) * (z * closed)
-            g[:, H:2 * H] = dnew * hn * (r - r * r)
-            g[:, 2 * H:] = dnew
-            recurrent = g.copy()
-            recurrent[:, 2 * H:] *= r
-            grads["u"] += before.T @ recurrent
-            carry = (recurrent @ turned + dh * z) * ~fresh[t][:, None]
+            dh, d_new, d_z, d_r, d_hn = back[t], by_new[t], by_z[t], by_r[t], r[t]
+            dh += carry
+            d_new *= dh
+            d_z *= dh
+            d_r *= d_new
+            d_hn *= d_new
+            carry = d_z @ from_z
+            carry += d_r @ from_r
+            carry += d_hn @ from_new
+            dh *= z[t]
+            carry += dh
+            if cleared[t]:
+                carry[fresh[t]] = 0
+        past = before.reshape(-1, H).T
+        grads["u"] = np.concatenate([past @ d.reshape(-1, H) for d in (by_z, by_r, r)], axis=1)
+        inputs = np.concatenate([by_z, by_r, by_new], axis=2)
         order = np.argsort(x.ravel().astype(self.number), kind="stable")  # sums of each word's rows
         words = x.ravel()[order]
         heads = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
-        grads["table"][words[heads]] = np.add.reduceat(inputs.reshape(-1, 3 * H)[order], heads, axis=0)
-        self._rows["table"] = words[heads]
+        grads["table"] = Rows(words[heads], _sums(inputs.reshape(-1, 3 * H), heads, order))
         self._step(grads, rate)
         return states[-1], float((logs * weight).sum())
 
@@ -230,31 +366,29 @@ class Gru:
             self._steps = 0
         self._steps += 1
         scale = rate * np.sqrt(1 - 0.99 ** self._steps) / (1 - 0.9 ** self._steps)
-        parts = {k: (self._rows[k] if k in self._rows else slice(None)) for k in grads}
-        grads = {k: g.take(parts[k], axis=0) if k in self._rows else g for k, g in grads.items()}
-        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
-        clip = np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
+        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in (g.values if isinstance(g, Rows) else g for g in grads.values())))
+        clip = np.float32(0.1 * min(1.0, 1.0 / max(norm, 1e-9)))
         for k, g in grads.items():
             (m, v), p = self._moments[k], self.p[k]
-            if k not in self._rows:
+            if not isinstance(g, Rows):
                 p += self._moved(g * clip, m, v, scale)
                 continue
-            self.touched[parts[k]] = True
-            for a in range(0, len(g), PATHS):
-                at = parts[k][a:a + PATHS]
+            self.touched[g.at] = True
+            step = PATHS * self.hidden // p[0].size
+            for a in range(0, len(g.at), step):
+                at = g.at[a:a + step]
                 m_at, v_at = m.take(at, axis=0), v.take(at, axis=0)
-                moved = self._moved(g[a:a + PATHS] * clip, m_at, v_at, scale)
+                moved = self._moved(g.values[a:a + step] * clip, m_at, v_at, scale)
                 moved += p.take(at, axis=0)
                 m[at], v[at], p[at] = m_at, v_at, moved
 
     @staticmethod
     def _moved(g: np.ndarray, m: np.ndarray, v: np.ndarray, scale: float) -> np.ndarray:
-        """Adam's step for a gradient; the moments ``m`` and ``v`` are brought up to date in place."""
+        """Adam's step for a tenth of a gradient, which is used up; the moments ``m`` and ``v`` are brought up to date in place."""
         m *= np.float32(0.9)
-        m += np.float32(0.1) * g
+        m += g
         v *= np.float32(0.99)
         g *= g
-        g *= np.float32(0.01)
         v += g
         np.sqrt(v, out=g)
         g += np.float32(1e-6)
@@ -309,26 +443,39 @@ def log_likelihoods(model: Gru, words: np.ndarray, bounds: np.ndarray, end: int,
     steps = int(length[0]) if n else 0
     out = np.zeros(n)
     # Step and lane of every word and end; the input is the word before, or an end at a text's start.
-    text = np.repeat(np.arange(n), size)
-    offset = np.arange(len(text)) - np.repeat(np.cumsum(size) - size, size)
-    target = np.full(len(text), end, np.int64)
-    inner = offset < size[text] - 1
+    text = np.repeat(np.arange(n, dtype=np.int32), size)
+    ends = np.cumsum(size) - 1
+    target = np.empty(len(text), np.int32)
+    target[ends] = end
+    inner = np.ones(len(text), bool)
+    inner[ends] = False
     target[inner] = words
-    source = np.concatenate(([end], target[:-1])) if len(target) else target
-    source[offset == 0] = end
-    step = at[text] + offset
-    order = np.argsort(step * lanes + lane[text], kind="stable")
-    step, column, source, target, text, offset = (a[order] for a in (step, lane[text], source, target, text, offset))
+    opens = np.zeros(len(text), bool)
+    opens[ends - size + 1] = True
+    source = np.empty_like(target)
+    source[1:] = target[:-1]
+    source[opens] = end
+    # Lanes in order of length have no gaps, so at a step the first so many are at work.
+    working = np.searchsorted(-length, -np.arange(steps), side="left")
+    begun = np.concatenate(([0], np.cumsum(working)))
+    step = np.arange(len(text))
+    step += np.repeat(at - ends + size - 1, size)
+    order = begun.take(step)
+    order += np.repeat(lane, size)
+    del step, inner
+    source, target, text, opens = (_placed(a, order) for a in (source, target, text, opens))
+    del order
     h = np.zeros((lanes, model.hidden), np.float32)
     for t in range(0, steps, window):
-        a, b = np.searchsorted(step, (t, t + window))
-        active = int(np.searchsorted(-length, -t, side="left"))
         deep = min(window, steps - t)
+        a, b = begun[t], begun[t + deep]
+        active = int(working[t])
         x = np.full((deep, active), end, np.int64)
         fresh = np.zeros((deep, active), bool)
-        s, c = step[a:b] - t, column[a:b]
+        s = np.repeat(np.arange(deep), working[t:t + deep])
+        c = np.arange(a, b) - begun[t + s]
         x[s, c] = source[a:b]
-        fresh[s, c] = offset[a:b] == 0
+        fresh[s, c] = opens[a:b]
         states, _ = model.run(x, fresh, h[:active])
         h = states[-1]
         logs = model.log_probabilities(states[s, c], target[a:b])

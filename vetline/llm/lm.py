@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from vetline.llm.frames import durable
 from vetline.llm.gru import Gru, log_likelihoods, train
-from vetline.llm.words import NONSPACE, lookup, slices, sorted_counts, text_buffer, words_of
+from vetline.llm.words import NONSPACE, slices, sorted_counts, text_buffer, words_of
 
 #: Hash that stands for the end of a text.
 END = 1
@@ -98,6 +98,31 @@ def count(texts: DataFrame, head: int = HEAD) -> Corpus:
                   names[order], top["c"].to_numpy()[order], least, modelled)
 
 
+class Names:
+    """Finds hashes in a sorted table; their upper bits tell where about they stand."""
+
+    def __init__(self, names: np.ndarray):
+        bits = (2 * len(names)).bit_length()
+        self.shift = np.uint64(64 - bits)
+        self.begun = np.searchsorted(names >> self.shift, np.arange(1 << bits, dtype=np.uint64)).astype(np.int32) if bits else np.zeros(1, np.int32)
+        self.names, self.size = np.append(names, np.uint64(2 ** 64 - 1)), len(names)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the table, its length where there is none, and whether each hash is there."""
+        if self.size == 0:
+            return np.zeros(len(hashes), np.int32), np.zeros(len(hashes), bool)
+        at = self.begun.take((hashes >> self.shift).view(np.int64))
+        found = self.names.take(at)
+        late = np.flatnonzero(found < hashes)
+        while len(late):
+            at[late] += 1
+            found[late] = self.names.take(at[late])
+            late = late[found[late] < hashes[late]]
+        known = (found == hashes) & (at < self.size)
+        at[~known] = self.size
+        return at, known
+
+
 class Vocabulary:
     """The recurrent model's words, numbered by falling count; ``end`` and ``other`` are among them."""
 
@@ -114,12 +139,12 @@ class Vocabulary:
         self.end, self.other = int(number[-2]), int(number[-1])
         by_name = np.argsort(names)
         self.names, self.numbers = names[by_name], number[:-2][by_name]
+        self._found, self._numbers = Names(self.names), np.append(self.numbers, self.other)
         #: Sum of (count + 1) over all words that are not in the vocabulary, one unseen word included.
         self.rest_mass = corpus.total + corpus.distinct + 1 - int((counts + 1).sum()) - (corpus.texts + bool(corpus.texts))
 
     def number(self, hashes: np.ndarray) -> np.ndarray:
-        at, known = lookup(self.names, hashes)
-        return np.where(known, self.numbers[at] if len(self.numbers) else self.other, self.other)
+        return self._numbers.take(self._found.find(hashes)[0])
 
 
 def _groups(batches):
@@ -224,7 +249,9 @@ def learn(texts: DataFrame, corpus: Corpus, vocabulary: Vocabulary) -> np.ndarra
 
 
 def _scorer(vocabulary: Vocabulary, corpus: Corpus, parameters: np.ndarray | None):
-    head, head_log, total = corpus.head, np.log10(corpus.head_count + 1.0), corpus.total + corpus.distinct + 1
+    # Of the words of the head, and last of one that is not in it: logarithm of the count and number, as the vocabulary is part of the head.
+    head, total = Names(corpus.head), corpus.total + corpus.distinct + 1
+    head_log, head_number = np.append(np.log10(corpus.head_count + 1.0), 0.0), np.append(vocabulary.number(corpus.head), vocabulary.other).astype(np.int32)
     end_log, end_known = np.log10(corpus.texts + 1.0), int(corpus.texts > 0)
 
     def score(batches):
@@ -234,10 +261,9 @@ def _scorer(vocabulary: Vocabulary, corpus: Corpus, parameters: np.ndarray | Non
         for rows, hashes, bounds in _groups(batches):
             n = len(bounds) - 1
             text = np.repeat(np.arange(n), np.diff(bounds))
-            numbers = vocabulary.number(hashes)
+            at, known = head.find(hashes)
+            numbers, logs = head_number.take(at), head_log.take(at)
             other = numbers == vocabulary.other
-            at, known = lookup(head, hashes)
-            logs = np.where(known, head_log[at] if len(head) else 0.0, 0.0)
             if parameters is None:
                 modelled = np.full(n, np.nan)
             else:
